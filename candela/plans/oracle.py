@@ -298,3 +298,64 @@ flagged AS (
             "       count(*) FILTER (WHERE data_quality_flag IS NULL) AS clean_records,\n"
             "       count(*) FILTER (WHERE data_quality_flag IS NOT NULL) AS failed_records\n"
             "FROM flagged")
+
+
+def _market_ctes(holidays: list[str]) -> str:
+    hol = ", ".join(f"DATE '{d}'" for d in holidays) or "NULL"
+    return f"""
+loc AS (
+  SELECT event_id, ts, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS lt FROM events
+),
+flags AS (
+  SELECT event_id, ts, 'NYSE' AS market,
+         strftime(lt, '%Y-%m-%d %H:%M:%S') AS local_time,
+         COALESCE(isodow(lt) <= 5
+                  AND strftime(lt, '%H:%M:%S.%f') >= '09:30:00.000000'
+                  AND strftime(lt, '%H:%M:%S.%f') <= '16:00:00.000000'
+                  AND CAST(lt AS DATE) NOT IN ({hol}), false) AS is_open
+  FROM loc
+)"""
+
+
+def market_open_query(holidays: list[str]) -> str:
+    return f"{with_(_market_ctes(holidays))}\nSELECT event_id, ts, market, local_time, is_open FROM flags"
+
+
+def gated_events_query(holidays: list[str]) -> str:
+    return (f"{with_(_market_ctes(holidays))}\n"
+            "SELECT event_id, 'crypto' AS asset_class, 'extract_crypto_data' AS task FROM flags\n"
+            "UNION ALL\n"
+            "SELECT event_id, 'stock' AS asset_class, 'extract_stocks_data' AS task FROM flags WHERE is_open")
+
+
+_PAYLOAD_CTES = """
+responses AS (
+  SELECT 'alpha_vantage' AS source, symbol || '/' || substr(date, 1, 7) AS request_id, 200 AS status,
+         json_object('Time Series (Daily)',
+                     json_group_object(date, json_object('1. open', open, '2. high', high, '3. low', low,
+                                                         '4. close', close, '5. volume', volume))) AS body,
+         'Time Series (Daily)' AS required_key
+  FROM bars GROUP BY symbol, substr(date, 1, 7)
+  UNION ALL
+  SELECT 'binance', CAST(event_id AS VARCHAR),
+         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END,
+         CASE WHEN event_type = 'signup' THEN CAST(props AS JSON)
+              ELSE json_object('symbol', upper(event_type), 'price', CAST(value AS VARCHAR)) END,
+         'price'
+  FROM events
+),
+checked AS (
+  SELECT source, request_id, status,
+         CASE WHEN status IS DISTINCT FROM 200
+                THEN source || ' API failed with status ' || COALESCE(CAST(status AS VARCHAR), 'NULL')
+              WHEN NOT COALESCE(json_type(body) = 'OBJECT'
+                                AND list_contains(json_keys(body), required_key), false)
+                THEN source || ' response invalid: missing key ' || chr(39) || required_key || chr(39)
+         END AS error
+  FROM responses
+)"""
+
+
+def payload_validation_query() -> str:
+    return (f"{with_(bars_ctes(SUPPLIER_SYMBOL), _PAYLOAD_CTES)}\n"
+            "SELECT source, request_id, status, error IS NULL AS is_valid, error FROM checked")

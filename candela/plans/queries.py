@@ -7,9 +7,11 @@ DuckDB oracle in ``candela.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.operators.quality import clean_rows, failed_rows, quality_counts, quality_flags
@@ -17,7 +19,17 @@ from candela.operators.rollup import monthly_rollup, weekly_rollup
 from candela.plans import oracle as O
 from candela.plans.report import round_doubles
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS, QUALITY_COLUMNS
+from candela.operators.market import (
+    extraction_plan,
+    holidays_frame,
+    is_market_open,
+    sessions_frame,
+)
+from candela.operators.payload import bars_to_payloads, validate_payloads
+from candela.session import scratch_path
+from candela.sinks.writers import publish_bars, write_landing_csv
 from candela.sources.bars import bars_by_flag, bars_by_supplier, dirty_bars
+from candela.sources.files import STOCK_SERIES_KEY, flatten_payload, read_bar_messages, read_landing_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +143,69 @@ def q_quality_counts(spark, sf_dir):
     return quality_counts(quality_flags(dirty_flag_bars(spark, sf_dir)))
 
 
+def q_json_roundtrip(spark, sf_dir):
+    """Bars -> JSON messages in text files -> parsed bars (equal to the bars)."""
+    path = scratch_path(spark, "messages")
+    publish_bars(supplier_bars(spark, sf_dir), fmt="text", path=path)
+    return round_doubles(read_bar_messages(spark, path))
+
+
+def q_payload_flatten(spark, sf_dir):
+    """Bars -> provider payloads (one per symbol-month) -> flattened bars (equal to the bars)."""
+    payloads = bars_to_payloads(supplier_bars(spark, sf_dir), STOCK_SERIES_KEY)
+    return round_doubles(flatten_payload(payloads, "body", STOCK_SERIES_KEY))
+
+
+def q_csv_landing(spark, sf_dir):
+    """Bars -> landing CSV per symbol -> positional CSV scan (equal to the bars)."""
+    path = scratch_path(spark, "landing")
+    write_landing_csv(supplier_bars(spark, sf_dir), path)
+    return round_doubles(read_landing_csv(spark, path, symbol_from="partition"))
+
+
+# NYSE holidays inside the events range.
+NYSE_HOLIDAYS = [("NYSE", "2024-01-01"), ("NYSE", "2024-01-15")]
+
+
+def market_flags(spark, sf_dir):
+    holidays = holidays_frame(spark, [(m, dt.date.fromisoformat(d)) for m, d in NYSE_HOLIDAYS])
+    events = read_table(spark, sf_dir, "events")
+    return is_market_open(events, "ts", sessions_frame(spark), holidays)
+
+
+def q_market_open_events(spark, sf_dir):
+    return market_flags(spark, sf_dir).select("event_id", "ts", "market", "local_time", "is_open")
+
+
+def q_gated_events(spark, sf_dir):
+    return extraction_plan(market_flags(spark, sf_dir)).select("event_id", "asset_class", "task")
+
+
+def payload_responses(spark, sf_dir) -> DataFrame:
+    """Responses to validate: stock payloads built from the bars, and ticker
+    responses built from ``events`` (error events answered 500, signup events
+    answered with a body lacking the price)."""
+    stock = bars_to_payloads(supplier_bars(spark, sf_dir)).select(
+        F.lit("alpha_vantage").alias("source"),
+        F.concat_ws("/", "symbol", "period").alias("request_id"),
+        F.lit(200).alias("status"),
+        "body")
+    ev = read_table(spark, sf_dir, "events")
+    ticker = ev.select(
+        F.lit("binance").alias("source"),
+        F.col("event_id").cast("string").alias("request_id"),
+        F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        F.when(F.col("event_type") == "signup", F.col("props"))
+         .otherwise(F.to_json(F.struct(F.upper("event_type").alias("symbol"),
+                                       F.col("value").cast("string").alias("price")))).alias("body"))
+    return stock.unionByName(ticker)
+
+
+def q_payload_validation(spark, sf_dir):
+    return validate_payloads(payload_responses(spark, sf_dir)).select(
+        "source", "request_id", "status", "is_valid", "error")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -147,6 +222,12 @@ def queries() -> dict[str, Query]:
         "clean_bars": q_clean_bars,
         "failed_bars": q_failed_bars,
         "quality_counts": q_quality_counts,
+        "json_roundtrip": q_json_roundtrip,
+        "payload_flatten": q_payload_flatten,
+        "csv_landing": q_csv_landing,
+        "market_open_events": q_market_open_events,
+        "gated_events": q_gated_events,
+        "payload_validation": q_payload_validation,
     })
     return out
 
@@ -168,5 +249,11 @@ def oracle_sql() -> dict[str, str]:
         "clean_bars": O.pipeline_query("data_quality_status = 'Passed'"),
         "failed_bars": O.pipeline_query("data_quality_status = 'Failed'"),
         "quality_counts": O.quality_counts_query(),
+        "json_roundtrip": O.bars_query(O.SUPPLIER_SYMBOL),
+        "payload_flatten": O.bars_query(O.SUPPLIER_SYMBOL),
+        "csv_landing": O.bars_query(O.SUPPLIER_SYMBOL),
+        "market_open_events": O.market_open_query([d for _, d in NYSE_HOLIDAYS]),
+        "gated_events": O.gated_events_query([d for _, d in NYSE_HOLIDAYS]),
+        "payload_validation": O.payload_validation_query(),
     })
     return out
