@@ -181,28 +181,43 @@ def regime_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
 
 
 def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
-                         order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
+                         order_cols: Sequence[str] = ORDER_COLS,
+                         sum_seed: str | None = None, peak_seed: str | None = None) -> DataFrame:
     """Running additive return, drawdown from the running peak, 30-bar return mean/stddev.
 
     ``cumulative_return`` orders by date alone with the default frame (RANGE up
     to the current row), so bars tied on date share one value; on unique
     (symbol, date) it is the plain running sum.
+
+    ``sum_seed`` / ``peak_seed`` name columns carrying what came before the
+    first row of ``df`` (used by the streaming look-back): the sum seed, set on
+    the first row of a series only, is added to that row's return before the
+    running sum, so the additions happen in the same order as over the full
+    history; the peak seed raises the running maximum.
     """
     w = series_window(partition_cols, order_cols)
     w_by_date = Window.partitionBy(*partition_cols).orderBy(order_cols[0])
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w30 = trailing(partition_cols, 30, order_cols)
     ret = F.col("daily_change_pct")
+    summed = ret
+    if sum_seed is not None:
+        seed = F.col(sum_seed)
+        summed = F.when(seed.isNull(), ret).when(ret.isNull(), seed).otherwise(seed + ret)
+    peak = F.max("close").over(w_all)
+    if peak_seed is not None:
+        peak = F.greatest(peak, F.col(peak_seed))
     return df.withColumns({
-        "cumulative_return": F.sum(ret).over(w_by_date),
-        "drawdown": safe_div(F.col("close"), F.max("close").over(w_all)) - F.lit(1),
+        "cumulative_return": F.sum(summed).over(w_by_date),
+        "drawdown": safe_div(F.col("close"), peak) - F.lit(1),
         "avg_return_30d": F.avg(ret).over(w30),
         "return_volatility_30d": F.stddev_samp(ret).over(w30),
     })
 
 
 def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
-                   order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
+                   order_cols: Sequence[str] = ORDER_COLS,
+                   sum_seed: str | None = None, peak_seed: str | None = None) -> DataFrame:
     """All 50 feature columns appended to the bar columns (57 with the 7 bar fields)."""
     keys, order = tuple(partition_cols), tuple(order_cols)
     return (df
@@ -213,7 +228,7 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
             .transform(ml_features, keys, order)
             .transform(anomaly_features)
             .transform(regime_features, keys, order)
-            .transform(performance_features, keys, order))
+            .transform(performance_features, keys, order, sum_seed, peak_seed))
 
 
 def job_columns(df: DataFrame, volume_threshold: float = 1_000_000.0,

@@ -359,3 +359,37 @@ checked AS (
 def payload_validation_query() -> str:
     return (f"{with_(bars_ctes(SUPPLIER_SYMBOL), _PAYLOAD_CTES)}\n"
             "SELECT source, request_id, status, error IS NULL AS is_valid, error FROM checked")
+
+
+def stream_query(history: bool) -> str:
+    """The streaming job over the flag bars, one calendar year per micro-batch.
+
+    Without history the windows restart each batch: features partitioned by
+    (symbol, year).  With history they run over the whole series, and only the
+    label of the last bar of each year is unknown when its batch is written.
+    """
+    if not history:
+        ctes = [bars_ctes(FLAG_SYMBOL),
+                ",".join(c.strip("\n") for c in (feature_ctes("bars", keys="symbol, substr(date, 1, 4)"),))]
+        body = """
+piped AS (
+  SELECT *,
+    high - low AS price_range,
+    CASE WHEN volume > 1000000.0 THEN true ELSE false END AS is_volume_high,
+    """ + QUALITY_FLAG_SQL + """ AS data_quality_flag
+  FROM feat
+),
+checked AS (
+  SELECT *, CASE WHEN data_quality_flag IS NULL THEN 'Passed' ELSE 'Failed' END AS data_quality_status
+  FROM piped
+)"""
+        return f"{with_(*ctes, body)}\nSELECT\n  {project(PIPELINE_COLUMNS)}\nFROM checked"
+    labels = f"""
+labelled AS (
+  SELECT * REPLACE (
+    CASE WHEN substr(lead(date) OVER (PARTITION BY symbol ORDER BY {ORDER_BY}), 1, 4) = substr(date, 1, 4)
+         THEN next_day_return END AS next_day_return)
+  FROM checked
+)"""
+    return (f"{with_(bars_ctes(FLAG_SYMBOL), pipeline_ctes('bars'), labels)}\n"
+            f"SELECT\n  {project(PIPELINE_COLUMNS)}\nFROM labelled")

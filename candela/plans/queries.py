@@ -27,7 +27,9 @@ from candela.operators.market import (
 )
 from candela.operators.payload import bars_to_payloads, validate_payloads
 from candela.session import scratch_path
-from candela.sinks.writers import publish_bars, write_landing_csv
+from candela.sinks.writers import publish_bars, write_landing_csv, write_table
+from candela.streaming.incremental import replay_in_periods, year_of
+from candela.streaming.pipeline import read_output
 from candela.sources.bars import bars_by_flag, bars_by_supplier, dirty_bars
 from candela.sources.files import STOCK_SERIES_KEY, flatten_payload, read_bar_messages, read_landing_csv
 
@@ -206,6 +208,29 @@ def q_payload_validation(spark, sf_dir):
         "source", "request_id", "status", "is_valid", "error")
 
 
+def q_delta_or_parquet_sink(spark, sf_dir):
+    """Bars appended to a symbol-partitioned table (Delta, else the Parquet
+    fallback next to it), read back (equal to the bars)."""
+    path = scratch_path(spark, "table")
+    written = write_table(supplier_bars(spark, sf_dir), path, fmt="delta")
+    return round_doubles(read_output(spark, written).select(*BAR_COLUMNS))
+
+
+def q_stream_microbatch(spark, sf_dir):
+    """The streaming job over the flag bars arriving one year per micro-batch,
+    windows restarting in every batch; clean + failed tables read back."""
+    out = replay_in_periods(spark, flag_bars(spark, sf_dir), year_of("date"), history=False)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
+def q_stream_with_history(spark, sf_dir):
+    """As ``stream_microbatch`` with the 118-bar look-back state: every column
+    equals the full-history batch result, except ``next_day_return`` on the
+    last bar of each batch (its next bar has not arrived yet)."""
+    out = replay_in_periods(spark, flag_bars(spark, sf_dir), year_of("date"), history=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -228,6 +253,9 @@ def queries() -> dict[str, Query]:
         "market_open_events": q_market_open_events,
         "gated_events": q_gated_events,
         "payload_validation": q_payload_validation,
+        "delta_or_parquet_sink": q_delta_or_parquet_sink,
+        "stream_microbatch": q_stream_microbatch,
+        "stream_with_history": q_stream_with_history,
     })
     return out
 
@@ -255,5 +283,8 @@ def oracle_sql() -> dict[str, str]:
         "market_open_events": O.market_open_query([d for _, d in NYSE_HOLIDAYS]),
         "gated_events": O.gated_events_query([d for _, d in NYSE_HOLIDAYS]),
         "payload_validation": O.payload_validation_query(),
+        "delta_or_parquet_sink": O.bars_query(O.SUPPLIER_SYMBOL),
+        "stream_microbatch": O.stream_query(history=False),
+        "stream_with_history": O.stream_query(history=True),
     })
     return out

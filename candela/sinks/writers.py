@@ -69,7 +69,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "delta",
     except Exception as err:  # noqa: BLE001 - any writer failure falls back
         if not fallback_format or fallback_format == fmt:
             raise
-        log.warning("%s write to %s failed (%s); falling back to %s", fmt, path, err, fallback_format)
+        reason = str(err).strip().splitlines()[0][:300] if str(err).strip() else type(err).__name__
+        log.warning("%s write to %s failed (%s); falling back to %s", fmt, path, reason, fallback_format)
         target = path + fallback_suffix
         _save(fallback_format, target, {})
         return target
