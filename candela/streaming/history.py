@@ -38,12 +38,18 @@ def empty_state(spark: SparkSession) -> DataFrame:
                                      "high:double,low:double,close:double,volume:double>>")
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Newest state row per symbol (empty when nothing was written yet)."""
+def read_state(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
+    """Newest state row per symbol written by a batch older than ``before_batch``.
+
+    Ignoring the current and later batches makes a replayed batch see exactly
+    the state its first attempt saw.  Empty when nothing was written yet.
+    """
     try:
         raw = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no state folder yet
         return empty_state(spark)
+    if before_batch is not None:
+        raw = raw.filter(F.col("batch_id") < F.lit(int(before_batch)))
     cols = ["last_date", "carry_sum", "carry_peak", "tail"]
     latest = F.max_by(F.struct(*cols), F.col("batch_id"))
     return (raw.groupBy("symbol").agg(latest.alias("_s"))

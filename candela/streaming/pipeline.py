@@ -81,11 +81,12 @@ def transform_batch(bars: DataFrame, cfg: PipelineConfig,
     else:
         feats = feat.ohlcv_features(bars).withColumn("_late", F.lit(False))
     out = quality_flags(feat.job_columns(feats, cfg.volume_threshold, cfg.with_timestamps))
+    # Both columns from the same input row (one withColumns), flag first-rule-wins.
     late = F.col("_late") & F.col("data_quality_flag").isNull()
-    out = (out.withColumn("data_quality_flag",
-                          F.when(late, F.lit(LATE_BAR)).otherwise(F.col("data_quality_flag")))
-              .withColumn("data_quality_status",
-                          F.when(late, F.lit("Failed")).otherwise(F.col("data_quality_status")))
+    out = (out.withColumns({
+                "data_quality_flag": F.when(late, F.lit(LATE_BAR)).otherwise(F.col("data_quality_flag")),
+                "data_quality_status": F.when(late, F.lit("Failed")).otherwise(F.col("data_quality_status")),
+            })
               .drop("_late"))
     return out, new_state
 
@@ -96,7 +97,7 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
         log.info("batch %s empty, skipped", batch_id)
         return {"total_records": 0, "clean_records": 0, "failed_records": 0}
     spark = batch_df.sparkSession
-    state = read_state(spark, cfg.state_path) if cfg.history else None
+    state = read_state(spark, cfg.state_path, before_batch=batch_id) if cfg.history else None
     flagged, new_state = transform_batch(batch_df, cfg, state)
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
