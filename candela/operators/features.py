@@ -228,7 +228,8 @@ def regime_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
 
 def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
                          order_cols: Sequence[str] = ORDER_COLS,
-                         sum_seed: str | None = None, peak_seed: str | None = None) -> DataFrame:
+                         sum_seed: str | None = None, peak_seed: str | None = None,
+                         sum_mask: str | None = None) -> DataFrame:
     """Running additive return, drawdown from the running peak, 30-bar return mean/stddev.
 
     ``cumulative_return`` orders by date alone with the default frame (RANGE up
@@ -239,7 +240,8 @@ def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_
     first row of ``df`` (used by the streaming look-back): the sum seed, set on
     the first row of a series only, is added to that row's return before the
     running sum, so the additions happen in the same order as over the full
-    history; the peak seed raises the running maximum.
+    history; the peak seed raises the running maximum.  Rows where the
+    ``sum_mask`` column is true (look-back copies) add nothing to the sum.
     """
     w = series_window(partition_cols, order_cols)
     w_by_date = Window.partitionBy(*partition_cols).orderBy(order_cols[0])
@@ -250,6 +252,8 @@ def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_
     if sum_seed is not None:
         seed = F.col(sum_seed)
         summed = F.when(seed.isNull(), ret).when(ret.isNull(), seed).otherwise(seed + ret)
+    if sum_mask is not None:
+        summed = F.when(F.col(sum_mask), F.lit(None).cast("double")).otherwise(summed)
     peak = F.max("close").over(w_all)
     if peak_seed is not None:
         peak = F.greatest(peak, F.col(peak_seed))
@@ -263,7 +267,8 @@ def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_
 
 def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
                    order_cols: Sequence[str] = ORDER_COLS,
-                   sum_seed: str | None = None, peak_seed: str | None = None) -> DataFrame:
+                   sum_seed: str | None = None, peak_seed: str | None = None,
+                   sum_mask: str | None = None) -> DataFrame:
     """All 50 feature columns appended to the bar columns (57 with the 7 bar fields)."""
     keys, order = tuple(partition_cols), tuple(order_cols)
     return (df
@@ -274,7 +279,7 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
             .transform(ml_features, keys, order)
             .transform(anomaly_features)
             .transform(regime_features, keys, order)
-            .transform(performance_features, keys, order, sum_seed, peak_seed))
+            .transform(performance_features, keys, order, sum_seed, peak_seed, sum_mask))
 
 
 def job_columns(df: DataFrame, volume_threshold: float = 1_000_000.0,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from candela.operators import features as feat
 from candela.operators.quality import clean_rows, failed_rows, quality_counts, quality_flags
 from candela.operators.rollup import monthly_rollup, weekly_rollup
+from candela.operators.segmented import segmented_features
 from candela.plans import oracle as O
 from candela.plans.report import round_doubles
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS, QUALITY_COLUMNS
@@ -106,6 +107,12 @@ def q_ohlcv_features_flag(spark, sf_dir):
     return round_doubles(feat.ohlcv_features(flag_bars(spark, sf_dir)))
 
 
+def q_ohlcv_features_segmented(spark, sf_dir):
+    """The flagship columns through the chunked long-series plan (128-bar chunks,
+    so every supplier series spans several chunks); equal to ``ohlcv_features``."""
+    return round_doubles(segmented_features(supplier_bars(spark, sf_dir), chunk_rows=128))
+
+
 def q_job_columns(spark, sf_dir):
     out = feat.job_columns(feat.ohlcv_features(flag_bars(spark, sf_dir)), with_timestamps=False)
     return round_doubles(out.select("symbol", "date", "price_range", "is_volume_high"))
@@ -241,6 +248,7 @@ def queries() -> dict[str, Query]:
         "job_columns": q_job_columns,
         "ohlcv_features": q_ohlcv_features,
         "ohlcv_features_flag": q_ohlcv_features_flag,
+        "ohlcv_features_segmented": q_ohlcv_features_segmented,
         "weekly_rollup": q_weekly_rollup,
         "monthly_rollup": q_monthly_rollup,
         "quality_flags": q_quality_flags,
@@ -271,6 +279,7 @@ def oracle_sql() -> dict[str, str]:
         "job_columns": O.job_columns_query(),
         "ohlcv_features": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.SUPPLIER_SYMBOL),
         "ohlcv_features_flag": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.FLAG_SYMBOL),
+        "ohlcv_features_segmented": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.SUPPLIER_SYMBOL),
         "weekly_rollup": O.weekly_query(O.SUPPLIER_SYMBOL),
         "monthly_rollup": O.monthly_query(O.SUPPLIER_SYMBOL),
         "quality_flags": O.quality_flags_query(),
