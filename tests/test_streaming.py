@@ -101,3 +101,19 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert {"ohlcv_features", "weekly_rollup", "stream_with_history", "market_open_events"} <= set(qs)
+
+
+def test_cli_runs_file_source(spark, tmp_dir):
+    from candela.sinks.writers import publish_bars
+    from candela.streaming.cli import config_from_args, parse_args
+    publish_bars(bars_df(spark, [("A", "2024-01-02", 1.0, 2.0, 1.0, 1.5, 10.0),
+                                 (None, "2024-01-02", 1.0, 2.0, 1.0, 1.5, 10.0)]),
+                 fmt="text", path=f"{tmp_dir}/src/a")
+    args = parse_args(["--output_path", f"{tmp_dir}/out", "--checkpoint_path", f"{tmp_dir}/ck",
+                       "--source_format", "text", "--source_path", f"{tmp_dir}/src/*",
+                       "--available_now", "--history", "--execution_date", "2024-01-02"])
+    from candela.streaming.pipeline import run_pipeline
+    cfg = config_from_args(args)
+    run_pipeline(spark, cfg, poll_seconds=0.5)
+    assert read_output(spark, cfg.clean_path).count() == 1
+    assert [r.data_quality_flag for r in read_output(spark, cfg.failed_path).collect()] == ["missing_symbol"]
