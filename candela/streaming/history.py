@@ -56,13 +56,14 @@ def read_state(spark: SparkSession, path: str, before_batch: int | None = None)
                .select("symbol", *[F.col("_s").getField(c).alias(c) for c in cols]))
 
 
-def features_with_history(bars: DataFrame, state: DataFrame,
-                          lookback: int = LOOKBACK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Features of a batch continued from ``state``; returns (features, new state).
-
-    ``features`` has the bar and feature columns plus ``_late`` (boolean).
-    Both joins with the state are shuffle joins on the symbol: the state holds
-    up to 118 bars per symbol, so it is not broadcast.
+def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
+    """Features of a batch continued from ``state``, history rows included.
+
+    The result has the bar and feature columns plus ``_late``, ``_hist`` and the
+    two seed columns; ``batch_rows`` keeps the batch's own rows and
+    ``next_state`` derives the new state, so a caller can persist this frame
+    once and feed both.  The joins with the state are shuffle joins on the
+    symbol: the state holds up to 118 bars per symbol, so it is not broadcast.
     """
     st = state.select(F.col("symbol").alias("_s_symbol"), "last_date", "carry_sum", "carry_peak", "tail")
     same_symbol = F.col("symbol").eqNullSafe(F.col("_s_symbol"))
@@ -82,16 +83,22 @@ def features_with_history(bars: DataFrame, state: DataFrame,
                       F.lit(False).alias("_late"), F.lit(True).alias("_hist"),
                       F.when(F.col("_pos") == 0, F.col("carry_sum")).alias("_sum_seed"),
                       F.col("carry_peak").alias("_peak_seed")))
-    out = feat.ohlcv_features(hist.unionByName(batch), partition_cols=("symbol", "_late"),
-                              sum_seed="_sum_seed", peak_seed="_peak_seed")
-    features = out.filter(~F.col("_hist")).drop("_hist", "_sum_seed", "_peak_seed")
+    return feat.ohlcv_features(hist.unionByName(batch), partition_cols=("symbol", "_late"),
+                               sum_seed="_sum_seed", peak_seed="_peak_seed")
+
+
+def batch_rows(with_history: DataFrame) -> DataFrame:
+    """The batch's own rows of ``features_with_history`` (keeps ``_late``)."""
+    return with_history.filter(~F.col("_hist")).drop("_hist", "_sum_seed", "_peak_seed")
+
 
-    # New state from the on-time rows (history + batch) of every touched symbol.
+def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFrame:
+    """New state of every touched symbol, from its on-time rows (history + batch)."""
     newest_first = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in feat.ORDER_COLS])
-    ranked = out.filter(~F.col("_late")).withColumn("_rank", F.row_number().over(newest_first))
+    ranked = with_history.filter(~F.col("_late")).withColumn("_rank", F.row_number().over(newest_first))
     in_tail = F.col("_rank") <= F.lit(lookback)
     bar = F.struct(*[F.col(c) for c in TAIL_FIELDS])
-    new_state = ranked.groupBy("symbol").agg(
+    return ranked.groupBy("symbol").agg(
         F.max("date").alias("last_date"),
         # Running sum just before the new tail: the cumulative return of the row
         # ranked lookback + 1; on a short series the old carry (seed of the first row).
@@ -101,7 +108,6 @@ def features_with_history(bars: DataFrame, state: DataFrame,
         # At most ``lookback`` bars per symbol: collect_list skips the NULLs.
         F.sort_array(F.collect_list(F.when(in_tail, bar))).alias("tail"),
     )
-    return features, new_state
 
 
 def write_state(state: DataFrame, path: str, batch_id: int) -> None:

@@ -9,8 +9,9 @@ non-empty batch:
 2. features -- restarted per batch, or continued from the per-symbol look-back
    state when ``history`` is on (``candela.streaming.history``);
 3. job columns and quality flags (late bars flagged ``late_bar``);
-4. the flagged frame is persisted once; clean and failed rows go to two tables
-   partitioned by symbol, written replay-safe under the batch id; the three
+4. the feature frame is computed once and persisted; clean and failed rows go
+   to two tables partitioned by symbol, written replay-safe under the batch id,
+   and the new look-back state is derived from the same frame; the three
    counts come from one ``observe`` on the first write instead of extra jobs.
 
 A failing batch raises: the query stops without committing the batch, and a
@@ -35,7 +36,13 @@ from candela.operators.quality import LATE_BAR, count_observation, quality_flags
 from candela.schema import BAR_COLUMNS
 from candela.sinks.writers import write_batch
 from candela.sources.files import bar_stream, parse_bars
-from candela.streaming.history import features_with_history, read_state, write_state
+from candela.streaming.history import (
+    batch_rows,
+    features_with_history,
+    next_state,
+    read_state,
+    write_state,
+)
 
 log = logging.getLogger(__name__)
 
@@ -69,38 +76,54 @@ class PipelineConfig:
         return f"{self.output_path.rstrip('/')}/_history_state"
 
 
-def transform_batch(bars: DataFrame, cfg: PipelineConfig,
-                    state: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Bars of one batch -> flagged feature rows (and the new look-back state)."""
+def prepare_bars(bars: DataFrame, cfg: PipelineConfig) -> DataFrame:
     bars = bars.select(*BAR_COLUMNS)
-    if cfg.dedupe:
-        bars = latest_bar(bars)
-    new_state = None
-    if state is not None:
-        feats, new_state = features_with_history(bars, state)
-    else:
-        feats = feat.ohlcv_features(bars).withColumn("_late", F.lit(False))
+    return latest_bar(bars) if cfg.dedupe else bars
+
+
+def flag_rows(feats: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Feature rows with ``_late`` -> job columns and quality flags (late bars fail)."""
     out = quality_flags(feat.job_columns(feats, cfg.volume_threshold, cfg.with_timestamps))
     # Both columns from the same input row (one withColumns), flag first-rule-wins.
     late = F.col("_late") & F.col("data_quality_flag").isNull()
-    out = (out.withColumns({
+    return (out.withColumns({
                 "data_quality_flag": F.when(late, F.lit(LATE_BAR)).otherwise(F.col("data_quality_flag")),
                 "data_quality_status": F.when(late, F.lit("Failed")).otherwise(F.col("data_quality_status")),
             })
-              .drop("_late"))
-    return out, new_state
+               .drop("_late"))
+
+
+def transform_batch(bars: DataFrame, cfg: PipelineConfig,
+                    state: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Bars of one batch -> flagged feature rows (and the new look-back state)."""
+    bars = prepare_bars(bars, cfg)
+    if state is None:
+        return flag_rows(feat.ohlcv_features(bars).withColumn("_late", F.lit(False)), cfg), None
+    full = features_with_history(bars, state)
+    return flag_rows(batch_rows(full), cfg), next_state(full)
 
 
 def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> dict[str, int]:
-    """The ``foreachBatch`` body; returns the batch counts."""
+    """The ``foreachBatch`` body; returns the batch counts.
+
+    The feature frame is computed once and persisted; the clean write, the
+    failed write and the new look-back state are all read from it.
+    """
     if batch_df.isEmpty():
         log.info("batch %s empty, skipped", batch_id)
         return {"total_records": 0, "clean_records": 0, "failed_records": 0}
     spark = batch_df.sparkSession
-    state = read_state(spark, cfg.state_path, before_batch=batch_id) if cfg.history else None
-    flagged, new_state = transform_batch(batch_df, cfg, state)
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    bars = prepare_bars(batch_df, cfg)
+    if cfg.history:
+        state = read_state(spark, cfg.state_path, before_batch=batch_id)
+        full = features_with_history(bars, state).persist(StorageLevel.MEMORY_AND_DISK)
+        feats, new_state = batch_rows(full), next_state(full)
+    else:
+        full = feat.ohlcv_features(bars).withColumn("_late", F.lit(False)) \
+                   .persist(StorageLevel.MEMORY_AND_DISK)
+        feats, new_state = full, None
     try:
+        flagged = flag_rows(feats, cfg)
         observed, obs = count_observation(flagged)
         passed = F.col("data_quality_status") == F.lit("Passed")
         write_batch(observed.filter(passed), cfg.clean_path, batch_id, cfg.sink_format)
@@ -111,7 +134,7 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
         log.info("batch %s: %s", batch_id, counts)
         return counts
     finally:
-        flagged.unpersist()
+        full.unpersist()
 
 
 def start_pipeline(spark: SparkSession, cfg: PipelineConfig):
