@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candela.functions.columns import (
     bool_to_int,
@@ -226,49 +227,77 @@ def regime_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
     })
 
 
+# Exact summand type of the running return: 18 integer and 18 fractional digits,
+# so a seed plus a return still fits DECIMAL(38, 18) without losing scale.
+EXACT_RETURN = T.DecimalType(36, 18)
+
+
+def _nonfinite(c: Column) -> Column:
+    return F.coalesce(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(False))
+
+
 def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
                          order_cols: Sequence[str] = ORDER_COLS,
                          sum_seed: str | None = None, peak_seed: str | None = None,
-                         sum_mask: str | None = None) -> DataFrame:
+                         sum_mask: str | None = None, sum_seed_exact: str | None = None,
+                         keep_exact: bool = False) -> DataFrame:
     """Running additive return, drawdown from the running peak, 30-bar return mean/stddev.
 
     ``cumulative_return`` orders by date alone with the default frame (RANGE up
     to the current row), so bars tied on date share one value; on unique
-    (symbol, date) it is the plain running sum.
-
-    ``sum_seed`` / ``peak_seed`` name columns carrying what came before the
-    first row of ``df`` (used by the streaming look-back): the sum seed, set on
-    the first row of a series only, is added to that row's return before the
-    running sum, so the additions happen in the same order as over the full
-    history; the peak seed raises the running maximum.  Rows where the
-    ``sum_mask`` column is true (look-back copies) add nothing to the sum.
+    (symbol, date) it is the plain running sum.  The sum is exact: returns are
+    added as DECIMAL(36, 18) and the total converted to double once, so it does
+    not depend on the order of the additions -- chunked plans, stream batches
+    and other engines get the same value.  A frame holding a NaN, an infinity or
+    a return beyond 1e18 falls back to the IEEE double sum (NaN propagates).
+
+    ``sum_seed`` / ``sum_seed_exact`` / ``peak_seed`` name columns carrying what
+    came before the first row of a series (stream look-back, chunked plans):
+    the sum seeds, set on the first row only, are added to that row's return;
+    the peak seed raises the running maximum.  Rows where ``sum_mask`` is true
+    (look-back copies) add nothing to the sum.  ``keep_exact`` keeps the exact
+    running sum as ``_cumulative_exact`` (NULL where the double fallback applies).
     """
     w = series_window(partition_cols, order_cols)
     w_by_date = Window.partitionBy(*partition_cols).orderBy(order_cols[0])
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w30 = trailing(partition_cols, 30, order_cols)
     ret = F.col("daily_change_pct")
-    summed = ret
+    ret_x = ret.try_cast(EXACT_RETURN)
+    summed, summed_x = ret, ret_x
+    bad = _nonfinite(ret) | (ret.isNotNull() & ret_x.isNull())
     if sum_seed is not None:
         seed = F.col(sum_seed)
+        seed_x = (F.col(sum_seed_exact) if sum_seed_exact else seed).try_cast(EXACT_RETURN)
         summed = F.when(seed.isNull(), ret).when(ret.isNull(), seed).otherwise(seed + ret)
+        summed_x = F.when(seed_x.isNull(), ret_x).when(ret_x.isNull(), seed_x).otherwise(seed_x + ret_x)
+        bad = bad | _nonfinite(seed) | (seed.isNotNull() & seed_x.isNull())
     if sum_mask is not None:
-        summed = F.when(F.col(sum_mask), F.lit(None).cast("double")).otherwise(summed)
+        mask = F.col(sum_mask)
+        summed = F.when(mask, F.lit(None).cast("double")).otherwise(summed)
+        summed_x = F.when(mask, F.lit(None).cast(EXACT_RETURN)).otherwise(summed_x)
+        bad = ~mask & bad
+    any_bad = F.max(bad.cast("int")).over(w_by_date) > F.lit(0)
+    exact = F.sum(summed_x).over(w_by_date)
     peak = F.max("close").over(w_all)
     if peak_seed is not None:
         peak = F.greatest(peak, F.col(peak_seed))
-    return df.withColumns({
-        "cumulative_return": F.sum(summed).over(w_by_date),
+    cols = {
+        "cumulative_return": F.when(any_bad, F.sum(summed).over(w_by_date)).otherwise(exact.cast("double")),
         "drawdown": safe_div(F.col("close"), peak) - F.lit(1),
         "avg_return_30d": F.avg(ret).over(w30),
         "return_volatility_30d": F.stddev_samp(ret).over(w30),
-    })
+    }
+    if keep_exact:
+        cols["_cumulative_exact"] = F.when(any_bad, F.lit(None)).otherwise(exact)
+    return df.withColumns(cols)
 
 
 def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
                    order_cols: Sequence[str] = ORDER_COLS,
                    sum_seed: str | None = None, peak_seed: str | None = None,
-                   sum_mask: str | None = None) -> DataFrame:
+                   sum_mask: str | None = None, sum_seed_exact: str | None = None,
+                   keep_exact: bool = False) -> DataFrame:
     """All 50 feature columns appended to the bar columns (57 with the 7 bar fields)."""
     keys, order = tuple(partition_cols), tuple(order_cols)
     return (df
@@ -279,7 +308,8 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
             .transform(ml_features, keys, order)
             .transform(anomaly_features)
             .transform(regime_features, keys, order)
-            .transform(performance_features, keys, order, sum_seed, peak_seed, sum_mask))
+            .transform(performance_features, keys, order, sum_seed, peak_seed, sum_mask,
+                       sum_seed_exact, keep_exact))
 
 
 def job_columns(df: DataFrame, volume_threshold: float = 1_000_000.0,

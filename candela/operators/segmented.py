@@ -20,9 +20,9 @@ series cut into chunks of ``chunk_rows`` bars that run in parallel:
    / maxed over the chunk table, then seeded into the chunk's windows.
 
 Shuffles: one to number rows inside (symbol, bucket), one to gather (symbol,
-chunk) -- plus two small aggregations.  Results equal the plain path except
-for floating-point association in ``cumulative_return`` (the prefix is a sum
-of chunk sums).  Assumes unique (symbol, date), as the streaming job ensures:
+chunk) -- plus two small aggregations.  Results equal the plain path (the
+running return is an exact decimal sum, so the chunk-sum prefix changes
+nothing).  Assumes unique (symbol, date), as the streaming job ensures:
 a run of tied dates cut by a chunk boundary shares no RANGE peers across it.
 Rows with a NULL key take the plain path.
 """
@@ -77,11 +77,19 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
     pos = F.col("_ord") - F.col("_chunk") * F.lit(chunk_rows)
 
     # Per-chunk totals -> prefix over earlier chunks (small table: one row per chunk).
-    totals = rows.groupBy(*keys, "_chunk").agg(F.sum("daily_change_pct").alias("_chunk_sum"),
+    # The exact (decimal) sums make the chunked result equal the one-pass result.
+    ret = F.col("daily_change_pct")
+    ret_x = ret.try_cast(feat.EXACT_RETURN)
+    bad = (F.isnan(ret) | (F.abs(ret) == F.lit(float("inf"))) | (ret.isNotNull() & ret_x.isNull()))
+    totals = rows.groupBy(*keys, "_chunk").agg(F.sum(ret).alias("_chunk_sum"),
+                                               F.sum(ret_x).alias("_chunk_sum_exact"),
+                                               F.max(F.coalesce(bad, F.lit(False)).cast("int")).alias("_chunk_bad"),
                                                F.max("close").alias("_chunk_peak"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*keys, "_chunk",
                             F.sum("_chunk_sum").over(earlier).alias("_carry_sum"),
+                            F.when(F.max("_chunk_bad").over(earlier) > 0, F.lit(None))
+                             .otherwise(F.sum("_chunk_sum_exact").over(earlier)).alias("_carry_sum_exact"),
                             F.max("_chunk_peak").over(earlier).alias("_carry_peak"))
 
     # Each row in its own chunk, plus halo copies: tail -> next chunk, head -> previous.
@@ -96,12 +104,13 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
                   .withColumn("_chunk", F.col("_copy.c"))
                   .drop("_copy"))
     seeded = (spread.join(carries, on=[*keys, "_chunk"], how="left")
-                    .withColumn("_sum_seed", F.when(F.col("_own") & (F.col("_ord") == F.col("_chunk")
-                                                                      * F.lit(chunk_rows)),
-                                                    F.col("_carry_sum")))
+                    .withColumn("_first", F.col("_own") & (F.col("_ord") == F.col("_chunk") * F.lit(chunk_rows)))
+                    .withColumn("_sum_seed", F.when(F.col("_first"), F.col("_carry_sum")))
+                    .withColumn("_sum_seed_exact", F.when(F.col("_first"), F.col("_carry_sum_exact")))
                     .withColumn("_sum_mask", ~F.col("_own")))
     out = (feat.ohlcv_features(seeded, partition_cols=(*keys, "_chunk"),
-                               sum_seed="_sum_seed", peak_seed="_carry_peak", sum_mask="_sum_mask")
+                               sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
+                               peak_seed="_carry_peak", sum_mask="_sum_mask")
                .filter(F.col("_own")))
     feature_cols = columns + [c for c in FEATURE_COLUMNS if c not in columns]
     return out.select(*feature_cols).unionByName(loose.select(*feature_cols))

@@ -8,6 +8,8 @@ definitions.  Engine differences it bridges:
   variance, as in Spark).  Spark ``kurtosis`` = DuckDB ``kurtosis_pop``.
 * ``percentile_approx`` over at most 30 values is exact = ``quantile_disc``.
 * ``try_divide(a, b)`` = ``a / nullif(b, 0)``.
+* ``cumulative_return`` is an exact DECIMAL(36, 18) running sum, converted to
+  double once (IEEE double sum if a frame holds a non-finite return).
 * Spark sorts NULL first in ascending order.
 """
 
@@ -116,7 +118,14 @@ def feature_ctes(src: str, out: str = "feat", keys: str = "symbol") -> str:
     lag(close, 2) {w} AS close_lag_2,
     lag(close, 3) {w} AS close_lag_3,
     lead(close, 1) {w} AS o_next_close,
-    sum(daily_change_pct) OVER (PARTITION BY {keys} ORDER BY date NULLS FIRST) AS cumulative_return,
+    CASE WHEN max(CASE WHEN isnan(daily_change_pct) OR isinf(daily_change_pct)
+                            OR (daily_change_pct IS NOT NULL
+                                AND TRY_CAST(daily_change_pct AS DECIMAL(36, 18)) IS NULL)
+                       THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY date NULLS FIRST) > 0
+         THEN sum(daily_change_pct) OVER (PARTITION BY {keys} ORDER BY date NULLS FIRST)
+         ELSE CAST(sum(TRY_CAST(daily_change_pct AS DECIMAL(36, 18)))
+                   OVER (PARTITION BY {keys} ORDER BY date NULLS FIRST) AS DOUBLE)
+    END AS cumulative_return,
     max(close) {wall} AS o_peak,
     avg(daily_change_pct) {w30} AS avg_return_30d,
     stddev_samp(daily_change_pct) {w30} AS return_volatility_30d
@@ -260,7 +269,7 @@ checked AS (
 PIPELINE_COLUMNS = BAR_COLUMNS + FEATURE_COLUMNS + ["price_range", "is_volume_high"] + QUALITY_COLUMNS
 
 
-def pipeline_ctes(src: str) -> str:
+def pipeline_ctes(src: str, keys: str = "symbol") -> str:
     """Features -> job columns (no wall clock) -> quality flags, over ``src``."""
     body = f"""
 piped AS (
@@ -274,7 +283,7 @@ checked AS (
   SELECT *, CASE WHEN data_quality_flag IS NULL THEN 'Passed' ELSE 'Failed' END AS data_quality_status
   FROM piped
 )"""
-    return ",".join(c.strip("\n") for c in (feature_ctes(src), body))
+    return ",".join(c.strip("\n") for c in (feature_ctes(src, keys=keys), body))
 
 
 def pipeline_query(where: str | None, dirty: bool = True, symbol_sql: str = FLAG_SYMBOL) -> str:
@@ -393,3 +402,42 @@ labelled AS (
 )"""
     return (f"{with_(bars_ctes(FLAG_SYMBOL), pipeline_ctes('bars'), labels)}\n"
             f"SELECT\n  {project(PIPELINE_COLUMNS)}\nFROM labelled")
+
+
+def event_hour_bars_ctes(name: str = "bars") -> str:
+    """Hourly bars per event type from ``events``: value as the price, one unit per event."""
+    return f"""
+{name}_trades AS (
+  SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d %H:00') AS date,
+         value AS p, 1.0 AS q, ts AS k0, event_id AS k1
+  FROM events
+),
+{name} AS (
+  SELECT symbol, date,
+         first(p ORDER BY k0, k1, p) AS open,
+         max(p) AS high,
+         min(p) AS low,
+         first(p ORDER BY k0 DESC, k1 DESC, p DESC) AS close,
+         sum(q) AS volume
+  FROM {name}_trades
+  GROUP BY symbol, date
+)"""
+
+
+def event_hour_bars_query() -> str:
+    return f"{with_(event_hour_bars_ctes())}\nSELECT\n  {project(BAR_COLUMNS)}\nFROM bars"
+
+
+def event_hour_features_query() -> str:
+    return (f"{with_(event_hour_bars_ctes(), feature_ctes('bars'))}\n"
+            f"SELECT\n  {project(BAR_COLUMNS + FEATURE_COLUMNS)}\nFROM feat")
+
+
+def quarantined_pipeline_query(where: str) -> str:
+    """Quality first: bars that fail a rule form their own window series."""
+    aside = f"""
+flagged_in AS (
+  SELECT *, ({QUALITY_FLAG_SQL}) IS NOT NULL AS o_failed FROM dirty
+)"""
+    return (f"{with_(bars_ctes(FLAG_SYMBOL), dirty_ctes(), aside, pipeline_ctes('flagged_in', 'symbol, o_failed'))}\n"
+            f"SELECT\n  {project(PIPELINE_COLUMNS)}\nFROM checked\nWHERE {where}")

@@ -31,7 +31,7 @@ from candela.session import scratch_path
 from candela.sinks.writers import publish_bars, write_landing_csv, write_table
 from candela.streaming.incremental import replay_in_periods, year_of
 from candela.streaming.pipeline import read_output
-from candela.sources.bars import bars_by_flag, bars_by_supplier, dirty_bars
+from candela.sources.bars import bars_by_event_hour, bars_by_flag, bars_by_supplier, dirty_bars
 from candela.sources.files import STOCK_SERIES_KEY, flatten_payload, read_bar_messages, read_landing_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,20 @@ def q_ohlcv_features_segmented(spark, sf_dir):
     return round_doubles(segmented_features(supplier_bars(spark, sf_dir), chunk_rows=128))
 
 
+def event_hour_bars(spark, sf_dir):
+    return bars_by_event_hour(read_table(spark, sf_dir, "events"))
+
+
+def q_bars_by_event_hour(spark, sf_dir):
+    """Fixture B3: hourly bars per event type (intraday date keys)."""
+    return round_doubles(event_hour_bars(spark, sf_dir))
+
+
+def q_ohlcv_features_event_hour(spark, sf_dir):
+    """All 57 columns over the hourly event bars."""
+    return round_doubles(feat.ohlcv_features(event_hour_bars(spark, sf_dir)))
+
+
 def q_job_columns(spark, sf_dir):
     out = feat.job_columns(feat.ohlcv_features(flag_bars(spark, sf_dir)), with_timestamps=False)
     return round_doubles(out.select("symbol", "date", "price_range", "is_volume_high"))
@@ -148,6 +162,23 @@ def q_failed_bars(spark, sf_dir):
     return round_doubles(failed_rows(pipeline(dirty_flag_bars(spark, sf_dir))))
 
 
+def quarantined(spark, sf_dir) -> DataFrame:
+    """The batch job with quality checks before the windows (failed bars set aside)."""
+    from candela.streaming.pipeline import PipelineConfig, transform_batch
+    cfg = PipelineConfig(output_path="", checkpoint_path="", dedupe=False,
+                         with_timestamps=False, quarantine="before")
+    flagged, _ = transform_batch(dirty_flag_bars(spark, sf_dir), cfg)
+    return flagged.select(*O.PIPELINE_COLUMNS)
+
+
+def q_clean_bars_quarantined(spark, sf_dir):
+    return round_doubles(clean_rows(quarantined(spark, sf_dir)))
+
+
+def q_failed_bars_quarantined(spark, sf_dir):
+    return round_doubles(failed_rows(quarantined(spark, sf_dir)))
+
+
 def q_quality_counts(spark, sf_dir):
     return quality_counts(quality_flags(dirty_flag_bars(spark, sf_dir)))
 
@@ -249,12 +280,16 @@ def queries() -> dict[str, Query]:
         "ohlcv_features": q_ohlcv_features,
         "ohlcv_features_flag": q_ohlcv_features_flag,
         "ohlcv_features_segmented": q_ohlcv_features_segmented,
+        "bars_by_event_hour": q_bars_by_event_hour,
+        "ohlcv_features_event_hour": q_ohlcv_features_event_hour,
         "weekly_rollup": q_weekly_rollup,
         "monthly_rollup": q_monthly_rollup,
         "quality_flags": q_quality_flags,
         "clean_bars": q_clean_bars,
         "failed_bars": q_failed_bars,
         "quality_counts": q_quality_counts,
+        "clean_bars_quarantined": q_clean_bars_quarantined,
+        "failed_bars_quarantined": q_failed_bars_quarantined,
         "json_roundtrip": q_json_roundtrip,
         "payload_flatten": q_payload_flatten,
         "csv_landing": q_csv_landing,
@@ -280,12 +315,16 @@ def oracle_sql() -> dict[str, str]:
         "ohlcv_features": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.SUPPLIER_SYMBOL),
         "ohlcv_features_flag": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.FLAG_SYMBOL),
         "ohlcv_features_segmented": O.features_query(BAR_COLUMNS + FEATURE_COLUMNS, O.SUPPLIER_SYMBOL),
+        "bars_by_event_hour": O.event_hour_bars_query(),
+        "ohlcv_features_event_hour": O.event_hour_features_query(),
         "weekly_rollup": O.weekly_query(O.SUPPLIER_SYMBOL),
         "monthly_rollup": O.monthly_query(O.SUPPLIER_SYMBOL),
         "quality_flags": O.quality_flags_query(),
         "clean_bars": O.pipeline_query("data_quality_status = 'Passed'"),
         "failed_bars": O.pipeline_query("data_quality_status = 'Failed'"),
         "quality_counts": O.quality_counts_query(),
+        "clean_bars_quarantined": O.quarantined_pipeline_query("data_quality_status = 'Passed'"),
+        "failed_bars_quarantined": O.quarantined_pipeline_query("data_quality_status = 'Failed'"),
         "json_roundtrip": O.bars_query(O.SUPPLIER_SYMBOL),
         "payload_flatten": O.bars_query(O.SUPPLIER_SYMBOL),
         "csv_landing": O.bars_query(O.SUPPLIER_SYMBOL),

@@ -5,7 +5,8 @@ in front of the new ones.  Per symbol the state keeps
 
 * ``tail``: the last ``LOOKBACK_ROWS`` (118) bars -- the longest finite
   dependency of the composite, the 100-row mean of a 20-row stddev;
-* ``carry_sum``: the running sum of ``daily_change_pct`` just before the tail;
+* ``carry_sum`` / ``carry_sum_exact``: the running sum of ``daily_change_pct``
+  just before the tail, as a double and as the exact decimal sum;
 * ``carry_peak``: the highest close before the tail;
 * ``last_date``: the newest stored date.
 
@@ -34,6 +35,7 @@ TAIL_FIELDS = ["date", "open", "high", "low", "close", "volume"]
 
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "symbol string, last_date string, carry_sum double, "
+                                     "carry_sum_exact decimal(38,18), "
                                      "carry_peak double, tail array<struct<date:string,open:double,"
                                      "high:double,low:double,close:double,volume:double>>")
 
@@ -50,7 +52,7 @@ def read_state(spark: SparkSession, path: str, before_batch: int | None = None)
         return empty_state(spark)
     if before_batch is not None:
         raw = raw.filter(F.col("batch_id") < F.lit(int(before_batch)))
-    cols = ["last_date", "carry_sum", "carry_peak", "tail"]
+    cols = ["last_date", "carry_sum", "carry_sum_exact", "carry_peak", "tail"]
     latest = F.max_by(F.struct(*cols), F.col("batch_id"))
     return (raw.groupBy("symbol").agg(latest.alias("_s"))
                .select("symbol", *[F.col("_s").getField(c).alias(c) for c in cols]))
@@ -65,31 +67,40 @@ def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
     once and feed both.  The joins with the state are shuffle joins on the
     symbol: the state holds up to 118 bars per symbol, so it is not broadcast.
     """
-    st = state.select(F.col("symbol").alias("_s_symbol"), "last_date", "carry_sum", "carry_peak", "tail")
+    st = state.select(F.col("symbol").alias("_s_symbol"), "last_date", "carry_sum", "carry_sum_exact",
+                      "carry_peak", "tail")
     same_symbol = F.col("symbol").eqNullSafe(F.col("_s_symbol"))
+    late = F.coalesce(F.col("date") <= F.col("last_date"), F.lit(False))
+    if "_aside" in bars.columns:
+        late = late | F.col("_aside")
     batch = (bars.join(st.select("_s_symbol", "last_date", "carry_peak"), same_symbol, "left")
                  .select(*BAR_COLUMNS,
-                         # Late: not newer than what is stored for the symbol.
-                         F.coalesce(F.col("date") <= F.col("last_date"), F.lit(False)).alias("_late"),
+                         # Late (not newer than what is stored for the symbol) or set
+                         # aside by the caller: kept out of the series' windows and state.
+                         late.alias("_late"),
                          F.lit(False).alias("_hist"),
                          F.lit(None).cast("double").alias("_sum_seed"),
+                         F.lit(None).cast("decimal(38,18)").alias("_sum_seed_exact"),
                          F.col("carry_peak").alias("_peak_seed")))
     touched = bars.select(F.col("symbol").alias("_t_symbol")).distinct()
     # History rows of the symbols this batch touches; the sum carry rides on the first one.
     hist = (st.join(touched, F.col("_s_symbol").eqNullSafe(F.col("_t_symbol")), "left_semi")
-              .select(F.col("_s_symbol").alias("symbol"), "carry_sum", "carry_peak",
+              .select(F.col("_s_symbol").alias("symbol"), "carry_sum", "carry_sum_exact", "carry_peak",
                       F.posexplode("tail").alias("_pos", "_bar"))
               .select("symbol", *[F.col("_bar").getField(c).alias(c) for c in TAIL_FIELDS],
                       F.lit(False).alias("_late"), F.lit(True).alias("_hist"),
                       F.when(F.col("_pos") == 0, F.col("carry_sum")).alias("_sum_seed"),
+                      F.when(F.col("_pos") == 0, F.col("carry_sum_exact")).alias("_sum_seed_exact"),
                       F.col("carry_peak").alias("_peak_seed")))
     return feat.ohlcv_features(hist.unionByName(batch), partition_cols=("symbol", "_late"),
-                               sum_seed="_sum_seed", peak_seed="_peak_seed")
+                               sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
+                               peak_seed="_peak_seed", keep_exact=True)
 
 
 def batch_rows(with_history: DataFrame) -> DataFrame:
     """The batch's own rows of ``features_with_history`` (keeps ``_late``)."""
-    return with_history.filter(~F.col("_hist")).drop("_hist", "_sum_seed", "_peak_seed")
+    return with_history.filter(~F.col("_hist")).drop("_hist", "_sum_seed", "_sum_seed_exact",
+                                                     "_peak_seed", "_cumulative_exact")
 
 
 def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFrame:
@@ -98,12 +109,15 @@ def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFr
     ranked = with_history.filter(~F.col("_late")).withColumn("_rank", F.row_number().over(newest_first))
     in_tail = F.col("_rank") <= F.lit(lookback)
     bar = F.struct(*[F.col(c) for c in TAIL_FIELDS])
+    # Running sum just before the new tail: that of the row ranked lookback + 1;
+    # on a short series the old carry (the seed of the first row).
+    has_prev = F.max("_rank") > F.lit(lookback)
+    before_tail = lambda c: F.max(F.when(F.col("_rank") == lookback + 1, F.col(c)))
     return ranked.groupBy("symbol").agg(
         F.max("date").alias("last_date"),
-        # Running sum just before the new tail: the cumulative return of the row
-        # ranked lookback + 1; on a short series the old carry (seed of the first row).
-        F.coalesce(F.max(F.when(F.col("_rank") == lookback + 1, F.col("cumulative_return"))),
-                   F.max("_sum_seed")).alias("carry_sum"),
+        F.when(has_prev, before_tail("cumulative_return")).otherwise(F.max("_sum_seed")).alias("carry_sum"),
+        F.when(has_prev, before_tail("_cumulative_exact"))
+         .otherwise(F.max("_sum_seed_exact")).cast("decimal(38,18)").alias("carry_sum_exact"),
         F.greatest(F.max(F.when(~in_tail, F.col("close"))), F.max("_peak_seed")).alias("carry_peak"),
         # At most ``lookback`` bars per symbol: collect_list skips the NULLs.
         F.sort_array(F.collect_list(F.when(in_tail, bar))).alias("tail"),

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.operators.dedupe import latest_bar
-from candela.operators.quality import LATE_BAR, count_observation, quality_flags
+from candela.operators.quality import LATE_BAR, count_observation, quality_flag, quality_flags
 from candela.schema import BAR_COLUMNS
 from candela.sinks.writers import write_batch
 from candela.sources.files import bar_stream, parse_bars
@@ -62,6 +62,10 @@ class PipelineConfig:
     dedupe: bool = True
     volume_threshold: float = 1_000_000.0
     with_timestamps: bool = True
+    # "after": quality flags after the windows (failed bars stay in their
+    # neighbours' frames, as the original job does); "before": failed bars are
+    # set aside into their own partition, so clean bars only see clean bars.
+    quarantine: str = "after"
 
     @property
     def clean_path(self) -> str:
@@ -77,8 +81,19 @@ class PipelineConfig:
 
 
 def prepare_bars(bars: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Bar columns (deduped) plus ``_aside``: rows kept out of the main series' windows."""
     bars = bars.select(*BAR_COLUMNS)
-    return latest_bar(bars) if cfg.dedupe else bars
+    bars = latest_bar(bars) if cfg.dedupe else bars
+    if cfg.quarantine not in ("after", "before"):
+        raise ValueError(f"quarantine must be 'after' or 'before', got {cfg.quarantine!r}")
+    aside = quality_flag().isNotNull() if cfg.quarantine == "before" else F.lit(False)
+    return bars.withColumn("_aside", aside)
+
+
+def plain_features(bars: DataFrame) -> DataFrame:
+    """Features of prepared bars without history; set-aside rows form their own series."""
+    return feat.ohlcv_features(bars, partition_cols=("symbol", "_aside")) \
+               .withColumnRenamed("_aside", "_late")
 
 
 def flag_rows(feats: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -98,7 +113,7 @@ def transform_batch(bars: DataFrame, cfg: PipelineConfig,
     """Bars of one batch -> flagged feature rows (and the new look-back state)."""
     bars = prepare_bars(bars, cfg)
     if state is None:
-        return flag_rows(feat.ohlcv_features(bars).withColumn("_late", F.lit(False)), cfg), None
+        return flag_rows(plain_features(bars), cfg), None
     full = features_with_history(bars, state)
     return flag_rows(batch_rows(full), cfg), next_state(full)
 
@@ -119,8 +134,7 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
         full = features_with_history(bars, state).persist(StorageLevel.MEMORY_AND_DISK)
         feats, new_state = batch_rows(full), next_state(full)
     else:
-        full = feat.ohlcv_features(bars).withColumn("_late", F.lit(False)) \
-                   .persist(StorageLevel.MEMORY_AND_DISK)
+        full = plain_features(bars).persist(StorageLevel.MEMORY_AND_DISK)
         feats, new_state = full, None
     try:
         flagged = flag_rows(feats, cfg)

@@ -117,3 +117,18 @@ def test_cli_runs_file_source(spark, tmp_dir):
     run_pipeline(spark, cfg, poll_seconds=0.5)
     assert read_output(spark, cfg.clean_path).count() == 1
     assert [r.data_quality_flag for r in read_output(spark, cfg.failed_path).collect()] == ["missing_symbol"]
+
+
+def test_quarantine_before_keeps_failed_bars_out_of_windows(spark):
+    from candela.streaming.pipeline import PipelineConfig, transform_batch
+    rows = [("A", "2024-01-01", 1.0, 2.0, 1.0, 1.0, 10.0),
+            ("A", "2024-01-02", 1.0, 2.0, 1.0, None, 10.0),      # missing close: fails
+            ("A", "2024-01-03", 1.0, 2.0, 1.0, 3.0, 10.0)]
+    after, _ = transform_batch(bars_df(spark, rows), PipelineConfig("", "", with_timestamps=False))
+    before, _ = transform_batch(bars_df(spark, rows),
+                                PipelineConfig("", "", with_timestamps=False, quarantine="before"))
+    a = {r.date: r for r in after.collect()}
+    b = {r.date: r for r in before.collect()}
+    assert a["2024-01-03"].close_lag_1 is None        # the failed bar is its neighbour
+    assert b["2024-01-03"].close_lag_1 == 1.0         # set aside: the clean bar before it
+    assert b["2024-01-02"].data_quality_flag == "missing_price_data"
