@@ -55,7 +55,10 @@ def series_ordinals(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
     numbered = bucketed.withColumn("_rn", F.row_number().over(in_bucket))
-    return (numbered.join(offsets, on=[*keys, "_bucket"], how="inner")
+    # One row per (symbol, bucket): grows with the data, so never broadcast.  The
+    # numbered side is already hash-partitioned on these keys by its window, so a
+    # shuffled hash join moves only the offsets.
+    return (numbered.join(offsets.hint("shuffle_hash"), on=[*keys, "_bucket"], how="inner")
                     .withColumn("_ord", F.col("_offset") + F.col("_rn") - F.lit(1))
                     .drop("_bucket", "_rn", "_offset"))
 
@@ -103,7 +106,9 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
                   .withColumn("_own", F.col("_copy.own"))
                   .withColumn("_chunk", F.col("_copy.c"))
                   .drop("_copy"))
-    seeded = (spread.join(carries, on=[*keys, "_chunk"], how="left")
+    # Carries: one row per chunk, joined by shuffle (never broadcast); the
+    # exchange on (symbol, chunk) is the one the chunk windows need anyway.
+    seeded = (spread.join(carries.hint("shuffle_hash"), on=[*keys, "_chunk"], how="left")
                     .withColumn("_first", F.col("_own") & (F.col("_ord") == F.col("_chunk") * F.lit(chunk_rows)))
                     .withColumn("_sum_seed", F.when(F.col("_first"), F.col("_carry_sum")))
                     .withColumn("_sum_seed_exact", F.when(F.col("_first"), F.col("_carry_sum_exact")))
