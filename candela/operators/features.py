@@ -116,52 +116,67 @@ def advanced_features(df: DataFrame) -> DataFrame:
     })
 
 
-def _frame_moments(df: DataFrame, prefix: str) -> tuple[DataFrame, Column, Column]:
-    """Population skewness and excess kurtosis of the collected frame ``<prefix>_vals``.
-
-    Spark's ``skewness`` / ``kurtosis`` window aggregates re-run their 4th-order
-    update for every row of every frame and dominate a feature pass.  Here the
-    frame's values are collected once (``collect_list``, NULLs skipped) and the
-    central moments are taken in two passes over that bounded array: same
-    definitions, same NULLs (empty or constant frame), values equal to the
-    built-ins to ~1e-13.  Returns the frame with helper columns (all named
-    ``<prefix>_*``) plus the two columns.
+# Bars in the frame of the 30-bar moments and quartiles.
+MOMENT_BARS = 30
+
+
+def _frame_values(value: str, n: int, partition_cols: Sequence[str],
+                  order_cols: Sequence[str], prefix: str) -> dict[str, Column]:
+    """The ``n``-row trailing frame of ``value`` as columns ``<prefix>_l0`` (the
+    current row) .. ``<prefix>_l{n-1}`` (the oldest), all ``lag``s of the one
+    series window, so they share its sort and cost O(1) per row each.  A NULL
+    stands for a row before the series start or a NULL value; either way it is
+    not part of the frame's values, as in ``collect_list``.
     """
-    arr, dev, mean = f"{prefix}_vals", f"{prefix}_dev", f"{prefix}_mean"
-    n = F.size(F.col(arr)).cast("double")
-    total = F.aggregate(F.col(arr), F.lit(0.0), lambda acc, x: acc + x)
-    out = (df.withColumn(mean, F.try_divide(total, n))
-             .withColumn(dev, F.transform(F.col(arr), lambda x: x - F.col(mean))))
-    sums = {f"{prefix}_{k}": F.aggregate(F.col(dev), F.lit(0.0), f) for k, f in (
-        ("m2", lambda acc, d: acc + d * d),
-        ("m3", lambda acc, d: acc + d * d * d),
-        ("m4", lambda acc, d: acc + (d * d) * (d * d)))}
-    out = out.withColumns(sums)
-    m = {k: F.col(f"{prefix}_{k}") for k in ("m2", "m3", "m4")}
-    flat = (F.size(F.col(arr)) == 0) | (F.array_min(F.col(arr)) == F.array_max(F.col(arr)))
-    skew = F.when(flat, F.lit(None)).otherwise(
-        F.try_divide(F.sqrt(n) * m["m3"], F.sqrt(m["m2"] * m["m2"] * m["m2"])))
-    kurt = F.when(flat, F.lit(None)).otherwise(
-        F.try_divide(n * m["m4"], m["m2"] * m["m2"]) - F.lit(3.0))
-    return out, skew, kurt
-
-
-def _rolling_moments(df: DataFrame, value: str, window: WindowSpec, prefix: str) -> tuple[DataFrame, Column, Column]:
-    """``_frame_moments`` over ``collect_list(value)`` of ``window``."""
-    return _frame_moments(df.withColumn(f"{prefix}_vals", F.collect_list(value).over(window)), prefix)
-
-
-def _frame_quantile(values: str, q: float) -> Column:
-    """``percentile_approx(x, q)`` of a frame of at most 10,000 values, from the
-    frame's collected values: below that size the approximation is exact and
-    returns the element of 1-based rank ceil(q * n) in sorted order.  Sharing
-    the collected frame with the moments replaces two quantile-summary window
-    aggregates (one summary built per row) by a sort of <= 30 values.
+    w = series_window(partition_cols, order_cols)
+    return {f"{prefix}_l{k}": (F.col(value) if k == 0 else F.lag(value, k).over(w))
+            for k in range(n)}
+
+
+def _frame_stats(df: DataFrame, n: int, prefix: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Population skewness, excess kurtosis and the 0.25 / 0.75 quantiles of the
+    frame held in ``<prefix>_l*`` columns (see ``_frame_values``).
+
+    Same definitions and NULLs as Spark's ``skewness`` / ``kurtosis`` (NULL on
+    an empty or constant frame) and as ``percentile_approx`` on at most 10,000
+    values, where it is exact and returns the element of 1-based rank
+    ceil(q * count) in sorted order.  The central moments take two passes: the
+    mean, then the sums of powers of the deviations, oldest value first.  All of
+    it is plain arithmetic on fixed columns plus one ``sort_array``, so it stays
+    in generated code; the deviations are a projection of their own so each
+    generated method stays small.  Returns the frame with helper columns (all
+    ``<prefix>_*``) and the four result columns.
     """
-    arr = F.col(values)
-    n = F.size(arr)
-    rank = F.greatest(F.ceil(F.lit(q) * n), F.lit(1)).cast("int")
-    return F.when(n > 0, F.element_at(F.array_sort(arr), rank))
+    vals = [F.col(f"{prefix}_l{k}") for k in range(n)]
+    oldest_first = vals[::-1]
+    zero = F.lit(0.0)
+    count, mean = F.col(f"{prefix}_n"), F.col(f"{prefix}_mean")
+    out = df.withColumn(f"{prefix}_n", sum((v.isNotNull().cast("int") for v in oldest_first),
+                                           F.lit(0)).cast("double"))
+    total = zero
+    for v in oldest_first:
+        total = total + F.coalesce(v, zero)
+    out = out.withColumn(f"{prefix}_mean", F.try_divide(total, count))
+    out = out.withColumns({f"{prefix}_d{k}": F.coalesce(vals[k] - mean, zero) for k in range(n)})
+    devs = [F.col(f"{prefix}_d{k}") for k in range(n)][::-1]
+    m2 = m3 = m4 = zero
+    for d in devs:
+        m2, m3, m4 = m2 + d * d, m3 + d * d * d, m4 + (d * d) * (d * d)
+    flat = (count == 0) | (F.least(*vals) == F.greatest(*vals))
+    skew = F.when(flat, F.lit(None)).otherwise(F.try_divide(F.sqrt(count) * m3, F.sqrt(m2 * m2 * m2)))
+    kurt = F.when(flat, F.lit(None)).otherwise(F.try_divide(count * m4, m2 * m2) - F.lit(3.0))
+    ordered = F.sort_array(F.array(*vals))  # NULLs first, then ascending
+
+    def quantile(q: float) -> Column:
+        rank = F.greatest(F.ceil(F.lit(q) * count), F.lit(1)).cast("int")
+        return F.when(count > 0, F.element_at(ordered, F.lit(n) - count.cast("int") + rank))
+
+    return out, {"skewness": skew, "kurtosis": kurt, "q1": quantile(0.25), "q3": quantile(0.75)}
+
+
+def _frame_columns(prefix: str, n: int) -> list[str]:
+    return ([f"{prefix}_l{k}" for k in range(n)] + [f"{prefix}_d{k}" for k in range(n)]
+            + [f"{prefix}_n", f"{prefix}_mean"])
 
 
 def statistics_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
@@ -171,21 +186,21 @@ def statistics_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_K
     Skewness and kurtosis are the population moments (kurtosis in excess form),
     NULL on an empty or zero-variance frame.  The quartiles are those of
     ``percentile_approx``, which on at most 30 values is exact and returns one of
-    the values.  All four come from one collected 30-bar frame.
+    the values.  All four come from the same 30 lag columns.
     """
-    w30 = trailing(partition_cols, 30, order_cols)
     w20 = trailing(partition_cols, 20, order_cols)
     close = F.col("close")
-    with_moments, skew, kurt = _rolling_moments(df, "close", w30, "_c30")
-    return (with_moments.withColumns({
-        "price_skewness_30d": skew,
-        "price_kurtosis_30d": kurt,
-        "price_q1_30d": _frame_quantile("_c30_vals", 0.25),
-        "price_q3_30d": _frame_quantile("_c30_vals", 0.75),
+    framed = df.withColumns(_frame_values("close", MOMENT_BARS, partition_cols, order_cols, "_c30"))
+    with_stats, st = _frame_stats(framed, MOMENT_BARS, "_c30")
+    return (with_stats.withColumns({
+        "price_skewness_30d": st["skewness"],
+        "price_kurtosis_30d": st["kurtosis"],
+        "price_q1_30d": st["q1"],
+        "price_q3_30d": st["q3"],
         "price_zscore": safe_div(close - F.col("sma_20"), F.col("price_stddev_20")),
         "volume_zscore": safe_div(F.col("volume") - F.col("avg_volume_20"),
                                   F.stddev_samp("volume").over(w20)),
-    }).drop(*[f"_c30_{k}" for k in ("vals", "mean", "dev", "m2", "m3", "m4")]))
+    }).drop(*_frame_columns("_c30", MOMENT_BARS)))
 
 
 def ml_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
@@ -347,7 +362,7 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
         "_f_lag3": F.lag("close", 3).over(w),
         "_f_lag7": F.lag("close", 7).over(w),
         "_f_lead1": F.lead("close", 1).over(w),
-        "_c30_vals": F.collect_list(close).over(w30),
+        **_frame_values("close", MOMENT_BARS, keys, order, "_c30"),
         "avg_return_30d": F.avg(ret).over(w30),
         "return_volatility_30d": F.stddev_samp(ret).over(w30),
         "_f_peak": _running_peak(keys, order, peak_seed),
@@ -382,17 +397,17 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
         "is_high_volume": bool_to_int(volume > F.col("avg_volume_20")),
         "next_day_return": safe_div(F.col("_f_lead1") - close, close),
         "drawdown": safe_div(close, F.col("_f_peak")) - F.lit(1),
-        "price_q1_30d": _frame_quantile("_c30_vals", 0.25),
-        "price_q3_30d": _frame_quantile("_c30_vals", 0.75),
     })
     derived = derived.withColumn(
         "volume_category", bucket_above("volume_ratio", VOLUME_CATEGORIES, VOLUME_CATEGORY_DEFAULT))
-    moments, skew, kurt = _frame_moments(derived, "_c30")
+    moments, st = _frame_stats(derived, MOMENT_BARS, "_c30")
     sd = F.col("price_stddev_20")
     both = lambda v: (F.col("short_trend") == v) & (F.col("medium_trend") == v)
     out = moments.withColumns({
-        "price_skewness_30d": skew,
-        "price_kurtosis_30d": kurt,
+        "price_skewness_30d": st["skewness"],
+        "price_kurtosis_30d": st["kurtosis"],
+        "price_q1_30d": st["q1"],
+        "price_q3_30d": st["q3"],
         "price_anomaly_flag": flag_if_abs_above("price_zscore", ZSCORE_LIMIT, "Price_Anomaly"),
         "volume_anomaly_flag": flag_if_abs_above("volume_zscore", ZSCORE_LIMIT, "Volume_Anomaly"),
         "combined_anomaly_score": F.abs("price_zscore") + F.abs("volume_zscore"),

@@ -23,6 +23,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     * AQE on, so shuffle partition counts and skewed joins are re-planned at run time.
     * Session time zone UTC: market-hour logic converts explicitly.
     * UI off: no server is opened by library jobs.
+    * Generated methods above 8,000 bytes of bytecode fall back from whole-stage
+      codegen (Spark's documented setting for HotSpot, whose JIT skips larger
+      methods).  The feature composite projects ~60 columns after its windows;
+      one fused method for them would run interpreted.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -35,6 +39,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
