@@ -144,32 +144,40 @@ def _frame_stats(df: DataFrame, n: int, prefix: str) -> tuple[DataFrame, dict[st
     mean, then the sums of powers of the deviations, oldest value first.  All of
     it is plain arithmetic on fixed columns plus one ``sort_array``, so it stays
     in generated code; the deviations are a projection of their own so each
-    generated method stays small.  Returns the frame with helper columns (all
+    generated method stays small.  The expressions have ~100 terms each, so they
+    are written as SQL text (one parse in the JVM per column instead of a remote
+    call per operator).  Returns the frame with helper columns (all
     ``<prefix>_*``) and the four result columns.
     """
-    vals = [F.col(f"{prefix}_l{k}") for k in range(n)]
-    oldest_first = vals[::-1]
-    zero = F.lit(0.0)
-    count, mean = F.col(f"{prefix}_n"), F.col(f"{prefix}_mean")
-    out = df.withColumn(f"{prefix}_n", sum((v.isNotNull().cast("int") for v in oldest_first),
-                                           F.lit(0)).cast("double"))
-    total = zero
-    for v in oldest_first:
-        total = total + F.coalesce(v, zero)
-    out = out.withColumn(f"{prefix}_mean", F.try_divide(total, count))
-    out = out.withColumns({f"{prefix}_d{k}": F.coalesce(vals[k] - mean, zero) for k in range(n)})
-    devs = [F.col(f"{prefix}_d{k}") for k in range(n)][::-1]
-    m2 = m3 = m4 = zero
-    for d in devs:
-        m2, m3, m4 = m2 + d * d, m3 + d * d * d, m4 + (d * d) * (d * d)
-    flat = (count == 0) | (F.least(*vals) == F.greatest(*vals))
-    skew = F.when(flat, F.lit(None)).otherwise(F.try_divide(F.sqrt(count) * m3, F.sqrt(m2 * m2 * m2)))
-    kurt = F.when(flat, F.lit(None)).otherwise(F.try_divide(count * m4, m2 * m2) - F.lit(3.0))
-    ordered = F.sort_array(F.array(*vals))  # NULLs first, then ascending
+    vals = [f"`{prefix}_l{k}`" for k in range(n)]
+    devs = [f"`{prefix}_d{k}`" for k in range(n)]
+    count, mean = f"`{prefix}_n`", f"`{prefix}_mean`"
+
+    def fold(terms: list[str]) -> str:  # left to right from 0.0, oldest value first
+        return " + ".join(["0.0D", *terms[::-1]])
+
+    out = df.withColumn(f"{prefix}_n", F.expr(
+        "CAST(" + " + ".join(["0", *[f"CAST({v} IS NOT NULL AS INT)" for v in vals[::-1]]])
+        + " AS DOUBLE)"))
+    out = out.withColumn(f"{prefix}_mean", F.expr(
+        f"try_divide({fold([f'coalesce({v}, 0.0D)' for v in vals])}, {count})"))
+    out = out.withColumns({f"{prefix}_d{k}": F.expr(f"coalesce({vals[k]} - {mean}, 0.0D)")
+                           for k in range(n)})
+    m2 = fold([f"{d} * {d}" for d in devs])
+    m3 = fold([f"{d} * {d} * {d}" for d in devs])
+    m4 = fold([f"({d} * {d}) * ({d} * {d})" for d in devs])
+    listed = ", ".join(vals)
+    flat = f"{count} = 0 OR least({listed}) = greatest({listed})"
+    skew = F.expr(f"CASE WHEN {flat} THEN NULL "
+                  f"ELSE try_divide(sqrt({count}) * ({m3}), sqrt(({m2}) * ({m2}) * ({m2}))) END")
+    kurt = F.expr(f"CASE WHEN {flat} THEN NULL "
+                  f"ELSE try_divide({count} * ({m4}), ({m2}) * ({m2})) - 3.0D END")
 
     def quantile(q: float) -> Column:
-        rank = F.greatest(F.ceil(F.lit(q) * count), F.lit(1)).cast("int")
-        return F.when(count > 0, F.element_at(ordered, F.lit(n) - count.cast("int") + rank))
+        # sort_array puts the NULLs first, then the values ascending.
+        rank = f"CAST(greatest(ceil({q!r}D * {count}), 1) AS INT)"
+        return F.expr(f"CASE WHEN {count} > 0 THEN element_at(sort_array(array({listed})), "
+                      f"{n} - CAST({count} AS INT) + {rank}) END")
 
     return out, {"skewness": skew, "kurtosis": kurt, "q1": quantile(0.25), "q3": quantile(0.75)}
 
