@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candela.session import scratch_path
 from candela.sinks.writers import publish_bars
@@ -28,7 +29,13 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
                          available_now=True, history=history, dedupe=dedupe,
                          with_timestamps=True, timeout_minutes=30)
     # Rows without a period (no date) arrive first, in a batch of their own.
-    keyed = bars.withColumn("_period", F.coalesce(period, F.lit("")))
+    # The bars are computed once into a table partitioned by period under the
+    # shared scratch folder; each landing then reads one partition (pruned).
+    staged = f"{root}/staged"
+    (bars.withColumn("_period", F.coalesce(period, F.lit("")))
+         .write.mode("overwrite").partitionBy("_period").parquet(staged))
+    schema = T.StructType([*bars.schema.fields, T.StructField("_period", T.StringType())])
+    keyed = spark.read.schema(schema).parquet(staged)
     # The period keys are few (one per year of data); only they come to the driver.
     periods = sorted(r[0] for r in keyed.select("_period").distinct().collect())
     for p in periods:
