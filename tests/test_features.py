@@ -169,3 +169,27 @@ def test_30_bar_moments_match_spark_window_aggregates(spark):
                 assert r[ours] is None, r
             else:
                 assert r[ours] == pytest.approx(r[theirs], rel=1e-9, abs=1e-9), r
+
+
+def test_chained_stages_equal_composite(spark):
+    """The eight stage functions chained give the composite's columns and values."""
+    from conftest import SF_SMALL
+    from candela.plans.queries import flag_bars
+    bars = flag_bars(spark, SF_SMALL)
+    chained = bars
+    for stage in feat.STAGES.values():
+        chained = chained.transform(stage)
+    composite = feat.ohlcv_features(bars)
+    assert chained.columns == composite.columns
+    key = ["symbol", "date"]
+    a = {tuple(r[k] for k in key): r for r in chained.collect()}
+    b = {tuple(r[k] for k in key): r for r in composite.collect()}
+    assert a.keys() == b.keys()
+    for k, ra in a.items():
+        rb = b[k]
+        for c in composite.columns:
+            x, y = ra[c], rb[c]
+            if isinstance(x, float) and isinstance(y, float):
+                assert x == pytest.approx(y, rel=1e-9, abs=1e-9, nan_ok=True), (k, c)
+            else:
+                assert x == y, (k, c)
