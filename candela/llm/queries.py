@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candela.llm.common import documents
 from candela.llm.exact_dedup import exact_duplicates
+from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
 from candela.llm.mixing import mix_report
 from candela.llm.sharding import assign_shards
-from pyspark.sql import functions as F
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(documents(spark, sf_dir))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +32,38 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+_TEMPLATE_ROWS = ",\n  ".join(
+    f"({t}, '{x.label}', {str(x.whole).lower()}, {list(x.words)})" for t, x in enumerate(TEMPLATES))
+
+OP1_SQL = rf"""
+WITH tp(t, label, whole, w) AS (VALUES
+  {_TEMPLATE_ROWS}),
+tg AS (SELECT t, label, whole, len(w) - 1 AS n, p, w[p + 1] AS w0, w[p + 2] AS w1
+       FROM tp, unnest(range(0, len(w) - 1)) AS u(p)),
+d AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dg AS (SELECT doc_id, i, w[i + 1] AS w0, w[i + 2] AS w1 FROM d, unnest(range(0, len(w) - 1)) AS u(i)),
+v AS (SELECT DISTINCT doc_id, t, label, whole, n, i - p AS diag, p FROM dg JOIN tg USING (w0, w1)),
+dd AS (SELECT DISTINCT doc_id, t, whole, diag FROM v),
+gap AS (SELECT *, CASE WHEN whole THEN 1
+               WHEN diag - lag(diag) OVER (PARTITION BY doc_id, t ORDER BY diag) <= {SLACK} THEN 0 ELSE 1 END AS cut FROM dd),
+isl AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, t ORDER BY diag) AS island FROM gap),
+sp AS (SELECT v.doc_id, v.t, v.label, v.whole, isl.island, min(v.diag) AS s0, max(v.diag) AS s1, v.n,
+              count(DISTINCT v.p)::DOUBLE / v.n AS cover
+       FROM v JOIN isl USING (doc_id, t, diag) GROUP BY v.doc_id, v.t, v.label, v.whole, isl.island, v.n),
+ok AS (SELECT * FROM sp WHERE CASE WHEN whole THEN cover = 1 ELSE cover >= {SHARE} AND s1 - s0 <= n END),
+per AS (SELECT doc_id, count(*) FILTER (WHERE whole) AS n_base,
+               min(s0) FILTER (WHERE whole) AS first_word, max(s0) FILTER (WHERE whole) AS last_word,
+               array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE whole)), ',') AS base_labels,
+               array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(cover) AS score
+        FROM ok GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
 OP2_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -70,4 +107,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op3_mix": OP3_SQL}
+    return {"op1_license_scan": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op3_mix": OP3_SQL}
