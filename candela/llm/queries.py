@@ -12,6 +12,7 @@ from candela.llm.exact_dedup import exact_duplicates
 from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
 from candela.llm.mixing import mix_report
 from candela.llm.sharding import assign_shards
+from candela.llm.simhash import near_duplicates
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,11 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (near_duplicates(documents(spark, sf_dir))
+            .select("doc_id", "fingerprint", "component_id"))
+
+
 _TEMPLATE_ROWS = ",\n  ".join(
     f"({t}, '{x.label}', {str(x.whole).lower()}, {list(x.words)})" for t, x in enumerate(TEMPLATES))
 
