@@ -11,6 +11,7 @@ from candela.llm.common import documents
 from candela.llm.exact_dedup import exact_duplicates
 from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
 from candela.llm.mixing import mix_report
+from candela.llm.packing import pack
 from candela.llm.sharding import assign_shards
 from candela.llm.simhash import near_duplicates
 
@@ -33,6 +34,10 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (near_duplicates(documents(spark, sf_dir))
             .select("doc_id", "fingerprint", "component_id"))
