@@ -14,6 +14,7 @@ from candela.llm.mixing import mix_report
 from candela.llm.packing import pack
 from candela.llm.sharding import assign_shards
 from candela.llm.simhash import near_duplicates
+from candela.llm.toxicity import toxicity_report
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "fingerprint", "component_id"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity_report(documents(spark, sf_dir), labels).drop("n_spans")
+
+
 _TEMPLATE_ROWS = ",\n  ".join(
     f"({t}, '{x.label}', {str(x.whole).lower()}, {list(x.words)})" for t, x in enumerate(TEMPLATES))
 
