@@ -12,6 +12,7 @@ from candela.llm.exact_dedup import exact_duplicates
 from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
 from candela.llm.mixing import mix_report
 from candela.llm.packing import pack
+from candela.llm.secret_scan import secret_report
 from candela.llm.sharding import assign_shards
 from candela.llm.simhash import near_duplicates
 from candela.llm.toxicity import toxicity_report
@@ -35,6 +36,10 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir)).drop("costly")
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
