@@ -15,6 +15,7 @@ from candela.llm.packing import pack
 from candela.llm.secret_scan import secret_report
 from candela.llm.sharding import assign_shards
 from candela.llm.simhash import near_duplicates
+from candela.llm.topk import scaled, top_k
 from candela.llm.toxicity import toxicity_report
 
 
@@ -54,6 +55,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(documents(spark, sf_dir), labels).drop("n_spans")
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = scaled(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 _TEMPLATE_ROWS = ",\n  ".join(
     f"({t}, '{x.label}', {str(x.whole).lower()}, {list(x.words)})" for t, x in enumerate(TEMPLATES))
 
@@ -123,10 +129,25 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op3_mix": OP3_SQL}
+    return {"op1_license_scan": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op3_mix": OP3_SQL,
+            "op10_topk": OP10_SQL}
