@@ -68,15 +68,17 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...] = (5, 2, 1)) ->
             .select("source", "source_size", "source_no", "weight", "target"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (an expression would be repeated at each use)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def log_factorial(n: Column) -> Column:
-    n = n.cast("double")
-    x = n + 1
-    # ln Gamma(x) by shifting the argument up by eight, then Stirling's series.
-    shifted = x + 8
-    series = ((shifted - 0.5) * F.log(shifted) - shifted + 0.5 * math.log(2 * math.pi)
-              + 1 / (12 * shifted) - 1 / (360 * shifted * shifted * shifted))
-    product = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
-    return series - F.log(product)
+    """ln n! by Stirling's series at n + 9, brought down by a product of eight factors."""
+    return let(n + 1.0, lambda x: (
+        (x + 7.5) * F.log(x + 8) - (x + 8) + 0.5 * math.log(2 * math.pi) + 1 / (12 * (x + 8))
+        - 1 / (360 * F.pow(x + 8, F.lit(3)))
+        - F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0.0), lambda a, i: a + F.log(x + i))))
 
 
 def hypergeometric(drawn: Column, good: Column, total: Column, u: Column) -> Column:
@@ -86,38 +88,50 @@ def hypergeometric(drawn: Column, good: Column, total: Column, u: Column) -> Col
     over at most 14 standard deviations each way; what rounding leaves of ``u``
     falls to the mode.  The result always lies in the distribution's range.
     """
-    d, g, n = (c.cast("double") for c in (drawn, good, total))
-    low = F.greatest(F.lit(0.0), d + g - n)
-    high = F.least(d, g)
-    mode = F.least(high, F.greatest(low, F.floor((d + 1) * (g + 1) / (n + 2)).cast("double")))
-    log_p = (log_factorial(g) - log_factorial(mode) - log_factorial(g - mode)
-             + log_factorial(n - g) - log_factorial(d - mode)
-             - log_factorial(n - g - d + mode)
-             - log_factorial(n) + log_factorial(d) + log_factorial(n - d))
-    spread = F.sqrt(F.greatest(F.lit(0.0), F.coalesce(F.try_divide(
-        d * g * (n - g) * (n - d), n * n * F.greatest(n - 1, F.lit(1.0))), F.lit(0.0))))
-    steps = F.least(high - low, F.ceil(spread * 14) + 20).cast("int")
-    p0 = F.exp(log_p)
-    start = F.struct((u - p0).alias("u"), mode.alias("up"), p0.alias("p_up"),
-                     mode.alias("down"), p0.alias("p_down"),
-                     F.when(u < p0, mode).alias("got"))
-
-    def step(s, _):
-        x, y = s["up"], s["down"]
-        up = F.when(x < high, s["p_up"] * (g - x) * (d - x)
-                    / ((x + 1) * (n - g - d + x + 1))).otherwise(0.0)
-        down = F.when(y > low, s["p_down"] * y * (n - g - d + y)
-                      / ((g - y + 1) * (d - y + 1))).otherwise(0.0)
-        got = F.coalesce(s["got"], F.when(s["u"] < up, x + 1),
-                         F.when(s["u"] < up + down, y - 1))
-        return F.struct((s["u"] - up - down).alias("u"),
-                        F.least(x + 1, high).alias("up"), up.alias("p_up"),
-                        F.greatest(y - 1, low).alias("down"), down.alias("p_down"),
-                        got.alias("got"))
-
-    walked = F.aggregate(F.sequence(F.lit(0), steps), start, step,
-                         lambda s: F.coalesce(s["got"], mode))
-    return F.when(high <= low, low).otherwise(walked).cast("long")
+    summed = lambda *xs: F.aggregate(F.array(*xs), F.lit(0.0), lambda a, v: a + log_factorial(v))
+
+    def ranged(r):
+        d, g, n = r["d"], r["g"], r["n"]
+        low, high = F.greatest(F.lit(0.0), d + g - n), F.least(d, g)
+        return F.struct(d.alias("d"), g.alias("g"), n.alias("n"), r["u"].alias("u"), low.alias("low"),
+                        high.alias("high"), F.least(high, F.greatest(low, F.floor(
+                            (d + 1) * (g + 1) / (n + 2)).cast("double"))).alias("mode"))
+
+    def weighed(r):
+        d, g, n, m = r["d"], r["g"], r["n"], r["mode"]
+        log_p = (summed(g, n - g, d, n - d) - summed(n, m, g - m, d - m, n - g - d + m))
+        spread = F.sqrt(F.greatest(F.lit(0.0), d * g * (n - g) * (n - d)
+                                   / (F.greatest(n, F.lit(1.0)) * n * F.greatest(n - 1, F.lit(1.0)) + 1e-9)))
+        return F.struct(r.alias("r"), F.exp(log_p).alias("p"), F.least(
+            r["high"] - r["low"], F.ceil(spread * 14) + 20).cast("int").alias("steps"))
+
+    def walked(w):
+        r, p = w["r"], w["p"]
+        start = F.struct((r["u"] - p).alias("u"), r["mode"].alias("up"), p.alias("p_up"),
+                         r["mode"].alias("down"), p.alias("p_down"),
+                         F.when(r["u"] < p, r["mode"]).alias("got"))
+
+        def step(s, _):
+            x, y = s["up"], s["down"]
+            d, g, n = r["d"], r["g"], r["n"]
+            sides = F.struct(
+                F.when(x < r["high"], s["p_up"] * (g - x) * (d - x)
+                       / ((x + 1) * (n - g - d + x + 1))).otherwise(0.0).alias("up"),
+                F.when(y > r["low"], s["p_down"] * y * (n - g - d + y)
+                       / ((g - y + 1) * (d - y + 1))).otherwise(0.0).alias("down"))
+            return let(sides, lambda side: F.struct(
+                (s["u"] - side["up"] - side["down"]).alias("u"),
+                F.least(x + 1, r["high"]).alias("up"), side["up"].alias("p_up"),
+                F.greatest(y - 1, r["low"]).alias("down"), side["down"].alias("p_down"),
+                F.coalesce(s["got"], F.when(s["u"] < side["up"], x + 1),
+                           F.when(s["u"] < side["up"] + side["down"], y - 1)).alias("got")))
+
+        return F.when(r["high"] <= r["low"], r["low"]).otherwise(F.aggregate(
+            F.sequence(F.lit(0), w["steps"]), start, step, lambda s: F.coalesce(s["got"], r["mode"])))
+
+    given = F.struct(drawn.cast("double").alias("d"), good.cast("double").alias("g"),
+                     total.cast("double").alias("n"), u.alias("u"))
+    return let(let(let(given, ranged), weighed), walked).cast("long")
 
 
 def _uniform(*keys: Column) -> Column:
@@ -130,14 +144,13 @@ def split_quotas(quotas: Column, drawn: Column, *seed: Column) -> Column:
     start = F.struct(drawn.cast("long").alias("drawn"), total.alias("total"),
                      F.lit(0).alias("i"), F.array().cast("array<bigint>").alias("got"))
 
-    def both(s, good):
+    def step(s, good):
         x = hypergeometric(s["drawn"], good, s["total"], _uniform(s["i"], *seed))
-        # The draw is bound once by a one-element transform, then used for every field.
-        return F.element_at(F.transform(F.array(x), lambda v: F.struct(
+        return let(x, lambda v: F.struct(
             (s["drawn"] - v).alias("drawn"), (s["total"] - good).alias("total"),
-            (s["i"] + 1).alias("i"), F.concat(s["got"], F.array(v)).alias("got"))), 1)
+            (s["i"] + 1).alias("i"), F.concat(s["got"], F.array(v)).alias("got")))
 
-    return F.aggregate(quotas, start, both, lambda s: s["got"])
+    return F.aggregate(quotas, start, step, lambda s: s["got"])
 
 
 def splitting_tree(root: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -156,7 +169,8 @@ def splitting_tree(root: DataFrame, shards: int, seed: int) -> DataFrame:
                      (F.col("n") - F.col("half")).alias("n"),
                      F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas")))
         ).otherwise(F.array(F.struct("first", "n", "quotas")))
-        nodes = nodes.select(F.explode_outer(children).alias("c")).select("c.*")
+        # Each level is written: plans stay small, and a lost executor costs one level.
+        nodes = stored(nodes.select(F.explode_outer(children).alias("c")).select("c.*"), "split-nodes")
     return nodes.select(F.col("first").alias("shard"), "quotas")
 
 
@@ -239,14 +253,14 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     there, is set anew.
     """
     columns = docs.columns
-    hashed = [F.col(c) for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
     keyed = docs.withColumn("_th", F.xxhash64(*hashed)).withColumn("_id", row_id())
     drawn = (draws(keyed.select("doc_id", "source", "text", "_th", "_id"), **options)
              .filter("words > 0")
              .groupBy(F.col("doc._id").alias("_id"), F.col("doc._th").alias("_th"))
              .agg(F.collect_list(F.struct("shard", "place", "words", "size")).alias("draws")))
     one = Window.partitionBy("_id", "_th").orderBy(F.lit(0))
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(*hashed).alias("_th"),
+    held = docs.select(F.struct("*").alias("row"), F.xxhash64(*hashed).alias("_th"),
                        row_id().alias("_id"))
     rows = (held.join(drawn, ["_id", "_th"]).withColumn("_n", F.row_number().over(one))
             .filter("_n = 1").select("row", F.explode("draws").alias("d")))
