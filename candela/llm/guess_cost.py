@@ -31,6 +31,8 @@ REPEAT = re.compile(r"(.{1,8}?)\1{2,}", re.S)
 HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 #: Guesses for one date, and for one start and turn of a walk.
 DATE_GUESSES, WALK_START, WALK_STEP = 365 * 120, 47 * 2, 4
+#: Starts of walks that are tried before each end, besides the whole run.
+WALK_STARTS = 16
 #: Two pieces more make the order of pieces one more thing to guess.
 JOIN = log10(2)
 
@@ -70,17 +72,16 @@ def segments(value: str) -> tuple[float, list[tuple[str, int, int]]]:
     for m in REPEAT.finditer(value):
         cost = sum(map(_brute, m[1])) + log10((m.end() - m.start()) // len(m[1]))
         ends.setdefault(m.end(), []).append((m.start(), "repeat", cost))
-    i = 0
-    while i < n:
-        j = i + 1
-        while j < n and _beside(value[j - 1], value[j]):
-            j += 1
-        if j - i >= 4:
+    run = 0
+    for j in range(2, n + 1):
+        if not _beside(value[j - 2], value[j - 1]):
+            run = j - 1
+        # Walks that end here: the whole run, and its later starts.
+        for i in {run, *range(max(run, j - WALK_STARTS), j - 3)} if j - run >= 4 else ():
             turns = 1 + sum(ord(value[k + 1]) - ord(value[k]) != ord(value[k]) - ord(value[k - 1])
                             for k in range(i + 1, j - 1)) // 3
             cost = log10(WALK_START * (j - i)) + turns * log10(WALK_STEP)
             ends.setdefault(j, []).append((i, "walk", cost))
-        i = max(j - 1, i + 1)
     single = [_brute(c) for c in value]
     for m in HEX.finditer(value):
         if m.end() - m.start() >= 8 and not m[0].isdigit():
