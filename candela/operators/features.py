@@ -167,7 +167,9 @@ def _frame_stats(df: DataFrame, n: int, prefix: str) -> tuple[DataFrame, dict[st
     m3 = fold([f"{d} * {d} * {d}" for d in devs])
     m4 = fold([f"({d} * {d}) * ({d} * {d})" for d in devs])
     listed = ", ".join(vals)
-    flat = f"{count} = 0 OR least({listed}) = greatest({listed})"
+    # A frame of one value has no variance; one of NaNs or infinities alone has an undefined one.
+    flat = (f"{count} = 0 OR (least({listed}) = greatest({listed}) AND NOT "
+            f"(isnan(least({listed})) OR abs(least({listed})) = double('infinity')))")
     skew = F.expr(f"CASE WHEN {flat} THEN NULL "
                   f"ELSE try_divide(sqrt({count}) * ({m3}), sqrt(({m2}) * ({m2}) * ({m2}))) END")
     kurt = F.expr(f"CASE WHEN {flat} THEN NULL "
@@ -266,7 +268,7 @@ def _nonfinite(c: Column) -> Column:
 
 def _running_return(partition_cols: Sequence[str], order_cols: Sequence[str],
                     sum_seed: str | None, sum_mask: str | None,
-                    sum_seed_exact: str | None) -> tuple[Column, Column]:
+                    sum_seed_exact: str | None, sum_extra: str | None = None) -> tuple[Column, Column]:
     """(cumulative_return, exact running sum or NULL) -- see ``performance_features``."""
     w_by_date = Window.partitionBy(*partition_cols).orderBy(order_cols[0])
     ret = F.col("daily_change_pct")
@@ -285,9 +287,18 @@ def _running_return(partition_cols: Sequence[str], order_cols: Sequence[str],
         summed_x = F.when(mask, F.lit(None).cast(EXACT_RETURN)).otherwise(summed_x)
         bad = ~mask & bad
     any_bad = F.max(bad.cast("int")).over(w_by_date) > F.lit(0)
-    exact = F.sum(summed_x).over(w_by_date)
-    return (F.when(any_bad, F.sum(summed).over(w_by_date)).otherwise(exact.cast("double")),
-            F.when(any_bad, F.lit(None)).otherwise(exact))
+    # A sum beyond the decimal's range is NULL; the double sum then stands in, as for other bad frames.
+    exact = F.try_sum(summed_x).over(w_by_date)
+    double = F.sum(summed).over(w_by_date)
+    if sum_extra is not None:
+        more = F.col(sum_extra)
+        any_bad = any_bad | F.coalesce(more["bad"], F.lit(False))
+        exact = F.when(more["exact"].isNull(), exact).when(exact.isNull() & double.isNull(), more["exact"]) \
+            .otherwise(F.try_add(exact, more["exact"])).cast(T.DecimalType(38, 18))
+        double = F.when(more["total"].isNull(), double).otherwise(F.coalesce(double, F.lit(0.0)) + more["total"])
+    lost = any_bad | (exact.isNull() & double.isNotNull())
+    return (F.when(lost, double).otherwise(exact.cast("double")),
+            F.when(lost, F.lit(None)).otherwise(exact))
 
 
 def _running_peak(partition_cols: Sequence[str], order_cols: Sequence[str],
@@ -311,13 +322,15 @@ def performance_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_
     added as DECIMAL(36, 18) and the total converted to double once, so it does
     not depend on the order of the additions -- chunked plans, stream batches
     and other engines get the same value.  A frame holding a NaN, an infinity or
-    a return beyond 1e18 falls back to the IEEE double sum (NaN propagates).
+    a return beyond 1e18, or a sum beyond 1e20, falls back to the IEEE double sum
+    (NaN propagates).
 
     ``sum_seed`` / ``sum_seed_exact`` / ``peak_seed`` name columns carrying what
     came before the first row of a series (stream look-back, chunked plans):
     the sum seeds, set on the first row only, are added to that row's return;
     the peak seed raises the running maximum.  Rows where ``sum_mask`` is true
-    (look-back copies) add nothing to the sum.  ``keep_exact`` keeps the exact
+    (look-back copies) add nothing to the sum; ``sum_extra`` names a struct (exact, total,
+    bad) of returns on the row's own date that stand in a later chunk.  ``keep_exact`` keeps the exact
     running sum as ``_cumulative_exact`` (NULL where the double fallback applies).
     """
     w30 = trailing(partition_cols, 30, order_cols)
@@ -338,7 +351,7 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
                    order_cols: Sequence[str] = ORDER_COLS,
                    sum_seed: str | None = None, peak_seed: str | None = None,
                    sum_mask: str | None = None, sum_seed_exact: str | None = None,
-                   keep_exact: bool = False) -> DataFrame:
+                   keep_exact: bool = False, sum_extra: str | None = None) -> DataFrame:
     """All 50 feature columns appended to the bar columns (57 with the 7 bar fields).
 
     Same columns and values as chaining the eight stage functions, planned for
@@ -353,7 +366,7 @@ def ohlcv_features(df: DataFrame, partition_cols: Sequence[str] = DEFAULT_KEYS,
     w = series_window(keys, order)
     w7, w20, w30, w50, w100 = (trailing(keys, n, order) for n in (7, 20, 30, 50, 100))
     close, volume, ret = F.col("close"), F.col("volume"), F.col("daily_change_pct")
-    cumulative, exact = _running_return(keys, order, sum_seed, sum_mask, sum_seed_exact)
+    cumulative, exact = _running_return(keys, order, sum_seed, sum_mask, sum_seed_exact, sum_extra)
 
     base = basic_features(df)
     layer1 = base.withColumns({

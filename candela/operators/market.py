@@ -54,12 +54,12 @@ def _time_key(hhmm: F.Column) -> F.Column:
 def local_time(ts: F.Column, tz: F.Column, ts_type: T.DataType) -> F.Column:
     """Wall-clock time in ``tz`` of a timestamp.
 
-    ``TIMESTAMP_NTZ`` input is taken as UTC wall time; ``TIMESTAMP`` (an
-    instant) is converted directly.
+    ``TIMESTAMP_NTZ`` input is taken as UTC wall time.  ``TIMESTAMP`` is an instant:
+    its wall time in the session's zone is converted from that zone.
     """
     if isinstance(ts_type, T.TimestampNTZType):
         return F.convert_timezone(F.lit("UTC"), tz, ts)
-    return F.from_utc_timestamp(ts, tz).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), tz, ts.cast("timestamp_ntz"))
 
 
 def is_market_open(df: DataFrame, ts_col: str, sessions: DataFrame, holidays: DataFrame | None = None,

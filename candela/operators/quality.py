@@ -24,6 +24,7 @@ INVALID_HIGH_LOW = "invalid_high_low"
 # Optional rules (off by default, not part of the reference rule set).
 NAN_PRICE = "nan_price"
 LATE_BAR = "late_bar"
+MISSING_DATE = "missing_date"
 
 
 def quality_rules(nan_rule: bool = False) -> list[tuple[Column, str]]:

@@ -17,14 +17,12 @@ from candela.schema import MONTHLY_COLUMNS, WEEKLY_COLUMNS
 
 
 def bar_time(date_col: str = "date") -> Column:
-    """The bar's date key as a timestamp: 'yyyy-MM-dd HH:mm' or 'yyyy-MM-dd'; NULL if neither.
+    """The bar's date key as a timestamp, in any form that casts to one; NULL if none.
 
     A fixed-width ordering key: ``min_by`` / ``max_by`` ordered by it keep their
     buffers in a hash aggregate (a string key would force a sort-based one).
     """
-    s = F.col(date_col).cast("string")
-    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm")),
-                      F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))
+    return F.col(date_col).cast("string").try_cast("timestamp")
 
 
 def period_start(unit: str, date_col: str = "date") -> Column:

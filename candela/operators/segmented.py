@@ -2,98 +2,109 @@
 
 ``ohlcv_features`` partitions windows by symbol, so one series is one task.
 For unique daily bars that is bounded by the calendar, but an intraday feed,
-or one symbol holding a large share of all rows, would put an unbounded group
-into a single task.  ``segmented_features`` computes the same columns with the
-series cut into chunks of ``chunk_rows`` bars that run in parallel:
-
-1. exact 0-based ordinals per series, without a series-wide window: row counts
-   per (symbol, bucket) -- the bucket is a date prefix, a month by default --
-   are prefix-summed on that small table, and ``row_number`` runs inside each
-   (symbol, bucket) only;
+one symbol holding a large share of all rows, or all bars without a symbol or a
+date, would put an unbounded group into a single task.  ``segmented_features``
+computes the same columns with every series cut into chunks of ``chunk_rows``
+bars that run in parallel:
+
+1. rows are range-partitioned and sorted by (series, window order) and written once
+   to the shared scratch folder with their running number.  Ranges are even however
+   rows share keys; a row's ordinal in its series follows from its number and the
+   row counts per (series, range), a small table;
 2. ``chunk = ordinal div chunk_rows``; the last ``LOOKBACK_ROWS`` (118) bars of
    each chunk are copied into the next chunk and its first bar into the
    previous one, as read-only halo rows, so every bounded frame (the longest is
    the 100-bar mean of a 20-bar stddev) and the one-bar look-ahead see exactly
    the rows they would see over the whole series;
 3. the two unbounded columns get their prefix from per-chunk totals: the sum of
-   ``daily_change_pct`` and the highest close of all earlier chunks, prefix-summed
-   / maxed over the chunk table, then seeded into the chunk's windows.
+   ``daily_change_pct`` and the highest close of all earlier chunks, summed up over
+   the chunk table, then seeded into the chunk's windows.  Bars that tie on a date
+   share one running return; where a chunk boundary cuts them apart, the part beyond
+   it is added from the chunk table too.
 
-Shuffles: one to number rows inside (symbol, bucket), one to gather (symbol,
-chunk) -- plus two small aggregations.  Results equal the plain path (the
-running return is an exact decimal sum, so the chunk-sum prefix changes
-nothing).  Assumes unique (symbol, date), as the streaming job ensures:
-a run of tied dates cut by a chunk boundary shares no RANGE peers across it.
-Rows with a NULL key take the plain path.
+Results equal the plain plan, for ties, NULL keys and NULL dates as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.schema import FEATURE_COLUMNS, LOOKAHEAD_ROWS, LOOKBACK_ROWS
+from candela.session import scratch_path
 
 DEFAULT_CHUNK_ROWS = 100_000
-DEFAULT_BUCKET_LEN = 7  # 'yyyy-MM'; 10 for days, 13 for hours on intraday feeds
+#: Bits of ``monotonically_increasing_id`` below the partition's number.
+ROW_BITS = 33
 
 
 def series_ordinals(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
-                    bucket_len: int = DEFAULT_BUCKET_LEN,
                     order_cols: Sequence[str] = feat.ORDER_COLS) -> DataFrame:
-    """Append ``_ord``: the 0-based position of each row in its series, in window order."""
-    keys = list(keys)
-    bucketed = df.withColumn("_bucket", F.coalesce(F.substring(order_cols[0], 1, bucket_len), F.lit("")))
-    counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bucket",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
-    numbered = bucketed.withColumn("_rn", F.row_number().over(in_bucket))
-    # One row per (symbol, bucket): grows with the data, so never broadcast.  The
-    # numbered side is already hash-partitioned on these keys by its window, so a
-    # shuffled hash join moves only the offsets.
-    return (numbered.join(offsets.hint("shuffle_hash"), on=[*keys, "_bucket"], how="inner")
-                    .withColumn("_ord", F.col("_offset") + F.col("_rn") - F.lit(1))
-                    .drop("_bucket", "_rn", "_offset"))
+    """Append ``_key`` (the series, never NULL) and ``_ord``: each row's 0-based place in it.
+
+    The rows are materialised once under the shared scratch folder.
+    """
+    spark = df.sparkSession
+    # (is NULL, value) pairs: equal for equal keys, so they can be joined on.
+    key = F.array(*[F.concat(F.when(F.col(k).isNull(), F.lit("n")).otherwise(F.lit("v")),
+                             F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]) \
+        if keys else F.array(F.lit("v"))
+    sort = ["_key", *order_cols]
+    path = scratch_path(spark, "ordered-bars")
+    (df.withColumn("_key", key).repartitionByRange(*sort).sortWithinPartitions(*sort)
+       .withColumn("_seq", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_seq", ROW_BITS))
+    spans = rows.groupBy("_key", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_seq0"))
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.select("_key", "_range", "_seq0",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (rows.join(offsets, ["_key", "_range"])
+                .withColumn("_ord", F.col("_offset") + F.col("_seq") - F.col("_seq0"))
+                .drop("_range", "_offset", "_seq0", "_seq"))
 
 
 def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
-                       chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                       bucket_len: int = DEFAULT_BUCKET_LEN) -> DataFrame:
+                       chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``ohlcv_features(df, keys)`` computed over bounded chunks of each series."""
-    keys = list(keys)
     if chunk_rows <= LOOKBACK_ROWS:
         raise ValueError(f"chunk_rows must exceed the look-back of {LOOKBACK_ROWS} rows")
-    columns = df.columns
-    has_null_key = reduce(or_, [F.col(k).isNull() for k in keys]) if keys else F.lit(False)
-    loose = feat.ohlcv_features(df.filter(has_null_key), keys)
-
-    base = feat.basic_features(df.filter(~has_null_key) if keys else df)
-    rows = series_ordinals(base, keys, bucket_len).withColumn(
-        "_chunk", F.floor(F.col("_ord") / F.lit(chunk_rows)).cast("long"))
+    columns, date = df.columns, feat.ORDER_COLS[0]
+    rows = feat.basic_features(series_ordinals(df, list(keys))).withColumn(
+        "_chunk", F.expr(f"_ord div {chunk_rows}"))
     pos = F.col("_ord") - F.col("_chunk") * F.lit(chunk_rows)
 
-    # Per-chunk totals -> prefix over earlier chunks (small table: one row per chunk).
-    # The exact (decimal) sums make the chunked result equal the one-pass result.
+    # Per-chunk totals (one row per chunk), whole and of the chunk's first date alone.
     ret = F.col("daily_change_pct")
     ret_x = ret.try_cast(feat.EXACT_RETURN)
-    bad = (F.isnan(ret) | (F.abs(ret) == F.lit(float("inf"))) | (ret.isNotNull() & ret_x.isNull()))
-    totals = rows.groupBy(*keys, "_chunk").agg(F.sum(ret).alias("_chunk_sum"),
-                                               F.sum(ret_x).alias("_chunk_sum_exact"),
-                                               F.max(F.coalesce(bad, F.lit(False)).cast("int")).alias("_chunk_bad"),
-                                               F.max("close").alias("_chunk_peak"))
-    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carries = totals.select(*keys, "_chunk",
-                            F.sum("_chunk_sum").over(earlier).alias("_carry_sum"),
-                            F.when(F.max("_chunk_bad").over(earlier) > 0, F.lit(None))
-                             .otherwise(F.sum("_chunk_sum_exact").over(earlier)).alias("_carry_sum_exact"),
-                            F.max("_chunk_peak").over(earlier).alias("_carry_peak"))
+    bad = F.coalesce(F.isnan(ret) | (F.abs(ret) == F.lit(float("inf")))
+                     | (ret.isNotNull() & ret_x.isNull()), F.lit(False)).cast("int")
+    by_date = rows.groupBy("_key", "_chunk", date).agg(
+        F.sum(ret).alias("total"), F.try_sum(ret_x).alias("exact"), F.max(bad).alias("bad"),
+        F.max("close").alias("peak"), F.min("_ord").alias("ord"))
+    first = F.struct("ord", date, "total", "exact", "bad")
+    totals = by_date.groupBy("_key", "_chunk").agg(
+        F.sum("total").alias("total"), F.try_sum("exact").alias("exact"), F.max("bad").alias("bad"),
+        F.max("peak").alias("peak"), F.min(first).alias("head"),
+        F.max(F.struct("ord", date)).alias("last"))
+    earlier = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy("_key").orderBy("_chunk")
+    # Chunks that begin with one date follow each other; summed from the last of them backwards.
+    onward = Window.partitionBy("_key", f"head.{date}").orderBy(F.desc("_chunk"))
+    tails = totals.withColumn("_beyond", F.struct(
+        F.try_sum("head.exact").over(onward).alias("exact"), F.sum("head.total").over(onward).alias("total"),
+        (F.max("head.bad").over(onward) > 0).alias("bad")))
+    follows = F.lead(f"head.{date}").over(along).eqNullSafe(F.col(f"last.{date}")) \
+        & F.lead("_chunk").over(along).isNotNull()
+    carries = tails.select(
+        "_key", "_chunk", F.sum("total").over(earlier).alias("_carry_sum"),
+        F.when(F.max("bad").over(earlier) > 0, F.lit(None))
+         .otherwise(F.try_sum("exact").over(earlier)).alias("_carry_sum_exact"),
+        F.max("peak").over(earlier).alias("_carry_peak"),
+        F.col(f"last.{date}").alias("_last_date"),
+        F.when(follows, F.lead("_beyond").over(along)).alias("_beyond"))
 
     # Each row in its own chunk, plus halo copies: tail -> next chunk, head -> previous.
     copy = lambda chunk, own: F.struct(chunk.alias("c"), F.lit(own).alias("own"))
@@ -106,36 +117,15 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
                   .withColumn("_own", F.col("_copy.own"))
                   .withColumn("_chunk", F.col("_copy.c"))
                   .drop("_copy"))
-    # Carries: one row per chunk, joined by shuffle (never broadcast); the
-    # exchange on (symbol, chunk) is the one the chunk windows need anyway.
-    seeded = (spread.join(carries.hint("shuffle_hash"), on=[*keys, "_chunk"], how="left")
-                    .withColumn("_first", F.col("_own") & (F.col("_ord") == F.col("_chunk") * F.lit(chunk_rows)))
-                    .withColumn("_sum_seed", F.when(F.col("_first"), F.col("_carry_sum")))
-                    .withColumn("_sum_seed_exact", F.when(F.col("_first"), F.col("_carry_sum_exact")))
+    starts = F.col("_own") & (F.col("_ord") == F.col("_chunk") * F.lit(chunk_rows))
+    seeded = (spread.join(carries, ["_key", "_chunk"], "left")
+                    .withColumn("_sum_seed", F.when(starts, F.col("_carry_sum")))
+                    .withColumn("_sum_seed_exact", F.when(starts, F.col("_carry_sum_exact")))
+                    .withColumn("_sum_extra", F.when(
+                        F.col("_own") & F.col(date).eqNullSafe(F.col("_last_date")), F.col("_beyond")))
                     .withColumn("_sum_mask", ~F.col("_own")))
-    out = (feat.ohlcv_features(seeded, partition_cols=(*keys, "_chunk"),
+    out = (feat.ohlcv_features(seeded, partition_cols=("_key", "_chunk"),
                                sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
-                               peak_seed="_carry_peak", sum_mask="_sum_mask")
+                               peak_seed="_carry_peak", sum_mask="_sum_mask", sum_extra="_sum_extra")
                .filter(F.col("_own")))
-    feature_cols = columns + [c for c in FEATURE_COLUMNS if c not in columns]
-    return out.select(*feature_cols).unionByName(loose.select(*feature_cols))
-
-
-def longest_series(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS) -> int:
-    """Row count of the longest series (one small aggregation job)."""
-    keys = list(keys)
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row.m or 0)
-
-
-def ohlcv_features_auto(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
-                        max_series_rows: int = 1_000_000,
-                        chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                        bucket_len: int = DEFAULT_BUCKET_LEN) -> DataFrame:
-    """Plain per-symbol windows when every series fits one task, else the chunked plan."""
-    if longest_series(df, keys) <= max_series_rows:
-        return feat.ohlcv_features(df, keys)
-    return segmented_features(df, keys, chunk_rows, bucket_len)
-
+    return out.select(columns + [c for c in FEATURE_COLUMNS if c not in columns])

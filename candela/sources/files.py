@@ -16,6 +16,7 @@ from candela.schema import BAR_COLUMNS, BAR_SCHEMA, CSV_COLUMNS, CSV_SCHEMA
 # The provider's series keys and the file-stem pattern.
 STOCK_SERIES_KEY = "Time Series (Daily)"
 CRYPTO_SERIES_KEY = "Time Series (Digital Currency Daily)"
+FIELD_DECORATION = r"^\s*[0-9]+[a-z]?\.\s*|\s*(\([^)]*\))?\s*$"
 FILE_STEM_PATTERN = r"^(.*)\.[^.]*$"
 
 
@@ -95,22 +96,24 @@ def flatten_payload(df: DataFrame, body_col: str = "body", series_key: str = STO
     """Provider payload rows -> one bar per (symbol, date) in the payload.
 
     The series object maps a date to ``{"1. open": "...", ..., "5. volume": "..."}``.
-    Fields are taken by position after sorting their keys (open, high, low,
-    close, volume), the way the landing CSV is read; values are strings and are
-    cast with ``try_cast`` (a bad number is NULL, not an error).  A body without
-    the series key gives no rows (see ``validate_payloads`` for the reason).
-    The explode is per payload row, so payloads spread over all tasks.
+    Fields are taken by name: what stands behind the number, without a currency in
+    parentheses.  A field that is absent, or there twice (one per currency), is NULL.
+    Values are strings and are cast with ``try_cast`` (a bad number is NULL, not an
+    error).  A body without the series key gives no rows (see ``validate_payloads``
+    for the reason).  The explode is per payload row, so payloads spread over all tasks.
     """
     series = F.get_json_object(F.col(body_col), f"$['{series_key}']")
     as_map = F.from_json(series, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))
     rows = df.select(F.col(symbol_col).alias("symbol"),
                      F.explode(as_map).alias("date", "fields"))
-    fields = F.array_sort(F.map_entries(F.col("fields")))
-    value = lambda i: F.element_at(fields, i).getField("value").try_cast("double")
+    def value(name: str) -> Column:
+        named = F.filter(F.map_entries("fields"), lambda e: F.regexp_replace(
+            F.lower(e["key"]), FIELD_DECORATION, "") == name)
+        return F.when(F.size(named) == 1, F.get(named, F.lit(0))["value"]).try_cast("double").alias(name)
+
     return rows.select(
         "symbol",
         F.coalesce(F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd")).cast("date").cast("string"),
                    F.col("date")).alias("date"),
-        value(1).alias("open"), value(2).alias("high"), value(3).alias("low"),
-        value(4).alias("close"), value(5).alias("volume"),
+        *[value(c) for c in ("open", "high", "low", "close", "volume")],
     )

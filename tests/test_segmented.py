@@ -1,10 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
-from candela.operators.segmented import ohlcv_features_auto, segmented_features, series_ordinals
+from candela.operators.segmented import segmented_features, series_ordinals
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candela.sources.bars import bars_by_flag
 from conftest import bars_df
@@ -53,8 +54,37 @@ def test_chunk_must_cover_lookback(spark):
         segmented_features(flag_bars(spark), chunk_rows=100)
 
 
-def test_auto_picks_plan(spark):
-    bars = flag_bars(spark)
-    a = ohlcv_features_auto(bars, max_series_rows=10_000).count()
-    b = ohlcv_features_auto(bars, max_series_rows=100, chunk_rows=200).count()
-    assert a == b == bars.count()
+def rows_of(df):
+    return sorted((tuple(r[c] for c in BAR_COLUMNS + FEATURE_COLUMNS) for r in df.collect()), key=repr)
+
+
+def test_ties_null_symbols_and_null_dates_equal_the_plain_plan(spark):
+    rng = random.Random(8)
+    rows = []
+    for symbol in ("A", "B", None, ""):
+        for i in range(500):
+            date = None if i % 11 == 0 else f"2024-{1 + i // 60:02d}-{1 + (i // 20) % 28:02d}"  # up to 20 bars a date
+            price = [round(rng.uniform(1, 9), 2) for _ in range(4)]
+            rows.append((symbol, date, *price, None if i % 37 == 0 else float(rng.randrange(1, 99))))
+    rows += rows[40:60]  # identical rows
+    bars = bars_df(spark, rows)
+    want = rows_of(feat.ohlcv_features(bars))
+    for chunk in (119, 130, 257):
+        got = rows_of(segmented_features(bars, chunk_rows=chunk))
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            assert all(same(x, y) for x, y in zip(a, b)), [(c, x, y) for c, x, y in zip(BAR_COLUMNS + FEATURE_COLUMNS, a, b) if not same(x, y)]
+
+
+def test_one_date_over_many_chunks(spark):
+    rows = [("A", "2024-01-01" if i < 700 else "2024-01-02", 1.0 + i % 7, 9.0, 1.0, 2.0 + i % 5, 1.0) for i in range(1000)]
+    bars = bars_df(spark, rows)
+    want = {r.date: r.cumulative_return for r in feat.ohlcv_features(bars).collect()}
+    got = segmented_features(bars, chunk_rows=120).collect()
+    assert all(r.cumulative_return == want[r.date] for r in got) and len(got) == 1000
+
+
+def test_two_keys_and_no_key(spark):
+    bars = flag_bars(spark).withColumn("_aside", F.col("volume") > 500)
+    for keys in (("symbol", "_aside"), ()):
+        assert rows_of(segmented_features(bars, keys, chunk_rows=400)) == rows_of(feat.ohlcv_features(bars, keys))
