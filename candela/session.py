@@ -53,8 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach
-    (HDFS/S3/...).  Only when it is unset -- local runs and tests -- a fresh local
-    folder is created and registered.
+    (HDFS/S3/...).  Only when it is unset and the master is local -- tests, scripts
+    -- a fresh local folder is created and registered; on any other master a missing
+    setting is an error, since executors do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None) \
@@ -63,12 +64,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not is_local_master(sc.master):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by all executors "
+                           f"(master {sc.master})")
     local = tempfile.mkdtemp(prefix="candela-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set(CHECKPOINT_CONF, local)
     return sc.getCheckpointDir() or local
 
 
+def is_local_master(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` runs real executors)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder.
 

@@ -1,8 +1,9 @@
 """Bar and feature sinks: JSON messages, landing CSV, partitioned tables.
 
-Writers never repartition to "one file per symbol": each task writes the
-symbols it holds, so a symbol with a third of the rows is still written by
-many tasks in parallel.
+Folder-partitioned writes are rebalanced on their folder columns first: a symbol
+is written by one task, and one that holds a large share of the rows by as many as
+its size asks for (adaptive execution splits it).  Files thus grow with the data
+and the symbols, not with symbols times tasks.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.schema import CSV_COLUMNS
@@ -39,10 +40,35 @@ def write_landing_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
     Read back with ``read_landing_csv(..., symbol_from="partition")``.
     """
-    (df.select("symbol", *CSV_COLUMNS).write.mode(mode)
+    (df.select("symbol", *CSV_COLUMNS).hint("rebalance", "symbol").write.mode(mode)
        .option("header", True).partitionBy("symbol").csv(path))
 
 
+def format_available(spark: SparkSession, fmt: str) -> bool:
+    """Whether this session has the data source ``fmt`` at all.
+
+    Any other fault of a sink (disk, permission, a half-written job) is a fault,
+    not a reason to write somewhere else.
+    """
+    try:
+        spark.read.format(fmt).load()
+    except Exception as err:  # noqa: BLE001 - only one of them is looked for
+        return "DATA_SOURCE_NOT_FOUND" not in str(err)
+    return True
+
+
+def resolve_sink(spark: SparkSession, path: str, fmt: str, fallback_format: str | None = "parquet",
+                 fallback_suffix: str = "_parquet_fallback") -> tuple[str, str]:
+    """(format, path) to write with: the preferred ones, or the fallback if the format is absent."""
+    if format_available(spark, fmt):
+        return fmt, path
+    if not fallback_format or fallback_format == fmt:
+        raise ValueError(f"data source {fmt!r} is not available and there is no fallback")
+    log.warning("data source %s is not available; writing %s to %s%s", fmt, fallback_format, path,
+                fallback_suffix)
+    return fallback_format, path + fallback_suffix
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "delta",
                 partition_cols: Sequence[str] = ("symbol",), mode: str = "append",
                 fallback_format: str | None = "parquet",
@@ -50,51 +76,41 @@ def write_table(df: DataFrame, path: str, fmt: str = "delta",
                 options: dict[str, str] | None = None) -> str:
     """Append ``df`` to a table partitioned by ``partition_cols``; return the path written.
 
-    The preferred format (Delta by default, with schema merge) is tried first;
-    if it fails -- e.g. the Delta package is absent -- the same frame goes to
-    ``<path><fallback_suffix>`` in ``fallback_format``.  If both fail the error is raised.
+    The preferred format is Delta by default, with schema merge; where the session does
+    not have it, the same frame goes to ``<path><fallback_suffix>`` in ``fallback_format``.
+    Errors of the write itself are raised.
     """
-    opts = {"mergeSchema": "true"} if fmt == "delta" else {}
-    opts.update(options or {})
+    chosen, target = resolve_sink(df.sparkSession, path, fmt, fallback_format, fallback_suffix)
+    opts = {"mergeSchema": "true"} if chosen == "delta" else {}
+    opts.update(options or {} if chosen == fmt else {})
+    out = df.hint("rebalance", *partition_cols) if partition_cols else df
+    w = out.write.format(chosen).mode(mode).options(**opts)
+    (w.partitionBy(*partition_cols) if partition_cols else w).save(target)
+    return target
 
-    def _save(fmt_: str, path_: str, opts_: dict[str, str]) -> None:
-        w = df.write.format(fmt_).mode(mode).options(**opts_)
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.save(path_)
 
-    try:
-        _save(fmt, path, opts)
-        return path
-    except Exception as err:  # noqa: BLE001 - any writer failure falls back
-        if not fallback_format or fallback_format == fmt:
-            raise
-        reason = str(err).strip().splitlines()[0][:300] if str(err).strip() else type(err).__name__
-        log.warning("%s write to %s failed (%s); falling back to %s", fmt, path, reason, fallback_format)
-        target = path + fallback_suffix
-        _save(fallback_format, target, {})
-        return target
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
-                partition_cols: Sequence[str] = ("symbol",)) -> str:
-    """Replay-safe append of one micro-batch.
-
-    Parquet: rows carry ``batch_id`` and are written with dynamic partition
-    overwrite on ``(*partition_cols, batch_id)``, so re-running a batch replaces
-    exactly what its earlier attempt wrote.  Delta: an idempotent append keyed by
-    ``txnAppId`` / ``txnVersion``.
+RUN_COLUMNS = ["run_id", "batch_id"]
+
+
+def write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, fmt: str = "parquet") -> str:
+    """Replay-safe append of one micro-batch of one run.
+
+    Rows carry ``run_id`` and ``batch_id``, and the table is partitioned by them; a
+    symbol's rows stay together inside the files.  Parquet: dynamic partition overwrite,
+    so a batch that runs again replaces exactly what its earlier attempt wrote, and no
+    other run's rows (batch numbers restart with every checkpoint).  Delta: an
+    idempotent append keyed by the run and the batch.
     """
-    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id)).cast("long")})
     if fmt == "delta":
         (out.write.format("delta").mode("append")
-            .option("txnAppId", path).option("txnVersion", int(batch_id))
+            .option("txnAppId", f"{run_id}:{path}").option("txnVersion", int(batch_id))
             .option("mergeSchema", "true")
-            .partitionBy(*partition_cols).save(path))
+            .partitionBy(*RUN_COLUMNS).save(path))
         return path
     (out.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols, "batch_id").save(path))
+        .partitionBy(*RUN_COLUMNS).save(path))
     return path
 
 

@@ -14,99 +14,139 @@ so every feature of a new bar equals the value a full recompute over the whole
 history gives.  The one exception is the label ``next_day_return`` of the last
 bar of each batch, NULL when written, because its next bar has not arrived.
 
-The state is a table with one row per (symbol, batch), tails bounded at 118
-bars, written per batch id (a replayed batch overwrites its own rows); the
-current state of a symbol is its row from the newest batch.  Bars dated at or
-before ``last_date`` are late: they are kept out of the windows and flagged
-``late_bar``.
+The state is a snapshot of all symbols per batch, in a folder of its own run and
+batch.  A batch reads the newest snapshot before it and nothing older, so its cost
+does not grow with the number of batches; older ones are dropped once a newer is
+there (the one before stays, for a batch that is replayed).  A run with a fresh
+checkpoint goes on from the newest snapshot of the runs before it.
+
+Batch and state rows meet in one shuffle on the symbol: state rows travel as one
+row each, spread their last date and peak over the symbol's rows by a window, and
+unfold their tails only where the batch has rows of the symbol.
+
+Bars without a symbol or a date belong to no series: each is a series of its own, so
+however many there are, they meet in no task, and they never enter the state.  Bars dated at or before ``last_date`` are
+late: they are kept out of the windows and flagged ``late_bar``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.schema import BAR_COLUMNS, LOOKBACK_ROWS
-from candela.sinks.writers import write_batch
+from candela.sinks import folders
 
 TAIL_FIELDS = ["date", "open", "high", "low", "close", "volume"]
+_TAIL = "array<struct<date:string,open:double,high:double,low:double,close:double,volume:double>>"
+STATE_SCHEMA = ("symbol string, last_date string, carry_sum double, carry_sum_exact decimal(38,18), "
+                f"carry_peak double, tail {_TAIL}")
+SEEDS = ["carry_sum", "carry_sum_exact", "carry_peak"]
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "symbol string, last_date string, carry_sum double, "
-                                     "carry_sum_exact decimal(38,18), "
-                                     "carry_peak double, tail array<struct<date:string,open:double,"
-                                     "high:double,low:double,close:double,volume:double>>")
+    return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def read_state(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
-    """Newest state row per symbol written by a batch older than ``before_batch``.
+def batch_name(batch_id: int) -> str:
+    return f"batch-{batch_id:012d}"
 
-    Ignoring the current and later batches makes a replayed batch see exactly
-    the state its first attempt saw.  Empty when nothing was written yet.
+
+def snapshots(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(run, batch) of every complete snapshot, oldest first (run ids begin with their time)."""
+    return [(run, batch) for run in folders.subfolders(spark, path)
+            for batch in folders.subfolders(spark, f"{path}/{run}")
+            if folders.is_complete(spark, f"{path}/{run}/{batch}")]
+
+
+def read_state(spark: SparkSession, path: str, run_id: str | None = None,
+               before_batch: int | None = None) -> DataFrame:
+    """The newest snapshot written before batch ``before_batch`` of ``run_id`` (all, if not given).
+
+    Ignoring the current and later batches makes a replayed batch see exactly the state
+    its first attempt saw.  Empty when there is none; a snapshot that cannot be read raises.
     """
-    try:
-        raw = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no state folder yet
+    known = snapshots(spark, path)
+    if run_id is not None and before_batch is not None:
+        known = [s for s in known if s < (run_id, batch_name(before_batch))]
+    if not known:
         return empty_state(spark)
-    if before_batch is not None:
-        raw = raw.filter(F.col("batch_id") < F.lit(int(before_batch)))
-    cols = ["last_date", "carry_sum", "carry_sum_exact", "carry_peak", "tail"]
-    latest = F.max_by(F.struct(*cols), F.col("batch_id"))
-    return (raw.groupBy("symbol").agg(latest.alias("_s"))
-               .select("symbol", *[F.col("_s").getField(c).alias(c) for c in cols]))
+    return spark.read.schema(STATE_SCHEMA).parquet("/".join([path, *known[-1]]))
+
+
+def write_state(state: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    """Write the snapshot of a batch, then drop all but it and the one before it."""
+    spark = state.sparkSession
+    here = (run_id, batch_name(batch_id))
+    state.write.mode("overwrite").parquet("/".join([path, *here]))
+    older = [s for s in snapshots(spark, path) if s < here]
+    for s in older[:-1]:
+        folders.delete(spark, "/".join([path, *s]))
+
+
+def no_series() -> Column:
+    """Bars that belong to no series."""
+    return F.col("symbol").isNull() | F.col("date").isNull()
+
+
+def late_rows(bars: DataFrame, state: DataFrame) -> DataFrame:
+    """Bars dated at or before the last stored date of their symbol."""
+    last = state.select("symbol", "last_date")
+    return bars.join(last, "symbol").filter("date <= last_date").select(bars.columns)
 
 
 def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
     """Features of a batch continued from ``state``, history rows included.
 
-    The result has the bar and feature columns plus ``_late``, ``_hist`` and the
-    two seed columns; ``batch_rows`` keeps the batch's own rows and
-    ``next_state`` derives the new state, so a caller can persist this frame
-    once and feed both.  The joins with the state are shuffle joins on the
-    symbol: the state holds up to 118 bars per symbol, so it is not broadcast.
+    The result has the bar and feature columns plus ``_late``, ``_hist`` and the seed
+    columns; ``batch_rows`` keeps the batch's own rows and ``next_state`` derives the
+    new state, so a caller can persist this frame once and feed both.
     """
-    st = state.select(F.col("symbol").alias("_s_symbol"), "last_date", "carry_sum", "carry_sum_exact",
-                      "carry_peak", "tail")
-    same_symbol = F.col("symbol").eqNullSafe(F.col("_s_symbol"))
-    late = F.coalesce(F.col("date") <= F.col("last_date"), F.lit(False))
-    if "_aside" in bars.columns:
-        late = late | F.col("_aside")
-    batch = (bars.join(st.select("_s_symbol", "last_date", "carry_peak"), same_symbol, "left")
-                 .select(*BAR_COLUMNS,
-                         # Late (not newer than what is stored for the symbol) or set
-                         # aside by the caller: kept out of the series' windows and state.
-                         late.alias("_late"),
-                         F.lit(False).alias("_hist"),
-                         F.lit(None).cast("double").alias("_sum_seed"),
-                         F.lit(None).cast("decimal(38,18)").alias("_sum_seed_exact"),
-                         F.col("carry_peak").alias("_peak_seed")))
-    touched = bars.select(F.col("symbol").alias("_t_symbol")).distinct()
-    # History rows of the symbols this batch touches; the sum carry rides on the first one.
-    hist = (st.join(touched, F.col("_s_symbol").eqNullSafe(F.col("_t_symbol")), "left_semi")
-              .select(F.col("_s_symbol").alias("symbol"), "carry_sum", "carry_sum_exact", "carry_peak",
-                      F.posexplode("tail").alias("_pos", "_bar"))
-              .select("symbol", *[F.col("_bar").getField(c).alias(c) for c in TAIL_FIELDS],
-                      F.lit(False).alias("_late"), F.lit(True).alias("_hist"),
-                      F.when(F.col("_pos") == 0, F.col("carry_sum")).alias("_sum_seed"),
-                      F.when(F.col("_pos") == 0, F.col("carry_sum_exact")).alias("_sum_seed_exact"),
-                      F.col("carry_peak").alias("_peak_seed")))
-    return feat.ohlcv_features(hist.unionByName(batch), partition_cols=("symbol", "_late"),
+    bar = F.struct(*[F.col(c) for c in TAIL_FIELDS])
+    aside = no_series() | (F.col("_aside") if "_aside" in bars.columns else F.lit(False))
+    own = bars.select("symbol", aside.alias("_aside"), F.array(bar).cast(_TAIL).alias("tail"),
+                      F.lit(None).cast("string").alias("last_date"),
+                      F.lit(None).cast("double").alias("carry_sum"),
+                      F.lit(None).cast("decimal(38,18)").alias("carry_sum_exact"),
+                      F.lit(None).cast("double").alias("carry_peak"), F.lit(False).alias("_hist"))
+    kept = state.select("symbol", F.lit(False).alias("_aside"), "tail", "last_date", *SEEDS,
+                        F.lit(True).alias("_hist"))
+    met = own.unionByName(kept).withColumn(
+        "_alone", F.when(F.col("symbol").isNull() | F.get("tail", F.lit(0))["date"].isNull(),
+                         F.monotonically_increasing_id()))
+    series = Window.partitionBy("symbol", "_alone")
+    met = (met
+           .withColumn("_touched", F.max((~F.col("_hist")).cast("int")).over(series))
+           .withColumn("_stored", F.max("last_date").over(series))
+           .withColumn("_peak_seed", F.max("carry_peak").over(series))
+           .filter("_touched = 1"))
+    rows = (met.select("symbol", "_alone", "_aside", "_hist", "_stored", "_peak_seed", "carry_sum",
+                       "carry_sum_exact", F.posexplode("tail").alias("_pos", "_bar"))
+            .select("symbol", *[F.col("_bar").getField(c).alias(c) for c in TAIL_FIELDS],
+                    (F.col("_aside") | (~F.col("_hist") & F.coalesce(
+                        F.col("_bar.date") <= F.col("_stored"), F.lit(False)))).alias("_late"),
+                    "_alone", "_hist", "_peak_seed",
+                    # The sum carry rides on the first history row.
+                    F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum")).alias("_sum_seed"),
+                    F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum_exact"))
+                    .alias("_sum_seed_exact")))
+    return feat.ohlcv_features(rows, partition_cols=("symbol", "_alone", "_late"),
                                sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
                                peak_seed="_peak_seed", keep_exact=True)
 
 
 def batch_rows(with_history: DataFrame) -> DataFrame:
     """The batch's own rows of ``features_with_history`` (keeps ``_late``)."""
-    return with_history.filter(~F.col("_hist")).drop("_hist", "_sum_seed", "_sum_seed_exact",
+    return with_history.filter(~F.col("_hist")).drop("_alone", "_hist", "_sum_seed", "_sum_seed_exact",
                                                      "_peak_seed", "_cumulative_exact")
 
 
 def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFrame:
     """New state of every touched symbol, from its on-time rows (history + batch)."""
     newest_first = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in feat.ORDER_COLS])
-    ranked = with_history.filter(~F.col("_late")).withColumn("_rank", F.row_number().over(newest_first))
+    ranked = (with_history.filter(~F.col("_late") & ~no_series())
+              .withColumn("_rank", F.row_number().over(newest_first)))
     in_tail = F.col("_rank") <= F.lit(lookback)
     bar = F.struct(*[F.col(c) for c in TAIL_FIELDS])
     # Running sum just before the new tail: that of the row ranked lookback + 1;
@@ -124,5 +164,6 @@ def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFr
     )
 
 
-def write_state(state: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(state, path, batch_id, fmt="parquet", partition_cols=())
+def merged_state(touched: DataFrame, state: DataFrame) -> DataFrame:
+    """The whole new snapshot: the touched symbols' new rows, the others' old ones."""
+    return touched.unionByName(state.join(touched.select("symbol"), "symbol", "left_anti"))

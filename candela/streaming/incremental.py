@@ -17,33 +17,39 @@ from candela.session import scratch_path
 from candela.sinks.writers import publish_bars
 from candela.streaming.pipeline import PipelineConfig, read_output, run_pipeline
 
-EXCLUDED_OUTPUT = ["processed_timestamp", "processing_date", "batch_id"]
+EXCLUDED_OUTPUT = ["processed_timestamp", "processing_date", "run_id", "batch_id"]
+#: Periods are landed one after another from the driver: a backlog of days, not a key.
+MOST_PERIODS = 10_000
 
 
 def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
-                      history: bool, dedupe: bool = True) -> DataFrame:
-    """Stream ``bars`` period by period through the job; return clean + failed rows."""
+                      history: bool, dedupe: bool = True, **options) -> DataFrame:
+    """Stream ``bars`` period by period through the job; return clean + failed rows.
+
+    ``options`` are further fields of the job's configuration.
+    """
     root = scratch_path(spark, "stream")
     cfg = PipelineConfig(output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoint",
                          source_format="text", source_path=f"{root}/source/*",
                          available_now=True, history=history, dedupe=dedupe,
-                         with_timestamps=True, timeout_minutes=30)
+                         with_timestamps=True, **options)
     # Rows without a period (no date) arrive first, in a batch of their own.
     # The bars are computed once into a table partitioned by period under the
     # shared scratch folder; each landing then reads one partition (pruned).
     staged = f"{root}/staged"
-    (bars.withColumn("_period", F.coalesce(period, F.lit("")))
+    (bars.withColumn("_period", F.coalesce(period, F.lit(""))).hint("rebalance", "_period")
          .write.mode("overwrite").partitionBy("_period").parquet(staged))
     schema = T.StructType([*bars.schema.fields, T.StructField("_period", T.StringType())])
     keyed = spark.read.schema(schema).parquet(staged)
-    # The period keys are few (one per year of data); only they come to the driver.
-    periods = sorted(r[0] for r in keyed.select("_period").distinct().collect())
+    periods = sorted(r[0] or "" for r in keyed.select("_period").distinct().limit(MOST_PERIODS + 1).collect())
+    if len(periods) > MOST_PERIODS:
+        raise ValueError(f"more than {MOST_PERIODS} periods: choose longer ones")
     for p in periods:
-        publish_bars(keyed.filter(F.col("_period") == F.lit(p)).drop("_period"),
-                     fmt="text", path=f"{root}/source/{p}", mode="overwrite")
-        run_pipeline(spark, cfg, poll_seconds=0.5)
-    clean = read_output(spark, cfg.clean_path)
-    failed = read_output(spark, cfg.failed_path, like=clean)
+        landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p)).drop("_period")
+        publish_bars(landed, fmt="text", path=f"{root}/source/{p or 'undated'}", mode="overwrite")
+        cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
+    clean = read_output(spark, cfg.clean_path, cfg)
+    failed = read_output(spark, cfg.failed_path, cfg)
     return clean.unionByName(failed).drop(*EXCLUDED_OUTPUT)
 
 

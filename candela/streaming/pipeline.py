@@ -6,13 +6,19 @@ are not allowed on a streaming DataFrame, so the batch API runs them).  Per
 non-empty batch:
 
 1. optional dedupe of (symbol, date) re-deliveries inside the batch;
-2. features -- restarted per batch, or continued from the per-symbol look-back
+2. with ``history``: bars already stored, as exact copies, are dropped and counted;
+3. features -- restarted per batch, or continued from the per-symbol look-back
    state when ``history`` is on (``candela.streaming.history``);
-3. job columns and quality flags (late bars flagged ``late_bar``);
-4. the feature frame is computed once and persisted; clean and failed rows go
-   to two tables partitioned by symbol, written replay-safe under the batch id,
-   and the new look-back state is derived from the same frame; the three
-   counts come from one ``observe`` on the first write instead of extra jobs.
+4. job columns and quality flags (late bars flagged ``late_bar``, bars without a
+   date ``missing_date`` where windows run across batches);
+5. the feature frame is computed once and persisted; clean and failed rows go to
+   two tables partitioned by run and batch, written replay-safe, and the new
+   look-back state is derived from the same frame; the counts come from one
+   ``observe`` on the first write instead of extra jobs.
+
+A run is named once, in a file beside its checkpoint, with the sink format that was
+available then.  Outputs are keyed by run and batch: a fresh checkpoint on an old
+output folder adds to it and replaces nothing.
 
 A failing batch raises: the query stops without committing the batch, and a
 restart from the checkpoint replays it, overwriting whatever the failed
@@ -23,22 +29,29 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candela.operators import features as feat
 from candela.operators.dedupe import latest_bar
-from candela.operators.quality import LATE_BAR, count_observation, quality_flag, quality_flags
-from candela.schema import BAR_COLUMNS
-from candela.sinks.writers import write_batch
+from candela.operators.quality import LATE_BAR, MISSING_DATE, count_observation, quality_flag, quality_flags
+from candela.operators.segmented import segmented_features
+from candela.schema import BAR_COLUMNS, BAR_SCHEMA
+from candela.session import scratch_path
+from candela.sinks import folders
+from candela.sinks.writers import resolve_sink, write_batch
 from candela.sources.files import bar_stream, parse_bars
 from candela.streaming.history import (
     batch_rows,
     features_with_history,
+    late_rows,
+    merged_state,
     next_state,
     read_state,
     write_state,
@@ -66,14 +79,23 @@ class PipelineConfig:
     # neighbours' frames, as the original job does); "before": failed bars are
     # set aside into their own partition, so clean bars only see clean bars.
     quarantine: str = "after"
+    # Series longer than this are cut into chunks of so many bars (the results are the
+    # same); None keeps one task per symbol and batch.  Without history only.
+    chunk_rows: int | None = None
+    # Keep the message text of failed rows as ``_raw``.
+    keep_raw: bool = False
+    # Set by ``run_pipeline`` from the record beside the checkpoint.
+    run_id: str = "run"
+    clean_folder: str = "clean_data"
+    failed_folder: str = "failed_data"
 
     @property
     def clean_path(self) -> str:
-        return f"{self.output_path.rstrip('/')}/clean_data"
+        return f"{self.output_path.rstrip('/')}/{self.clean_folder}"
 
     @property
     def failed_path(self) -> str:
-        return f"{self.output_path.rstrip('/')}/failed_data"
+        return f"{self.output_path.rstrip('/')}/{self.failed_folder}"
 
     @property
     def state_path(self) -> str:
@@ -81,8 +103,12 @@ class PipelineConfig:
 
 
 def prepare_bars(bars: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Bar columns (deduped) plus ``_aside``: rows kept out of the main series' windows."""
-    bars = bars.select(*BAR_COLUMNS)
+    """Bar columns (deduped) plus ``_aside``: rows kept out of the main series' windows.
+
+    An empty symbol counts as missing: a folder or a key cannot hold it.
+    """
+    bars = bars.select(*BAR_COLUMNS).withColumn(
+        "symbol", F.when(F.col("symbol") != "", F.col("symbol")))
     bars = latest_bar(bars) if cfg.dedupe else bars
     if cfg.quarantine not in ("after", "before"):
         raise ValueError(f"quarantine must be 'after' or 'before', got {cfg.quarantine!r}")
@@ -90,20 +116,29 @@ def prepare_bars(bars: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return bars.withColumn("_aside", aside)
 
 
-def plain_features(bars: DataFrame) -> DataFrame:
+def plain_features(bars: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """Features of prepared bars without history; set-aside rows form their own series."""
-    return feat.ohlcv_features(bars, partition_cols=("symbol", "_aside")) \
-               .withColumnRenamed("_aside", "_late")
+    keys = ("symbol", "_aside")
+    feats = segmented_features(bars, keys, chunk_rows) if chunk_rows \
+        else feat.ohlcv_features(bars, partition_cols=keys)
+    return feats.withColumnRenamed("_aside", "_late")
 
 
 def flag_rows(feats: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Feature rows with ``_late`` -> job columns and quality flags (late bars fail)."""
+    """Feature rows with ``_late`` -> job columns and quality flags (late bars fail).
+
+    Where windows run across batches, a bar without a date fails too: it has no place
+    in its series, and no later batch could put it there.
+    """
     out = quality_flags(feat.job_columns(feats, cfg.volume_threshold, cfg.with_timestamps))
     # Both columns from the same input row (one withColumns), flag first-rule-wins.
+    dateless = F.lit(cfg.history) & F.col("date").isNull() & F.col("data_quality_flag").isNull()
     late = F.col("_late") & F.col("data_quality_flag").isNull()
     return (out.withColumns({
-                "data_quality_flag": F.when(late, F.lit(LATE_BAR)).otherwise(F.col("data_quality_flag")),
-                "data_quality_status": F.when(late, F.lit("Failed")).otherwise(F.col("data_quality_status")),
+                "data_quality_flag": F.when(dateless, F.lit(MISSING_DATE)).when(late, F.lit(LATE_BAR))
+                                      .otherwise(F.col("data_quality_flag")),
+                "data_quality_status": F.when(late | dateless, F.lit("Failed"))
+                                        .otherwise(F.col("data_quality_status")),
             })
                .drop("_late"))
 
@@ -113,9 +148,34 @@ def transform_batch(bars: DataFrame, cfg: PipelineConfig,
     """Bars of one batch -> flagged feature rows (and the new look-back state)."""
     bars = prepare_bars(bars, cfg)
     if state is None:
-        return flag_rows(plain_features(bars), cfg), None
+        return flag_rows(plain_features(bars, cfg.chunk_rows), cfg), None
     full = features_with_history(bars, state)
-    return flag_rows(batch_rows(full), cfg), next_state(full)
+    return flag_rows(batch_rows(full), cfg), merged_state(next_state(full), state)
+
+
+def without_stored_copies(bars: DataFrame, state: DataFrame, cfg: PipelineConfig,
+                          batch_id: int) -> tuple[DataFrame, int]:
+    """``bars`` without exact copies of bars that earlier batches stored, and how many there were.
+
+    Publishers send their whole history again.  Copies are old, so the stored tables are
+    read only when the batch has bars that are not newer than their symbol's last one.
+    """
+    late = late_rows(bars, state)
+    if late.isEmpty():
+        return bars, 0
+    spark = bars.sparkSession
+    # Batches of this run before this one; all of any run before it.
+    earlier = (F.col("run_id") < cfg.run_id) | ((F.col("run_id") == cfg.run_id) & (F.col("batch_id") < batch_id))
+    known = stored_bars(spark, cfg.clean_path, cfg.sink_format).unionByName(
+        stored_bars(spark, cfg.failed_path, cfg.sink_format)).filter(earlier)
+    bar = F.struct(*BAR_COLUMNS[1:])
+    known = known.select(F.col("symbol").alias("_s"), bar.alias("_b")).distinct()
+    same = (F.col("symbol") == F.col("_s")) & bar.eqNullSafe(F.col("_b"))
+    # Written, not cached: this batch will write to the tables that the plan reads.
+    path = scratch_path(spark, "fresh-bars")
+    bars.join(known, same, "left_anti").write.parquet(path)
+    fresh = spark.read.schema(bars.schema).parquet(path)
+    return fresh, bars.count() - fresh.count()
 
 
 def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> dict[str, int]:
@@ -128,33 +188,65 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
         log.info("batch %s empty, skipped", batch_id)
         return {"total_records": 0, "clean_records": 0, "failed_records": 0}
     spark = batch_df.sparkSession
-    bars = prepare_bars(batch_df, cfg)
+    bars, copies, state, new_state = prepare_bars(batch_df, cfg), 0, None, None
     if cfg.history:
-        state = read_state(spark, cfg.state_path, before_batch=batch_id)
+        state = read_state(spark, cfg.state_path, cfg.run_id, batch_id)
+        bars, copies = without_stored_copies(bars, state, cfg, batch_id)
         full = features_with_history(bars, state).persist(StorageLevel.MEMORY_AND_DISK)
-        feats, new_state = batch_rows(full), next_state(full)
+        feats, new_state = batch_rows(full), merged_state(next_state(full), state)
     else:
-        full = plain_features(bars).persist(StorageLevel.MEMORY_AND_DISK)
-        feats, new_state = full, None
+        full = plain_features(bars, cfg.chunk_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        feats = full
     try:
         flagged = flag_rows(feats, cfg)
         observed, obs = count_observation(flagged)
         passed = F.col("data_quality_status") == F.lit("Passed")
-        write_batch(observed.filter(passed), cfg.clean_path, batch_id, cfg.sink_format)
-        write_batch(flagged.filter(~passed), cfg.failed_path, batch_id, cfg.sink_format)
+        failed = flagged.filter(~passed)
+        if cfg.keep_raw and "_raw" in batch_df.columns:
+            failed = with_raw(failed, batch_df)
+        write_batch(observed.filter(passed), cfg.clean_path, cfg.run_id, batch_id, cfg.sink_format)
+        write_batch(failed, cfg.failed_path, cfg.run_id, batch_id, cfg.sink_format)
         if new_state is not None:
-            write_state(new_state, cfg.state_path, batch_id)
+            write_state(new_state, cfg.state_path, cfg.run_id, batch_id)
         counts = {k: int(v) for k, v in obs.get.items()}
+        if copies:
+            counts["redelivered_records"] = copies
         log.info("batch %s: %s", batch_id, counts)
         return counts
     finally:
         full.unpersist()
 
 
+def with_raw(failed: DataFrame, batch_df: DataFrame) -> DataFrame:
+    """Failed rows with the message they came from (one of them, where several parse alike)."""
+    bar = F.struct(*BAR_COLUMNS[1:])
+    raw = (batch_df.select(F.when(F.col("symbol") != "", F.col("symbol")).alias("_s"), bar.alias("_b"), "_raw")
+           .groupBy("_s", "_b").agg(F.max("_raw").alias("_raw")))
+    same = F.col("symbol").eqNullSafe(F.col("_s")) & bar.eqNullSafe(F.col("_b"))
+    return failed.join(raw, same, "left").drop("_s", "_b")
+
+
+def run_record(spark: SparkSession, cfg: PipelineConfig) -> PipelineConfig:
+    """``cfg`` with the run's name and sink, as recorded beside its checkpoint.
+
+    The first start writes the record: a name that sorts by time, and the sink format
+    that this session has.  Later starts read it, so a run never changes its folder.
+    """
+    path = f"{cfg.checkpoint_path.rstrip('/')}/candela-run"
+    if not folders.is_complete(spark, path):
+        name = time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"-{uuid.uuid4().hex[:8]}"
+        fmt, clean = resolve_sink(spark, "clean_data", cfg.sink_format)
+        failed = clean.replace("clean_data", "failed_data")
+        spark.createDataFrame([(name, fmt, clean, failed)], "run_id string, fmt string, clean string, failed string") \
+            .coalesce(1).write.mode("overwrite").json(path)
+    r = spark.read.schema("run_id string, fmt string, clean string, failed string").json(path).first()
+    return replace(cfg, run_id=r["run_id"], sink_format=r["fmt"], clean_folder=r["clean"], failed_folder=r["failed"])
+
+
 def start_pipeline(spark: SparkSession, cfg: PipelineConfig):
-    """Start the streaming query and return it."""
+    """Start the streaming query of a recorded run and return it."""
     messages = bar_stream(spark, cfg.source_format, cfg.source_path, cfg.source_options)
-    parsed = parse_bars(messages)
+    parsed = parse_bars(messages, keep_raw=cfg.keep_raw)
     writer = (parsed.writeStream
               .foreachBatch(partial(_foreach, cfg=cfg))
               .option("checkpointLocation", cfg.checkpoint_path))
@@ -167,35 +259,61 @@ def _foreach(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> None:
     process_batch(batch_df, batch_id, cfg)
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig, poll_seconds: float = 10.0) -> None:
-    """Run until the source is drained (``available_now``) or the timeout passes, then stop."""
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig, poll_seconds: float = 10.0) -> PipelineConfig:
+    """Run the job; returns the configuration with the run's name and folders.
+
+    ``available_now``: until the source is drained, however long that takes.  Otherwise
+    a bounded run: new data every ``trigger_seconds`` until ``timeout_minutes`` are over.
+    """
+    cfg = run_record(spark, cfg)
     query = start_pipeline(spark, cfg)
-    deadline = time.monotonic() + cfg.timeout_minutes * 60
+    deadline = None if cfg.available_now else time.monotonic() + cfg.timeout_minutes * 60
     try:
-        while query.isActive and time.monotonic() < deadline:
-            query.awaitTermination(min(poll_seconds, max(0.1, deadline - time.monotonic())))
+        while query.isActive and (deadline is None or time.monotonic() < deadline):
+            left = poll_seconds if deadline is None else deadline - time.monotonic()
+            query.awaitTermination(min(poll_seconds, max(0.1, left)))
         if query.exception() is not None:
             raise query.exception()
     finally:
         if query.isActive:
-            log.info("timeout reached, stopping the query")
+            log.info("run time over, stopping the query")
             query.stop()
+    return cfg
 
 
-def read_output(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """Read a table written by ``write_batch`` with ``symbol`` kept as a string.
+def output_schema(cfg: PipelineConfig) -> T.StructType:
+    """Columns of the clean and failed tables."""
+    spark = SparkSession.active()
+    empty = spark.createDataFrame([], BAR_SCHEMA)
+    rows, _ = transform_batch(empty, replace(cfg, chunk_rows=None))
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields]
+                        + ([T.StructField("_raw", T.StringType())] if cfg.keep_raw else [])
+                        + [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
 
-    A table no batch has written to yet reads as empty with the schema of ``like``.
+
+def stored_bars(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The bars of a table with their run and batch; none if nothing was written there."""
+    schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("run_id", T.StringType()),
+                           T.StructField("batch_id", T.LongType())])
+    if not folders.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path).select(schema.names)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_output(spark: SparkSession, path: str, cfg: PipelineConfig | None = None) -> DataFrame:
+    """Read a table written by ``write_batch`` (or, with folders per symbol, by ``write_table``).
+
+    With ``cfg`` the job's schema is given instead of inferred, and a table that no batch
+    has written to reads as empty.
     """
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import types as T
-    try:
-        inferred = spark.read.parquet(path).schema
-    except AnalysisException:
-        if like is None:
-            raise
-        return spark.createDataFrame([], like.schema)
-    fields = [T.StructField(f.name, T.StringType() if f.name == "symbol" else
-                            (T.LongType() if f.name == "batch_id" else f.dataType), True)
-              for f in inferred.fields]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    if cfg is not None:
+        schema = output_schema(cfg)
+        if not folders.exists(spark, path):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).format(cfg.sink_format).load(path)
+    inferred = spark.read.parquet(path).schema
+    kinds = {"symbol": T.StringType(), "run_id": T.StringType(), "batch_id": T.LongType()}
+    return spark.read.schema(T.StructType([
+        T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in inferred.fields])).parquet(path)

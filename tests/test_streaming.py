@@ -132,3 +132,131 @@ def test_quarantine_before_keeps_failed_bars_out_of_windows(spark):
     assert a["2024-01-03"].close_lag_1 is None        # the failed bar is its neighbour
     assert b["2024-01-03"].close_lag_1 == 1.0         # set aside: the clean bar before it
     assert b["2024-01-02"].data_quality_flag == "missing_price_data"
+
+
+def bar(symbol, day, close, volume=10.0):
+    return (symbol, day, 1.0, 2.0, 1.0, close, volume)
+
+
+def test_fresh_checkpoint_on_an_old_folder_replaces_nothing(spark, tmp_dir):
+    from candela.sinks.writers import publish_bars
+    from candela.streaming.pipeline import run_pipeline
+
+    def run(name, rows):
+        publish_bars(bars_df(spark, rows), fmt="text", path=f"{tmp_dir}/src-{name}/a")
+        cfg = PipelineConfig(output_path=f"{tmp_dir}/out", checkpoint_path=f"{tmp_dir}/ck-{name}", source_format="text",
+                             source_path=f"{tmp_dir}/src-{name}/*", available_now=True, history=True,
+                             sink_format="delta")  # absent here: the run falls back to Parquet, once
+        return run_pipeline(spark, cfg, poll_seconds=0.5)
+
+    first = run("one", [bar("A", f"2024-01-0{d}", 1.0 + d) for d in range(1, 6)])
+    again = run("two", [bar("A", "2024-01-06", 7.0), bar("A", "2024-01-03", 4.0)])  # one new, one sent again
+    assert first.run_id < again.run_id and again.sink_format == "parquet"
+    assert again.clean_path.endswith("clean_data_parquet_fallback")
+    rows = {r.date: r for r in read_output(spark, again.clean_path, again).collect()}
+    assert sorted(rows) == [f"2024-01-0{d}" for d in range(1, 7)]
+    assert rows["2024-01-06"].close_lag_1 == 6.0  # the look-back of the earlier run goes on
+    assert read_output(spark, again.failed_path, again).count() == 0
+
+
+def test_a_drain_has_no_deadline_and_failures_surface(spark, tmp_dir):
+    import pytest
+
+    from candela.sinks.writers import publish_bars
+    from candela.streaming import pipeline
+    from candela.streaming.pipeline import run_pipeline
+
+    publish_bars(bars_df(spark, [bar("A", "2024-01-01", 1.0), bar(None, "2024-01-01", 1.0)]), fmt="text", path=f"{tmp_dir}/src/a")
+    cfg = PipelineConfig(output_path=f"{tmp_dir}/out", checkpoint_path=f"{tmp_dir}/ck", source_format="text",
+                         source_path=f"{tmp_dir}/src/*", available_now=True, timeout_minutes=1e-9, history=True)
+    write, calls = pipeline.write_batch, []
+
+    def failing(df, path, *rest):
+        calls.append(path)
+        if path.endswith("failed_data"):
+            raise OSError("disk full")
+        return write(df, path, *rest)
+
+    pipeline.write_batch = failing
+    try:
+        with pytest.raises(Exception, match="disk full"):
+            run_pipeline(spark, cfg, poll_seconds=0.2)
+    finally:
+        pipeline.write_batch = write
+    done = run_pipeline(spark, cfg, poll_seconds=0.2)  # the batch is replayed from the checkpoint
+    assert read_output(spark, done.clean_path, done).count() == 1
+    assert read_output(spark, done.failed_path, done).count() == 1
+    assert read_state(spark, done.state_path).count() == 1
+
+
+def test_broken_state_raises_and_old_snapshots_go(spark, tmp_dir):
+    import glob
+
+    import pytest
+
+    from candela.streaming.history import snapshots
+
+    cfg = _cfg(tmp_dir)
+    for b in range(4):
+        process_batch(bars_df(spark, [bar("A", f"2024-01-0{b + 1}", 1.0 + b), bar(f"S{b}", "2024-01-01", 1.0)]), b, cfg)
+    assert [x[1][-1] for x in snapshots(spark, cfg.state_path)] == ["2", "3"]
+    assert read_state(spark, cfg.state_path).count() == 5  # untouched symbols are carried over
+    for f in glob.glob(f"{cfg.state_path}/run/batch-*3/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"broken")
+    for f in glob.glob(f"{cfg.state_path}/run/batch-*3/.*.crc"):
+        with open(f, "wb") as out:
+            out.write(b"")
+    with pytest.raises(Exception):
+        process_batch(bars_df(spark, [bar("A", "2024-01-09", 9.0)]), 4, cfg)
+
+
+def test_bars_without_date_or_symbol_stay_out_of_the_series(spark, tmp_dir):
+    cfg = _cfg(tmp_dir)
+    series = [bar("A", f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}", 1.0 + i % 9) for i in range(151)]
+    process_batch(bars_df(spark, series[:150]), 0, cfg)
+    counts = process_batch(bars_df(spark, [bar("A", None, 5.0), bar(None, "2024-01-01", 5.0), bar("", "2024-01-01", 5.0)]), 1, cfg)
+    assert counts == {"total_records": 3, "clean_records": 0, "failed_records": 3}
+    process_batch(bars_df(spark, series[150:]), 2, cfg)
+    want = {r.date: r for r in feat.ohlcv_features(bars_df(spark, series)).collect()}[series[150][1]]
+    got = read_output(spark, cfg.clean_path, cfg).filter(F.col("date") == series[150][1]).first()
+    for c in FEATURE_COLUMNS:
+        assert close(got[c], want[c]), c
+    flags = sorted(r.data_quality_flag for r in read_output(spark, cfg.failed_path, cfg).collect())
+    assert flags == ["missing_date", "missing_symbol", "missing_symbol"]
+
+
+def test_redelivered_bars_are_dropped_and_changed_ones_are_late(spark, tmp_dir):
+    cfg = _cfg(tmp_dir)
+    series = [bar("A", f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}", 1.0 + i) for i in range(140)]
+    process_batch(bars_df(spark, series), 0, cfg)
+    sent = [*series, bar("A", "2024-12-01", 500.0), bar("A", "2024-01-05", 77.0)]  # all again, one new, one changed
+    counts = process_batch(bars_df(spark, sent).filter("not (date = '2024-01-05' and close = 5.0)"), 1, cfg)
+    assert counts == {"total_records": 2, "clean_records": 1, "failed_records": 1, "redelivered_records": 139}
+    assert read_output(spark, cfg.clean_path, cfg).count() == 141
+    assert [r.data_quality_flag for r in read_output(spark, cfg.failed_path, cfg).collect()] == ["late_bar"]
+
+
+def test_raw_messages_of_failed_rows(spark, tmp_dir):
+    from pyspark.sql import Row
+
+    from candela.sources.files import parse_bars
+
+    cfg = PipelineConfig(output_path=f"{tmp_dir}/out", checkpoint_path=f"{tmp_dir}/ck", keep_raw=True, with_timestamps=False)
+    lines = spark.createDataFrame([Row(value="garbage"), Row(value='{"symbol": "A", "date": "2024-01-01", "open": 1, "high": 2, "low": 1, "close": 1, "volume": 1}')])
+    process_batch(parse_bars(lines, keep_raw=True), 0, cfg)
+    assert [r._raw for r in read_output(spark, cfg.failed_path, cfg).collect()] == ["garbage"]
+    assert read_output(spark, cfg.clean_path, cfg).count() == 1
+
+
+def test_processing_time_trigger_ends_with_its_time(spark, tmp_dir):
+    from candela.sinks.writers import publish_bars
+    from candela.streaming.pipeline import run_pipeline
+
+    publish_bars(bars_df(spark, [bar("A", "2024-01-01", 1.0)]), fmt="text", path=f"{tmp_dir}/src/a")
+    cfg = PipelineConfig(output_path=f"{tmp_dir}/out", checkpoint_path=f"{tmp_dir}/ck", source_format="text",
+                         source_path=f"{tmp_dir}/src/*", trigger_seconds=1, timeout_minutes=0.4)
+    done = run_pipeline(spark, cfg, poll_seconds=0.5)
+    rows = read_output(spark, done.clean_path, done).collect()
+    assert len(rows) == 1 and rows[0].processing_date is not None and rows[0].processed_timestamp is not None
+    assert not [q for q in spark.streams.active if q.isActive]
