@@ -15,7 +15,7 @@ definitions.  Engine differences it bridges:
 
 from __future__ import annotations
 
-from candela.plans.report import sql_round
+from candela.plans.report import bits_of, sql_round
 from candela.schema import (
     BAR_COLUMNS,
     FEATURE_COLUMNS,
@@ -41,7 +41,7 @@ NON_DOUBLE = {
 
 def project(columns: list[str], non_double: set[str] = NON_DOUBLE) -> str:
     """Select list in the given order, doubles rounded like the Spark report."""
-    return ",\n  ".join(c if c in non_double else f"{sql_round(c)} AS {c}" for c in columns)
+    return ",\n  ".join(c if c in non_double else f"{sql_round(c, bits_of(c))} AS {c}" for c in columns)
 
 
 def bars_ctes(symbol_sql: str = SUPPLIER_SYMBOL, name: str = "bars") -> str:
@@ -441,3 +441,79 @@ flagged_in AS (
 )"""
     return (f"{with_(bars_ctes(FLAG_SYMBOL), dirty_ctes(), aside, pipeline_ctes('flagged_in', 'symbol, o_failed'))}\n"
             f"SELECT\n  {project(PIPELINE_COLUMNS)}\nFROM checked\nWHERE {where}")
+
+
+def renamed_bars_query(suffix: str) -> str:
+    """Supplier bars with a suffix on the symbol."""
+    named = f"""
+named AS (SELECT * REPLACE (symbol || '{suffix}' AS symbol) FROM bars)"""
+    return f"{with_(bars_ctes(SUPPLIER_SYMBOL), named)}\nSELECT\n  {project(BAR_COLUMNS)}\nFROM named"
+
+
+def event_week_query() -> str:
+    """Weekly rollup of the hourly event bars."""
+    body = """
+weekly AS (
+  SELECT symbol, CAST(date_trunc('week', CAST(substr(date, 1, 10) AS DATE)) AS DATE) AS week,
+         arg_min(open, date) AS week_open, max(high) AS week_high, min(low) AS week_low,
+         arg_max(close, date) AS week_close, sum(volume) AS week_volume, count(*) AS trading_days,
+         (arg_max(close, date) - arg_min(open, date)) / nullif(arg_min(open, date), 0) * 100 AS weekly_change_pct
+  FROM bars GROUP BY symbol, 2
+)"""
+    return f"{with_(event_hour_bars_ctes(), body)}\nSELECT\n  {project(WEEKLY_COLUMNS)}\nFROM weekly"
+
+
+def market_open_instants_query(holidays: list[str]) -> str:
+    return f"{with_(_market_ctes(holidays))}\nSELECT event_id, market, local_time, is_open FROM flags"
+
+
+def stream_dirty_query() -> str:
+    """Dirty bars that arrive late, twice or changed, streamed by arrival with the look-back state.
+
+    Exact copies of stored bars vanish.  Bars without a symbol or a date are series of their own.
+    A bar is late if an earlier batch stored its date or a later one for its symbol; late bars
+    form a series per batch.  The label of a batch's last bar is unknown when it is written.
+    """
+    body = f"""
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date NULLS FIRST) AS o_n,
+         CAST(substr(date, 1, 4) AS INTEGER) AS o_year FROM bars
+),
+damaged AS (
+  SELECT o_n, o_year, CASE WHEN o_n % 97 = 0 THEN NULL ELSE symbol END AS symbol,
+         CASE WHEN o_n % 101 = 0 THEN NULL ELSE date END AS date, open,
+         CASE WHEN o_n % 79 = 0 THEN low ELSE high END AS high,
+         CASE WHEN o_n % 79 = 0 THEN high + 1.0 ELSE low END AS low,
+         CASE WHEN o_n % 89 = 0 THEN NULL ELSE close END AS close,
+         CASE WHEN o_n % 83 = 0 THEN NULL ELSE volume END AS volume
+  FROM numbered
+),
+arrived AS (
+  SELECT symbol, date, open, high, low, close, volume,
+         CASE WHEN date IS NULL THEN 0 ELSE o_year + (o_n % 61 = 0)::INTEGER END AS o_batch FROM damaged
+  UNION ALL
+  SELECT symbol, date, open, high, low, close + 1, volume, o_year + 1 FROM damaged
+  WHERE symbol IS NOT NULL AND date IS NOT NULL AND close IS NOT NULL
+    AND o_n % 59 = 0 AND o_n % 7 <> 0 AND o_n % 61 <> 0
+),
+newest AS (SELECT symbol, o_batch, max(date) AS d FROM arrived WHERE symbol IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
+stored AS (SELECT symbol, o_batch, max(d) OVER (PARTITION BY symbol ORDER BY o_batch
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_date FROM newest),
+dirty AS (
+  SELECT a.*, coalesce(a.date <= s.last_date, false) AS o_late,
+         CASE WHEN a.symbol IS NULL OR a.date IS NULL THEN row_number() OVER () ELSE 0 END AS o_alone,
+         CASE WHEN coalesce(a.date <= s.last_date, false) THEN a.o_batch ELSE -1 END AS o_set
+  FROM arrived a LEFT JOIN stored s ON a.symbol = s.symbol AND a.o_batch = s.o_batch
+)"""
+    keys = "symbol, o_alone, o_set"
+    labels = f"""
+labelled AS (
+  SELECT * REPLACE (
+    CASE WHEN lead(o_batch) OVER (PARTITION BY {keys} ORDER BY {ORDER_BY}) = o_batch THEN next_day_return END AS next_day_return,
+    CASE WHEN data_quality_flag IS NULL AND date IS NULL THEN 'missing_date'
+         WHEN data_quality_flag IS NULL AND o_late THEN 'late_bar' ELSE data_quality_flag END AS data_quality_flag,
+    CASE WHEN data_quality_flag IS NULL AND date IS NOT NULL AND NOT o_late THEN 'Passed' ELSE 'Failed' END AS data_quality_status)
+  FROM checked
+)"""
+    return (f"{with_(bars_ctes(FLAG_SYMBOL), body, pipeline_ctes('dirty', keys), labels)}\n"
+            f"SELECT\n  {project(PIPELINE_COLUMNS)}\nFROM labelled")

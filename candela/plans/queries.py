@@ -28,11 +28,24 @@ from candela.operators.market import (
 )
 from candela.operators.payload import bars_to_payloads, validate_payloads
 from candela.session import scratch_path
-from candela.sinks.writers import publish_bars, write_landing_csv, write_table
+from candela.sinks.writers import publish_bars, write_landing_csv, write_landing_files, write_table
 from candela.streaming.incremental import replay_in_periods, year_of
 from candela.streaming.pipeline import read_output
-from candela.sources.bars import bars_by_event_hour, bars_by_flag, bars_by_supplier, dirty_bars
-from candela.sources.files import STOCK_SERIES_KEY, flatten_payload, read_bar_messages, read_landing_csv
+from candela.sources.bars import (
+    bars_by_event_hour,
+    bars_by_flag,
+    bars_by_supplier,
+    dirty_arrivals,
+    dirty_bars,
+)
+from candela.sources.files import (
+    CRYPTO_SERIES_KEY,
+    STOCK_SERIES_KEY,
+    flatten_payload,
+    pair_symbol,
+    read_bar_messages,
+    read_landing_csv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +62,8 @@ def flag_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_by_flag(read_table(spark, sf_dir, "lineitem"))
 
 
-# Feature-stage queries: (columns, bars fixture).  Each runs the composite and
-# keeps a subset; Catalyst prunes the window expressions the subset does not use.
+# Feature-stage queries: (columns, bars fixture).  Each chains the stage functions up to
+# the one that adds its columns; Catalyst prunes the expressions the subset does not use.
 STAGE_QUERIES: dict[str, list[str]] = {
     "basic_price": ["daily_change", "daily_change_pct", "daily_range", "daily_range_pct",
                     "typical_price", "ohlc4", "volume_weighted_price"],
@@ -84,8 +97,11 @@ STAGE_QUERIES: dict[str, list[str]] = {
 
 def _stage_query(columns: list[str]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bars = flag_bars(spark, sf_dir)
-        return round_doubles(feat.ohlcv_features(bars).select("symbol", "date", *columns))
+        out = flag_bars(spark, sf_dir)
+        for stage in feat.STAGES.values():
+            if not set(columns) <= set(out.columns):
+                out = stage(out)
+        return round_doubles(out.select("symbol", "date", *columns))
     return run
 
 
@@ -269,6 +285,63 @@ def q_stream_with_history(spark, sf_dir):
     return round_doubles(out.select(*O.PIPELINE_COLUMNS))
 
 
+def segmented_pipeline(spark, sf_dir) -> DataFrame:
+    """The batch job over the dirty bars with every series in chunks, NULL symbols too."""
+    bars = segmented_features(dirty_flag_bars(spark, sf_dir), chunk_rows=128)
+    return quality_flags(feat.job_columns(bars, with_timestamps=False))
+
+
+def q_clean_bars_segmented(spark, sf_dir):
+    return round_doubles(clean_rows(segmented_pipeline(spark, sf_dir)))
+
+
+def q_failed_bars_segmented(spark, sf_dir):
+    return round_doubles(failed_rows(segmented_pipeline(spark, sf_dir)))
+
+
+def q_rollup_timestamps(spark, sf_dir):
+    """Weekly rollup of hourly bars whose dates come in several forms of a timestamp."""
+    t = F.try_to_timestamp("date", F.lit("yyyy-MM-dd HH:mm"))
+    form = F.pmod(F.xxhash64("date"), F.lit(4))
+    date = (F.when(form == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+            .when(form == 1, F.date_format(t, "yyyy-MM-dd'T'HH:mm"))
+            .when(form == 2, F.date_format(t, "yyyy-M-d H:mm")).otherwise(F.col("date")))
+    return round_doubles(weekly_rollup(event_hour_bars(spark, sf_dir).withColumn("date", date)))
+
+
+def q_market_open_instants(spark, sf_dir):
+    """Market flags of instants, in a session whose zone is not UTC."""
+    local = spark.newSession()
+    local.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    holidays = holidays_frame(local, [(m, dt.date.fromisoformat(d)) for m, d in NYSE_HOLIDAYS])
+    events = read_table(local, sf_dir, "events").withColumn("ts", F.convert_timezone(
+        F.lit("UTC"), F.current_timezone(), F.col("ts").cast("timestamp_ntz")).cast("timestamp"))
+    return is_market_open(events, "ts", sessions_frame(local), holidays).select(
+        "event_id", "market", "local_time", "is_open")
+
+
+def q_payload_flatten_crypto(spark, sf_dir):
+    """Bars of currency pairs -> provider payloads -> flattened bars under the pair's file stem."""
+    payloads = bars_to_payloads(supplier_bars(spark, sf_dir), CRYPTO_SERIES_KEY)
+    named = payloads.withColumn("symbol", pair_symbol(F.concat("symbol", F.lit("/USD"))))
+    return round_doubles(flatten_payload(named, "body", CRYPTO_SERIES_KEY))
+
+
+def q_csv_landing_stem(spark, sf_dir):
+    """Bars -> one landing CSV per symbol, named by it -> positional CSV scan (equal to the bars)."""
+    path = scratch_path(spark, "landing-files")
+    write_landing_files(flag_bars(spark, sf_dir), path)
+    return round_doubles(read_landing_csv(spark, path, symbol_from="stem"))
+
+
+def q_stream_dirty_with_history(spark, sf_dir):
+    """The streaming job with look-back over damaged bars: lost symbols and dates, bars that
+    come late, again, or again and changed."""
+    arrivals = dirty_arrivals(flag_bars(spark, sf_dir))
+    out = replay_in_periods(spark, arrivals, F.col("arrival"), history=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -297,6 +370,13 @@ def queries() -> dict[str, Query]:
         "gated_events": q_gated_events,
         "payload_validation": q_payload_validation,
         "delta_or_parquet_sink": q_delta_or_parquet_sink,
+        "clean_bars_segmented": q_clean_bars_segmented,
+        "failed_bars_segmented": q_failed_bars_segmented,
+        "rollup_timestamps": q_rollup_timestamps,
+        "market_open_instants": q_market_open_instants,
+        "payload_flatten_crypto": q_payload_flatten_crypto,
+        "csv_landing_stem": q_csv_landing_stem,
+        "stream_dirty_with_history": q_stream_dirty_with_history,
         "stream_microbatch": q_stream_microbatch,
         "stream_with_history": q_stream_with_history,
     })
@@ -332,6 +412,13 @@ def oracle_sql() -> dict[str, str]:
         "gated_events": O.gated_events_query([d for _, d in NYSE_HOLIDAYS]),
         "payload_validation": O.payload_validation_query(),
         "delta_or_parquet_sink": O.bars_query(O.SUPPLIER_SYMBOL),
+        "clean_bars_segmented": O.pipeline_query("data_quality_status = 'Passed'"),
+        "failed_bars_segmented": O.pipeline_query("data_quality_status = 'Failed'"),
+        "rollup_timestamps": O.event_week_query(),
+        "market_open_instants": O.market_open_instants_query([d for _, d in NYSE_HOLIDAYS]),
+        "payload_flatten_crypto": O.renamed_bars_query("_USD"),
+        "csv_landing_stem": O.bars_query(O.FLAG_SYMBOL),
+        "stream_dirty_with_history": O.stream_dirty_query(),
         "stream_microbatch": O.stream_query(history=False),
         "stream_with_history": O.stream_query(history=True),
     })

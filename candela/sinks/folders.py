@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +34,20 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _at(spark, path)
     fs.delete(where, True)
+
+
+def name_files(spark: SparkSession, staged: str, path: str, suffix: str) -> None:
+    """Move the one file of every ``column=value`` folder of ``staged`` to ``<path>/<value>.<suffix>``."""
+    fs, base = _at(spark, staged)
+    target = _at(spark, path)[1]
+    fs.mkdirs(target)
+    for name in subfolders(spark, staged):
+        value = unquote(name.partition("=")[2])
+        if "/" in value:
+            raise ValueError(f"{value!r} is not a file name")
+        files = [s.getPath() for s in fs.listStatus(_at(spark, f"{staged}/{name}")[1])
+                 if s.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise ValueError(f"{name} has {len(files)} files")
+        fs.rename(files[0], _at(spark, f"{path}/{value}.{suffix}")[1])
+    fs.delete(base, True)

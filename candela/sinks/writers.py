@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.schema import CSV_COLUMNS
+from candela.sinks import folders
 
 log = logging.getLogger(__name__)
 
@@ -44,6 +45,21 @@ def write_landing_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
        .option("header", True).partitionBy("symbol").csv(path))
 
 
+def write_landing_files(df: DataFrame, path: str) -> None:
+    """Bars -> one CSV file ``<path>/<symbol>.csv`` per symbol, the layout an extractor leaves.
+
+    One file means one task per symbol, and the files are named one by one from the driver:
+    for a feed's daily landing.  Larger tables go to ``write_landing_csv``.  Bars without a
+    symbol have no file name and are refused.  Read back with ``symbol_from="stem"``.
+    """
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}-staged"
+    if not df.filter(F.col("symbol").isNull()).isEmpty():
+        raise ValueError("bars without a symbol have no landing file")
+    (df.select("symbol", *CSV_COLUMNS).repartition("symbol").write.mode("overwrite")
+       .option("header", True).partitionBy("symbol").csv(staged))
+    folders.name_files(spark, staged, path, "csv")
+
+
 def format_available(spark: SparkSession, fmt: str) -> bool:
     """Whether this session has the data source ``fmt`` at all.
 

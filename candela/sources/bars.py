@@ -117,3 +117,36 @@ def dirty_bars(bars: DataFrame) -> DataFrame:
                 "low": F.when(swapped, F.col("high") + F.lit(1.0)).otherwise(F.col("low")),
             })
             .select(*BAR_COLUMNS))
+
+
+# When and how often bars of the arrival fixture come.
+ARRIVE_LATE, ARRIVE_AGAIN, ARRIVE_CHANGED, LOSE_DATE = 61, 7, 59, 101
+
+
+def dirty_arrivals(bars: DataFrame) -> DataFrame:
+    """Damaged bars with ``arrival``, the batch in which each comes (a year; "" without a date).
+
+    Beyond the quality damage of ``dirty_bars`` (but for NaN): dates are lost, some bars come
+    a year late, some come again a year later as exact copies, some again with another close.
+    """
+    n = F.row_number().over(Window.partitionBy("symbol").orderBy("date"))
+    every = lambda k: (F.col("_n") % F.lit(k)) == 0
+    swapped = every(DIRTY_EVERY["swap_high_low"])
+    damaged = (bars.withColumn("_n", n).withColumn("_year", F.substring("date", 1, 4).cast("int"))
+               .withColumns({
+                   "symbol": F.when(~every(DIRTY_EVERY["symbol_null"]), F.col("symbol")),
+                   "date": F.when(~every(LOSE_DATE), F.col("date")),
+                   "close": F.when(~every(DIRTY_EVERY["close_null"]), F.col("close")),
+                   "volume": F.when(~every(DIRTY_EVERY["volume_null"]), F.col("volume")),
+                   "high": F.when(swapped, F.col("low")).otherwise(F.col("high")),
+                   "low": F.when(swapped, F.col("high") + F.lit(1.0)).otherwise(F.col("low")),
+               }))
+    year = lambda c: F.when(F.col("date").isNull(), F.lit("")).otherwise(c.cast("string"))
+    first = damaged.withColumn("arrival", year(F.col("_year") + every(ARRIVE_LATE).cast("int")))
+    whole = damaged.filter("symbol is not null and date is not null").filter(~every(ARRIVE_LATE)) \
+        .withColumn("arrival", year(F.col("_year") + 1))
+    again = whole.filter(every(ARRIVE_AGAIN))
+    changed = (whole.filter(every(ARRIVE_CHANGED) & ~every(ARRIVE_AGAIN)).filter("close is not null")
+               .withColumn("close", F.col("close") + 1))
+    columns = [*BAR_COLUMNS, "arrival"]
+    return first.select(columns).unionByName(again.select(columns)).unionByName(changed.select(columns))

@@ -131,6 +131,7 @@ def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
                     F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum")).alias("_sum_seed"),
                     F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum_exact"))
                     .alias("_sum_seed_exact")))
+    rows = rows.withColumn("_peak_seed", F.when(~F.col("_late"), F.col("_peak_seed")))
     return feat.ohlcv_features(rows, partition_cols=("symbol", "_alone", "_late"),
                                sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
                                peak_seed="_peak_seed", keep_exact=True)

@@ -45,7 +45,7 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
     if len(periods) > MOST_PERIODS:
         raise ValueError(f"more than {MOST_PERIODS} periods: choose longer ones")
     for p in periods:
-        landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p)).drop("_period")
+        landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p))
         publish_bars(landed, fmt="text", path=f"{root}/source/{p or 'undated'}", mode="overwrite")
         cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
     clean = read_output(spark, cfg.clean_path, cfg)
