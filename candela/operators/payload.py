@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 from candela.sources.files import STOCK_SERIES_KEY
 
-# The key each source must return, and the payload field names.
+# The key each source must return, the payload field names and the error texts.
 REQUIRED_KEYS = {
     "alpha_vantage": "Time Series (Daily)",
     "binance": "price",
 }
 PAYLOAD_FIELDS = ["1. open", "2. high", "3. low", "4. close", "5. volume"]
+STATUS_ERROR = " API failed with status "
+KEY_ERROR = " response invalid: missing key '"
 
 
 def _required_key(source: Column, required: dict[str, str]) -> Column:
@@ -44,10 +46,10 @@ def validate_payloads(df: DataFrame, source_col: str = "source", status_col: str
     top = F.from_json(F.col(body_col), T.MapType(T.StringType(), T.StringType()))
     has_key = F.coalesce(F.map_contains_key(top, key), F.lit(False))
     status_ok = F.coalesce(status == F.lit(200), F.lit(False))
-    error = (F.when(~status_ok, F.concat(source, F.lit(" API failed with status "),
+    error = (F.when(~status_ok, F.concat(source, F.lit(STATUS_ERROR),
                                          F.coalesce(status.cast("string"), F.lit("NULL"))))
               .when(key.isNotNull() & ~has_key,
-                    F.concat(source, F.lit(" response invalid: missing key '"), key, F.lit("'"))))
+                    F.concat(source, F.lit(KEY_ERROR), key, F.lit("'"))))
     return (df.withColumn("error", error)
               .withColumn("is_valid", F.col("error").isNull()))
 
@@ -56,7 +58,8 @@ def bars_to_payloads(bars: DataFrame, series_key: str = STOCK_SERIES_KEY) -> Dat
     """Bars -> one provider-style JSON payload per (symbol, calendar month).
 
     Each payload maps date -> {"1. open": "...", ...} with values as strings.
-    Grouping by month bounds every group at 31 bars, whatever the series length.
+    A provider answers with daily bars, so a group has at most 31; finer bars need a
+    finer period.
     """
     fields = F.create_map(*[x for name, c in zip(PAYLOAD_FIELDS, ["open", "high", "low", "close", "volume"])
                             for x in (F.lit(name), F.col(c).cast("string"))])

@@ -81,7 +81,9 @@ def read_landing_csv(spark: SparkSession, path: str, symbol_from: str = "stem")
     if symbol_from != "stem":
         raise ValueError(f"symbol_from must be 'stem' or 'partition', got {symbol_from!r}")
     df = reader.schema(CSV_SCHEMA).csv(path)
-    return df.select(file_stem(F.col("_metadata.file_name")).alias("symbol"), *CSV_COLUMNS)
+    # The metadata column gives names as in a URL, but for plus signs.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.select(file_stem(name).alias("symbol"), *CSV_COLUMNS)
 
 
 # --------------------------------------------------------------------------- provider payloads
