@@ -334,6 +334,13 @@ def q_csv_landing_stem(spark, sf_dir):
     return round_doubles(read_landing_csv(spark, path, symbol_from="stem"))
 
 
+def q_stream_labelled(spark, sf_dir):
+    """As ``stream_with_history``, with the labels that later batches completed: every column
+    equals the full-history batch result."""
+    out = replay_in_periods(spark, flag_bars(spark, sf_dir), year_of("date"), history=True, labelled=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
 def q_stream_dirty_with_history(spark, sf_dir):
     """The streaming job with look-back over damaged bars: lost symbols and dates, bars that
     come late, again, or again and changed."""
@@ -377,6 +384,7 @@ def queries() -> dict[str, Query]:
         "payload_flatten_crypto": q_payload_flatten_crypto,
         "csv_landing_stem": q_csv_landing_stem,
         "stream_dirty_with_history": q_stream_dirty_with_history,
+        "stream_labelled": q_stream_labelled,
         "stream_microbatch": q_stream_microbatch,
         "stream_with_history": q_stream_with_history,
     })
@@ -419,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
         "payload_flatten_crypto": O.renamed_bars_query("_USD"),
         "csv_landing_stem": O.bars_query(O.FLAG_SYMBOL),
         "stream_dirty_with_history": O.stream_dirty_query(),
+        "stream_labelled": O.pipeline_query(None, dirty=False),
         "stream_microbatch": O.stream_query(history=False),
         "stream_with_history": O.stream_query(history=True),
     })

@@ -12,7 +12,8 @@ in front of the new ones.  Per symbol the state keeps
 
 so every feature of a new bar equals the value a full recompute over the whole
 history gives.  The one exception is the label ``next_day_return`` of the last
-bar of each batch, NULL when written, because its next bar has not arrived.
+bar of each batch, NULL when written, because its next bar has not arrived; the batch
+that brings it writes the label to a table of its own (``completed_labels``).
 
 The state is a snapshot of all symbols per batch, in a folder of its own run and
 batch.  A batch reads the newest snapshot before it and nothing older, so its cost
@@ -126,7 +127,7 @@ def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
             .select("symbol", *[F.col("_bar").getField(c).alias(c) for c in TAIL_FIELDS],
                     (F.col("_aside") | (~F.col("_hist") & F.coalesce(
                         F.col("_bar.date") <= F.col("_stored"), F.lit(False)))).alias("_late"),
-                    "_alone", "_hist", "_peak_seed",
+                    "_alone", "_hist", "_stored", "_peak_seed",
                     # The sum carry rides on the first history row.
                     F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum")).alias("_sum_seed"),
                     F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum_exact"))
@@ -139,10 +140,16 @@ def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
 
 def batch_rows(with_history: DataFrame) -> DataFrame:
     """The batch's own rows of ``features_with_history`` (keeps ``_late``)."""
-    return with_history.filter(~F.col("_hist")).drop("_alone", "_hist", "_sum_seed", "_sum_seed_exact",
+    return with_history.filter(~F.col("_hist")).drop("_alone", "_hist", "_stored", "_sum_seed", "_sum_seed_exact",
                                                      "_peak_seed", "_cumulative_exact")
 
 
+def completed_labels(with_history: DataFrame) -> DataFrame:
+    """(symbol, date, next_day_return) of stored last bars whose next bar this batch has brought."""
+    return (with_history.filter(F.col("_hist") & (F.col("date") == F.col("_stored")))
+            .filter("next_day_return is not null").select("symbol", "date", "next_day_return"))
+
+
 def next_state(with_history: DataFrame, lookback: int = LOOKBACK_ROWS) -> DataFrame:
     """New state of every touched symbol, from its on-time rows (history + batch)."""
     newest_first = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in feat.ORDER_COLS])

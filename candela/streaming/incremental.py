@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from candela.session import scratch_path
 from candela.sinks.writers import publish_bars
-from candela.streaming.pipeline import PipelineConfig, read_output, run_pipeline
+from candela.streaming.pipeline import PipelineConfig, labelled_output, read_output, run_pipeline
 
 EXCLUDED_OUTPUT = ["processed_timestamp", "processing_date", "run_id", "batch_id"]
 #: Periods are landed one after another from the driver: a backlog of days, not a key.
@@ -23,10 +23,10 @@ MOST_PERIODS = 10_000
 
 
 def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
-                      history: bool, dedupe: bool = True, **options) -> DataFrame:
+                      history: bool, dedupe: bool = True, labelled: bool = False, **options) -> DataFrame:
     """Stream ``bars`` period by period through the job; return clean + failed rows.
 
-    ``options`` are further fields of the job's configuration.
+    ``labelled`` fills in the labels that later batches completed.  ``options`` are further fields of the job's configuration.
     """
     root = scratch_path(spark, "stream")
     cfg = PipelineConfig(output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoint",
@@ -48,6 +48,8 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
         landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p))
         publish_bars(landed, fmt="text", path=f"{root}/source/{p or 'undated'}", mode="overwrite")
         cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
+    if labelled:
+        return labelled_output(spark, cfg).drop(*EXCLUDED_OUTPUT)
     clean = read_output(spark, cfg.clean_path, cfg)
     failed = read_output(spark, cfg.failed_path, cfg)
     return clean.unionByName(failed).drop(*EXCLUDED_OUTPUT)

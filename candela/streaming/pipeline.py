@@ -49,6 +49,7 @@ from candela.sinks.writers import resolve_sink, write_batch
 from candela.sources.files import bar_stream, parse_bars
 from candela.streaming.history import (
     batch_rows,
+    completed_labels,
     features_with_history,
     late_rows,
     merged_state,
@@ -97,6 +98,10 @@ class PipelineConfig:
     def failed_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/{self.failed_folder}"
 
+    @property
+    def labels_path(self) -> str:
+        return f"{self.output_path.rstrip('/')}/completed_labels"
+
     @property
     def state_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/_history_state"
@@ -207,6 +212,7 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
         write_batch(observed.filter(passed), cfg.clean_path, cfg.run_id, batch_id, cfg.sink_format)
         write_batch(failed, cfg.failed_path, cfg.run_id, batch_id, cfg.sink_format)
         if new_state is not None:
+            write_batch(completed_labels(full), cfg.labels_path, cfg.run_id, batch_id, cfg.sink_format)
             write_state(new_state, cfg.state_path, cfg.run_id, batch_id)
         counts = {k: int(v) for k, v in obs.get.items()}
         if copies:
@@ -317,3 +323,19 @@ def read_output(spark: SparkSession, path: str, cfg: PipelineConfig | None = Non
     kinds = {"symbol": T.StringType(), "run_id": T.StringType(), "batch_id": T.LongType()}
     return spark.read.schema(T.StructType([
         T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in inferred.fields])).parquet(path)
+
+
+def labelled_output(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Clean and failed rows with the labels that later batches completed."""
+    rows = read_output(spark, cfg.clean_path, cfg).unionByName(read_output(spark, cfg.failed_path, cfg))
+    if not folders.exists(spark, cfg.labels_path):
+        return rows
+    schema = "symbol string, date string, next_day_return double, run_id string, batch_id long"
+    reader = spark.read.format(cfg.sink_format)
+    labels = (reader if cfg.sink_format == "delta" else reader.schema(schema)).load(cfg.labels_path).select(
+        F.col("symbol").alias("_s"), F.col("date").alias("_d"), F.col("next_day_return").alias("_label"))
+    # A late bar is not the bar of its date that the series holds.
+    same = (F.col("symbol") == F.col("_s")) & (F.col("date") == F.col("_d")) \
+        & ~F.col("data_quality_flag").eqNullSafe(F.lit(LATE_BAR))
+    return (rows.join(labels, same, "left")
+            .withColumn("next_day_return", F.coalesce("next_day_return", "_label")).select(rows.columns))
