@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.llm.common import bucket_count, order_hash, positions, stored
-from candela.llm.tokens import ranks_path, word_tokens
+from candela.llm.tokens import ranks_path, tokens_of
 
 START, END, TAIL = "<|im_start|>", "<|im_end|>", "<|im_end|>\n"
 TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + r"\n", re.S)
@@ -87,7 +87,7 @@ def chained_turns(conversations: DataFrame) -> DataFrame:
 def _turn_tokens(path: str):
     @F.arrow_udf("struct<ids: binary, n: long, loss_from: long, loss_to: long>")
     def tokens(roles: pa.Array, texts: pa.Array) -> pa.Array:
-        encode, rows = word_tokens(path).encode, []
+        encode, rows = tokens_of(path).encode, []
         tail = encode(TAIL)
         for role, text in zip(roles.to_pylist(), texts.to_pylist()):
             head = encode(f"{START}{escape_role(role)}\n")
@@ -168,7 +168,7 @@ def prefix_trees(conversations: DataFrame, path: str | None = None) -> tuple[Dat
 
 def _read(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Conversations from their nodes' tokens; rows come conversation by conversation, in stream order."""
-    decode = word_tokens(path).decode
+    decode = tokens_of(path).decode
 
     def told(conv, ids, loss):
         text = decode(np.concatenate(ids))

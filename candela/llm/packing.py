@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.llm.common import stored, text_of
-from candela.llm.tokens import ranks_path, word_tokens
+from candela.llm.tokens import ranks_path, tokens_of
 
 LENGTH = 1024
 WINDOW_SEQUENCES = 16
@@ -39,7 +39,7 @@ DOCUMENTS_AT_ONCE = 2000
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encode, end = word_tokens(path).encode, END_ID.to_bytes(2, "little")
+    encode, end = tokens_of(path).encode, END_ID.to_bytes(2, "little")
     task, turn = TaskContext.get().partitionId(), 0
     for batch in batches:
         for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):

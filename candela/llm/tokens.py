@@ -1,14 +1,13 @@
-"""Token ids of a public byte-level BPE vocabulary, with a word cache."""
+"""Token ids of a public byte-level BPE vocabulary."""
 
 from __future__ import annotations
 
 import base64
 import functools
 
-#: Words are cached up to this many and this length; the cache then starts anew.
-CACHED_WORDS, CACHED_LENGTH = 300_000, 48
-SPECIAL = "<|endoftext|>"
-SPECIAL_ID = 50256
+import numpy as np
+
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 
 def ranks_path() -> str:
@@ -17,18 +16,8 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-class _NotPlain(Exception):
-    """A word that touches other white space than single spaces."""
-
-
-class WordTokens(dict):
-    """Ids of texts as bytes of little-endian unsigned 16-bit numbers.
-
-    The vocabulary's splitting pattern never joins across a single space between two
-    other characters, and the space goes with the word behind it.  So a text split at
-    single spaces is encoded word by word from a cache.  Texts with other runs of
-    white space beside a space, or with the special token, are encoded whole.
-    """
+class Tokens:
+    """Ids of texts as bytes of little-endian unsigned 16-bit numbers."""
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -39,35 +28,14 @@ class WordTokens(dict):
         self.bpe = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={SPECIAL: SPECIAL_ID})
 
-    def whole(self, text: str) -> bytes:
-        return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u2").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _NotPlain
-        ids = self.whole(" " + word)
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
-        if SPECIAL in text:
-            return self.whole(text)
-        first, *words = text.split(" ")
-        if first and first[-1].isspace():
-            return self.whole(text)
-        try:
-            return self.whole(first) + b"".join(map(self.__getitem__, words))
-        except _NotPlain:
-            return self.whole(text)
+        return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u2").tobytes()
 
-    def decode(self, ids) -> str:
-        return self.bpe.decode(list(ids))
+    def decode(self, ids: np.ndarray) -> str:
+        return self.bpe.decode(ids.tolist())
 
 
 @functools.cache
-def word_tokens(path: str) -> WordTokens:
+def tokens_of(path: str) -> Tokens:
     """One encoder per Python worker."""
-    return WordTokens(path)
+    return Tokens(path)

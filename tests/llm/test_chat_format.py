@@ -7,7 +7,7 @@ import pytest
 
 from candela.llm.chat_format import escape, escape_role, prefix_trees, read_back, unescape, unescape_role, with_probe
 from candela.llm.queries import OP8_SQL
-from candela.llm.tokens import ranks_path, word_tokens
+from candela.llm.tokens import ranks_path, tokens_of
 from llm_helpers import SF_SMALL, same_rows
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -66,7 +66,7 @@ def test_shared_turns_are_emitted_once_and_attention_spells_the_history(talks):
         histories[r.conv_id].append((r.role or "", r.text or ""))
         own.add(tuple(histories[r.conv_id]))
     assert len(nodes) == len(own)  # one node for each different history
-    streams, decode = defaultdict(dict), word_tokens(ranks_path()).decode
+    streams, decode = defaultdict(dict), tokens_of(ranks_path()).decode
     for r in nodes:
         for i, x in enumerate(np.frombuffer(r.ids, "<u2").tolist()):
             assert streams[r.tree].setdefault(r.start + i, x) == x
@@ -79,7 +79,7 @@ def test_shared_turns_are_emitted_once_and_attention_spells_the_history(talks):
         assert len(seen) == r.position
         seen += [streams[r.tree][i] for i in range(r.start, r.start + r.length)]
         want = "".join(f"<|im_start|>{escape_role(a)}\n{escape(b)}<|im_end|>\n" for a, b in histories[end.conv_id])
-        assert decode(seen) == want
+        assert decode(np.array(seen)) == want
 
 
 def test_children_follow_their_parents_depth_first(talks):

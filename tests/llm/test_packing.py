@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from candela.llm.packing import cut_points, pack, served
-from candela.llm.tokens import ranks_path, word_tokens
+from candela.llm.tokens import ranks_path, tokens_of
 from llm_helpers import CLASHING, same_rows
 
 
@@ -22,7 +22,7 @@ STRINGS = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b c", "a\n b", "a \nb",
 
 
 def test_ids_equal_the_tokenizers(reference):
-    encode = word_tokens(ranks_path()).encode
+    encode = tokens_of(ranks_path()).encode
     for text in STRINGS + [a + b for a in STRINGS for b in STRINGS]:
         assert np.frombuffer(encode(text), "<u2").tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
 
