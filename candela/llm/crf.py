@@ -52,13 +52,15 @@ class Chain:
         both = alpha * beta
         return both[:, 1] / both.sum(1)
 
-    def fit(self, combos: np.ndarray, of_combo: np.ndarray, tags: np.ndarray, lengths: np.ndarray,
-            weights: np.ndarray, rounds: int = 150, ridge: float = 1e-2, rate: float = 0.15) -> "Chain":
+    def fit(self, combos: np.ndarray, of_combo: list[tuple[int, ...]], tags: np.ndarray,
+            lengths: np.ndarray, weights: np.ndarray, rounds: int = 150, ridge: float = 1e-2, rate: float = 0.15) -> "Chain":
         """Maximum likelihood by Adam.
 
-        ``combos`` (sequences x tokens) holds for each token a row number of ``of_combo``
-        (0/1: which features it has); ``tags`` are 0/1; ``weights`` count equal sequences.
+        ``combos`` (sequences x tokens) holds for each token its place in ``of_combo`` (the
+        features that a token has); ``tags`` are 0/1; ``weights`` count equal sequences.
         """
+        combo = np.array([i for i, has in enumerate(of_combo) for _ in has], int)
+        feature = np.array([f for has in of_combo for f in has], int)
         n, width = combos.shape
         inside = np.arange(width)[None, :] < lengths[:, None]
         w = weights[:, None] * inside
@@ -71,7 +73,8 @@ class Chain:
         m, s = np.zeros_like(x), np.zeros_like(x)
         for turn in range(1, rounds + 1):
             emit, bias, trans = x[:-5], x[-5], x[-4:].reshape(2, 2)
-            psi = np.exp(np.clip(of_combo @ emit + bias, -30, 30))[combos]
+            summed = np.bincount(combo, emit[feature], len(of_combo))
+            psi = np.exp(np.clip(summed + bias, -30, 30))[combos]
             step = np.exp(trans)
             alpha = np.empty((n, width, 2))
             alpha[:, 0, 0], alpha[:, 0, 1] = 1.0, psi[:, 0]
@@ -96,7 +99,7 @@ class Chain:
             joint /= joint.sum((2, 3), keepdims=True)
             expected_pairs = (joint * pairs_in[:, :, None, None]).sum((0, 1))
             gap = expected - seen
-            grad = np.concatenate([of_combo.T @ gap, [gap.sum()], (expected_pairs - seen_pairs).ravel()])
+            grad = np.concatenate([np.bincount(feature, gap[combo], len(emit)), [gap.sum()], (expected_pairs - seen_pairs).ravel()])
             grad = grad / max(total, 1.0) * 100 + ridge * x / 100
             m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
             x = x - rate * (m / (1 - 0.9 ** turn)) / (np.sqrt(s / (1 - 0.99 ** turn)) + 1e-8)

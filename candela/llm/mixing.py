@@ -11,6 +11,7 @@ then draw disjoint ranges of each source's permuted blocks and shuffle locally.
 Defined results: null text has size 0; a null source is a source of its own, the
 last in order; sources without words have target 0.  Rows that repeat an id are
 separate documents.  Extra columns are carried along; an empty table gives no rows.
+Sources are few: their block counts are one array.
 """
 
 from __future__ import annotations

@@ -159,10 +159,7 @@ def fit_model(texts: list[str], toxic: list[int]) -> Model:
     tags += [[0] * n for n in quiet]
     if rows:
         pad = lambda xs: np.array([x + [0] * (WIDTH - len(x)) for x in xs])
-        of_combo = np.zeros((len(combo_of), len(chosen)))
-        for has, i in combo_of.items():
-            of_combo[i, list(has)] = 1
-        model.chain.fit(pad(rows), of_combo, pad(tags), np.array([len(r) for r in rows]), weights)
+        model.chain.fit(pad(rows), list(combo_of), pad(tags), np.array([len(r) for r in rows]), weights)
     model.chain.prepare()
     evidence, scores = np.zeros((len(y), 2)), {}
     for i, w in enumerate(words):

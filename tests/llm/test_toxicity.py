@@ -30,7 +30,7 @@ def test_fit_climbs_to_the_observed_tags():
     rng = np.random.default_rng(0)
     combos = rng.integers(0, 3, (300, 12))
     tags = (combos == 2).astype(int)
-    chain = Chain(2).fit(combos, np.array([[0, 0], [1, 0], [0, 1]]), tags, np.full(300, 12), np.ones(300)).prepare()
+    chain = Chain(2).fit(combos, [(), (0,), (1,)], tags, np.full(300, 12), np.ones(300)).prepare()
     p = chain.marginals([1, 4, 7], [chain.emit[0], chain.emit[1], chain.emit[0]], 9)
     assert p[1] > 0.9 and max(p[0], p[2]) < 0.1
 
