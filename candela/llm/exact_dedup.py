@@ -52,12 +52,15 @@ def exact_duplicates(docs: DataFrame, least: int = LEAST, most: int = MOST,
 
     dictionary = recipes.select(F.explode("chunks").alias("c")).select("c.*").distinct()
     ambiguous = dictionary.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    doubtful = (recipes.select("text_sha256", F.explode("chunks.h").alias("h"))
-                .join(ambiguous, "h", "left_semi").select("text_sha256").distinct()
-                .withColumn("proof", F.col("text_sha256")))
-    listed = (recipes.join(doubtful, "text_sha256", "left")
-              .select("doc_id", "row", "text_sha256", F.col("chunks.h").alias("recipe"),
-                      F.coalesce("proof", F.lit("")).alias("proof")))
+    listed = recipes.select("doc_id", "row", "text_sha256", F.col("chunks.h").alias("recipe"))
+    if ambiguous.isEmpty():  # as good as always: then identifiers alone prove equality
+        listed = listed.withColumn("proof", F.lit(""))
+    else:
+        doubtful = (recipes.select("text_sha256", F.explode("chunks.h").alias("h"))
+                    .join(ambiguous, "h", "left_semi").select("text_sha256").distinct()
+                    .withColumn("proof", F.col("text_sha256")))
+        listed = (listed.join(doubtful, "text_sha256", "left")
+                  .withColumn("proof", F.coalesce("proof", F.lit(""))))
 
     groups = listed.groupBy("recipe", "proof").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"),
