@@ -17,7 +17,8 @@ joined into components.
 
 Defined results: null text counts as empty; texts without words have fingerprint zero
 and link like any other.  A null doc_id is never a component's name unless all ids
-are null.  Extra columns are ignored; an empty table gives no rows.
+are null.  Components may share a name (null ids, or one id with several texts); ``root``,
+the smallest fingerprint of a component, tells them apart.  Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -207,7 +208,7 @@ def near_links(points: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SI
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS,
                     tree_size: int = TREE_SIZE) -> DataFrame:
-    """One row per document: doc_id, text_hash, fingerprint (hex), component_id, group_size."""
+    """One row per document: doc_id, text_hash, fingerprint (hex), root, component_id, group_size."""
     rows = stored(fingerprints(docs, shingle, seed), "fingerprints")
     points = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"),
                                            F.count(F.lit(1)).alias("n")), "points")
@@ -216,16 +217,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, r
              .withColumn("root", F.coalesce("root", "fp")))
     groups = named.groupBy("root").agg(F.min("first_id").alias("component_id"),
                                        F.sum("n").alias("group_size"))
-    known = named.select("fp", "root").join(groups, "root").select("fp", "component_id", "group_size")
+    known = named.select("fp", "root").join(groups, "root").select("fp", "root", "component_id", "group_size")
     return rows.join(known, "fp").select(
         "doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id", "group_size")
+        "root", "component_id", "group_size")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group: the one whose id names it; columns unchanged."""
+    """``docs`` with one document of each component: the smallest id (null last), then hash; columns unchanged."""
     found = near_duplicates(docs.select("doc_id", "text"), **options)
-    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("component_id").agg(F.min("text_hash").alias("_th"))
-            .withColumnRenamed("component_id", "doc_id").select(row_id().alias("_id"), "_th"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), row_id().alias("_id"), F.col("text_hash").alias("_th")))
+    kept = found.groupBy("root").agg(first.alias("k")).select("k._id", "k._th")
     return keep_rows(docs, kept, F.xxhash64(text_of()))

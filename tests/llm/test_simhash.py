@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.components import components
 from candela.llm.simhash import Trees, drop_near_duplicates, near_duplicates, near_links, text_fingerprint
-from llm_helpers import SF_SMALL, same_rows, words
+from llm_helpers import DOCUMENTS, SF_SMALL, same_rows, words
 
 
 def brute_fingerprint(text):
@@ -109,3 +109,22 @@ def test_edges(odd, clashing, none):
     assert drop_near_duplicates(none).count() == 0
     assert same_rows(near_duplicates(odd), near_duplicates(clashing))
     assert kept.filter(F.col("doc_id").isin(101, 102)).count() == 0
+
+
+def test_components_that_share_a_name_keep_one_document_each(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (words(rng, 300) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (7, c), (7, c), (7, d), (None, e), (9, e), (8, e)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS).repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect()), key=repr)
+    assert kept == sorted([(None, a), (None, b), (7, c), (7, d), (8, e)], key=repr)
+    found = near_duplicates(docs).collect()
+    assert len({r.root for r in found}) == 5 and {r.component_id for r in found} == {None, 7, 8}
+
+
+def test_odd_rows_keep_one_document_per_root(odd, clashing, none):
+    kept, roots = drop_near_duplicates(odd), {r.root for r in near_duplicates(odd).collect()}
+    assert kept.count() == len(roots) == drop_near_duplicates(clashing).count()
+    assert drop_near_duplicates(clashing).columns == clashing.columns
+    assert kept.filter(F.col("doc_id").isin(101, 102)).count() == 0
+    assert drop_near_duplicates(none).count() == 0
