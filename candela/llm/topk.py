@@ -12,7 +12,7 @@ Trees and query blocks are rows of bounded size that meet in a join on the shard
 number: the stated queries against all vectors, in blocks, never row by row.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no
-part, as queries or candidates.  A query finds only vectors of its own length; a query
+part, as queries or candidates; nor do vectors without a vec_id.  A query finds only vectors of its own length; a query
 without candidates has no rows.  Ties go to the smaller vec_id.  Rows that repeat a
 vec_id are not candidates of that id's query; each is a query of its own.  Scores must
 lie below 2^53.  Extra columns are ignored; an empty table gives no rows.
@@ -168,7 +168,7 @@ def scaled(embeddings: DataFrame, scale: float = 256) -> DataFrame:
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
     sound = F.forall("embedding", lambda x: F.coalesce(
         ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
-    return (embeddings.filter(F.col("embedding").isNotNull() & sound)
+    return (embeddings.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & sound)
             .select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), v.alias("v")))
 
 

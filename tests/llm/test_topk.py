@@ -87,3 +87,8 @@ def test_extra_columns(spark):
     more = plain.select("*", *[F.lit("x").alias(c) for c in ("dim", "v", "key", "shard", "lane", "rank", "score")])
     a, b = scaled(plain), scaled(more)
     assert same_rows(top_k(a, a.filter("vec_id % 50 = 0")), top_k(b, b.filter("vec_id % 50 = 0")))
+
+
+def test_vectors_without_an_id_take_no_part(spark):
+    rows = vectors(60)
+    assert asked(spark, rows + [(None, rows[0][1]), (None, [9.0] * 16), (None, None)]) == brute(rows)
