@@ -9,8 +9,12 @@ the document labels; tokens with a marginal of one half or more are the offendin
 spans.  Tokens without features keep a floor probability and do not enter the score,
 so length alone never makes a text toxic.
 
-Only the fit looks at labels, on a bounded sample (``fit_rows``, lowest hashes of
-doc_id) of labelled documents outside the held-out fifth.  Scores use the text alone.
+Only the fit looks at labels, on a bounded sample of labelled documents outside the
+held-out fifth: ``fit_rows`` rows at most, half of each label (more of one if the other
+has fewer), each the lowest hashes of (doc_id, text).  The logistic fit weighs both
+labels alike and its intercept is then set to the labels' shares in all labelled
+documents, so neither the size nor the toxic share of the corpus starves the fit.
+Scores use the text alone.
 
 Defined results: null text counts as empty and gets the score of a text without
 findings; without any usable label every score is 0; a doc_id with several labels
@@ -23,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from math import exp, lgamma, log
 from zlib import crc32
 
 import numpy as np
@@ -30,15 +35,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import text_of
+from candela.llm.common import stored, text_of
 from candela.llm.crf import Chain
 
 WORD = re.compile(r"[^\W\d_]+")
 FIT_ROWS = 4000
 MOST_FEATURES = 5000
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-#: A feature stands in so many toxic sample documents at least, and in this share of its documents.
-LEAST_TOXIC, LEAST_SHARE = 6, 0.6
+#: A feature stands in so many toxic sample documents at least, so many times as often (smoothed)
+#: as in clean ones, and would by chance with this probability at most.
+LEAST_TOXIC, LEAST_RATIO, MOST_CHANCE = 2, 12, 5e-4
 WIDTH = 64
 
 
@@ -96,15 +102,53 @@ def _logistic(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
-    """Newton's method on the penalised likelihood (the intercept is free)."""
+def _fit_logistic(x: np.ndarray, y: np.ndarray, sizes: tuple[int, int], ridge: float = 0.5) -> np.ndarray:
+    """Newton's method on the penalised likelihood (the intercept is free).
+
+    Both labels weigh alike; the intercept then takes the prior odds of ``sizes`` (clean, toxic).
+    """
+    prior = log((sizes[1] + 0.5) / (sizes[0] + 0.5))
+    ones = int(y.sum())
+    if ones in (0, len(y)) or not x.any():
+        return np.r_[prior, np.zeros(x.shape[1])]
+    weight = np.where(y == 1, len(y) / (2 * ones), len(y) / (2 * (len(y) - ones)))
     z = np.c_[np.ones(len(x)), x]
     w = np.zeros(z.shape[1])
     keep = np.diag([1e-6] + [ridge] * x.shape[1])
     for _ in range(30):
         p = _logistic(w, x)
-        w = w - np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + keep, z.T @ (p - y) + keep @ w)
-    return w
+        w = w - np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + keep, z.T @ (weight * (p - y)) + keep @ w)
+    return w + np.r_[prior, np.zeros(x.shape[1])]
+
+
+def _chance(toxic: int, clean: int, share: float) -> float:
+    """Probability that so many or more of a feature's documents are toxic, if ``share`` of all are."""
+    n = toxic + clean
+    term = exp(lgamma(n + 1) - lgamma(toxic + 1) - lgamma(clean + 1)
+               + toxic * log(share) + clean * log(1 - share))
+    total = 0.0
+    for k in range(toxic, n + 1):
+        total += term
+        term *= (n - k) / (k + 1) * share / (1 - share)
+    return total
+
+
+def _chosen(counts: list[Counter], sizes: tuple[int, int]) -> list[str]:
+    """Features (counted in clean and toxic documents, of which there are ``sizes``) that mark toxic ones."""
+    clean, toxic = sizes
+    if not clean or not toxic:
+        return []
+    chances: dict[tuple[int, int], float] = {}
+    found = []
+    for f, n in counts[1].items():
+        other = counts[0][f]
+        if n < LEAST_TOXIC or (n + 0.5) * (clean + 1) < LEAST_RATIO * (other + 0.5) * (toxic + 1):
+            continue
+        if (n, other) not in chances:
+            chances[n, other] = _chance(n, other, toxic / (clean + toxic))
+        if chances[n, other] <= MOST_CHANCE:
+            found.append(f)
+    return sorted(found, key=lambda f: (-counts[1][f], f))[:MOST_FEATURES]
 
 
 def _unlike(words: list[list[str]], keep: int = 16) -> list[int]:
@@ -121,8 +165,8 @@ def _unlike(words: list[list[str]], keep: int = 16) -> list[int]:
     return kept
 
 
-def fit_model(texts: list[str], toxic: list[int]) -> Model:
-    """Train on documents and their labels."""
+def fit_model(texts: list[str], toxic: list[int], sizes: tuple[int, int] | None = None) -> Model:
+    """Train on documents and their labels, drawn from ``sizes`` (clean, toxic) documents (default: all given)."""
     words = [WORD.findall(t.lower()) for t in texts]
     own = _unlike(words)
     words, y = [words[i] for i in own], np.array([toxic[i] for i in own], int)
@@ -131,9 +175,8 @@ def fit_model(texts: list[str], toxic: list[int]) -> Model:
     counts = [Counter(), Counter()]
     for w, label in zip(words, y):
         counts[label].update({f for x in set(w) for f in features_of(x)})
-    chosen = sorted((f for f, n in counts[1].items()
-                     if n >= LEAST_TOXIC and n >= LEAST_SHARE * (n + counts[0][f])),
-                    key=lambda f: (-counts[1][f], f))[:MOST_FEATURES]
+    ones = int(y.sum())
+    chosen = _chosen(counts, (len(y) - ones, ones))
     model = Model({f: i for i, f in enumerate(chosen)}, Chain(len(chosen)), np.zeros(3))
 
     combo_of: dict[tuple[int, ...], int] = {(): 0}
@@ -166,7 +209,7 @@ def fit_model(texts: list[str], toxic: list[int]) -> Model:
         at, found = model.hits(w, scores)
         if at:
             evidence[i] = _evidence(model.chain.marginals(at, found, len(w)))
-    model.logistic = _fit_logistic(evidence, y)
+    model.logistic = _fit_logistic(evidence, y, sizes or (len(toxic) - sum(toxic), sum(toxic)))
     return model
 
 
@@ -177,15 +220,25 @@ def held_out() -> Column:
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on the ``fit_rows`` labelled documents with the lowest hashes outside the held-out fifth."""
+    """Fit on ``fit_rows`` labelled documents at most outside the held-out fifth.
+
+    Labels meet the documents first; of rows equal in (doc_id, text) one counts.
+    """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("toxic in (0, 1) and doc_id is not null").filter(~held_out())
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t"))
-            .join(F.broadcast(known), "doc_id").select("doc_id", "t", "toxic").collect())
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("t")).withColumn("th", F.xxhash64("t"))
+    keys = stored(texts.filter("doc_id is not null").select("doc_id", "th").distinct().join(known, "doc_id")
+                  .select("doc_id", "th", "toxic", F.xxhash64("doc_id", "th").alias("h")), "fit-keys")
+    counted = {r["toxic"]: r["count"] for r in keys.groupBy("toxic").count().collect()}
+    sizes = counted.get(0, 0), counted.get(1, 0)
+    ones = min(sizes[1], max((fit_rows + 1) // 2, fit_rows - sizes[0]))
+    drawn = [keys.filter(F.col("toxic") == y).orderBy("h", "doc_id", "th").limit(n).drop("h")
+             for y, n in ((0, fit_rows - ones), (1, ones))]
+    rows = (texts.join(F.broadcast(drawn[0].unionByName(drawn[1])), ["doc_id", "th"])
+            .groupBy("doc_id", "th", "toxic").agg(F.min("t").alias("t")).collect())
     rows.sort(key=lambda r: (r["doc_id"], r["t"]))
-    return fit_model([r["t"] for r in rows], [r["toxic"] for r in rows])
+    return fit_model([r["t"] for r in rows], [r["toxic"] for r in rows], sizes)
 
 
 def toxic_spans(docs: DataFrame, model: Model) -> DataFrame:

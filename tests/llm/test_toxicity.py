@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candela.llm.crf import Chain
-from candela.llm.toxicity import drop_toxic, fit_on, toxic_spans, toxicity_report
+from candela.llm.toxicity import drop_toxic, fit_model, fit_on, toxic_spans, toxicity_report
 from llm_helpers import DOCUMENTS, same_rows
 
 
@@ -99,3 +99,34 @@ def test_edges(spark, odd, none, clashing):
     assert toxicity_report(docs, one_class).filter("predicted = 1").count() == 0
     assert toxicity_report(none, labels).count() == drop_toxic(none, labels).count() == 0
     assert drop_toxic(clashing, labels).columns == clashing.columns
+
+
+def few_toxic(n_toxic, n_clean, seed):
+    """Documents of 30 rare words, the toxic ones with three of three marking words."""
+    rng = random.Random(seed)
+    pool = ["".join(rng.choices("abcdefghilmnoprstu", k=7)) for _ in range(3000)]
+    draw = lambda y: " ".join(["calm", *rng.choices(pool, k=30), *(rng.choices(("vile", "nasty", "rotten"), k=3) if y else [])])
+    toxic = [1] * n_toxic + [0] * n_clean
+    return [draw(y) for y in toxic], toxic
+
+
+def test_few_toxic_rows_still_train(spark):
+    model = fit_model(*few_toxic(5, 1500, 1))
+    texts, toxic = few_toxic(40, 400, 2)
+    found = [model.score(t, {})[0] >= 0.5 for t in texts]
+    assert sum(found[:40]) >= 20 and sum(found[40:]) <= 4
+
+
+def test_sample_is_bounded_per_label_after_the_join(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("candela.llm.toxicity.fit_model", lambda *a: seen.append(a) or fit_model(*a))
+    texts, toxic = few_toxic(20, 600, 3)
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    rows += [(700, f"{t} again", None, None, None) for t in texts] + [(701, texts[30], None, None, None)] * 300
+    labels = [(i, 1, y) for i, y in enumerate(toxic)] + [(700, 1, 0), (701, 1, 0)] + [(10_000 + i, 1, 0) for i in range(5000)]
+    docs = spark.createDataFrame(rows, DOCUMENTS).repartition(3)
+    fit_on(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), fit_rows=100)
+    used, given_labels, sizes = seen[0]
+    out = {i for i in [*range(620), 700, 701] if crc32(str(i).encode()) % 5 == 0}
+    assert len(used) == 100 and sum(given_labels) == sizes[1] == len(set(range(20)) - out)
+    assert sum(sizes) == sum(i not in out for i in range(620)) + (0 if 700 in out else 620) + (701 not in out)
