@@ -6,9 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,14 +27,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="candela-test-")
-
-
-def bars_df(spark, rows):
-    """rows: (symbol, date, open, high, low, close, volume)"""
-    from candela.schema import BAR_SCHEMA
-    return spark.createDataFrame(rows, BAR_SCHEMA)
-
-
-def by_date(df, *cols):
-    return [r.asDict() for r in df.orderBy("symbol", "date").collect()] if not cols else \
-        [tuple(r[c] for c in cols) for r in df.orderBy("symbol", "date").collect()]

@@ -14,7 +14,7 @@ from candela.operators.rollup import weekly_rollup
 from candela.session import is_local_master
 from candela.sinks.writers import format_available, write_landing_csv, write_landing_files, write_table
 from candela.sources.files import CRYPTO_SERIES_KEY, flatten_payload, read_landing_csv
-from conftest import bars_df
+from bar_helpers import bars_df
 
 
 def test_running_return_beyond_the_decimal_falls_back_to_doubles(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.schema import FEATURE_COLUMNS
-from conftest import bars_df
+from bar_helpers import bars_df
 
 
 def approx(a, b, tol=1e-9):
@@ -173,7 +173,7 @@ def test_30_bar_moments_match_spark_window_aggregates(spark):
 
 def test_chained_stages_equal_composite(spark):
     """The eight stage functions chained give the composite's columns and values."""
-    from conftest import SF_SMALL
+    from bar_helpers import SF_SMALL
     from candela.plans.queries import flag_bars
     bars = flag_bars(spark, SF_SMALL)
     chained = bars

@@ -11,7 +11,7 @@ from candela.operators.quality import (
     split,
 )
 from candela.operators.rollup import monthly_rollup, weekly_rollup
-from conftest import bars_df
+from bar_helpers import bars_df
 
 WEEK = [
     ("A", "2024-01-03", 10.0, 12.0, 9.0, 11.0, 100.0),   # Wednesday

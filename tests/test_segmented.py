@@ -8,7 +8,7 @@ from candela.operators import features as feat
 from candela.operators.segmented import segmented_features, series_ordinals
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candela.sources.bars import bars_by_flag
-from conftest import bars_df
+from bar_helpers import bars_df
 
 
 def flag_bars(spark):

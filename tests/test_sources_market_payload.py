@@ -20,7 +20,7 @@ from candela.sources.files import (
     read_bar_messages,
     read_landing_csv,
 )
-from conftest import bars_df
+from bar_helpers import bars_df
 
 BARS = [("AAPL", "2024-01-02", 10.0, 12.0, 9.0, 11.0, 100.0),
         ("AAPL", "2024-01-03", 11.0, 13.0, 10.5, 12.5, 1e-7),

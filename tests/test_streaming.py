@@ -8,7 +8,7 @@ from candela.sources.bars import bars_by_flag
 from candela.streaming.history import read_state
 from candela.streaming.incremental import replay_in_periods, year_of
 from candela.streaming.pipeline import PipelineConfig, process_batch, read_output
-from conftest import bars_df
+from bar_helpers import bars_df
 
 
 def flag_bars(spark):
