@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.chat_format import prefix_trees, read_back, with_probe
 from candela.llm.common import documents
+from candela.llm.conversation_trie import conversation_trie
 from candela.llm.exact_dedup import exact_duplicates
 from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
 from candela.llm.mixing import mix_report
@@ -16,6 +17,7 @@ from candela.llm.packing import pack
 from candela.llm.secret_scan import secret_report
 from candela.llm.sharding import assign_shards
 from candela.llm.simhash import near_duplicates
+from candela.llm.spelling import spelling_variants
 from candela.llm.topk import scaled, top_k
 from candela.llm.toxicity import toxicity_report
 
@@ -66,6 +68,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
 _TEMPLATE_ROWS = ",\n  ".join(
     f"({t}, '{x.label}', {str(x.whole).lower()}, {list(x.words)})" for t, x in enumerate(TEMPLATES))
 
@@ -165,10 +175,77 @@ WHERE rank <= 5
 """
 
 
+def _crc32_sql(text: str) -> str:
+    """DuckDB expression of the CRC-32 of an ASCII or Latin-1 string's UTF-8 bytes (its polynomial, bit by bit)."""
+    return f"""(xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(regexp_replace(hex(encode({text})), '(..)', '\\1 ', 'g')[:-2], ' '),
+                       lambda y: ('0x' || y)::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                 lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)),
+        4294967295))"""
+
+
+OP11_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(coalesce(role, '')), sha256(coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32_sql("conv_id::VARCHAR")} % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+own AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY place) AS turns FROM t GROUP BY conv_id),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), o.turns[c.h + 1:]) AS turns
+  FROM c JOIN own o ON o.conv_id = c.conv_id LEFT JOIN own b ON b.conv_id = c.base),
+v AS (SELECT conv_id, d AS depth, len(turns) = d AS ends, turns[1:d] AS path, turns[d].x AS last
+      FROM whole, unnest(range(0, len(turns) + 1)) AS u(d)),
+n AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(any_value(strlen(last)), 0) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM v GROUP BY path),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+s AS (
+  SELECT path[1:d] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM m, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, m.ends_sha256
+FROM m JOIN s USING (path) LEFT JOIN m p ON m.depth > 0 AND p.path = m.path[1:m.depth - 1]
+"""
+
+
+#: Neighbours by words with one code point left out, not by rotations.
+OP13_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+r AS (SELECT id, run, count(*) AS k FROM d WHERE length(run) >= 5 GROUP BY id, run),
+h AS (SELECT run, k, {_crc32_sql("id || ':' || run")} AS h FROM r),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word,
+         sum(k)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(k) >= 3),
+g AS (SELECT word, n, i, left(word, i::INT) || substr(word, (i + 2)::INT) AS less FROM w, unnest(range(0, length(word))) AS u(i)),
+p AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM g a JOIN g b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, g.n, w.word, w.n FROM g JOIN w ON w.word = g.less
+  UNION SELECT w.word, w.n, g.word, g.n FROM g JOIN w ON w.word = g.less),
+b AS (SELECT word, n, count(*) AS n_near, min({{'k': -m, 'o': other}}) AS best FROM p GROUP BY word, n),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.k >= 2 * w.n THEN best.o END AS form,
+         CASE WHEN -best.k >= 2 * w.n THEN -best.k END AS form_n
+  FROM w LEFT JOIN b USING (word)),
+x AS (SELECT word, word AS at, form AS next FROM f
+      UNION ALL SELECT x.word, f.word, f.form FROM x JOIN f ON f.word = x.next)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, x.at AS root FROM f JOIN x ON x.word = f.word AND x.next IS NULL
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op3_mix": OP3_SQL,
-            "op8_chat_format": OP8_SQL, "op10_topk": OP10_SQL}
+            "op8_chat_format": OP8_SQL, "op10_topk": OP10_SQL,
+            "op11_conversation_trie": OP11_SQL, "op13_spelling": OP13_SQL}
