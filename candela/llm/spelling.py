@@ -59,44 +59,39 @@ def word_counts(docs: DataFrame, every: int = 97) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_COUNT)
 
 
+def _values(word: str) -> tuple[list[int], list[int]]:
+    """Values of all keys of a word in :func:`rotations`' order: its edits, its whole rotations.
+
+    The value of a string is the sum of code point times BASE^place, mod PRIME.
+    """
+    size = len(word)
+    powers, heads, tails = [1], [0], [0]
+    for c in word:
+        heads.append((heads[-1] + ord(c) * powers[-1]) % PRIME)
+        powers.append(powers[-1] * BASE % PRIME)
+    powers.append(powers[-1] * BASE % PRIME)
+    for c in reversed(word):
+        tails.append((ord(c) + tails[-1] * BASE) % PRIME)
+
+    def turned(start: int, stop: int) -> int:  # word[start:] + MARK + word[:stop]
+        after = size - start
+        return (tails[after] + ord(MARK) * powers[after] + heads[stop] * powers[after + 1]) % PRIME
+
+    return [turned(i + 1, i) for i in range(size)], [turned(i, i) for i in range(size + 1)]
+
+
 def rotations(word: str) -> Iterator[tuple[str, bool, bool]]:
     """(key, whole, first) of a word: its edit keys, then its whole rotations.
 
     ``first``: the code point left out is not the same as the one before it.
     """
     size = len(word)
-    if size <= KEY_POINTS:
-        for i in range(size):
-            yield word[i + 1:] + MARK + word[:i], False, i == 0 or word[i] != word[i - 1]
-    else:
-        # Value of a string: sum of code point times BASE^place, mod PRIME.
-        powers, heads = [1], [0]
-        for c in word:
-            heads.append((heads[-1] + ord(c) * powers[-1]) % PRIME)
-            powers.append(powers[-1] * BASE % PRIME)
-        tail = 0
-        edits = []
-        for i in range(size - 1, -1, -1):  # tail: the value of word[i + 1:]
-            after = size - 1 - i
-            edits.append((tail + ord(MARK) * powers[after] + heads[i] * powers[after + 1]) % PRIME)
-            tail = (ord(word[i]) + tail * BASE) % PRIME
-        for i, value in enumerate(reversed(edits)):
-            yield f"{size}:{value:032x}", False, i == 0 or word[i] != word[i - 1]
-    if size + 1 <= KEY_POINTS:
-        for i in range(size + 1):
-            yield word[i:] + MARK + word[:i], True, True
-    else:
-        powers, heads = [1], [0]
-        for c in word:
-            heads.append((heads[-1] + ord(c) * powers[-1]) % PRIME)
-            powers.append(powers[-1] * BASE % PRIME)
-        tail, whole = 0, [(ord(MARK) + heads[size] * BASE) % PRIME]
-        for i in range(size - 1, -1, -1):  # tail: the value of word[i:]
-            tail = (ord(word[i]) + tail * BASE) % PRIME
-            after = size - i
-            whole.append((tail + ord(MARK) * powers[after] + heads[i] * powers[after + 1]) % PRIME)
-        for value in whole:
-            yield f"{size + 1}:{value:032x}", True, True
+    edits, wholes = _values(word) if size >= KEY_POINTS else ([], [])
+    for i in range(size):
+        key = word[i + 1:] + MARK + word[:i] if size <= KEY_POINTS else f"{size}:{edits[i]:032x}"
+        yield key, False, i == 0 or word[i] != word[i - 1]
+    for i in range(size + 1):
+        yield word[i:] + MARK + word[:i] if size < KEY_POINTS else f"{size + 1}:{wholes[i]:032x}", True, True
 
 
 def _rotated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
