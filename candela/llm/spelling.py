@@ -9,7 +9,8 @@ range with one prefix: at most one word that is the key itself (``whole``) and,
 code point of the alphabet, at most one with that point more (``edit``).  A range is thus
 never longer than the alphabet, and no pair of words is ever written out: each range is
 read in order of (n descending, word), and every word takes from it how many partners it
-has there and the best of them.
+has there and the best of them.  Words travel as their rank in that order, so a rotation is
+a key and a number, however long the word.
 
 A code point left out of a run of equal ones gives the same word at every place of the run;
 only the first place counts, so every neighbour is counted once.
@@ -38,7 +39,7 @@ LEAST_POINTS, LEAST_COUNT = 5, 3
 MARK = "|"
 KEY_POINTS = 48
 PRIME, BASE = (1 << 127) - 1, 0x5DEECE66D1234567
-ROTATIONS = "word string, n long, key string, whole boolean, first boolean"
+ROTATIONS = "rank long, key string, whole boolean, first boolean"
 
 
 def planted(run: Column, doc_id: Column, every: int = 97) -> Column:
@@ -95,13 +96,12 @@ def rotations(word: str) -> Iterator[tuple[str, bool, bool]]:
 
 
 def _rotated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.schema([("word", pa.string()), ("n", pa.int64()), ("key", pa.string()),
-                      ("whole", pa.bool_()), ("first", pa.bool_())])
+    kind = pa.schema([("rank", pa.int64()), ("key", pa.string()), ("whole", pa.bool_()), ("first", pa.bool_())])
     for batch in batches:
         out: list[tuple] = []
-        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-            for key, whole, first in rotations(word):
-                out.append((word, n, key, whole, first))
+        for word, rank in zip(batch.column("word").to_pylist(), batch.column("rank").to_pylist()):
+            for turned in rotations(word):
+                out.append((rank, *turned))
                 if len(out) >= 10_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], schema=kind)
                     out = []
@@ -109,33 +109,33 @@ def _rotated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], schema=kind)
 
 
-def near_words(words: DataFrame) -> DataFrame:
-    """(word, n, n_near, best) of every word; ``best`` is the near word of largest n (struct n, word), or null.
+def ranked(words: DataFrame) -> DataFrame:
+    """Distinct (word, n) with ``rank``, which grows in order of (n descending, word); stored."""
+    keys = [F.desc("n"), F.asc("word")]
+    return stored(words.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
+        "word", "n", F.monotonically_increasing_id().alias("rank")), "ranked-words")
 
-    ``words`` holds distinct (word, n) and must be stable under re-reading.
-    """
+
+def near_words(words: DataFrame) -> DataFrame:
+    """(rank, n_near, best) of every ranked word; ``best`` is the rank of its best near word, or null."""
     rows = words.mapInArrow(_rotated, ROTATIONS)
-    best = F.struct((-F.col("n")).alias("m"), F.col("word").alias("w"))  # least: largest n, then code-point order
     range_ = Window.partitionBy("key")
-    scan = Window.partitionBy("key").orderBy("whole", F.desc("n"), "word")
+    scan = Window.partitionBy("key").orderBy("whole", "rank")
     edit, first = ~F.col("whole"), ~F.col("whole") & F.col("first")
-    count = lambda c: F.coalesce(F.sum(c.cast("long")).over(range_), F.lit(0))
-    least = lambda c: F.min(F.when(c, best)).over(range_)
+    count = lambda c: F.sum(c.cast("long")).over(range_)
+    least = lambda c: F.min(F.when(c, F.col("rank"))).over(range_)
     read = rows.withColumns({
         "place": F.row_number().over(scan), "edits": count(edit), "firsts": count(first), "wholes": count(F.col("whole")),
         "top": least(edit), "top_first": least(first), "short": least(F.col("whole"))})
     # The best other word of the range's edits: the second one for the first.
-    other = F.min(F.when(edit & (F.col("place") == 2), best)).over(range_)
-    read = read.withColumn("other", F.when(F.col("place") == 1, other).otherwise(F.col("top")))
+    second = F.min(F.when(edit & (F.col("place") == 2), F.col("rank"))).over(range_)
+    read = read.withColumn("other", F.when(F.col("place") == 1, second).otherwise(F.col("top")))
     near = F.when(F.col("whole"), F.col("firsts")).otherwise(
         F.col("edits") - 1 + F.when(F.col("first"), F.col("wholes")).otherwise(0))
-    # least() skips nulls, and the struct's order is that of (n descending, word).
-    found = F.when(F.col("whole"), F.col("top_first")).otherwise(
+    best = F.when(F.col("whole"), F.col("top_first")).otherwise(  # least() skips nulls
         F.least(F.col("other"), F.when(F.col("first"), F.col("short"))))
-    return (read.select("word", "n", near.alias("near"), found.alias("found"))
-            .groupBy("word").agg(F.max("n").alias("n"), F.sum("near").alias("n_near"), F.min("found").alias("found"))
-            .select("word", "n", "n_near", F.when(F.col("found").isNotNull(), F.struct(
-                (-F.col("found.m")).alias("n"), F.col("found.w").alias("word"))).alias("best")))
+    return read.select("rank", near.alias("near"), best.alias("best")).groupBy("rank").agg(
+        F.sum("near").alias("n_near"), F.min("best").alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -154,8 +154,10 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def spelling_variants(docs: DataFrame, every: int = 97, ratio: int = 2) -> DataFrame:
     """One row per word: word, n, n_near, form, form_n, root."""
-    words = stored(word_counts(docs, every), "words")
-    found = near_words(words).withColumn("ok", F.col("best.n") >= ratio * F.col("n"))
-    found = stored(found.select("word", "n", "n_near", F.when(F.col("ok"), F.col("best.word")).alias("form"),
-                                F.when(F.col("ok"), F.col("best.n")).alias("form_n")), "near-words")
+    words = ranked(word_counts(docs, every))
+    of_best = words.select(F.col("rank").alias("best"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    found = words.join(near_words(words), "rank").join(of_best, "best", "left").withColumn(
+        "ok", F.col("near_n") >= ratio * F.col("n"))
+    found = stored(found.select("word", "n", "n_near", F.when(F.col("ok"), F.col("near")).alias("form"),
+                                F.when(F.col("ok"), F.col("near_n")).alias("form_n")), "near-words")
     return found.join(roots(found.select("word", "form")), "word")
