@@ -12,6 +12,7 @@ from candela.llm.common import documents
 from candela.llm.conversation_trie import conversation_trie
 from candela.llm.exact_dedup import exact_duplicates
 from candela.llm.license_scan import SHARE, SLACK, TEMPLATES, license_report
+from candela.llm.lm_score import lm_scores
 from candela.llm.mixing import mix_report
 from candela.llm.packing import pack
 from candela.llm.secret_scan import secret_report
@@ -72,6 +73,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir))
 

@@ -156,7 +156,9 @@ def spelling_variants(docs: DataFrame, every: int = 97, ratio: int = 2) -> DataF
     """One row per word: word, n, n_near, form, form_n, root."""
     words = ranked(word_counts(docs, every))
     of_best = words.select(F.col("rank").alias("best"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    found = words.join(near_words(words), "rank").join(of_best, "best", "left").withColumn(
+    # Words without a near one look for a rank that no word has, each for its own.
+    near = near_words(words).withColumn("best", F.coalesce("best", -1 - F.col("rank")))
+    found = words.join(near, "rank").join(of_best, "best", "left").withColumn(
         "ok", F.col("near_n") >= ratio * F.col("n"))
     found = stored(found.select("word", "n", "n_near", F.when(F.col("ok"), F.col("near")).alias("form"),
                                 F.when(F.col("ok"), F.col("near_n")).alias("form_n")), "near-words")
