@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -26,6 +27,38 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``, in order; none if it is not there."""
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isFile())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears whole, by one rename; one that is there is an error."""
+    fs, where = _at(spark, path)
+    draft = _at(spark, f"{path}.{uuid.uuid4().hex[:8]}.draft")[1]
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(where) or not fs.rename(draft, where):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was committed."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -109,24 +109,23 @@ RUN_COLUMNS = ["run_id", "batch_id"]
 
 
 def write_batch(df: DataFrame, path: str, run_id: str, batch_id: int, fmt: str = "parquet") -> str:
-    """Replay-safe append of one micro-batch of one run.
-
-    Rows carry ``run_id`` and ``batch_id``, and the table is partitioned by them; a
-    symbol's rows stay together inside the files.  Parquet: dynamic partition overwrite,
-    so a batch that runs again replaces exactly what its earlier attempt wrote, and no
-    other run's rows (batch numbers restart with every checkpoint).  Delta: an
-    idempotent append keyed by the run and the batch.
+    """Replay-safe write of one micro-batch of one run.
+
+    The table is partitioned by run and batch; a symbol's rows stay together inside the
+    files.  Parquet: the batch's own folder is written, and overwritten by a later attempt
+    of the same batch; no other run's rows are touched (batch numbers restart with every
+    checkpoint).  Run and batch stand in the folder's name alone, so the generated code of
+    the write is the same for every batch and is compiled once.  Delta: an idempotent append
+    keyed by the run and the batch.
     """
-    out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id)).cast("long")})
     if fmt == "delta":
+        out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id)).cast("long")})
         (out.write.format("delta").mode("append")
             .option("txnAppId", f"{run_id}:{path}").option("txnVersion", int(batch_id))
             .option("mergeSchema", "true")
             .partitionBy(*RUN_COLUMNS).save(path))
         return path
-    (out.write.format(fmt).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RUN_COLUMNS).save(path))
+    df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={run_id}/batch_id={int(batch_id)}")
     return path
 
 

@@ -15,11 +15,11 @@ history gives.  The one exception is the label ``next_day_return`` of the last
 bar of each batch, NULL when written, because its next bar has not arrived; the batch
 that brings it writes the label to a table of its own (``completed_labels``).
 
-The state is a snapshot of all symbols per batch, in a folder of its own run and
-batch.  A batch reads the newest snapshot before it and nothing older, so its cost
-does not grow with the number of batches; older ones are dropped once a newer is
-there (the one before stays, for a batch that is replayed).  A run with a fresh
-checkpoint goes on from the newest snapshot of the runs before it.
+The state is a snapshot of all symbols per batch, in a folder of its own, beside digests of
+the stored bars (``candela.streaming.redelivery``).  The record of committed batches
+(``candela.streaming.commits``) names the newest one; a batch reads that and nothing older,
+so its cost does not grow with the number of batches.  Snapshots are dropped when two newer
+ones are recorded.  A run with a fresh checkpoint goes on from the same record.
 
 Batch and state rows meet in one shuffle on the symbol: state rows travel as one
 row each, spread their last date and peak over the symbol's rows by a window, and
@@ -32,12 +32,16 @@ late: they are kept out of the windows and flagged ``late_bar``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
 from candela.schema import BAR_COLUMNS, LOOKBACK_ROWS
 from candela.sinks import folders
+from candela.streaming.commits import Commit, newest
+from candela.streaming.redelivery import DIGESTS
 
 TAIL_FIELDS = ["date", "open", "high", "low", "close", "volume"]
 _TAIL = "array<struct<date:string,open:double,high:double,low:double,close:double,volume:double>>"
@@ -50,40 +54,34 @@ def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def batch_name(batch_id: int) -> str:
-    return f"batch-{batch_id:012d}"
+STATE_FOLDER = "_history_state"
 
 
-def snapshots(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(run, batch) of every complete snapshot, oldest first (run ids begin with their time)."""
-    return [(run, batch) for run in folders.subfolders(spark, path)
-            for batch in folders.subfolders(spark, f"{path}/{run}")
-            if folders.is_complete(spark, f"{path}/{run}/{batch}")]
+def read_state(spark: SparkSession, output: str, last: Commit | None = None) -> tuple[DataFrame, DataFrame]:
+    """(look-back state, digests of the stored bars) that the newest record names.
 
+    Empty when there is none; a snapshot that cannot be read raises.
+    """
+    last = last or newest(spark, output)
+    if last.state is None:
+        return empty_state(spark), spark.createDataFrame([], DIGESTS)
+    path = f"{output}/{STATE_FOLDER}/{last.state}"
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{path}/tails"), spark.read.schema(DIGESTS).parquet(f"{path}/digests")
 
-def read_state(spark: SparkSession, path: str, run_id: str | None = None,
-               before_batch: int | None = None) -> DataFrame:
-    """The newest snapshot written before batch ``before_batch`` of ``run_id`` (all, if not given).
 
-    Ignoring the current and later batches makes a replayed batch see exactly the state
-    its first attempt saw.  Empty when there is none; a snapshot that cannot be read raises.
-    """
-    known = snapshots(spark, path)
-    if run_id is not None and before_batch is not None:
-        known = [s for s in known if s < (run_id, batch_name(before_batch))]
-    if not known:
-        return empty_state(spark)
-    return spark.read.schema(STATE_SCHEMA).parquet("/".join([path, *known[-1]]))
-
-
-def write_state(state: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    """Write the snapshot of a batch, then drop all but it and the one before it."""
-    spark = state.sparkSession
-    here = (run_id, batch_name(batch_id))
-    state.write.mode("overwrite").parquet("/".join([path, *here]))
-    older = [s for s in snapshots(spark, path) if s < here]
+def write_state(state: DataFrame, stored: DataFrame, output: str, seq: int) -> str:
+    """Write a snapshot under a name of its own; it counts when a record names it."""
+    name = f"{seq:012d}-{uuid.uuid4().hex[:8]}"
+    state.write.parquet(f"{output}/{STATE_FOLDER}/{name}/tails")
+    stored.write.parquet(f"{output}/{STATE_FOLDER}/{name}/digests")
+    return name
+
+
+def drop_older(spark: SparkSession, output: str, newest_state: str) -> None:
+    """Drop the snapshots before the last one but one, and those of attempts that were not recorded."""
+    older = [s for s in folders.subfolders(spark, f"{output}/{STATE_FOLDER}") if s < newest_state]
     for s in older[:-1]:
-        folders.delete(spark, "/".join([path, *s]))
+        folders.delete(spark, f"{output}/{STATE_FOLDER}/{s}")
 
 
 def no_series() -> Column:

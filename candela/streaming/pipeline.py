@@ -6,15 +6,22 @@ are not allowed on a streaming DataFrame, so the batch API runs them).  Per
 non-empty batch:
 
 1. optional dedupe of (symbol, date) re-deliveries inside the batch;
-2. with ``history``: bars already stored, as exact copies, are dropped and counted;
+2. with ``history``: bars already stored, as exact copies, are dropped and counted
+   (``candela.streaming.redelivery``);
 3. features -- restarted per batch, or continued from the per-symbol look-back
    state when ``history`` is on (``candela.streaming.history``);
 4. job columns and quality flags (late bars flagged ``late_bar``, bars without a
    date ``missing_date`` where windows run across batches);
 5. the feature frame is computed once and persisted; clean and failed rows go to
-   two tables partitioned by run and batch, written replay-safe, and the new
-   look-back state is derived from the same frame; the counts come from one
-   ``observe`` on the first write instead of extra jobs.
+   two tables partitioned by run and batch, and the new look-back state is derived
+   from the same frame; the counts come from one ``observe`` on the first write
+   instead of extra jobs;
+6. one record makes all of it visible (``candela.streaming.commits``).  Readers see
+   recorded batches only, and a recorded batch is not written again.
+
+What differs from batch to batch stays out of the generated code: run and batch stand in
+folder names, and the wall clock is a column that joins the bars before the windows.  The
+large plan is thus compiled by the first batch alone.
 
 A run is named once, in a file beside its checkpoint, with the sink format that was
 available then.  Outputs are keyed by run and batch: a fresh checkpoint on an old
@@ -22,7 +29,7 @@ output folder adds to it and replaces nothing.
 
 A failing batch raises: the query stops without committing the batch, and a
 restart from the checkpoint replays it, overwriting whatever the failed
-attempt wrote.
+attempt wrote and nobody has seen.
 """
 
 from __future__ import annotations
@@ -43,13 +50,14 @@ from candela.operators.dedupe import latest_bar
 from candela.operators.quality import LATE_BAR, MISSING_DATE, count_observation, quality_flag, quality_flags
 from candela.operators.segmented import segmented_features
 from candela.schema import BAR_COLUMNS, BAR_SCHEMA
-from candela.session import scratch_path
 from candela.sinks import folders
 from candela.sinks.writers import resolve_sink, write_batch
 from candela.sources.files import bar_stream, parse_bars
+from candela.streaming.commits import committed, newest, record
 from candela.streaming.history import (
     batch_rows,
     completed_labels,
+    drop_older,
     features_with_history,
     late_rows,
     merged_state,
@@ -57,6 +65,7 @@ from candela.streaming.history import (
     read_state,
     write_state,
 )
+from candela.streaming.redelivery import digests, hashed, late_months, merged_digests, without_copies, write_known
 
 log = logging.getLogger(__name__)
 
@@ -103,8 +112,8 @@ class PipelineConfig:
         return f"{self.output_path.rstrip('/')}/completed_labels"
 
     @property
-    def state_path(self) -> str:
-        return f"{self.output_path.rstrip('/')}/_history_state"
+    def known_path(self) -> str:
+        return f"{self.output_path.rstrip('/')}/_known_bars"
 
 
 def prepare_bars(bars: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -158,52 +167,39 @@ def transform_batch(bars: DataFrame, cfg: PipelineConfig,
     return flag_rows(batch_rows(full), cfg), merged_state(next_state(full), state)
 
 
-def without_stored_copies(bars: DataFrame, state: DataFrame, cfg: PipelineConfig,
-                          batch_id: int) -> tuple[DataFrame, int]:
-    """``bars`` without exact copies of bars that earlier batches stored, and how many there were.
-
-    Publishers send their whole history again.  Copies are old, so the stored tables are
-    read only when the batch has bars that are not newer than their symbol's last one.
-    """
-    late = late_rows(bars, state)
-    if late.isEmpty():
-        return bars, 0
-    spark = bars.sparkSession
-    # Batches of this run before this one; all of any run before it.
-    earlier = (F.col("run_id") < cfg.run_id) | ((F.col("run_id") == cfg.run_id) & (F.col("batch_id") < batch_id))
-    known = stored_bars(spark, cfg.clean_path, cfg.sink_format).unionByName(
-        stored_bars(spark, cfg.failed_path, cfg.sink_format)).filter(earlier)
-    bar = F.struct(*BAR_COLUMNS[1:])
-    known = known.select(F.col("symbol").alias("_s"), bar.alias("_b")).distinct()
-    same = (F.col("symbol") == F.col("_s")) & bar.eqNullSafe(F.col("_b"))
-    # Written, not cached: this batch will write to the tables that the plan reads.
-    path = scratch_path(spark, "fresh-bars")
-    bars.join(known, same, "left_anti").write.parquet(path)
-    fresh = spark.read.schema(bars.schema).parquet(path)
-    return fresh, bars.count() - fresh.count()
-
-
 def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> dict[str, int]:
     """The ``foreachBatch`` body; returns the batch counts.
 
-    The feature frame is computed once and persisted; the clean write, the
-    failed write and the new look-back state are all read from it.
+    The feature frame is computed once and persisted; the clean write, the failed write and
+    the new look-back state are all read from it.  A batch that is recorded already is left
+    alone: its last replay came after its record.
     """
+    spark, output = batch_df.sparkSession, cfg.output_path.rstrip("/")
+    last = newest(spark, output)
+    if last.holds(cfg.run_id, batch_id):
+        log.info("batch %s is recorded, skipped", batch_id)
+        return last.batches[cfg.run_id]
     if batch_df.isEmpty():
         log.info("batch %s empty, skipped", batch_id)
         return {"total_records": 0, "clean_records": 0, "failed_records": 0}
-    spark = batch_df.sparkSession
-    bars, copies, state, new_state = prepare_bars(batch_df, cfg), 0, None, None
+    bars, copies, state, stored = prepare_bars(batch_df, cfg), 0, None, None
     if cfg.history:
-        state = read_state(spark, cfg.state_path, cfg.run_id, batch_id)
-        bars, copies = without_stored_copies(bars, state, cfg, batch_id)
-        full = features_with_history(bars, state).persist(StorageLevel.MEMORY_AND_DISK)
-        feats, new_state = batch_rows(full), merged_state(next_state(full), state)
+        state, stored = read_state(spark, output, last)
+        if last.state is not None:
+            late = late_rows(bars, state).persist(StorageLevel.MEMORY_AND_DISK)
+            if not late.isEmpty():
+                compared = late_months(late, stored).persist(StorageLevel.MEMORY_AND_DISK)
+                fresh = without_copies(bars, late, compared, cfg.known_path, last.visible())
+                copies = bars.count() - fresh.count()
+                bars = fresh
+                compared.unpersist()
+            late.unpersist()
+        full = features_with_history(bars, state)
     else:
-        full = plain_features(bars, cfg.chunk_rows).persist(StorageLevel.MEMORY_AND_DISK)
-        feats = full
+        full = plain_features(bars, cfg.chunk_rows)
+    full = full.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        flagged = flag_rows(feats, cfg)
+        flagged = flag_rows(batch_rows(full) if cfg.history else full, cfg)
         observed, obs = count_observation(flagged)
         passed = F.col("data_quality_status") == F.lit("Passed")
         failed = flagged.filter(~passed)
@@ -211,12 +207,19 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
             failed = with_raw(failed, batch_df)
         write_batch(observed.filter(passed), cfg.clean_path, cfg.run_id, batch_id, cfg.sink_format)
         write_batch(failed, cfg.failed_path, cfg.run_id, batch_id, cfg.sink_format)
-        if new_state is not None:
+        name = None
+        if cfg.history:
+            own = batch_rows(full)
             write_batch(completed_labels(full), cfg.labels_path, cfg.run_id, batch_id, cfg.sink_format)
-            write_state(new_state, cfg.state_path, cfg.run_id, batch_id)
+            write_known(own, cfg.known_path, cfg.run_id, batch_id)
+            name = write_state(merged_state(next_state(full), state), merged_digests(stored, digests(hashed(own))),
+                               output, last.seq + 1)
         counts = {k: int(v) for k, v in obs.get.items()}
         if copies:
             counts["redelivered_records"] = copies
+        record(spark, output, last, cfg.run_id, batch_id, counts, name)
+        if name is not None:
+            drop_older(spark, output, name)
         log.info("batch %s: %s", batch_id, counts)
         return counts
     finally:
@@ -235,7 +238,7 @@ def with_raw(failed: DataFrame, batch_df: DataFrame) -> DataFrame:
 def run_record(spark: SparkSession, cfg: PipelineConfig) -> PipelineConfig:
     """``cfg`` with the run's name and sink, as recorded beside its checkpoint.
 
-    The first start writes the record: a name that sorts by time, and the sink format
+    The first start writes the record: a name of its own, and the sink format
     that this session has.  Later starts read it, so a run never changes its folder.
     """
     path = f"{cfg.checkpoint_path.rstrip('/')}/candela-run"
@@ -297,32 +300,24 @@ def output_schema(cfg: PipelineConfig) -> T.StructType:
                         + [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
-def stored_bars(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """The bars of a table with their run and batch; none if nothing was written there."""
-    schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("run_id", T.StringType()),
-                           T.StructField("batch_id", T.LongType())])
-    if not folders.exists(spark, path):
-        return spark.createDataFrame([], schema)
-    if fmt == "delta":
-        return spark.read.format(fmt).load(path).select(schema.names)
-    return spark.read.schema(schema).format(fmt).load(path)
-
-
 def read_output(spark: SparkSession, path: str, cfg: PipelineConfig | None = None) -> DataFrame:
-    """Read a table written by ``write_batch`` (or, with folders per symbol, by ``write_table``).
+    """Read a table of the job: the rows of recorded batches.
 
     With ``cfg`` the job's schema is given instead of inferred, and a table that no batch
-    has written to reads as empty.
+    has written to reads as empty.  Without it a table without run and batch columns
+    (written by ``write_table``) is read whole.
     """
+    output = path.rstrip("/").rpartition("/")[0]
     if cfg is not None:
         schema = output_schema(cfg)
         if not folders.exists(spark, path):
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).format(cfg.sink_format).load(path)
+        return committed(spark.read.schema(schema).format(cfg.sink_format).load(path), output)
     inferred = spark.read.parquet(path).schema
     kinds = {"symbol": T.StringType(), "run_id": T.StringType(), "batch_id": T.LongType()}
-    return spark.read.schema(T.StructType([
+    rows = spark.read.schema(T.StructType([
         T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in inferred.fields])).parquet(path)
+    return committed(rows, output) if {"run_id", "batch_id"} <= set(rows.columns) else rows
 
 
 def labelled_output(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -332,7 +327,8 @@ def labelled_output(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
         return rows
     schema = "symbol string, date string, next_day_return double, run_id string, batch_id long"
     reader = spark.read.format(cfg.sink_format)
-    labels = (reader if cfg.sink_format == "delta" else reader.schema(schema)).load(cfg.labels_path).select(
+    labels = committed((reader if cfg.sink_format == "delta" else reader.schema(schema)).load(cfg.labels_path),
+                       cfg.output_path.rstrip("/")).select(
         F.col("symbol").alias("_s"), F.col("date").alias("_d"), F.col("next_day_return").alias("_label"))
     # A late bar is not the bar of its date that the series holds.
     same = (F.col("symbol") == F.col("_s")) & (F.col("date") == F.col("_d")) \

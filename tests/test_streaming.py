@@ -67,7 +67,7 @@ def test_replayed_batch_overwrites_its_own_output(spark, tmp_dir):
     c2 = process_batch(b0, 0, cfg)  # the same batch again, as after a failure before commit
     assert c1 == c2 == {"total_records": 5, "clean_records": 5, "failed_records": 0}
     assert read_output(spark, cfg.clean_path).count() == 5
-    assert read_state(spark, cfg.state_path).count() == 1
+    assert read_state(spark, cfg.output_path)[0].count() == 1
 
 
 def test_late_and_duplicate_bars(spark, tmp_dir):
@@ -151,7 +151,7 @@ def test_fresh_checkpoint_on_an_old_folder_replaces_nothing(spark, tmp_dir):
 
     first = run("one", [bar("A", f"2024-01-0{d}", 1.0 + d) for d in range(1, 6)])
     again = run("two", [bar("A", "2024-01-06", 7.0), bar("A", "2024-01-03", 4.0)])  # one new, one sent again
-    assert first.run_id < again.run_id and again.sink_format == "parquet"
+    assert first.run_id != again.run_id and again.sink_format == "parquet"
     assert again.clean_path.endswith("clean_data_parquet_fallback")
     rows = {r.date: r for r in read_output(spark, again.clean_path, again).collect()}
     assert sorted(rows) == [f"2024-01-0{d}" for d in range(1, 7)]
@@ -186,7 +186,7 @@ def test_a_drain_has_no_deadline_and_failures_surface(spark, tmp_dir):
     done = run_pipeline(spark, cfg, poll_seconds=0.2)  # the batch is replayed from the checkpoint
     assert read_output(spark, done.clean_path, done).count() == 1
     assert read_output(spark, done.failed_path, done).count() == 1
-    assert read_state(spark, done.state_path).count() == 1
+    assert read_state(spark, done.output_path)[0].count() == 1
 
 
 def test_broken_state_raises_and_old_snapshots_go(spark, tmp_dir):
@@ -194,17 +194,18 @@ def test_broken_state_raises_and_old_snapshots_go(spark, tmp_dir):
 
     import pytest
 
-    from candela.streaming.history import snapshots
+    from candela.sinks import folders
 
     cfg = _cfg(tmp_dir)
     for b in range(4):
         process_batch(bars_df(spark, [bar("A", f"2024-01-0{b + 1}", 1.0 + b), bar(f"S{b}", "2024-01-01", 1.0)]), b, cfg)
-    assert [x[1][-1] for x in snapshots(spark, cfg.state_path)] == ["2", "3"]
-    assert read_state(spark, cfg.state_path).count() == 5  # untouched symbols are carried over
-    for f in glob.glob(f"{cfg.state_path}/run/batch-*3/*.parquet"):
+    kept = folders.subfolders(spark, f"{cfg.output_path}/_history_state")
+    assert [x.partition("-")[0][-1] for x in kept] == ["3", "4"]  # of the third and fourth batch
+    assert read_state(spark, cfg.output_path)[0].count() == 5  # untouched symbols are carried over
+    for f in glob.glob(f"{cfg.output_path}/_history_state/{kept[-1]}/tails/*.parquet"):
         with open(f, "wb") as out:
             out.write(b"broken")
-    for f in glob.glob(f"{cfg.state_path}/run/batch-*3/.*.crc"):
+    for f in glob.glob(f"{cfg.output_path}/_history_state/{kept[-1]}/tails/.*.crc"):
         with open(f, "wb") as out:
             out.write(b"")
     with pytest.raises(Exception):
