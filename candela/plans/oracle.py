@@ -467,14 +467,8 @@ def market_open_instants_query(holidays: list[str]) -> str:
     return f"{with_(_market_ctes(holidays))}\nSELECT event_id, market, local_time, is_open FROM flags"
 
 
-def stream_dirty_query() -> str:
-    """Dirty bars that arrive late, twice or changed, streamed by arrival with the look-back state.
-
-    Exact copies of stored bars vanish.  Bars without a symbol or a date are series of their own.
-    A bar is late if an earlier batch stored its date or a later one for its symbol; late bars
-    form a series per batch.  The label of a batch's last bar is unknown when it is written.
-    """
-    body = f"""
+#: The damaged bars as they arrive, exact copies of stored ones left out.
+ARRIVED = """
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date NULLS FIRST) AS o_n,
          CAST(substr(date, 1, 4) AS INTEGER) AS o_year FROM bars
@@ -496,6 +490,39 @@ arrived AS (
   WHERE symbol IS NOT NULL AND date IS NOT NULL AND close IS NOT NULL
     AND o_n % 59 = 0 AND o_n % 7 <> 0 AND o_n % 61 <> 0
 ),
+"""
+
+
+def stream_rollup_query(unit: str) -> str:
+    """Rollup by week or month of all bars that the dirty stream stores; of bars of one day the least open and greatest close."""
+    first = "(list(open ORDER BY date, open NULLS FIRST) FILTER (WHERE date IS NOT NULL))[1]"
+    last = "(list(close ORDER BY date DESC, close DESC NULLS LAST) FILTER (WHERE date IS NOT NULL))[1]"
+    if unit == "week":
+        rest = f"""{first} AS week_open, max(high) AS week_high, min(low) AS week_low, {last} AS week_close,
+         sum(volume) AS week_volume, count(*) AS trading_days"""
+        more = ", (week_close - week_open) / nullif(week_open, 0) * 100 AS weekly_change_pct"
+    else:
+        rest = f"""{first} AS month_open, max(high) AS month_high, min(low) AS month_low, {last} AS month_close,
+         sum(volume) AS month_volume, avg(close) AS month_avg_price, stddev_samp(close) AS month_volatility"""
+        more = ""
+    body = ARRIVED.rstrip().rstrip(",") + f""",
+rolled AS (
+  SELECT symbol, CAST(date_trunc('{unit}', TRY_CAST(date AS DATE)) AS DATE) AS {unit}, {rest}
+  FROM arrived GROUP BY 1, 2
+),
+finished AS (SELECT *{more} FROM rolled)"""
+    columns = WEEKLY_COLUMNS if unit == "week" else MONTHLY_COLUMNS
+    return f"{with_(bars_ctes(FLAG_SYMBOL), body)}\nSELECT\n  {project(columns)}\nFROM finished"
+
+
+def stream_dirty_query() -> str:
+    """Dirty bars that arrive late, twice or changed, streamed by arrival with the look-back state.
+
+    Exact copies of stored bars vanish.  Bars without a symbol or a date are series of their own.
+    A bar is late if an earlier batch stored its date or a later one for its symbol; late bars
+    form a series per batch.  The label of a batch's last bar is unknown when it is written.
+    """
+    body = ARRIVED + f"""
 newest AS (SELECT symbol, o_batch, max(date) AS d FROM arrived WHERE symbol IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
 stored AS (SELECT symbol, o_batch, max(d) OVER (PARTITION BY symbol ORDER BY o_batch
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_date FROM newest),

@@ -31,6 +31,7 @@ from candela.session import scratch_path
 from candela.sinks.writers import publish_bars, write_landing_csv, write_landing_files, write_table
 from candela.streaming.incremental import replay_in_periods, year_of
 from candela.streaming.pipeline import read_output
+from candela.streaming.rollups import read_monthly, read_weekly
 from candela.sources.bars import (
     bars_by_event_hour,
     bars_by_flag,
@@ -349,6 +350,30 @@ def q_stream_dirty_with_history(spark, sf_dir):
     return round_doubles(out.select(*O.PIPELINE_COLUMNS))
 
 
+def q_stream_resends(spark, sf_dir):
+    """The streaming job where every batch sends all bars so far again: the result of
+    ``stream_with_history``."""
+    bars = flag_bars(spark, sf_dir)
+    years = bars.select(year_of("date").alias("arrival")).distinct()
+    sent = bars.join(years, F.col("arrival") >= year_of("date"))
+    out = replay_in_periods(spark, sent, F.col("arrival"), history=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
+def q_stream_weekly_rollup(spark, sf_dir):
+    """Weekly rollup kept by the streaming job over bars that come late, again, or changed."""
+    return round_doubles(replay_in_periods(
+        spark, dirty_arrivals(flag_bars(spark, sf_dir)), F.col("arrival"), history=True, rollups=True,
+        read=lambda s, cfg: read_weekly(s, cfg.rollups_path)))
+
+
+def q_stream_monthly_rollup(spark, sf_dir):
+    """Monthly rollup kept by the streaming job over the same bars."""
+    return round_doubles(replay_in_periods(
+        spark, dirty_arrivals(flag_bars(spark, sf_dir)), F.col("arrival"), history=True, rollups=True,
+        read=lambda s, cfg: read_monthly(s, cfg.rollups_path)))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -386,6 +411,9 @@ def queries() -> dict[str, Query]:
         "stream_dirty_with_history": q_stream_dirty_with_history,
         "stream_labelled": q_stream_labelled,
         "stream_microbatch": q_stream_microbatch,
+        "stream_monthly_rollup": q_stream_monthly_rollup,
+        "stream_resends": q_stream_resends,
+        "stream_weekly_rollup": q_stream_weekly_rollup,
         "stream_with_history": q_stream_with_history,
     })
     return out
@@ -429,6 +457,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_dirty_with_history": O.stream_dirty_query(),
         "stream_labelled": O.pipeline_query(None, dirty=False),
         "stream_microbatch": O.stream_query(history=False),
+        "stream_monthly_rollup": O.stream_rollup_query("month"),
+        "stream_resends": O.stream_query(history=True),
+        "stream_weekly_rollup": O.stream_rollup_query("week"),
         "stream_with_history": O.stream_query(history=True),
     })
     return out

@@ -36,6 +36,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--no_dedupe", action="store_true", help="keep re-delivered (symbol, date) copies")
     p.add_argument("--quarantine", default="after", choices=["after", "before"],
                    help="check bars after the windows, or set failed bars aside before them")
+    p.add_argument("--rollups", action="store_true", help="keep weekly and monthly rollups up to date")
     p.add_argument("--keep_raw", action="store_true", help="keep the message text of failed rows")
     p.add_argument("--chunk_rows", type=int, default=None,
                    help="cut longer series of a batch into chunks of so many bars (without history)")
@@ -56,7 +57,7 @@ def config_from_args(args: argparse.Namespace) -> PipelineConfig:
         source_format=args.source_format, source_path=args.source_path, source_options=options,
         sink_format=args.sink_format, trigger_seconds=args.trigger_seconds,
         available_now=args.available_now, timeout_minutes=args.timeout_minutes,
-        quarantine=args.quarantine, keep_raw=args.keep_raw, chunk_rows=args.chunk_rows,
+        quarantine=args.quarantine, keep_raw=args.keep_raw, rollups=args.rollups, chunk_rows=args.chunk_rows,
         history=args.history, dedupe=not args.no_dedupe, volume_threshold=args.volume_threshold,
     )
 

@@ -9,6 +9,8 @@ Each run resumes from the checkpoint, so this also exercises restart.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +25,12 @@ MOST_PERIODS = 10_000
 
 
 def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
-                      history: bool, dedupe: bool = True, labelled: bool = False, **options) -> DataFrame:
+                      history: bool, dedupe: bool = True, labelled: bool = False,
+                      read: Callable[[SparkSession, PipelineConfig], DataFrame] | None = None, **options) -> DataFrame:
     """Stream ``bars`` period by period through the job; return clean + failed rows.
 
-    ``labelled`` fills in the labels that later batches completed.  ``options`` are further fields of the job's configuration.
+    ``labelled`` fills in the labels that later batches completed; ``read`` returns another
+    result of the job.  ``options`` are further fields of the job's configuration.
     """
     root = scratch_path(spark, "stream")
     cfg = PipelineConfig(output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoint",
@@ -48,6 +52,8 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
         landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p))
         publish_bars(landed, fmt="text", path=f"{root}/source/{p or 'undated'}", mode="overwrite")
         cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
+    if read is not None:
+        return read(spark, cfg)
     if labelled:
         return labelled_output(spark, cfg).drop(*EXCLUDED_OUTPUT)
     clean = read_output(spark, cfg.clean_path, cfg)

@@ -66,6 +66,7 @@ from candela.streaming.history import (
     write_state,
 )
 from candela.streaming.redelivery import digests, hashed, late_months, merged_digests, without_copies, write_known
+from candela.streaming.rollups import update_rollups
 
 log = logging.getLogger(__name__)
 
@@ -92,6 +93,8 @@ class PipelineConfig:
     # Series longer than this are cut into chunks of so many bars (the results are the
     # same); None keeps one task per symbol and batch.  Without history only.
     chunk_rows: int | None = None
+    # Keep weekly and monthly rollups of the stored bars up to date.
+    rollups: bool = False
     # Keep the message text of failed rows as ``_raw``.
     keep_raw: bool = False
     # Set by ``run_pipeline`` from the record beside the checkpoint.
@@ -111,6 +114,10 @@ class PipelineConfig:
     def labels_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/completed_labels"
 
+    @property
+    def rollups_path(self) -> str:
+        return f"{self.output_path.rstrip('/')}/rollups"
+
     @property
     def known_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/_known_bars"
@@ -214,6 +221,9 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
             write_known(own, cfg.known_path, cfg.run_id, batch_id)
             name = write_state(merged_state(next_state(full), state), merged_digests(stored, digests(hashed(own))),
                                output, last.seq + 1)
+        if cfg.rollups:
+            update_rollups((batch_rows(full) if cfg.history else full).select(*BAR_COLUMNS), cfg.rollups_path,
+                           cfg.run_id, batch_id, last.seq + 1)
         counts = {k: int(v) for k, v in obs.get.items()}
         if copies:
             counts["redelivered_records"] = copies
