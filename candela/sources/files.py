@@ -99,23 +99,31 @@ def flatten_payload(df: DataFrame, body_col: str = "body", series_key: str = STO
 
     The series object maps a date to ``{"1. open": "...", ..., "5. volume": "..."}``.
     Fields are taken by name: what stands behind the number, without a currency in
-    parentheses.  A field that is absent, or there twice (one per currency), is NULL.
-    Values are strings and are cast with ``try_cast`` (a bad number is NULL, not an
-    error).  A body without the series key gives no rows (see ``validate_payloads``
-    for the reason).  The explode is per payload row, so payloads spread over all tasks.
+    parentheses.  A field that is absent, or there twice (one per currency), is NULL, and so
+    are all fields of a bar that is no object.  Values are strings or numbers and are cast
+    with ``try_cast`` (a bad number is NULL, not an error).  A body that is no JSON, or
+    without the series key, gives no rows (see ``validate_payloads`` for the reason).
+
+    The body is parsed once, to a VARIANT, and the names are resolved once per payload: a
+    bar only looks its fields up under the keys that its payload uses for them.  The explode
+    is per payload row, so payloads spread over all tasks.
     """
-    series = F.get_json_object(F.col(body_col), f"$['{series_key}']")
-    as_map = F.from_json(series, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))
-    rows = df.select(F.col(symbol_col).alias("symbol"),
-                     F.explode(as_map).alias("date", "fields"))
-    def value(name: str) -> Column:
-        named = F.filter(F.map_entries("fields"), lambda e: F.regexp_replace(
-            F.lower(e["key"]), FIELD_DECORATION, "") == name)
-        return F.when(F.size(named) == 1, F.get(named, F.lit(0))["value"]).try_cast("double").alias(name)
-
-    return rows.select(
-        "symbol",
-        F.coalesce(F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd")).cast("date").cast("string"),
-                   F.col("date")).alias("date"),
-        *[value(c) for c in ("open", "high", "low", "close", "volume")],
-    )
+    series = F.try_variant_get(F.try_parse_json(F.col(body_col)), f"$['{series_key}']", "map<string,variant>")
+    bars = F.transform_values("_series", lambda _, bar: F.try_variant_get(bar, "$", "map<string,string>"))
+    used = F.array_distinct(F.flatten(F.transform(
+        F.filter(F.map_values("_bars"), lambda bar: bar.isNotNull()), F.map_keys)))
+    plain = lambda key: F.regexp_replace(F.lower(key), FIELD_DECORATION, "")
+    keys = {c: F.filter("_used", lambda key, c=c: plain(key) == c).alias(f"_{c}") for c in CSV_COLUMNS[1:]}
+    rows = (df.select(F.col(symbol_col).alias("symbol"), series.alias("_series")).withColumn("_bars", bars)
+            .withColumn("_used", used).select("symbol", "_bars", *keys.values())
+            .select("symbol", F.explode("_bars").alias("date", "_fields"), *[f"_{c}" for c in keys]))
+
+    def value(c: str) -> Column:
+        one = F.element_at("_fields", F.get(f"_{c}", F.lit(0)))
+        # A payload whose bars name the field in several ways: the one that this bar has.
+        there = F.filter(f"_{c}", lambda key: F.map_contains_key("_fields", key))
+        several = F.when(F.size(there) == 1, F.element_at("_fields", F.get(there, F.lit(0))))
+        return F.when(F.size(f"_{c}") == 1, one).otherwise(several).try_cast("double").alias(c)
+
+    day = F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd")).cast("date").cast("string")
+    return rows.select("symbol", F.coalesce(day, F.col("date")).alias("date"), *[value(c) for c in keys])

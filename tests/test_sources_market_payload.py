@@ -137,3 +137,19 @@ def test_validate_payloads(spark):
         (False, "binance response invalid: missing key 'price'"),
         (True, None),
     ]
+
+
+def test_payload_fields_are_named_per_payload_and_read_per_bar(spark):
+    import json
+
+    day = lambda **f: {k.replace("__", ". "): v for k, v in f.items()}
+    mixed = {"2024-01-02": day(**{"1__open": "1.5", "4__close": 2, "5__volume": "x"}),
+             "2024-01-03": {"1a. open (USD)": "3", "1b. open (EUR)": "4", "4. close": "5"},   # open is there twice
+             "2024-01-04": {"1a. open (USD)": "6", "CLOSE": "7"},
+             "2024-01-05": "no object", "2024-01-06": None, "2024-01-07": {}}
+    bodies = [json.dumps({STOCK_SERIES_KEY: mixed}), "{truncated", None, "[]", json.dumps({"Note": "limit"}),
+              json.dumps({STOCK_SERIES_KEY: {}}), json.dumps({STOCK_SERIES_KEY: None})]
+    rows = flatten_payload(spark.createDataFrame([("A", b) for b in bodies], "symbol string, body string")).collect()
+    got = {r.date: (r.open, r.close, r.volume) for r in rows}
+    assert got == {"2024-01-02": (1.5, 2.0, None), "2024-01-03": (None, 5.0, None), "2024-01-04": (6.0, 7.0, None),
+                   "2024-01-05": (None, None, None), "2024-01-06": (None, None, None), "2024-01-07": (None, None, None)}
