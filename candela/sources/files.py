@@ -113,7 +113,8 @@ def flatten_payload(df: DataFrame, body_col: str = "body", series_key: str = STO
     used = F.array_distinct(F.flatten(F.transform(
         F.filter(F.map_values("_bars"), lambda bar: bar.isNotNull()), F.map_keys)))
     plain = lambda key: F.regexp_replace(F.lower(key), FIELD_DECORATION, "")
-    keys = {c: F.filter("_used", lambda key, c=c: plain(key) == c).alias(f"_{c}") for c in CSV_COLUMNS[1:]}
+    named = lambda c: F.filter("_used", lambda key: plain(key) == c).alias(f"_{c}")
+    keys = {c: named(c) for c in CSV_COLUMNS[1:]}
     rows = (df.select(F.col(symbol_col).alias("symbol"), series.alias("_series")).withColumn("_bars", bars)
             .withColumn("_used", used).select("symbol", "_bars", *keys.values())
             .select("symbol", F.explode("_bars").alias("date", "_fields"), *[f"_{c}" for c in keys]))
