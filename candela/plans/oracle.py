@@ -309,6 +309,19 @@ flagged AS (
             "FROM flagged")
 
 
+def batch_metrics_query() -> str:
+    """Quality counts of the dirty bars by year, each a batch."""
+    body = f"""
+flagged AS (
+  SELECT dense_rank() OVER (ORDER BY substr(date, 1, 4)) - 1 AS batch_id, {QUALITY_FLAG_SQL} AS data_quality_flag FROM dirty
+)"""
+    return (f"{with_(bars_ctes(FLAG_SYMBOL), dirty_ctes(), body)}\n"
+            "SELECT batch_id, count(*) AS total_records,\n"
+            "       count(*) FILTER (WHERE data_quality_flag IS NULL) AS clean_records,\n"
+            "       count(*) FILTER (WHERE data_quality_flag IS NOT NULL) AS failed_records\n"
+            "FROM flagged GROUP BY batch_id")
+
+
 def _market_ctes(holidays: list[str]) -> str:
     hol = ", ".join(f"DATE '{d}'" for d in holidays) or "NULL"
     return f"""

@@ -29,7 +29,8 @@ from candela.operators.market import (
 from candela.operators.payload import bars_to_payloads, validate_payloads
 from candela.session import scratch_path
 from candela.sinks.writers import publish_bars, write_landing_csv, write_landing_files, write_table
-from candela.streaming.incremental import replay_in_periods, year_of
+from candela.streaming.incremental import replay_in_periods, replay_landing, year_of
+from candela.streaming.metrics import BatchMetrics
 from candela.streaming.pipeline import read_output
 from candela.streaming.rollups import read_monthly, read_weekly
 from candela.sources.bars import (
@@ -374,6 +375,22 @@ def q_stream_monthly_rollup(spark, sf_dir):
         read=lambda s, cfg: read_monthly(s, cfg.rollups_path)))
 
 
+def q_stream_csv_landing(spark, sf_dir):
+    """The landing folder streamed after its files were overwritten with ever longer histories:
+    the result of ``stream_with_history``."""
+    bars = flag_bars(spark, sf_dir)
+    years = sorted(r[0] for r in bars.select(year_of("date")).distinct().collect())
+    out = replay_landing(spark, bars, years, year_of("date"), history=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
+def q_stream_batch_metrics(spark, sf_dir):
+    """Quality counts per batch of the dirty bars, as the stream's listener took them."""
+    metrics = BatchMetrics()
+    replay_in_periods(spark, dirty_flag_bars(spark, sf_dir), year_of("date"), history=False, metrics=metrics)
+    return metrics.frame(spark).select("batch_id", "total_records", "clean_records", "failed_records")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -408,6 +425,8 @@ def queries() -> dict[str, Query]:
         "market_open_instants": q_market_open_instants,
         "payload_flatten_crypto": q_payload_flatten_crypto,
         "csv_landing_stem": q_csv_landing_stem,
+        "stream_batch_metrics": q_stream_batch_metrics,
+        "stream_csv_landing": q_stream_csv_landing,
         "stream_dirty_with_history": q_stream_dirty_with_history,
         "stream_labelled": q_stream_labelled,
         "stream_microbatch": q_stream_microbatch,
@@ -454,6 +473,8 @@ def oracle_sql() -> dict[str, str]:
         "market_open_instants": O.market_open_instants_query([d for _, d in NYSE_HOLIDAYS]),
         "payload_flatten_crypto": O.renamed_bars_query("_USD"),
         "csv_landing_stem": O.bars_query(O.FLAG_SYMBOL),
+        "stream_batch_metrics": O.batch_metrics_query(),
+        "stream_csv_landing": O.stream_query(history=True),
         "stream_dirty_with_history": O.stream_dirty_query(),
         "stream_labelled": O.pipeline_query(None, dirty=False),
         "stream_microbatch": O.stream_query(history=False),

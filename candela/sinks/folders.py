@@ -35,6 +35,30 @@ def files(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isFile())
 
 
+def file_times(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time) of the files directly in ``path``."""
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted((s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(where) if s.isFile())
+
+
+def make(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.mkdirs(where)
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file; the copy appears whole, by one rename."""
+    fs, where = _at(spark, target)
+    there, origin = _at(spark, source)
+    parent, _, name = target.rpartition("/")
+    draft = _at(spark, f"{parent}/.{name}.draft")[1]
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(there, origin, fs, draft, False, True, spark._jsc.hadoopConfiguration())
+    if not fs.rename(draft, where):
+        raise OSError(target)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file."""
     fs, where = _at(spark, path)
@@ -82,5 +106,8 @@ def name_files(spark: SparkSession, staged: str, path: str, suffix: str) -> None
                  if s.getPath().getName().startswith("part-")]
         if len(files) != 1:
             raise ValueError(f"{name} has {len(files)} files")
-        fs.rename(files[0], _at(spark, f"{path}/{value}.{suffix}")[1])
+        named = _at(spark, f"{path}/{value}.{suffix}")[1]
+        fs.delete(named, False)  # a rename does not replace
+        if not fs.rename(files[0], named):
+            raise OSError(f"{named} could not be written")
     fs.delete(base, True)

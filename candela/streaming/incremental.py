@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.session import scratch_path
-from candela.sinks.writers import publish_bars
+from candela.sinks.writers import publish_bars, write_landing_files
+from candela.streaming.metrics import BatchMetrics
 from candela.streaming.pipeline import PipelineConfig, labelled_output, read_output, run_pipeline
 
 EXCLUDED_OUTPUT = ["processed_timestamp", "processing_date", "run_id", "batch_id"]
@@ -26,11 +27,12 @@ MOST_PERIODS = 10_000
 
 def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
                       history: bool, dedupe: bool = True, labelled: bool = False,
-                      read: Callable[[SparkSession, PipelineConfig], DataFrame] | None = None, **options) -> DataFrame:
+                      read: Callable[[SparkSession, PipelineConfig], DataFrame] | None = None,
+                      metrics: BatchMetrics | None = None, **options) -> DataFrame:
     """Stream ``bars`` period by period through the job; return clean + failed rows.
 
     ``labelled`` fills in the labels that later batches completed; ``read`` returns another
-    result of the job.  ``options`` are further fields of the job's configuration.
+    result of the job; ``metrics`` takes a row per batch.  ``options`` are further fields of the job's configuration.
     """
     root = scratch_path(spark, "stream")
     cfg = PipelineConfig(output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoint",
@@ -51,7 +53,7 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
     for p in periods:
         landed = keyed.filter(F.coalesce("_period", F.lit("")) == F.lit(p))
         publish_bars(landed, fmt="text", path=f"{root}/source/{p or 'undated'}", mode="overwrite")
-        cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
+        cfg = run_pipeline(spark, cfg, poll_seconds=0.5, metrics=metrics)
     if read is not None:
         return read(spark, cfg)
     if labelled:
@@ -63,3 +65,17 @@ def replay_in_periods(spark: SparkSession, bars: DataFrame, period: Column,
 
 def year_of(date_col: str = "date") -> Column:
     return F.substring(F.col(date_col), 1, 4)
+
+
+def replay_landing(spark: SparkSession, bars: DataFrame, periods: list[str], period: Column, **options) -> DataFrame:
+    """Overwrite the landing files with all bars up to each period in turn, and stream the folder after each.
+
+    Returns clean + failed rows, as :func:`replay_in_periods` does.
+    """
+    root = scratch_path(spark, "landing-stream")
+    cfg = PipelineConfig(output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoint", source_format="landing",
+                         source_path=f"{root}/landing", available_now=True, **options)
+    for p in periods:
+        write_landing_files(bars.filter(period <= F.lit(p)), cfg.source_path)
+        cfg = run_pipeline(spark, cfg, poll_seconds=0.5)
+    return read_output(spark, cfg.clean_path, cfg).unionByName(read_output(spark, cfg.failed_path, cfg)).drop(*EXCLUDED_OUTPUT)

@@ -53,6 +53,7 @@ from candela.schema import BAR_COLUMNS, BAR_SCHEMA
 from candela.sinks import folders
 from candela.sinks.writers import resolve_sink, write_batch
 from candela.sources.files import bar_stream, parse_bars
+from candela.sources.landing import landing_stream, stage_landing
 from candela.streaming.commits import committed, newest, record
 from candela.streaming.history import (
     batch_rows,
@@ -65,6 +66,7 @@ from candela.streaming.history import (
     read_state,
     write_state,
 )
+from candela.streaming.metrics import BatchMetrics, observe_arrivals
 from candela.streaming.redelivery import digests, hashed, late_months, merged_digests, without_copies, write_known
 from candela.streaming.rollups import update_rollups
 
@@ -78,6 +80,8 @@ class PipelineConfig:
     source_format: str = "kafka"
     source_path: str | None = None
     source_options: dict[str, str] = field(default_factory=dict)
+    # ``landing`` source: files a batch reads at most.
+    max_files: int | None = None
     sink_format: str = "parquet"
     trigger_seconds: int = 30
     available_now: bool = False
@@ -114,6 +118,10 @@ class PipelineConfig:
     def labels_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/completed_labels"
 
+    @property
+    def staged_path(self) -> str:
+        return f"{self.checkpoint_path.rstrip('/')}/candela-landing"
+
     @property
     def rollups_path(self) -> str:
         return f"{self.output_path.rstrip('/')}/rollups"
@@ -264,9 +272,12 @@ def run_record(spark: SparkSession, cfg: PipelineConfig) -> PipelineConfig:
 
 def start_pipeline(spark: SparkSession, cfg: PipelineConfig):
     """Start the streaming query of a recorded run and return it."""
-    messages = bar_stream(spark, cfg.source_format, cfg.source_path, cfg.source_options)
-    parsed = parse_bars(messages, keep_raw=cfg.keep_raw)
-    writer = (parsed.writeStream
+    if cfg.source_format == "landing":
+        parsed = landing_stream(spark, cfg.staged_path, cfg.max_files)
+    else:
+        messages = bar_stream(spark, cfg.source_format, cfg.source_path, cfg.source_options)
+        parsed = parse_bars(messages, keep_raw=cfg.keep_raw)
+    writer = (observe_arrivals(parsed).writeStream
               .foreachBatch(partial(_foreach, cfg=cfg))
               .option("checkpointLocation", cfg.checkpoint_path))
     writer = (writer.trigger(availableNow=True) if cfg.available_now
@@ -275,28 +286,52 @@ def start_pipeline(spark: SparkSession, cfg: PipelineConfig):
 
 
 def _foreach(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> None:
-    process_batch(batch_df, batch_id, cfg)
+    """The source is read and parsed once; all jobs of the batch read the persisted bars."""
+    batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        process_batch(batch_df, batch_id, cfg)
+    finally:
+        batch_df.unpersist()
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig, poll_seconds: float = 10.0) -> PipelineConfig:
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig, poll_seconds: float = 10.0,
+                 metrics: BatchMetrics | None = None) -> PipelineConfig:
     """Run the job; returns the configuration with the run's name and folders.
 
     ``available_now``: until the source is drained, however long that takes.  Otherwise
-    a bounded run: new data every ``trigger_seconds`` until ``timeout_minutes`` are over.
+    a bounded run: new data every ``trigger_seconds`` until ``timeout_minutes`` are over, and
+    then to the end of the batch that is running.  The ``landing`` source stages new file
+    versions first, and again whenever the run wakes.  ``metrics`` takes a row per batch.
     """
     cfg = run_record(spark, cfg)
-    query = start_pipeline(spark, cfg)
-    deadline = None if cfg.available_now else time.monotonic() + cfg.timeout_minutes * 60
+    stage = cfg.source_format == "landing"
+    if stage:
+        stage_landing(spark, cfg.source_path, cfg.staged_path)
+    metrics = metrics or BatchMetrics()
+    spark.streams.addListener(metrics)
     try:
-        while query.isActive and (deadline is None or time.monotonic() < deadline):
-            left = poll_seconds if deadline is None else deadline - time.monotonic()
-            query.awaitTermination(min(poll_seconds, max(0.1, left)))
-        if query.exception() is not None:
-            raise query.exception()
+        query = start_pipeline(spark, cfg)
+        metrics.follow(query)
+        deadline = None if cfg.available_now else time.monotonic() + cfg.timeout_minutes * 60
+        try:
+            while query.isActive and (deadline is None or time.monotonic() < deadline):
+                left = poll_seconds if deadline is None else deadline - time.monotonic()
+                query.awaitTermination(min(poll_seconds, max(0.1, left)))
+                if stage and not cfg.available_now and query.isActive:
+                    stage_landing(spark, cfg.source_path, cfg.staged_path)
+            metrics.behind_a_batch.clear()
+            while query.isActive and query.status["isTriggerActive"] and not metrics.behind_a_batch.wait(0.2):
+                pass
+            if query.exception() is not None:
+                raise query.exception()
+        finally:
+            if query.isActive:
+                log.info("run time over, stopping the query")
+                query.stop()
     finally:
-        if query.isActive:
-            log.info("run time over, stopping the query")
-            query.stop()
+        if metrics.query_id is not None:
+            metrics.ended.wait(10)  # progress is told a moment after the batch
+        spark.streams.removeListener(metrics)
     return cfg
 
 
