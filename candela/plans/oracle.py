@@ -339,6 +339,27 @@ flags AS (
 )"""
 
 
+def market_calendar_query(holidays: list[str], half_days: list[tuple[str, str, str]]) -> str:
+    """Open markets by wall-clock rules in each market's zone, not by intervals."""
+    hol = ", ".join(f"DATE '{d}'" for d in holidays) or "NULL"
+    early = " ".join(f"WHEN CAST(ny AS DATE) = DATE '{d}' THEN '{t}:00.000000'" for m, d, t in half_days if m == "NYSE")
+    return f"""
+WITH loc AS (
+  SELECT event_id, ts, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS ny,
+         (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Tokyo' AS tk, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS ch
+  FROM events),
+f AS (
+  SELECT event_id, ts,
+         isodow(ny) <= 5 AND CAST(ny AS DATE) NOT IN ({hol}) AND strftime(ny, '%H:%M:%S.%f') >= '09:30:00.000000'
+           AND strftime(ny, '%H:%M:%S.%f') <= CASE {early} ELSE '16:00:00.000000' END AS n,
+         isodow(tk) <= 5 AND strftime(tk, '%H:%M:%S.%f') BETWEEN '09:00:00.000000' AND '15:00:00.000000' AS t,
+         (isodow(ch) <= 5 AND strftime(ch, '%H:%M:%S.%f') >= '17:00:00.000000')
+           OR (isodow(ch) BETWEEN 2 AND 6 AND strftime(ch, '%H:%M:%S.%f') <= '16:00:00.000000') AS c
+  FROM loc)
+SELECT event_id, ts, concat_ws(',', CASE WHEN c THEN 'CME' END, CASE WHEN n THEN 'NYSE' END, CASE WHEN t THEN 'TSE' END) AS open_markets
+FROM f"""
+
+
 def market_open_query(holidays: list[str]) -> str:
     return f"{with_(_market_ctes(holidays))}\nSELECT event_id, ts, market, local_time, is_open FROM flags"
 

@@ -21,11 +21,13 @@ from candela.plans import oracle as O
 from candela.plans.report import round_doubles
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS, QUALITY_COLUMNS
 from candela.operators.market import (
+    NYSE_SESSION,
     extraction_plan,
     holidays_frame,
     is_market_open,
     sessions_frame,
 )
+from candela.operators.sessions import half_days_frame, open_intervals, open_markets, span_of_days
 from candela.operators.payload import bars_to_payloads, validate_payloads
 from candela.session import scratch_path
 from candela.sinks.writers import publish_bars, write_landing_csv, write_landing_files, write_table
@@ -391,6 +393,21 @@ def q_stream_batch_metrics(spark, sf_dir):
     return metrics.frame(spark).select("batch_id", "total_records", "clean_records", "failed_records")
 
 
+# Fixture: a half day and a second market whose local days are not the UTC days.
+HALF_DAYS = [("NYSE", "2024-01-03", "13:00")]
+MARKETS = [NYSE_SESSION, ("TSE", "Asia/Tokyo", "09:00", "15:00", "TSE"), ("CME", "America/Chicago", "17:00", "16:00", "CME")]
+
+
+def q_market_open_calendar(spark, sf_dir):
+    """Open markets of every event: three zones, holidays, a half day, sessions over midnight."""
+    events = read_table(spark, sf_dir, "events")
+    holidays = holidays_frame(spark, [(m, dt.date.fromisoformat(d)) for m, d in NYSE_HOLIDAYS])
+    half = half_days_frame(spark, [(m, dt.date.fromisoformat(d), t) for m, d, t in HALF_DAYS])
+    first, last = span_of_days(events, "ts")
+    intervals = open_intervals(sessions_frame(spark, MARKETS), first, last, holidays, half)
+    return open_markets(events, "ts", intervals).select("event_id", "ts", F.array_join("open_markets", ",").alias("open_markets"))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bars_by_supplier": q_bars_by_supplier,
@@ -415,6 +432,7 @@ def queries() -> dict[str, Query]:
         "json_roundtrip": q_json_roundtrip,
         "payload_flatten": q_payload_flatten,
         "csv_landing": q_csv_landing,
+        "market_open_calendar": q_market_open_calendar,
         "market_open_events": q_market_open_events,
         "gated_events": q_gated_events,
         "payload_validation": q_payload_validation,
@@ -463,6 +481,7 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": O.bars_query(O.SUPPLIER_SYMBOL),
         "payload_flatten": O.bars_query(O.SUPPLIER_SYMBOL),
         "csv_landing": O.bars_query(O.SUPPLIER_SYMBOL),
+        "market_open_calendar": O.market_calendar_query([d for _, d in NYSE_HOLIDAYS], HALF_DAYS),
         "market_open_events": O.market_open_query([d for _, d in NYSE_HOLIDAYS]),
         "gated_events": O.gated_events_query([d for _, d in NYSE_HOLIDAYS]),
         "payload_validation": O.payload_validation_query(),
