@@ -1,7 +1,9 @@
 """How many guesses a password takes, in powers of ten.
 
 The cheapest way to cut a value into dictionary words, dates, repeats, keyboard
-walks and brute-force characters, found by dynamic programming from left to right.
+walks and brute-force characters, found by dynamic programming from left to right.  Every
+piece that there is, is tried: words and dates at every place, repeats of any unit any number
+of times from three on, walks from every start.
 """
 
 from __future__ import annotations
@@ -10,6 +12,8 @@ import re
 from functools import lru_cache
 from math import log10
 
+import numpy as np
+
 #: Common passwords and words that sample credentials are made of, commonest first.
 WORDS = (
     "password", "admin", "welcome", "letmein", "monkey", "dragon", "master", "login", "princess",
@@ -27,12 +31,10 @@ ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
 LONGEST = max(map(len, WORDS))
 DATE = re.compile(r"(?:19|20)\d\d(?:[-./]?[01]\d[-./]?[0-3]\d)?|[0-3]?\d[-./][0-3]?\d[-./](?:\d\d){1,2}")
-REPEAT = re.compile(r"(.{1,8}?)\1{2,}", re.S)
 HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+LONGEST_DATE = 10
 #: Guesses for one date, and for one start and turn of a walk.
 DATE_GUESSES, WALK_START, WALK_STEP = 365 * 120, 47 * 2, 4
-#: Starts of walks that are tried before each end, besides the whole run.
-WALK_STARTS = 16
 #: Two pieces more make the order of pieces one more thing to guess.
 JOIN = log10(2)
 
@@ -56,44 +58,89 @@ def _brute(c: str) -> float:
     return log10(33)
 
 
+def _repeats(value: str) -> dict[int, list[tuple[int, int]]]:
+    """By end: (period, most repeats) of every unit, itself no repeat, that stands three times or more before it."""
+    n = len(value)
+    codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found: dict[int, list[tuple[int, int]]] = {}
+    for p in range(1, n // 3 + 1):
+        same = codes[p:] == codes[:-p]
+        if np.count_nonzero(same) < 2 * p:
+            continue
+        # Length of the run of equal characters, p apart, that ends at each place.
+        breaks = np.where(same, 0, np.arange(1, len(same) + 1))
+        run = np.arange(1, len(same) + 1) - np.maximum.accumulate(breaks)
+        for at in np.flatnonzero(run >= 2 * p).tolist():
+            end = at + p + 1
+            unit = value[end - p:end]
+            if p == 1 or (unit + unit).find(unit, 1) == p:
+                found.setdefault(end, []).append((p, int(run[at]) // p + 1))
+    return found
+
+
+def _walks(value: str) -> tuple[list[int], np.ndarray]:
+    """By end (from 0): where the run of neighbouring keys that ends there begins; and turns counted up to each place."""
+    n = len(value)
+    begins, run = [0] * (n + 1), 0
+    for j in range(1, n + 1):
+        if j > 1 and not _beside(value[j - 2], value[j - 1]):
+            run = j - 1
+        begins[j] = run
+    steps = np.diff([ord(c) for c in value]) if n > 1 else np.zeros(0, int)
+    bends = np.r_[0, 0, np.cumsum(steps[1:] != steps[:-1])] if n > 2 else np.zeros(n, int)
+    return begins, bends  # bends[k]: changes of step at the places 1 to k - 1
+
+
 def segments(value: str) -> tuple[float, list[tuple[str, int, int]]]:
-    """The least cost (log10 of guesses) and the pieces (kind, start, end) that reach it."""
+    """The least cost (log10 of guesses) and the pieces (kind, start, end) that reach it, over all cuts."""
     n = len(value)
     ends: dict[int, list[tuple[int, str, float]]] = {}
     low = value.lower()
+    if len(low) != n:  # lowering changed the length: letters stay as they are
+        low = value
     for i in range(n):
         for j in range(i + 3, min(n, i + LONGEST) + 1):
             if rank := RANK.get(low[i:j]):
                 word = value[i:j]
                 cases = 1 if word.islower() else 2 if word.isupper() or word.istitle() else 2 ** min(j - i, 8)
                 ends.setdefault(j, []).append((i, "word", log10(rank * cases)))
-    for m in DATE.finditer(value):
-        ends.setdefault(m.end(), []).append((m.start(), "date", log10(DATE_GUESSES)))
-    for m in REPEAT.finditer(value):
-        cost = sum(map(_brute, m[1])) + log10((m.end() - m.start()) // len(m[1]))
-        ends.setdefault(m.end(), []).append((m.start(), "repeat", cost))
-    run = 0
-    for j in range(2, n + 1):
-        if not _beside(value[j - 2], value[j - 1]):
-            run = j - 1
-        # Walks that end here: the whole run, and its later starts.
-        for i in {run, *range(max(run, j - WALK_STARTS), j - 3)} if j - run >= 4 else ():
-            turns = 1 + sum(ord(value[k + 1]) - ord(value[k]) != ord(value[k]) - ord(value[k - 1])
-                            for k in range(i + 1, j - 1)) // 3
-            cost = log10(WALK_START * (j - i)) + turns * log10(WALK_STEP)
-            ends.setdefault(j, []).append((i, "walk", cost))
+        if value[i].isdigit():
+            for j in range(i + 4, min(n, i + LONGEST_DATE) + 1):
+                if DATE.fullmatch(value, i, j):
+                    ends.setdefault(j, []).append((i, "date", log10(DATE_GUESSES)))
+    repeats = _repeats(value)
+    begins, bends = _walks(value)
     single = [_brute(c) for c in value]
+    brute = np.r_[0.0, np.cumsum(single)]
     for m in HEX.finditer(value):
         if m.end() - m.start() >= 8 and not m[0].isdigit():
             single[m.start():m.end()] = [log10(16)] * (m.end() - m.start())
-    best = [0.0] + [float("inf")] * n
+    best = np.full(n + 1, np.inf)
+    best[0] = 0.0
+    join = np.full(n + 1, JOIN)
+    join[0] = 0.0
     back: list[tuple[int, str]] = [(0, "")] * (n + 1)
     for j in range(1, n + 1):
-        best[j], back[j] = best[j - 1] + single[j - 1], (j - 1, "brute")
+        least, how = best[j - 1] + single[j - 1], (j - 1, "brute")
         for i, kind, cost in ends.get(j, ()):
-            total = best[i] + cost + (JOIN if i else 0)
-            if total < best[j]:
-                best[j], back[j] = total, (i, kind)
+            total = best[i] + cost + join[i]
+            if total < least:
+                least, how = total, (i, kind)
+        for p, most in repeats.get(j, ()):
+            times = np.arange(3, most + 1)
+            starts = j - p * times
+            totals = best[starts] + join[starts] + (brute[j] - brute[j - p]) + np.log10(times)
+            at = int(totals.argmin())
+            if totals[at] < least:
+                least, how = float(totals[at]), (int(starts[at]), "repeat")
+        if j - begins[j] >= 4:  # all walks of four keys or more that end here
+            starts = np.arange(begins[j], j - 3)
+            turns = 1 + (bends[j - 1] - bends[starts + 1]) // 3
+            totals = best[starts] + join[starts] + np.log10(WALK_START * (j - starts)) + turns * log10(WALK_STEP)
+            at = int(totals.argmin())
+            if totals[at] < least:
+                least, how = float(totals[at]), (int(starts[at]), "walk")
+        best[j], back[j] = least, how
     pieces: list[tuple[str, int, int]] = []
     j = n
     while j:
@@ -103,4 +150,4 @@ def segments(value: str) -> tuple[float, list[tuple[str, int, int]]]:
         else:
             pieces.append((kind, i, j))
         j = i
-    return best[n], pieces[::-1]
+    return float(best[n]), pieces[::-1]

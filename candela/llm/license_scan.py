@@ -5,7 +5,9 @@ same pairs in license templates.  A hit at word i of a text and position p of a
 template votes for the diagonal i - p; votes are added up per text, template and
 diagonal as a bit set of template positions.  Neighbouring diagonals (a word put in
 or left out) are merged, and a merged span holds if enough of the template's pairs,
-verified word by word, lie in it.  Phrases must match whole, on one diagonal.
+verified word by word, lie in it.  Where stuttered text makes the merged diagonals wider
+than the template, the best window of the template's width is taken out of them.  Phrases
+must match whole, on one diagonal.
 
 Templates have at most 63 pairs, so a bit set is one long; longer license texts are
 given as several templates with one label.
@@ -28,6 +30,8 @@ from candela.llm.common import text_of
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SLACK = 3
 SHARE = 0.8
+#: Pairs of the longest template.
+MOST_PAIRS = 63
 _DOCUMENT = -1
 
 
@@ -123,18 +127,30 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
         "template int, label string, whole boolean, n_pairs int")
     in_order = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
     apart = F.col("whole") | (F.col("diagonal") - F.lag("diagonal").over(in_order) > slack)
+    # The template's width of diagonals that ends at each one, within its island: at most 64 entries.
+    near = in_order.rangeBetween(-MOST_PAIRS, 0)
+    reached = F.filter("near", lambda x: (x["diagonal"] >= F.col("diagonal") - F.col("n_pairs")) & (x["island"] == F.col("island")))
+    merged = F.aggregate("reached", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["bits"]))
+    window = F.struct(F.bit_count(merged).alias("n"), (-F.element_at("reached", 1)["diagonal"]).alias("back"), F.col("diagonal").alias("last"))
+    wide = F.col("furthest") - F.col("start") > F.col("n_pairs")
     return (votes.join(F.broadcast(known), "template").repartition("doc_id", "text_hash")
             .withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
             .withColumn("island", F.sum("apart").over(in_order))
+            .withColumn("near", F.when(~F.col("whole"), F.collect_list(F.struct("diagonal", "island", "bits")).over(near)))
+            .withColumn("reached", F.array_sort(reached))
             .groupBy("doc_id", "text_hash", "n_words", "template", "label", "whole", "n_pairs", "island")
             .agg(F.bit_or("bits").alias("bits"), F.max("copies").alias("copies"),
-                 F.min("diagonal").alias("start"), F.max("diagonal").alias("furthest"))
-            .withColumn("coverage", F.bit_count("bits") / F.col("n_pairs"))
+                 F.min("diagonal").alias("start"), F.max("diagonal").alias("furthest"),
+                 F.max(F.when(~F.col("whole"), window)).alias("best"))
+            # An island wider than its template is judged, and cut, to the best window of that width.
+            .withColumns({"coverage": F.when(wide & F.col("best").isNotNull(), F.col("best.n"))
+                                       .otherwise(F.bit_count("bits")) / F.col("n_pairs"),
+                          "from": F.when(wide & F.col("best").isNotNull(), -F.col("best.back")).otherwise(F.col("start")),
+                          "to": F.when(wide & F.col("best").isNotNull(), F.col("best.last")).otherwise(F.col("furthest"))})
             .filter((F.col("template") == _DOCUMENT) | F.when(F.col("whole"), F.col("coverage") == 1)
-                    .otherwise((F.col("coverage") >= share)
-                               & (F.col("furthest") - F.col("start") <= F.col("n_pairs"))))
-            .select("doc_id", "text_hash", "n_words", "copies", "template", "label", "whole", "start",
-                    (F.col("furthest") + F.col("n_pairs") + 1).alias("end"), "coverage"))
+                    .otherwise(F.col("coverage") >= share))
+            .select("doc_id", "text_hash", "n_words", "copies", "template", "label", "whole", F.col("from").alias("start"),
+                    (F.col("to") + F.col("n_pairs") + 1).alias("end"), "coverage"))
 
 
 def license_report(docs: DataFrame, **options) -> DataFrame:

@@ -98,10 +98,15 @@ dd AS (SELECT DISTINCT doc_id, t, whole, diag FROM v),
 gap AS (SELECT *, CASE WHEN whole THEN 1
                WHEN diag - lag(diag) OVER (PARTITION BY doc_id, t ORDER BY diag) <= {SLACK} THEN 0 ELSE 1 END AS cut FROM dd),
 isl AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, t ORDER BY diag) AS island FROM gap),
-sp AS (SELECT v.doc_id, v.t, v.label, v.whole, isl.island, min(v.diag) AS s0, max(v.diag) AS s1, v.n,
-              count(DISTINCT v.p)::DOUBLE / v.n AS cover
-       FROM v JOIN isl USING (doc_id, t, diag) GROUP BY v.doc_id, v.t, v.label, v.whole, isl.island, v.n),
-ok AS (SELECT * FROM sp WHERE CASE WHEN whole THEN cover = 1 ELSE cover >= {SHARE} AND s1 - s0 <= n END),
+vi AS (SELECT v.*, isl.island FROM v JOIN isl USING (doc_id, t, diag)),
+-- Phrases: each diagonal alone.  Notices: any stretch of one island that is no wider than the notice.
+win AS (
+  SELECT e.doc_id, e.t, e.label, e.whole, e.island, e.diag AS last, min(a.diag) AS s0, count(DISTINCT a.p)::DOUBLE / e.n AS cover
+  FROM (SELECT DISTINCT doc_id, t, label, whole, n, island, diag FROM vi) e
+  JOIN vi a ON a.doc_id = e.doc_id AND a.t = e.t AND a.island = e.island AND a.diag BETWEEN e.diag - e.n AND e.diag
+  GROUP BY e.doc_id, e.t, e.label, e.whole, e.island, e.diag, e.n),
+sp AS (SELECT doc_id, t, label, whole, island, min(s0) AS s0, max(cover) AS cover FROM win GROUP BY doc_id, t, label, whole, island),
+ok AS (SELECT * FROM sp WHERE CASE WHEN whole THEN cover = 1 ELSE cover >= {SHARE} END),
 per AS (SELECT doc_id, count(*) FILTER (WHERE whole) AS n_base,
                min(s0) FILTER (WHERE whole) AS first_word, max(s0) FILTER (WHERE whole) AS last_word,
                array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE whole)), ',') AS base_labels,
@@ -166,16 +171,16 @@ FROM e GROUP BY conv_id
 """
 
 OP10_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE embedding IS NOT NULL
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.row, q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
 

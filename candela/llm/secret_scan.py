@@ -10,8 +10,8 @@ segmentation into words, dates, repeats, keyboard walks and brute force.  Values
 Texts go to Python as Arrow batches; a text without a keyword, key head or hex run
 is left at once, on its bytes.
 
-Defined results: null text counts as empty and has no spans; rows may repeat; extra
-columns are ignored; an empty table gives no rows.
+Defined results: null text counts as empty and has no spans; a null doc_id stays null;
+rows may repeat; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Wider than the base pattern: more keywords, and any characters up to space or quote.
 CONTEXT = re.compile(
     r"(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|"
-    r"(?:api|access|private|client|signing)[_-]?key)[\"']?\x20{0,8}(?:=>|[:=]|\x20is\x20)\x20{0,8}"
-    r"[\"']?(?:(?i:bearer|basic)\x20+)?([^\s\"'`,;<>]{6,})", re.ASCII)
+    r"(?:api|access|private|client|signing)[_-]?key)[\"']?(?:[\x20\t]*(?:=>|[:=])|[\x20\t]+is(?=[\x20\t]))[\x20\t]*"
+    r"[\"']?(?:(?i:bearer|basic)[\x20\t]+)?([^\s\"'`,;<>]{6,})", re.ASCII)
 KEYWORDS = (b"pass", b"pwd", b"secret", b"token", b"credential", b"auth", b"bearer", b"key")
 #: Powers of ten; eight random letters and digits take about eleven.
 COSTLY = 10.0

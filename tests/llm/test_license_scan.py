@@ -43,6 +43,19 @@ def test_notices_survive_a_word_put_in_or_left_out(spark):
     assert [(s.start, s.end) for s in spans] == [(50, 50 + len(put_in.split()))]
 
 
+def test_stuttered_text_around_a_notice(spark):
+    mit = " ".join(next(t for t in NOTICES if t.label == "mit").words)
+    n = len(mit.split())
+    rows = [(1, "permission is " * 11 + mit), (2, mit + " associated documentation files" * 12), (3, "permission is " * 40),
+            (4, "permission is " * 30 + mit + " documentation files" * 30), (5, "any person " * 9 + "x y z " * 9 + mit)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_report(frame).collect()}
+    assert got == {1: ("mit", 1.0), 2: ("mit", 1.0), 3: ("", 0.0), 4: ("mit", 1.0), 5: ("mit", 1.0)}
+    spans = {s.doc_id: (s.start, s.end) for s in license_spans(frame).filter("template >= 0").collect()}
+    assert all(a <= len(t.split(mit)[0].split()) and b >= len(t.split(mit)[0].split()) + n and b - a <= 2 * n + 2
+               for i, t in rows if i in spans for a, b in [spans[i]])
+
+
 def test_edges(odd, none, clashing):
     assert license_report(none).count() == 0
     assert same_rows(license_report(odd), license_report(clashing))

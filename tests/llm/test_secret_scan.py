@@ -3,7 +3,7 @@ import random
 
 import regex
 
-from candela.llm.guess_cost import WORDS, segments
+from candela.llm.guess_cost import DATE, DATE_GUESSES, JOIN, WALK_START, WALK_STEP, WORDS, _beside, segments
 from candela.llm.secret_scan import base_spans, scan, secret_report
 from llm_helpers import SF_SMALL, same_rows
 
@@ -59,26 +59,78 @@ def test_costly_values(spark):
 
 
 def exhaustive(value):
-    """The least cost over all cuts, tried one by one, from the same pieces' costs."""
+    """The least cost over all cuts, tried one by one, every piece judged on its own by the stated rules."""
     from functools import cache
+    from math import log10
+
+    def alone(c):
+        return 1.0 if c.isdigit() else log10(26) if c.isalpha() else log10(33)
+
+    hexed = [False] * len(value)
+    for m in regex.finditer("[0-9a-f]+|[0-9A-F]+", value):
+        if m.end() - m.start() >= 8 and not m[0].isdigit():
+            hexed[m.start():m.end()] = [True] * (m.end() - m.start())
+
+    def piece(i, j):
+        s, found = value[i:j], []
+        if j - i == 1:
+            found.append(log10(16) if hexed[i] else alone(s))
+            return min(found), True
+        if len(s) >= 3 and s.lower() in WORDS:
+            cases = 1 if s.islower() else 2 if s.isupper() or s.istitle() else 2 ** min(len(s), 8)
+            found.append(log10((WORDS.index(s.lower()) + 1) * cases))
+        if regex.fullmatch(DATE.pattern, s):
+            found.append(log10(DATE_GUESSES))
+        for p in range(1, len(s) // 3 + 1):
+            if len(s) % p == 0 and s == s[:p] * (len(s) // p):
+                found.append(sum(map(alone, s[:p])) + log10(len(s) // p))
+        if len(s) >= 4 and all(_beside(a, b) for a, b in zip(s, s[1:])):
+            step = [ord(b) - ord(a) for a, b in zip(s, s[1:])]
+            found.append(log10(WALK_START * len(s)) + (1 + sum(a != b for a, b in zip(step, step[1:])) // 3) * log10(WALK_STEP))
+        return min(found, default=float("inf")), False
 
     @cache
-    def best(i):
-        if i == 0:
+    def best(j):
+        if j == 0:
             return 0.0
-        return min(best(j) + piece(value, j, i) for j in range(i))
+        costs = []
+        for i in range(j):
+            cost, brute = piece(i, j)
+            costs.append(best(i) + cost + (0 if brute or not i else JOIN))
+        return min(costs)
 
-    def piece(v, j, i):
-        alone = segments(v[j:i])
-        whole = alone[0] if len(alone[1]) == 1 else float("inf")
-        return whole + (0.30103 if j and alone[1][0][0] != "brute" else 0)
     return best(len(value))
 
 
+def test_any_white_space_around_the_sign():
+    for between in (" = ", "\t= ", " " * 10 + "=" + " " * 10, "\t\t:\t", "=>", "  is\t "):
+        assert [x["start"] for x in scan(f"pwd{between}Xk9#mQ2$vL7p".encode())["costly"]] == [3 + len(between)], between
+    assert scan(b"password is" + b"X" * 9) is None or not scan(b"password is" + b"X" * 9)["costly"]
+
+
+def test_no_cut_is_left_out():
+    rng = random.Random(12)
+    parts = ["qwerty", "asdf", "abc", "password", "1999", "12-05-2001", "20190405", "aaaa", "xyxyxy", "Hunter", "zxcvbnm,.", "deadbeef", "#", "7", "Q", "1234567890-="]
+    values = ["".join(rng.choices(parts, k=rng.randrange(1, 5)))[:34] for _ in range(150)]
+    values += ["".join(rng.choices("ab", k=20)) for _ in range(20)] + ["qwertyuiop[]" + "poiuytrewq" * 2, "abcdefghi" * 3, "0201990", "11-11-1111"]
+    for v in values:
+        assert abs(segments(v)[0] - exhaustive(v)) < 1e-9, (v, segments(v), exhaustive(v))
+
+
+def test_very_long_values_take_bounded_time():
+    import time
+
+    start = time.monotonic()
+    for v in ("a" * 4000, "qw" * 2000, "abcdefghi" * 500, "".join(random.Random(1).choices("abcdef0123456789", k=4000))):
+        cost, pieces = segments(v)
+        assert pieces[0][1] == 0 and pieces[-1][2] == len(v) and cost >= 0
+    assert time.monotonic() - start < 30
+
+
 def test_segmentation_is_cheapest():
     for v in ("password", "xpassword", "qwertyz", "abcabcabc", "2021-04-05", "Summer", "aaaaab", "hunter2x", "zzpassqwertyzz"):
         cost, pieces = segments(v)
-        assert abs(cost - exhaustive(v)) < 1e-3, (v, cost, exhaustive(v), pieces)
+        assert abs(cost - exhaustive(v)) < 1e-9, (v, cost, exhaustive(v), pieces)
         assert [p[1] for p in pieces] == [0, *[p[2] for p in pieces[:-1]]] and pieces[-1][2] == len(v)
     assert segments("")[0] == 0
     assert len(WORDS) <= 200 and segments("f33e61083db5dbdf4bd2369d2f80176e57f7fda2")[0] > 40

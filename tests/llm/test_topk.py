@@ -16,9 +16,9 @@ def sound(v):
 def brute(rows, k=5, every=50):
     out = []
     whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if sound(v)]
-    for i, q in whole:
+    for row, (i, q) in enumerate(whole):
         if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in whole if j != i and len(c) == len(q))
+            scored = sorted((-sum(a * b for a, b in zip(q, c)), j) for at, (j, c) in enumerate(whole) if at != row and len(c) == len(q))
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -45,6 +45,19 @@ def test_matches_brute_force(spark):
     assert asked(spark, rows, every=1, shard_vectors=100, query_block=64) == brute(rows, every=1)
 
 
+def test_rows_of_one_id_find_each_other_and_large_scores_are_exact(spark):
+    rows = [(0, [1.0, 2.0]), (0, [5.0, 5.0]), (1, [1.0, 0.0]), (50, [5.0, 5.0]), (50, [5.0, 5.0])]
+    want = brute(rows, k=2)
+    assert (0, 1, 0, 256 * 256 * 15) in want and asked(spark, rows, k=2) == want
+    rng = random.Random(6)
+    big = [(i, [float(np.float32(rng.choice([-1, 1]) * rng.uniform(2e5, 4e5))) + rng.randrange(8) for _ in range(6)]) for i in range(300)]
+    want = brute(big)
+    assert max(abs(r[3]) for r in want) > 2 ** 53 and (asked(spark, big) == want) is True
+    assert (asked(spark, big, shard_vectors=40) == want) is True
+    past = asked(spark, [(0, [1e20]), (1, [1e20]), (2, [-1e20])])
+    assert past == [(0, 1, 1, 2 ** 63 - 1), (0, 2, 2, -2 ** 63)]
+
+
 def test_search_visits_few_leaves_when_boxes_tell_apart():
     rng = np.random.default_rng(0)
     centres = rng.normal(0, 4000, (40, 8)).round()
