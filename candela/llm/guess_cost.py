@@ -70,11 +70,12 @@ def _repeats(value: str) -> dict[int, list[tuple[int, int]]]:
         # Length of the run of equal characters, p apart, that ends at each place.
         breaks = np.where(same, 0, np.arange(1, len(same) + 1))
         run = np.arange(1, len(same) + 1) - np.maximum.accumulate(breaks)
-        for at in np.flatnonzero(run >= 2 * p).tolist():
-            end = at + p + 1
-            unit = value[end - p:end]
+        places = np.flatnonzero(run >= 2 * p)
+        for stretch in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else ():
+            unit = value[stretch[0] + 1:stretch[0] + 1 + p]  # all units of a stretch are turns of one
             if p == 1 or (unit + unit).find(unit, 1) == p:
-                found.setdefault(end, []).append((p, int(run[at]) // p + 1))
+                for at, length in zip(stretch.tolist(), run[stretch].tolist()):
+                    found.setdefault(at + p + 1, []).append((p, length // p + 1))
     return found
 
 
@@ -115,32 +116,33 @@ def segments(value: str) -> tuple[float, list[tuple[str, int, int]]]:
     for m in HEX.finditer(value):
         if m.end() - m.start() >= 8 and not m[0].isdigit():
             single[m.start():m.end()] = [log10(16)] * (m.end() - m.start())
-    best = np.full(n + 1, np.inf)
-    best[0] = 0.0
-    join = np.full(n + 1, JOIN)
-    join[0] = 0.0
+    best = [0.0] + [float("inf")] * n
+    joined = np.zeros(n + 1)  # the same with what another piece behind it costs; nothing before the first
+    logs = np.log10(np.maximum(np.arange(n + 1), 1))
     back: list[tuple[int, str]] = [(0, "")] * (n + 1)
     for j in range(1, n + 1):
         least, how = best[j - 1] + single[j - 1], (j - 1, "brute")
         for i, kind, cost in ends.get(j, ()):
-            total = best[i] + cost + join[i]
+            total = best[i] + cost + (JOIN if i else 0.0)
             if total < least:
                 least, how = total, (i, kind)
         for p, most in repeats.get(j, ()):
-            times = np.arange(3, most + 1)
-            starts = j - p * times
-            totals = best[starts] + join[starts] + (brute[j] - brute[j - p]) + np.log10(times)
+            first = j - p * most  # starts from j - 3 p down to this one
+            totals = joined[first:j - 3 * p + 1:p][::-1] + logs[3:most + 1]
             at = int(totals.argmin())
-            if totals[at] < least:
-                least, how = float(totals[at]), (int(starts[at]), "repeat")
+            total = float(totals[at]) + brute[j] - brute[j - p]
+            if total < least:
+                least, how = total, (j - p * (at + 3), "repeat")
         if j - begins[j] >= 4:  # all walks of four keys or more that end here
-            starts = np.arange(begins[j], j - 3)
-            turns = 1 + (bends[j - 1] - bends[starts + 1]) // 3
-            totals = best[starts] + join[starts] + np.log10(WALK_START * (j - starts)) + turns * log10(WALK_STEP)
+            first = begins[j]
+            turns = 1 + (bends[j - 1] - bends[first + 1:j - 2]) // 3
+            totals = joined[first:j - 3] + logs[4:j - first + 1][::-1] + turns * log10(WALK_STEP)
             at = int(totals.argmin())
-            if totals[at] < least:
-                least, how = float(totals[at]), (int(starts[at]), "walk")
+            total = float(totals[at]) + log10(WALK_START)
+            if total < least:
+                least, how = total, (first + at, "walk")
         best[j], back[j] = least, how
+        joined[j] = least + JOIN
     pieces: list[tuple[str, int, int]] = []
     j = n
     while j:
