@@ -31,7 +31,7 @@ from candela.operators.sessions import half_days_frame, open_intervals, open_mar
 from candela.operators.payload import bars_to_payloads, validate_payloads
 from candela.session import scratch_path
 from candela.sinks.writers import publish_bars, write_landing_csv, write_landing_files, write_table
-from candela.streaming.incremental import replay_in_periods, replay_landing, year_of
+from candela.streaming.incremental import replay_in_periods, replay_landing, replay_topic, year_of
 from candela.streaming.metrics import BatchMetrics
 from candela.streaming.pipeline import read_output
 from candela.streaming.rollups import read_monthly, read_weekly
@@ -386,6 +386,15 @@ def q_stream_csv_landing(spark, sf_dir):
     return round_doubles(out.select(*O.PIPELINE_COLUMNS))
 
 
+def q_stream_offsets_resume(spark, sf_dir):
+    """The streaming job from a topic, started again after every append: the result of
+    ``stream_with_history``."""
+    bars = flag_bars(spark, sf_dir)
+    years = sorted(r[0] for r in bars.select(year_of("date")).distinct().collect())
+    out = replay_topic(spark, bars, years, year_of("date"), history=True)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
 def q_stream_batch_metrics(spark, sf_dir):
     """Quality counts per batch of the dirty bars, as the stream's listener took them."""
     metrics = BatchMetrics()
@@ -449,6 +458,7 @@ def queries() -> dict[str, Query]:
         "stream_labelled": q_stream_labelled,
         "stream_microbatch": q_stream_microbatch,
         "stream_monthly_rollup": q_stream_monthly_rollup,
+        "stream_offsets_resume": q_stream_offsets_resume,
         "stream_resends": q_stream_resends,
         "stream_weekly_rollup": q_stream_weekly_rollup,
         "stream_with_history": q_stream_with_history,
@@ -498,6 +508,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_labelled": O.pipeline_query(None, dirty=False),
         "stream_microbatch": O.stream_query(history=False),
         "stream_monthly_rollup": O.stream_rollup_query("month"),
+        "stream_offsets_resume": O.stream_query(history=True),
         "stream_resends": O.stream_query(history=True),
         "stream_weekly_rollup": O.stream_rollup_query("week"),
         "stream_with_history": O.stream_query(history=True),

@@ -93,6 +93,14 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def take_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one data file of ``folder`` to ``target``."""
+    fs, where = _at(spark, folder)
+    found = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("part-")]
+    if len(found) != 1 or not fs.rename(found[0], _at(spark, target)[1]):
+        raise OSError(f"{folder} has {len(found)} files for {target}")
+
+
 def name_files(spark: SparkSession, staged: str, path: str, suffix: str) -> None:
     """Move the one file of every ``column=value`` folder of ``staged`` to ``<path>/<value>.<suffix>``."""
     fs, base = _at(spark, staged)

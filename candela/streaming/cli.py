@@ -29,8 +29,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--timeout_minutes", type=float, default=10.0)
     p.add_argument("--trigger_seconds", type=int, default=30)
     p.add_argument("--available_now", action="store_true", help="drain what is there, then stop")
-    p.add_argument("--source_format", default="kafka", choices=["kafka", "text", "landing"])
-    p.add_argument("--source_path", default=None, help="folder of JSON-lines files (text) or of one CSV file per symbol (landing)")
+    p.add_argument("--source_format", default="kafka", choices=["kafka", "text", "landing", "topic"])
+    p.add_argument("--source_path", default=None, help="folder of JSON-lines files (text) of one CSV file per symbol (landing), or of partition logs (topic)")
     p.add_argument("--max_files", type=int, default=None, help="files a batch reads at most (landing source)")
     p.add_argument("--sink_format", default="parquet", choices=["parquet", "delta"])
     p.add_argument("--history", action="store_true", help="continue windows across batches")
@@ -52,7 +52,7 @@ def config_from_args(args: argparse.Namespace) -> PipelineConfig:
             raise SystemExit("--kafka_servers and --kafka_topic are required for the kafka source")
         options = {"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.kafka_topic}
     elif not args.source_path:
-        raise SystemExit("--source_path is required for the text and landing sources")
+        raise SystemExit("--source_path is required for the text, landing and topic sources")
     return PipelineConfig(
         output_path=args.output_path, checkpoint_path=args.checkpoint_path,
         source_format=args.source_format, source_path=args.source_path, source_options=options,

@@ -54,6 +54,7 @@ from candela.sinks import folders
 from candela.sinks.writers import resolve_sink, write_batch
 from candela.sources.files import bar_stream, parse_bars
 from candela.sources.landing import landing_stream, stage_landing
+from candela.sources.topic import topic_stream
 from candela.streaming.commits import committed, newest, record
 from candela.streaming.history import (
     batch_rows,
@@ -275,7 +276,8 @@ def start_pipeline(spark: SparkSession, cfg: PipelineConfig):
     if cfg.source_format == "landing":
         parsed = landing_stream(spark, cfg.staged_path, cfg.max_files)
     else:
-        messages = bar_stream(spark, cfg.source_format, cfg.source_path, cfg.source_options)
+        messages = topic_stream(spark, cfg.source_path, cfg.source_options) if cfg.source_format == "topic" else bar_stream(
+            spark, cfg.source_format, cfg.source_path, cfg.source_options)
         parsed = parse_bars(messages, keep_raw=cfg.keep_raw)
     writer = (observe_arrivals(parsed).writeStream
               .foreachBatch(partial(_foreach, cfg=cfg))
