@@ -9,7 +9,7 @@ bars that run in parallel:
 
 1. rows are range-partitioned and sorted by (series, window order) and written once
    to the shared scratch folder with their running number.  Ranges are even however
-   rows share keys; a row's ordinal in its series follows from its number and the
+   rows share keys, but for identical rows, which stay in one; a row's ordinal in its series follows from its number and the
    row counts per (series, range), a small table;
 2. ``chunk = ordinal div chunk_rows``; the last ``LOOKBACK_ROWS`` (118) bars of
    each chunk are copied into the next chunk and its first bar into the
@@ -67,8 +67,14 @@ def series_ordinals(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
 
 
 def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
-                       chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """``ohlcv_features(df, keys)`` computed over bounded chunks of each series."""
+                       chunk_rows: int = DEFAULT_CHUNK_ROWS, sum_seed: str | None = None,
+                       sum_seed_exact: str | None = None, peak_seed: str | None = None,
+                       keep_exact: bool = False) -> DataFrame:
+    """``ohlcv_features(df, keys)`` computed over bounded chunks of each series.
+
+    The seeds carry what came before a series, as in ``performance_features``: they count
+    into the first chunk's totals, and from there into every later chunk's carry.
+    """
     if chunk_rows <= LOOKBACK_ROWS:
         raise ValueError(f"chunk_rows must exceed the look-back of {LOOKBACK_ROWS} rows")
     columns, date = df.columns, feat.ORDER_COLS[0]
@@ -78,12 +84,19 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
 
     # Per-chunk totals (one row per chunk), whole and of the chunk's first date alone.
     ret = F.col("daily_change_pct")
-    ret_x = ret.try_cast(feat.EXACT_RETURN)
+    if sum_seed is not None:  # set on a series' first row alone
+        seed = F.col(sum_seed)
+        ret = F.when(seed.isNull(), ret).when(ret.isNull(), seed).otherwise(seed + ret)
+    ret_x = F.col("daily_change_pct").try_cast(feat.EXACT_RETURN)
+    if sum_seed_exact is not None:
+        seed_x = F.col(sum_seed_exact).try_cast(feat.EXACT_RETURN)
+        ret_x = F.when(seed_x.isNull(), ret_x).when(ret_x.isNull(), seed_x).otherwise(seed_x + ret_x)
+    top = F.greatest("close", F.col(peak_seed)) if peak_seed is not None else F.col("close")
     bad = F.coalesce(F.isnan(ret) | (F.abs(ret) == F.lit(float("inf")))
                      | (ret.isNotNull() & ret_x.isNull()), F.lit(False)).cast("int")
     by_date = rows.groupBy("_key", "_chunk", date).agg(
         F.sum(ret).alias("total"), F.try_sum(ret_x).alias("exact"), F.max(bad).alias("bad"),
-        F.max("close").alias("peak"), F.min("_ord").alias("ord"))
+        F.max(top).alias("peak"), F.min("_ord").alias("ord"))
     first = F.struct("ord", date, "total", "exact", "bad")
     totals = by_date.groupBy("_key", "_chunk").agg(
         F.sum("total").alias("total"), F.try_sum("exact").alias("exact"), F.max("bad").alias("bad"),
@@ -118,14 +131,20 @@ def segmented_features(df: DataFrame, keys: Sequence[str] = feat.DEFAULT_KEYS,
                   .withColumn("_chunk", F.col("_copy.c"))
                   .drop("_copy"))
     starts = F.col("_own") & (F.col("_ord") == F.col("_chunk") * F.lit(chunk_rows))
+    # The first chunk has no carry: its first row keeps the seed that it came with.
+    seeded_by = lambda carry, own: F.when(starts, F.coalesce(F.col(carry), F.col(own)) if own else F.col(carry))
+    if peak_seed is not None:
+        carries = carries.withColumnRenamed("_carry_peak", "_earlier_peak")
     seeded = (spread.join(carries, ["_key", "_chunk"], "left")
-                    .withColumn("_sum_seed", F.when(starts, F.col("_carry_sum")))
-                    .withColumn("_sum_seed_exact", F.when(starts, F.col("_carry_sum_exact")))
+                    .withColumn("_chunk_seed", seeded_by("_carry_sum", sum_seed))
+                    .withColumn("_chunk_seed_exact", seeded_by("_carry_sum_exact", sum_seed_exact))
                     .withColumn("_sum_extra", F.when(
                         F.col("_own") & F.col(date).eqNullSafe(F.col("_last_date")), F.col("_beyond")))
                     .withColumn("_sum_mask", ~F.col("_own")))
+    if peak_seed is not None:
+        seeded = seeded.withColumn("_carry_peak", F.greatest("_earlier_peak", peak_seed))
     out = (feat.ohlcv_features(seeded, partition_cols=("_key", "_chunk"),
-                               sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
+                               sum_seed="_chunk_seed", sum_seed_exact="_chunk_seed_exact", keep_exact=keep_exact,
                                peak_seed="_carry_peak", sum_mask="_sum_mask", sum_extra="_sum_extra")
                .filter(F.col("_own")))
-    return out.select(columns + [c for c in FEATURE_COLUMNS if c not in columns])
+    return out.select(columns + [c for c in FEATURE_COLUMNS if c not in columns] + ["_cumulative_exact"] * keep_exact)

@@ -395,6 +395,12 @@ def q_stream_offsets_resume(spark, sf_dir):
     return round_doubles(out.select(*O.PIPELINE_COLUMNS))
 
 
+def q_stream_with_history_segmented(spark, sf_dir):
+    """``stream_with_history`` with every series of a batch, its look-back in front, cut into chunks."""
+    out = replay_in_periods(spark, flag_bars(spark, sf_dir), year_of("date"), history=True, chunk_rows=128)
+    return round_doubles(out.select(*O.PIPELINE_COLUMNS))
+
+
 def q_stream_batch_metrics(spark, sf_dir):
     """Quality counts per batch of the dirty bars, as the stream's listener took them."""
     metrics = BatchMetrics()
@@ -462,6 +468,7 @@ def queries() -> dict[str, Query]:
         "stream_resends": q_stream_resends,
         "stream_weekly_rollup": q_stream_weekly_rollup,
         "stream_with_history": q_stream_with_history,
+        "stream_with_history_segmented": q_stream_with_history_segmented,
     })
     return out
 
@@ -512,5 +519,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_resends": O.stream_query(history=True),
         "stream_weekly_rollup": O.stream_rollup_query("week"),
         "stream_with_history": O.stream_query(history=True),
+        "stream_with_history_segmented": O.stream_query(history=True),
     })
     return out

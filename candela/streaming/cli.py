@@ -40,7 +40,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--rollups", action="store_true", help="keep weekly and monthly rollups up to date")
     p.add_argument("--keep_raw", action="store_true", help="keep the message text of failed rows")
     p.add_argument("--chunk_rows", type=int, default=None,
-                   help="cut longer series of a batch into chunks of so many bars (without history)")
+                   help="cut longer series of a batch into chunks of so many bars")
     p.add_argument("--volume_threshold", type=float, default=1_000_000.0)
     return p.parse_args(argv)
 

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
+from candela.operators.segmented import segmented_features
 from candela.schema import BAR_COLUMNS, LOOKBACK_ROWS
 from candela.sinks import folders
 from candela.streaming.commits import Commit, newest
@@ -95,9 +96,12 @@ def late_rows(bars: DataFrame, state: DataFrame) -> DataFrame:
     return bars.join(last, "symbol").filter("date <= last_date").select(bars.columns)
 
 
-def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
+def features_with_history(bars: DataFrame, state: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """Features of a batch continued from ``state``, history rows included.
 
+    With ``chunk_rows`` every series, its history in front, is cut into chunks that run in
+    parallel; the state's carries enter the first of them.
+
     The result has the bar and feature columns plus ``_late``, ``_hist`` and the seed
     columns; ``batch_rows`` keeps the batch's own rows and ``next_state`` derives the
     new state, so a caller can persist this frame once and feed both.
@@ -131,7 +135,11 @@ def features_with_history(bars: DataFrame, state: DataFrame) -> DataFrame:
                     F.when(F.col("_hist") & (F.col("_pos") == 0), F.col("carry_sum_exact"))
                     .alias("_sum_seed_exact")))
     rows = rows.withColumn("_peak_seed", F.when(~F.col("_late"), F.col("_peak_seed")))
-    return feat.ohlcv_features(rows, partition_cols=("symbol", "_alone", "_late"),
+    keys = ("symbol", "_alone", "_late")
+    if chunk_rows:
+        return segmented_features(rows, keys, chunk_rows, sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
+                                  peak_seed="_peak_seed", keep_exact=True)
+    return feat.ohlcv_features(rows, partition_cols=keys,
                                sum_seed="_sum_seed", sum_seed_exact="_sum_seed_exact",
                                peak_seed="_peak_seed", keep_exact=True)
 

@@ -96,7 +96,7 @@ class PipelineConfig:
     # set aside into their own partition, so clean bars only see clean bars.
     quarantine: str = "after"
     # Series longer than this are cut into chunks of so many bars (the results are the
-    # same); None keeps one task per symbol and batch.  Without history only.
+    # same); None keeps one task per symbol and batch.
     chunk_rows: int | None = None
     # Keep weekly and monthly rollups of the stored bars up to date.
     rollups: bool = False
@@ -179,7 +179,7 @@ def transform_batch(bars: DataFrame, cfg: PipelineConfig,
     bars = prepare_bars(bars, cfg)
     if state is None:
         return flag_rows(plain_features(bars, cfg.chunk_rows), cfg), None
-    full = features_with_history(bars, state)
+    full = features_with_history(bars, state, cfg.chunk_rows)
     return flag_rows(batch_rows(full), cfg), merged_state(next_state(full), state)
 
 
@@ -210,7 +210,7 @@ def process_batch(batch_df: DataFrame, batch_id: int, cfg: PipelineConfig) -> di
                 bars = fresh
                 compared.unpersist()
             late.unpersist()
-        full = features_with_history(bars, state)
+        full = features_with_history(bars, state, cfg.chunk_rows)
     else:
         full = plain_features(bars, cfg.chunk_rows)
     full = full.persist(StorageLevel.MEMORY_AND_DISK)

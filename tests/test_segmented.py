@@ -88,3 +88,24 @@ def test_two_keys_and_no_key(spark):
     bars = flag_bars(spark).withColumn("_aside", F.col("volume") > 500)
     for keys in (("symbol", "_aside"), ()):
         assert rows_of(segmented_features(bars, keys, chunk_rows=400)) == rows_of(feat.ohlcv_features(bars, keys))
+
+
+def test_chunks_go_on_from_a_state(spark):
+    import math
+
+    from candela.streaming.history import batch_rows, empty_state, features_with_history, next_state
+
+    rows = [("A", f"{2020 + i // 300}-{1 + i % 300 // 25:02d}-{1 + i % 25:02d}", 10.0, 12.0, 9.0, 10.0 + (i * 7) % 13 / 4, 5.0 + i % 3)
+            for i in range(700)] + [("B", "2020-01-01", 1.0, 2.0, 1.0, 500.0, 1.0), ("B", "2021-06-01", 1.0, 2.0, 1.0, 3.0, 1.0)]
+    first, second = (bars_df(spark, [r for r in rows if (r[1] < "2020-08") == early]) for early in (True, False))
+    state = next_state(features_with_history(first, empty_state(spark)))
+    cut_state = next_state(features_with_history(first, empty_state(spark), 130))
+    assert sorted(map(repr, state.collect())) == sorted(map(repr, cut_state.collect()))
+    whole, cut = (features_with_history(second, state, n) for n in (None, 130))
+    want, got = ({(r.symbol, r.date): r for r in batch_rows(x).collect()} for x in (whole, cut))
+    assert set(want) == set(got) and len(want) > 400
+    for k, r in want.items():
+        for c in FEATURE_COLUMNS:
+            a, b = r[c], got[k][c]
+            assert a == b or (isinstance(a, float) and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)), (k, c, a, b)
+    assert sorted(map(repr, next_state(whole).collect())) == sorted(map(repr, next_state(cut).collect()))
