@@ -1,12 +1,14 @@
+import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from candela.llm.packing import cut_points, pack, served
+from candela.llm.packing import cut_points, pack, phases, served, tree_ways
 from candela.llm.tokens import ranks_path, tokens_of
 from llm_helpers import CLASHING, same_rows
 
@@ -75,14 +77,83 @@ def test_windows_hold_the_target_proportions(spark):
             assert abs(seen[w][s] - 4096 * n / total) < 2
 
 
-def test_deficits_stay_below_a_token():
-    lo, hi, total = 10**17 // 3, 10**17 // 2, 10**17
-    for w in (0, 1, 2, 10**12, 10**13 - 1):
-        assert abs(served(w, 1024, lo, hi, total) - min(w * 1024, total) * (hi - lo) / total) < 2 + 1e-9 * total ** 0.5
-    cuts = list(cut_points(10**15, 5000, lo, hi, total, 16384, 1024))
+def layout(groups, weights, window, length):
+    """Every token's place: groups is {queue: [sizes of its sources]}."""
+    stretches = phases({q: sum(x) for q, x in groups.items()}, weights)
+    places, by_queue = [], defaultdict(list)
+    for q, sizes in groups.items():
+        for size, way in zip(sizes, tree_ways(sizes)):
+            at = 0
+            for n in (1, 700, 2, size):
+                n = min(n, size - at)
+                cuts = list(cut_points(at, n, stretches[q], way, window, length)) if n else []
+                assert [a for a, _, _ in cuts] == np.cumsum([0] + [k for _, k, _ in cuts])[:-1].tolist() or not n
+                assert sum(k for _, k, _ in cuts) == n
+                assert all(p % length + k <= length for _, k, p in cuts)
+                for _, k, p in cuts:
+                    places.extend(range(p, p + k))
+                    by_queue[q].extend(range(p, p + k))
+                at += n
+    return places, by_queue
+
+
+def test_each_token_has_its_own_place_however_small_its_source():
+    rng = random.Random(4)
+    for trial in range(40):
+        groups = {f"q{i}": [rng.choice((1, 2, 3, 50, 3000, 20_000)) for _ in range(rng.randrange(1, 9))] for i in range(rng.randrange(1, 5))}
+        places, _ = layout(groups, {q: rng.randrange(1, 7) for q in groups}, rng.choice((64, 256, 1000)), 64)
+        assert sorted(places) == list(range(sum(map(sum, groups.values()))))
+
+
+def test_dry_queues_hand_their_share_on():
+    groups, weights, window = {"a": [30_000], "b": [4000, 2001], "c": [9000]}, {"a": 1, "b": 2, "c": 3}, 600
+    places, by_queue = layout(groups, weights, window, 60)
+    assert sorted(places) == list(range(45_001))
+    seen = {q: Counter(p // window for p in x) for q, x in by_queue.items()}
+    # b and c run dry together (6001 / 2 against 9000 / 3: c first, at 3000 a weight), a alone goes on.
+    for w in range(29):
+        for q, share in weights.items():
+            assert abs(seen[q][w] - window * share / 6) < 2
+    assert all(seen["a"][w] == window for w in range(32, 75))
+
+
+def test_deficits_stay_below_the_depth():
+    sizes = [10**17 // 3, 10**17 // 2, 5, 10**16, 1]
+    total, ways = sum(sizes), tree_ways(sizes)
+    for e in (0, 1, 1024, 10**12, total - 1, total):
+        got = [served(way, e)[0] for way in ways]
+        assert sum(got) == e
+        assert all(abs(Fraction(x) - Fraction(e * n, total)) <= 3 for x, n in zip(got, sizes))
+    cuts = list(cut_points(10**15, 5000, phases({"x": total}, {"x": 1})["x"], ways[1], 16384, 1024))
     assert sum(n for _, n, _ in cuts) == 5000 and [a for a, _, _ in cuts] == np.cumsum([0] + [n for _, n, _ in cuts])[:-1].tolist()
 
 
+def test_target_weights(odd, spark, reference):
+    check(pack(odd, with_ids=True, targets={"src1": 3, None: 2, "absent": 9}, window_sequences=2).collect(), odd.collect(), reference)
+    docs = spark.createDataFrame([(i, f"w{i} " * 90, ["a", "b", "c", "d"][i % 4]) for i in range(400)], "doc_id long, text string, source string")
+    rows = pack(docs, window_sequences=4, targets={"a": 6, "b": 3}, rest_weight=1).collect()
+    source = {r.doc_id: r.source for r in docs.collect()}
+    seen, of = Counter(), Counter()
+    for r in rows:
+        of[source[r.doc_id]] += r.length
+    first = 4 * (of["a"] * 10 // 6 // 4096)
+    for r in rows:
+        if r.sequence_id < first:
+            seen[r.sequence_id // 4, source[r.doc_id]] += r.length
+    assert first >= 8
+    for w in range(first // 4):
+        assert abs(seen[w, "a"] - 4096 * 0.6) < 3 and abs(seen[w, "b"] - 4096 * 0.3) < 3
+        assert abs(seen[w, "c"] + seen[w, "d"] - 4096 * 0.1) < 3
+    with pytest.raises(ValueError):
+        pack(docs, targets={"a": 0})
+
+
+def test_small_source_beside_large_ones(spark, reference):
+    docs = spark.createDataFrame([(i, f"w{i} " * 300, f"s{i % 3}") for i in range(60)] + [(90, "", "tiny"), (91, "", None)],
+                                 "doc_id long, text string, source string")
+    check(pack(docs, with_ids=True, window_sequences=1).collect(), docs.collect(), reference)
+
+
 def test_edges(odd, none):
     from pyspark.sql import functions as F
 
