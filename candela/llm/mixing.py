@@ -179,9 +179,10 @@ def draws(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block_words:
           shard_blocks: int = SHARD_BLOCKS, seed: int = 11) -> DataFrame:
     """What the mix takes: one row per document and epoch in which words of it are drawn.
 
-    Columns: the key columns of ``docs`` as given (all but ``text`` and ``source``),
-    size, source, source_size, target, row_no, epoch, words, shard, place (order in
-    the shard).  A document that is not drawn has one row with null epoch and 0 words.
+    Columns: doc (``docs`` without its text), size, source_no, source_size, target,
+    row_no, epoch, words, shard, place (order in the shard).  Words are taken only by a
+    shard that drew their block from the tree.  A document that is not drawn has one row
+    with null epoch and 0 words.
     """
     rest = [c for c in docs.columns if c not in ("text", "source")]
     slim = stored(docs.select(
@@ -223,21 +224,27 @@ def draws(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block_words:
     taken = (placed.join(known, "s")
              .select("doc", "size", "source_no", "source_size", "target", "row_no", "blocks", "h",
                      F.explode_outer(pieces).alias("p"))
-             .select("*", "p.epoch", F.coalesce("p.words", F.lit(0)).cast("long").alias("words"),
+             .select("*", "p.epoch",
                      F.pmod(F.col("p.block") * STRIDE + F.xxhash64("source_no", F.lit(seed)) % 1000,
                             F.col("blocks")).alias("turn")))
     return (taken.join(dealt, ["source_no", "turn"], "left")
+            .withColumn("words", F.when(F.col("shard").isNotNull(), F.col("p.words")).otherwise(0).cast("long"))
             .withColumn("place", F.xxhash64("h", "epoch", F.lit(seed)))
             .select("doc", "size", "source_no", "source_size", "target", "row_no",
                     "epoch", "words", "shard", "place"))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, draws."""
+    """One row per document: doc_id, size, source_size, target, taken, draws.
+
+    ``taken`` sums the words of its drawn blocks; ``draws`` lists where they went, as
+    (epoch, shard, place, words) in that order, three at most.
+    """
     pieces = draws(docs.select("doc_id", "source", "text"), **options)
     return (pieces.groupBy("source_no", "row_no", F.col("doc.doc_id").alias("doc_id"), "size",
                            "source_size", "target")
-            .agg(F.sum("words").alias("taken"), F.count("shard").alias("draws"))
+            .agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.when(
+                F.col("shard").isNotNull(), F.struct("epoch", "shard", "place", "words")))).alias("draws"))
             .select("doc_id", "size", "source_size", "target", "taken", "draws"))
 
 

@@ -90,6 +90,23 @@ def test_shards_get_disjoint_blocks(odd):
     assert pieces.groupBy("source_no", "row_no", "epoch").count().filter("count > 1").count() == 0
 
 
+def test_taken_words_come_through_the_tree(odd, monkeypatch):
+    small = dict(block_words=50, shard_blocks=5)
+    got = M.mix_report(odd, **small).collect()
+    assert all(r.taken == sum(d.words for d in r.draws) for r in got)
+    assert len({d.shard for r in got for d in r.draws}) > 3
+    other = M.mix_report(odd, seed=12, **small).collect()
+    where = lambda rows: Counter((r.doc_id, r.taken, d.epoch, d.shard) for r in rows for d in r.draws)
+    assert where(got) != where(other) and sum(r.taken for r in got) == sum(r.taken for r in other)
+    whole, fullest = M.splitting_tree, Counter(d.shard for r in got for d in r.draws).most_common(1)[0][0]
+    lost = lambda root, shards, seed: whole(root, shards, seed).filter(F.col("shard") != fullest)
+    monkeypatch.setattr(M, "splitting_tree", lost)
+    less = M.mix_report(odd, **small).collect()
+    # Without a shard the others' ranges close up: as many turns stay undrawn as it had blocks.
+    assert sum(r.taken for r in less) < sum(r.taken for r in got)
+    assert M.mix(odd, **small).count() == sum(len(r.draws) for r in less)
+
+
 def test_mix_gives_whole_documents_and_cuts_few(odd, clashing, none):
     report = M.mix_report(odd)
     out = M.mix(odd)
