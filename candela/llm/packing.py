@@ -251,8 +251,9 @@ def pack(docs: DataFrame, length: int = LENGTH, window_sequences: int = WINDOW_S
     stretches = phases(dict(sorted(sizes.items())), weights)
     before = Window.partitionBy("queue").orderBy("task", "turn").rowsBetween(
         Window.unboundedPreceding, -1)
-    base = (sums.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
-            .join(queues, "queue").select("queue", "task", "turn", "base", "group", "ways"))
+    # Written, so that its size is known when it meets the tokens: they stay in place while it is small.
+    base = stored(sums.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+                  .join(queues, "queue").select("queue", "task", "turn", "base", "group", "ways"), "pack-starts")
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     window = window_sequences * length
     return (tokens.join(base, ["queue", "task", "turn"])
