@@ -27,13 +27,17 @@ def window_starts(lengths: np.ndarray, width: int, stride: int) -> tuple[np.ndar
     return seq, nth * stride, np.where(nth == 0, 0, width - stride)
 
 
+def flat(m: np.ndarray) -> np.ndarray:
+    return m.reshape(-1, m.shape[-1])
+
+
 class Attention:
     """Parameters in float32; ``classes`` outputs over ``tokens`` inputs."""
 
     def __init__(self, tokens: int, classes: int, size: int = 16, width: int = 32, seed: int = 11):
         rng = np.random.default_rng(seed)
         f = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        self.width, self.size = width, size
+        self.width, self.size, self.shape = width, size, (tokens, classes, size, width)
         self.p = {
             "embed": (rng.standard_normal((tokens, size)) * 0.3).astype(np.float32),
             "place": (rng.standard_normal((width, size)) * 0.1).astype(np.float32),
@@ -47,15 +51,17 @@ class Attention:
         p = self.p
         x = p["embed"][ids]
         x += p["place"]
-        q, k, v = x @ (p["q"] * np.float32(self.size ** -0.5)), x @ p["k"], x @ p["v"]
+        # Products over all places at once: one per window would be too small to be fast.
+        by = lambda m, w: (flat(m) @ w).reshape(*ids.shape, -1)
+        q, k, v = by(x, p["q"] * np.float32(self.size ** -0.5)), by(x, p["k"]), by(x, p["v"])
         w = q @ k.transpose(0, 2, 1)
         np.minimum(w, LARGEST, out=w)
         np.exp(w, out=w)
         w *= self.mask
         total = w @ np.ones((self.width, 1), np.float32)
         mixed = (w @ v) / total
-        h = x @ p["a"]
-        h += mixed @ p["o"]
+        h = by(x, p["a"])
+        h += by(mixed, p["o"])
         h += p["a0"]
         if keep is not None:
             keep.update(ids=ids, x=x, q=q, k=k, v=v, w=w / total, mixed=mixed)
@@ -74,58 +80,73 @@ class Attention:
     def gradients(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the valid places, and its gradient by parameter."""
         p, t = self.p, {}
-        z = self.hidden(ids, t)
-        y = z @ p["c"] + p["c0"]
-        y -= y.max(2, keepdims=True)
-        e = np.exp(y)
-        total = e.sum(2, keepdims=True)
+        z = flat(self.hidden(ids, t))
+        y = z @ p["c"]
+        y += p["c0"]
+        y -= y.max(1, keepdims=True)
         n = max(1, int(valid.sum()))
-        at = np.arange(ids.shape[0])[:, None], np.arange(ids.shape[1])[None], targets
-        loss = float(((np.log(total[..., 0]) - y[at]) * valid).sum() / n)
-        dy = e / total
+        at = np.arange(len(y)), targets.reshape(-1)
+        own = y[at]
+        dy = np.exp(y, out=y)
+        total = dy @ np.ones((dy.shape[1], 1), dy.dtype)
+        loss = float(((np.log(total[:, 0]) - own) * valid.reshape(-1)).sum() / n)
+        dy /= total
         dy[at] -= 1
-        dy *= (valid / n).astype(np.float32)[..., None]
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"c": flat(z).T @ flat(dy), "c0": flat(dy).sum(0)}
+        dy *= (valid / n).astype(np.float32).reshape(-1, 1)
+        g = {"c": z.T @ dy, "c0": dy.sum(0)}
         dh = (dy @ p["c"].T) * (z > 0)
-        g["a"], g["a0"] = flat(t["x"]).T @ flat(dh), flat(dh).sum(0)
-        g["o"] = flat(t["mixed"]).T @ flat(dh)
-        dm = dh @ p["o"].T
+        g["a"], g["a0"] = flat(t["x"]).T @ dh, dh.sum(0)
+        g["o"] = flat(t["mixed"]).T @ dh
+        dm = (dh @ p["o"].T).reshape(t["x"].shape)
         dv = t["w"].transpose(0, 2, 1) @ dm
         dw = dm @ t["v"].transpose(0, 2, 1)
         ds = t["w"] * (dw - (dw * t["w"]).sum(2, keepdims=True))
         dq, dk = ds @ t["k"] * np.float32(self.size ** -0.5), ds.transpose(0, 2, 1) @ t["q"]
-        dx = dh @ p["a"].T + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
+        dx = dh @ p["a"].T
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
+            dx += flat(d) @ p[name].T
             g[name] = flat(t["x"]).T @ flat(d)
+        dx = dx.reshape(t["x"].shape)
         g["place"] = dx.sum(0)
-        g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], ids, dx)
+        every = flat(dx)
+        g["embed"] = np.stack([np.bincount(ids.reshape(-1), weights=every[:, j], minlength=len(p["embed"]))
+                               for j in range(self.size)], axis=1).astype(dx.dtype)
         return loss, g
 
     def fit(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray, epochs: int, batch: int = 64,
             rate: float = 0.006, seed: int = 5) -> list[float]:
         """Adam over shuffled windows with a falling rate; returns the mean loss of each epoch."""
-        rng, losses, step = np.random.default_rng(seed), [], 0
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s = {k: np.zeros_like(v) for k, v in self.p.items()}
+        rng, losses, step, adam = np.random.default_rng(seed), [], 0, Adam(self)
         steps = epochs * -(-len(ids) // batch)
         for _ in range(epochs):
             order, seen = rng.permutation(len(ids)), []
             for i in range(0, len(order), batch):
                 own = order[i:i + batch]
-                loss, g = self.gradients(ids[own], targets[own], valid[own])
                 step += 1
-                now = rate * min(1.0, step / 50) * (1 - 0.95 * step / steps)
-                for k, d in g.items():
-                    m[k] += np.float32(0.1) * (d - m[k])
-                    s[k] += np.float32(0.01) * (d * d - s[k])
-                    self.p[k] -= np.float32(now) * (m[k] / np.float32(1 - 0.9 ** step)) / (
-                        np.sqrt(s[k] / np.float32(1 - 0.99 ** step)) + np.float32(1e-6))
-                seen.append(loss)
+                seen.append(adam.step(ids[own], targets[own], valid[own], rate * min(1.0, step / 50) * (1 - 0.95 * step / steps)))
             losses.append(float(np.mean(seen)) if seen else 0.0)
         return losses
 
 
+class Adam:
+    """Steps of a network along the gradients of windows, with moments that fade."""
+
+    def __init__(self, net: Attention):
+        self.net, self.steps = net, 0
+        self.m, self.s = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+
+    def step(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray, rate: float) -> float:
+        """One step; returns the mean loss before it."""
+        loss, g = self.net.gradients(ids, targets, valid)
+        self.steps += 1
+        m, s = self.m, self.s
+        for k, d in g.items():
+            m[k] += np.float32(0.1) * (d - m[k])
+            s[k] += np.float32(0.01) * (d * d - s[k])
+            self.net.p[k] -= np.float32(rate) * (m[k] / np.float32(1 - 0.9 ** self.steps)) / (
+                np.sqrt(s[k] / np.float32(1 - 0.99 ** self.steps)) + np.float32(1e-6))
+        return loss
+
+
 def batches(starts: np.ndarray, most: int = 512) -> Iterator[slice]:
     return (slice(i, i + most) for i in range(0, len(starts), most))

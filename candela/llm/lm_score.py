@@ -18,9 +18,11 @@ encoded by a public byte-level vocabulary, then one end.  The model gives every
 
 Both factors sum to one, so scores are logarithms of probabilities of id sequences.
 
-Only the network's weights come from a bounded sample: ``fit_windows`` windows at most, the
-lowest hashes among all windows of the training documents.  Counts cover every training
-document.  What a task holds of them is bounded by the model's size: ``before`` times
+Counts and the network's weights come from every training document.  The weights begin as
+those of a bounded draw (``fit_windows`` windows at most, the lowest hashes among all), and
+then every predicted id of every training document is learned from, once: each task goes on
+from the first weights over the windows of its own documents, and the weights of all tasks are
+averaged, by windows (parallel stochastic gradient descent).  What a task holds of them is bounded by the model's size: ``before`` times
 ``common`` numbers of four bytes (17 MB).
 
 The base score is that of a unigram model of the words, counted over all training
@@ -48,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.attention import Attention, batches, window_starts
+from candela.llm.attention import Adam, Attention, batches, window_starts
 from candela.llm.common import stored, text_of
 from candela.llm.tokens import SPECIAL_ID, tokens_of
 
@@ -57,6 +59,10 @@ END, IDS = SPECIAL_ID, SPECIAL_ID + 1
 FREQUENT = 400_000
 CLASSES, BEFORE, COMMON, SIZE, WIDTH, STRIDE = 64, 1024, 4096, 16, 32, 28
 FIT_WINDOWS, EPOCHS = 16_384, 6
+#: The pass over all training windows: windows a step, and the rate, which falls with the steps of a task.
+BATCH, RATE = 256, 0.002
+#: Weights travel as whole numbers of this size, so that their sums do not depend on the order.
+UNIT = 2.0 ** -24
 #: Weight of an id's share of its class among the counts behind one id.
 PRIOR = 6.0
 
@@ -257,6 +263,54 @@ def clusters(behind: np.ndarray, counts: np.ndarray, n: int, dims: int = 24, rou
     return out
 
 
+def trained_on_all(train: DataFrame, net: Attention, column: np.ndarray, classes: np.ndarray, width: int,
+                   batch: int = BATCH, rate: float = RATE) -> int:
+    """Train ``net`` on every window of the training documents, each once; returns their number.
+
+    Windows do not overlap here, so every predicted id is in one.  A task sends its weights
+    (bounded by the vocabulary) times its windows; the sums by place are one row a weight.
+    """
+    shared = train.sparkSession.sparkContext.broadcast((net, column, classes))
+    names = sorted(net.p)
+
+    def learn(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, column, classes = shared.value
+        own = Attention(*first.shape)
+        own.p = {k: v.copy() for k, v in first.p.items()}
+        adam, rng, windows = Adam(own), np.random.default_rng(5), 0
+        for rows_ in rows:
+            for _, _, seqs in _sequences(rows_):
+                flat, lengths, offsets = _flat(seqs, width)
+                seq, at, _ = window_starts(lengths, width, width)
+                order = rng.permutation(len(seq))
+                place = np.arange(width)
+                for i in range(0, len(order), batch):
+                    some = order[i:i + batch]
+                    where = (offsets[seq[some]] + at[some])[:, None] + place
+                    valid = place < (lengths[seq[some]] - at[some])[:, None]
+                    ids = column[np.where(valid, flat[where], END)]
+                    targets = classes[column[flat[where + 1]]]
+                    now = rate * min(1.0, (adam.steps + 1) / 50) / max(1.0, adam.steps / 200) ** 0.5
+                    adam.step(ids, targets, valid, now)
+                windows += len(order)
+        if windows:
+            weights = np.concatenate([own.p[k].reshape(-1) for k in names]).astype(np.float64)
+            sums = np.append(np.rint(weights / UNIT).astype(np.int64) * windows, windows)
+            yield pa.RecordBatch.from_pydict({"place": pa.array(np.arange(len(sums), dtype=np.int32)), "n": pa.array(sums)})
+
+    found = (train.select("ids").mapInArrow(learn, "place int, n long")
+             .groupBy("place").agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n")))
+    sums = {r["place"]: int(r["n"]) for r in found.collect()}  # one row a weight
+    if not sums:
+        return 0
+    windows = sums[len(sums) - 1]
+    weights, at = np.array([sums[i] / windows for i in range(len(sums) - 1)]) * UNIT, 0
+    for k in names:
+        net.p[k] = weights[at:at + net.p[k].size].reshape(net.p[k].shape).astype(np.float32)
+        at += net.p[k].size
+    return windows
+
+
 @dataclass
 class LanguageModel:
     """Common ids have a column each; the last column, in a class of its own, is for all others."""
@@ -297,7 +351,7 @@ class LanguageModel:
 def fit_language_model(train: DataFrame, classes: int = CLASSES, before: int = BEFORE, common: int = COMMON, size: int = SIZE,
                        width: int = WIDTH, stride: int = STRIDE, fit_windows: int = FIT_WINDOWS, epochs: int = EPOCHS,
                        prior: float = PRIOR) -> LanguageModel:
-    """Count the training documents (rows of ``encoded``) and train the network on a bounded sample of windows."""
+    """Count the training documents (rows of ``encoded``) and train the network on all of their windows."""
     counts = id_counts(train)
     kind = frequency_classes(counts, before)
     most = np.argsort(-counts, kind="stable")[:common]
@@ -313,6 +367,7 @@ def fit_language_model(train: DataFrame, classes: int = CLASSES, before: int = B
     drawn = drawn_windows(train, width, stride, fit_windows)
     ids, n = column[drawn[:, :-1]], drawn[:, -1:]
     net.fit(ids[:, :width], own[ids[:, 1:]], np.arange(width) < n, epochs)
+    trained_on_all(train, net, column, own, width)
     return LanguageModel(net, column, kind, own, (mass / of_class[own]).astype(np.float32), ((counts + 0.5) / mass[column]).astype(np.float32),
                          behind, totals, width, stride, np.float32(prior))
 

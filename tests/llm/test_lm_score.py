@@ -18,6 +18,7 @@ from candela.llm.lm_score import (
     frequency_classes,
     id_counts,
     lm_scores,
+    trained_on_all,
     vocabulary_path,
     words_of,
 )
@@ -180,3 +181,31 @@ def test_held_out_texts_do_not_reach_the_model(spark):
         if not r.held_out:
             assert math.isclose(r.score, b[i].score, rel_tol=1e-4) and math.isclose(r.base_score, b[i].base_score, rel_tol=1e-12)
     assert same_rows(docs.select("doc_id"), other.select("doc_id"))
+
+
+def test_the_network_learns_from_every_training_document(spark):
+    texts = [" ".join(f"w{(i + j) % 9}" for j in range(60)) for i in range(40)] + ["", "one"]
+    docs = lambda own: spark.createDataFrame([(5, t, None, None, None) for t in own], DOCUMENTS).repartition(3)
+    rows = encoded(docs(texts), vocabulary_path())
+    column, classes = np.arange(IDS) % 50, np.arange(50) % 6
+    seqs = [np.frombuffer(END.to_bytes(2, "little") + r.ids, "<u2") for r in rows.select("ids").collect()]
+    net = Attention(50, 6, size=6, width=8)
+    first = {k: v.copy() for k, v in net.p.items()}
+    assert trained_on_all(rows, net, column, classes, 8, batch=4, rate=0.02) == sum(-(-(len(s) - 1) // 8) for s in seqs)
+    assert net.p["c"].dtype == np.float32 and any(not np.array_equal(first[k], net.p[k]) for k in first)
+
+    def loss(p):
+        net_ = Attention(50, 6, size=6, width=8)
+        net_.p, total = p, 0.0
+        for s in seqs:
+            ids, n = column[s], min(8, len(s) - 1)
+            window = np.resize(ids[:n], 8)[None]
+            total -= net_.log_probabilities(window, np.zeros(n, int), np.arange(n), classes[ids[1:n + 1]]).sum()
+        return total
+
+    assert loss(net.p) < loss(first)
+    # With one drawn window, documents that are not drawn still change the weights.
+    few = {**SMALL, "fit_windows": 1}
+    a, b = (fit_language_model(encoded(docs(own), vocabulary_path()), **few).net.p["q"] for own in (texts, texts[:20]))
+    assert not np.array_equal(a, b)
+    assert trained_on_all(rows.limit(0), net, column, classes, 8) == 0
