@@ -86,4 +86,4 @@ def write_known(bars: DataFrame, path: str, run_id: str, batch_id: int) -> None:
     A replayed attempt adds its rows again: copies, which readers take once.
     """
     (hashed(bars).select("symbol", "h1", "h2", F.lit(run_id).alias("run_id"), F.lit(int(batch_id)).cast("long").alias("batch_id"), "month")
-     .distinct().coalesce(8).write.mode("append").partitionBy("month").parquet(path))
+     .distinct().hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path))

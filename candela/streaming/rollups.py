@@ -94,7 +94,7 @@ def update_rollups(bars: DataFrame, path: str, run_id: str, batch_id: int, seq:
         known = newest_versions(stored_versions(spark, path, months)).join(touched, same, "left_semi")
         (merged(known.unionByName(own.drop("begins")))
          .withColumns({"seq": F.lit(seq).cast("long"), "run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id)).cast("long"), "begins": begins()})
-         .coalesce(8).write.mode("append").partitionBy("begins").parquet(path))
+         .hint("rebalance", "begins").write.mode("append").partitionBy("begins").parquet(path))
     finally:
         own.unpersist()
 

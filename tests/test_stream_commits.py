@@ -10,7 +10,7 @@ from candela.operators.rollup import monthly_rollup, weekly_rollup
 from candela.sinks import folders
 from candela.streaming import commits, pipeline, redelivery
 from candela.streaming.history import read_state
-from candela.streaming.pipeline import PipelineConfig, labelled_output, process_batch, read_output
+from candela.streaming.pipeline import PipelineConfig, labelled_output, process_batch, read_output, shuffle_tasks
 from candela.streaming.redelivery import OTHER, digests, hashed, merged_digests
 from candela.streaming.rollups import read_monthly, read_weekly
 
@@ -136,3 +136,44 @@ def test_rollups_of_batches_are_those_of_all_bars(spark, tmp_dir):
 
     same(read_weekly(spark, cfg.rollups_path), weekly_rollup(everything))
     same(read_monthly(spark, cfg.rollups_path), monthly_rollup(everything))
+
+
+def test_a_batch_has_tasks_for_its_rows_and_files_for_its_months(spark, tmp_dir, monkeypatch):
+    assert [shuffle_tasks(n, 8, 200) for n in (1, 80_000, 1_000_000, 10**9)] == [8, 8, 100, 3200]
+    assert shuffle_tasks(1, 8, 3) == 3
+    seen, whole = [], pipeline._process
+
+    def process(batch_df, *rest):
+        seen.append(batch_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return whole(batch_df, *rest)
+
+    monkeypatch.setattr(pipeline, "_process", process)
+    monkeypatch.setattr(pipeline, "TASK_ROWS", 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        cfg = PipelineConfig(output_path=f"{tmp_dir}/out", checkpoint_path=f"{tmp_dir}/c", history=True, rollups=True)
+        days = [f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}" for i in range(84)]
+        bars = bars_df(spark, [(s, d, 1.0, 2.0, 1.0, 1.5, 10.0) for d in days for s in "ABCDEF"]).repartition(16)
+        assert process_batch(bars, 0, cfg)["total_records"] == 504
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        assert process_batch(bars_df(spark, [("A", "2024-06-01", 1.0, 2.0, 1.0, 1.5, 10.0)]), 1, cfg)["total_records"] == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    cores = min(64, spark.sparkContext.defaultParallelism)
+    assert seen == [str(max(cores, 6)), str(max(cores, 2))]  # 504 rows; one row and a look-back
+    for folder in (f"{cfg.known_path}/month=2024-02", f"{cfg.rollups_path}/begins=2024-02"):
+        assert len(folders.files(spark, folder)) == 1, folder  # not one a task
+
+
+def test_task_sizes_do_not_change_a_batch(spark, tmp_dir, monkeypatch):
+    bars = bars_df(spark, [(s, f"2024-01-{1 + i:02d}", 1.0 + i, 2.0 + i, 1.0, 1.5 + i, 10.0) for i in range(28) for s in "ABCDEF"])
+    found = []
+    monkeypatch.setattr(pipeline, "MOST_TASKS", 3)
+    for rows in (12, 10_000):
+        monkeypatch.setattr(pipeline, "TASK_ROWS", rows)
+        cfg = PipelineConfig(output_path=f"{tmp_dir}/{rows}", checkpoint_path=f"{tmp_dir}/c{rows}", history=True, with_timestamps=False)
+        process_batch(bars.filter("date < '2024-01-15'"), 0, cfg)
+        process_batch(bars.filter("date >= '2024-01-13'"), 1, cfg)
+        found.append(sorted(tuple(r) for r in read_output(spark, cfg.clean_path).drop("run_id").fillna(-1.0).collect()))
+    assert found[0] == found[1] and len(found[0]) == 168
