@@ -270,8 +270,9 @@ def q_delta_or_parquet_sink(spark, sf_dir):
     """Bars appended to a symbol-partitioned table (Delta, else the Parquet
     fallback next to it), read back (equal to the bars)."""
     path = scratch_path(spark, "table")
-    written = write_table(supplier_bars(spark, sf_dir), path, fmt="delta")
-    return round_doubles(read_output(spark, written).select(*BAR_COLUMNS))
+    bars = supplier_bars(spark, sf_dir)
+    written = write_table(bars, path, fmt="delta")
+    return round_doubles(read_output(spark, written, schema=bars.schema).select(*BAR_COLUMNS))
 
 
 def q_stream_microbatch(spark, sf_dir):

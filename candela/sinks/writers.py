@@ -22,6 +22,12 @@ log = logging.getLogger(__name__)
 # Fixed value: key order of a published bar message.
 MESSAGE_FIELDS = ["date", "open", "high", "low", "close", "volume", "symbol"]
 
+# On a local disk (``file:``) Hadoop writes a checksum file beside every file and starts a
+# ``chmod`` process for each: with a file per symbol that is a third of the write.  Other
+# file systems do not read these options.
+PLAIN_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+                     "fs.file.impl.disable.cache": "true"}
+
 
 def bars_to_messages(df: DataFrame) -> DataFrame:
     """Bars -> one JSON message per bar in a ``value`` column (NULL fields are omitted)."""
@@ -42,7 +48,7 @@ def write_landing_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
     Read back with ``read_landing_csv(..., symbol_from="partition")``.
     """
     (df.select("symbol", *CSV_COLUMNS).hint("rebalance", "symbol").write.mode(mode)
-       .option("header", True).partitionBy("symbol").csv(path))
+       .options(**PLAIN_LOCAL_FILES).option("header", True).partitionBy("symbol").csv(path))
 
 
 def write_landing_files(df: DataFrame, path: str) -> None:
@@ -97,7 +103,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "delta",
     Errors of the write itself are raised.
     """
     chosen, target = resolve_sink(df.sparkSession, path, fmt, fallback_format, fallback_suffix)
-    opts = {"mergeSchema": "true"} if chosen == "delta" else {}
+    opts = {"mergeSchema": "true"} if chosen == "delta" else dict(PLAIN_LOCAL_FILES)
     opts.update(options or {} if chosen == fmt else {})
     out = df.hint("rebalance", *partition_cols) if partition_cols else df
     w = out.write.format(chosen).mode(mode).options(**opts)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from candela.operators import features as feat
 from candela.operators.market import holidays_frame, is_market_open, sessions_frame
 from candela.operators.rollup import weekly_rollup
-from candela.session import is_local_master
+from candela.session import LISTING_CONF, is_local_master
 from candela.sinks.writers import format_available, write_landing_csv, write_landing_files, write_table
 from candela.sources.files import CRYPTO_SERIES_KEY, flatten_payload, read_landing_csv
+from candela.streaming.pipeline import read_output
 from bar_helpers import bars_df
 
 
@@ -80,6 +81,40 @@ def test_files_per_symbol_are_bounded(spark, tmp_dir):
     assert read_landing_csv(spark, f"{tmp_dir}/csv", symbol_from="partition").count() == 4000
 
 
+def listing_tasks(spark, group, read):
+    """(jobs, tasks of the largest) that a read takes before any row is asked for."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        read()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = tracker.getJobIdsForGroup(group)
+    stages = [tracker.getStageInfo(i) for j in jobs for i in tracker.getJobInfo(j).stageIds]
+    return len(jobs), max(s.numTasks for s in stages)
+
+
+def test_folders_per_symbol_are_listed_once_by_few_tasks(spark, tmp_dir):
+    few = 4 * spark.sparkContext.defaultParallelism
+    rows = [(f"{i:03d}", "2024-01-01", 1.0, 1.0, 1.0, float(i), 1.0) for i in range(few + 20)]
+    rows += [(None, "2024-01-02", 1.0, 1.0, None, math.nan, 1.0), ("a/b=é%", "2024-01-03", 1.0, 1.0, 1.0, math.inf, 1.0)]
+    bars = bars_df(spark, rows)
+    write_landing_csv(bars, f"{tmp_dir}/csv")
+    written = write_table(bars, f"{tmp_dir}/table", fmt="parquet")
+    assert not glob.glob(f"{tmp_dir}/*/symbol=*/.*.crc")  # no second file and process for each
+    reads = {"csv": lambda: read_landing_csv(spark, f"{tmp_dir}/csv", symbol_from="partition"),
+             "table": lambda: read_output(spark, written, schema=bars.schema)}
+    for name, read in reads.items():
+        before = spark.conf.get(LISTING_CONF, None)
+        assert listing_tasks(spark, f"{tmp_dir}-{name}", read) == (1, few)
+        assert spark.conf.get(LISTING_CONF, None) == before
+        got = read().select(bars.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, bars.collect()))
+    # Appended once more, to folders that are there: every row twice, also without a given schema.
+    write_table(bars, f"{tmp_dir}/table", fmt="parquet", mode="append")
+    assert read_output(spark, written).count() == 2 * len(rows)
+
+
 def test_landing_files_are_named_by_symbol(spark, tmp_dir):
     rows = [(s, f"2024-01-{d:02d}", 1.0, 2.0, 0.5, float(d), 3.0) for s in ("AAPL", "BTC_USD", "a b%") for d in (1, 2, 3)]
     write_landing_files(bars_df(spark, rows), f"{tmp_dir}/landing")
