@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.schema import BAR_COLUMNS, BAR_SCHEMA, CSV_COLUMNS, CSV_SCHEMA
+from candela.session import listing_by_cores
 
 # The provider's series keys and the file-stem pattern.
 STOCK_SERIES_KEY = "Time Series (Daily)"
@@ -77,7 +78,8 @@ def read_landing_csv(spark: SparkSession, path: str, symbol_from: str = "stem")
               .option("mode", "PERMISSIVE"))
     if symbol_from == "partition":
         schema = T.StructType(CSV_SCHEMA.fields + [T.StructField("symbol", T.StringType(), True)])
-        return reader.schema(schema).csv(path).select(*BAR_COLUMNS)
+        with listing_by_cores(spark):  # a folder per symbol
+            return reader.schema(schema).csv(path).select(*BAR_COLUMNS)
     if symbol_from != "stem":
         raise ValueError(f"symbol_from must be 'stem' or 'partition', got {symbol_from!r}")
     df = reader.schema(CSV_SCHEMA).csv(path)
