@@ -8,12 +8,16 @@ one window only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 
 #: Logits are cut here: e to this times the classes is still a float32.
 LARGEST = np.float32(70)
+#: Windows worked on at a time: what they need stays in a core's cache and, but for the largest
+#: arrays, which are kept (``room``), below the size that is asked of the system anew each time.
+PIECE = 40
 
 
 def window_starts(lengths: np.ndarray, width: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,6 +49,17 @@ class Attention:
             "a": f(size, 2 * size), "a0": np.zeros(2 * size, np.float32),
             "c": f(2 * size, classes), "c0": np.zeros(classes, np.float32)}
         self.mask = np.tril(np.ones((width, width), np.float32))
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "kept": {}}
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array to be written, in memory that the next call with this name takes again."""
+        size, dtype = math.prod(shape), self.p["c"].dtype
+        if name not in self.kept or self.kept[name].size < size or self.kept[name].dtype != dtype:
+            self.kept[name] = np.empty(size, dtype)
+        return self.kept[name][:size].reshape(shape)
 
     def hidden(self, ids: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """Hidden states of windows of ids (n, width); ``keep`` takes what the backward pass needs."""
@@ -54,23 +69,25 @@ class Attention:
         # Products over all places at once: one per window would be too small to be fast.
         by = lambda m, w: (flat(m) @ w).reshape(*ids.shape, -1)
         q, k, v = by(x, p["q"] * np.float32(self.size ** -0.5)), by(x, p["k"]), by(x, p["v"])
-        w = q @ k.transpose(0, 2, 1)
+        w = np.matmul(q, k.transpose(0, 2, 1), out=self.room("w", *ids.shape, ids.shape[1]))
         np.minimum(w, LARGEST, out=w)
         np.exp(w, out=w)
         w *= self.mask
         total = w @ np.ones((self.width, 1), np.float32)
-        mixed = (w @ v) / total
+        mixed = w @ v
+        mixed /= total
         h = by(x, p["a"])
         h += by(mixed, p["o"])
         h += p["a0"]
         if keep is not None:
-            keep.update(ids=ids, x=x, q=q, k=k, v=v, w=w / total, mixed=mixed)
+            w /= total
+            keep.update(x=x, q=q, k=k, v=v, w=w, mixed=mixed)
         return np.maximum(h, 0, out=h)
 
     def log_probabilities(self, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(class) for each (row, place) of the windows and its target class."""
         h = self.hidden(ids)
-        y = h.reshape(-1, h.shape[-1])[rows * self.width + places] @ self.p["c"]
+        y = np.matmul(flat(h)[rows * self.width + places], self.p["c"], out=self.room("y", len(rows), self.shape[1]))
         y += self.p["c0"]
         np.minimum(y, LARGEST, out=y)  # the sum stays finite without looking for each row's largest
         own = y.reshape(-1)[np.arange(0, y.size, y.shape[1]) + targets]
@@ -78,40 +95,62 @@ class Attention:
         return own - np.log(y @ np.ones(y.shape[1], np.float32))
 
     def gradients(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss of the valid places, and its gradient by parameter."""
+        """Mean loss of the valid places, and its gradient by parameter; summed over pieces of the windows."""
+        loss, g, every = 0.0, {}, self.room("dx", *ids.shape, self.size)
+        share = valid / max(1, int(valid.sum()))
+        for some in batches(ids, PIECE):
+            lost, own, every[some] = self._gradients(ids[some], targets[some], share[some])
+            loss += lost
+            for name, d in own.items():
+                if name in g:
+                    g[name] += d
+                else:
+                    g[name] = d
+        g["embed"] = np.zeros_like(self.p["embed"])
+        if ids.size:  # places of the same id side by side: a sum each
+            order = np.argsort(ids.reshape(-1).astype(np.min_scalar_type(self.shape[0])), kind="stable")
+            own = ids.reshape(-1)[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            g["embed"][own[first]] = np.add.reduceat(flat(every)[order], first)
+        return loss, g
+
+    def _gradients(self, ids: np.ndarray, targets: np.ndarray, share: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+        """Loss of the places by their share, its gradient by parameter, and that by the embedding at each place."""
         p, t = self.p, {}
         z = flat(self.hidden(ids, t))
-        y = z @ p["c"]
+        y = np.matmul(z, p["c"], out=self.room("y", len(z), self.shape[1]))
         y += p["c0"]
         y -= y.max(1, keepdims=True)
-        n = max(1, int(valid.sum()))
-        at = np.arange(len(y)), targets.reshape(-1)
-        own = y[at]
+        share = share.reshape(-1)
+        at = np.arange(0, y.size, y.shape[1]) + targets.reshape(-1)
+        own = y.reshape(-1)[at]
         dy = np.exp(y, out=y)
         total = dy @ np.ones((dy.shape[1], 1), dy.dtype)
-        loss = float(((np.log(total[:, 0]) - own) * valid.reshape(-1)).sum() / n)
-        dy /= total
-        dy[at] -= 1
-        dy *= (valid / n).astype(np.float32).reshape(-1, 1)
-        g = {"c": z.T @ dy, "c0": dy.sum(0)}
-        dh = (dy @ p["c"].T) * (z > 0)
-        g["a"], g["a0"] = flat(t["x"]).T @ dh, dh.sum(0)
+        loss = float(((np.log(total[:, 0]) - own) * share).sum())
+        share = share.astype(np.float32)
+        dy *= share[:, None] / total
+        dy.reshape(-1)[at] -= share
+        g = {"c": z.T @ dy, "c0": np.ones(len(dy), dy.dtype) @ dy}
+        dh = dy @ p["c"].T
+        dh *= z > 0
+        x = flat(t["x"])
+        g["a"], g["a0"] = x.T @ dh, dh.sum(0)
         g["o"] = flat(t["mixed"]).T @ dh
         dm = (dh @ p["o"].T).reshape(t["x"].shape)
         dv = t["w"].transpose(0, 2, 1) @ dm
-        dw = dm @ t["v"].transpose(0, 2, 1)
-        ds = t["w"] * (dw - (dw * t["w"]).sum(2, keepdims=True))
-        dq, dk = ds @ t["k"] * np.float32(self.size ** -0.5), ds.transpose(0, 2, 1) @ t["q"]
+        ds = np.matmul(dm, t["v"].transpose(0, 2, 1), out=self.room("ds", *t["w"].shape))
+        # The shares of a place sum to one, so their mean gradient is that of what they mix.
+        ds -= (dm * t["mixed"]).sum(2, keepdims=True)
+        ds *= t["w"]
+        dq, dk = ds @ t["k"], ds.transpose(0, 2, 1) @ t["q"]
+        dq *= np.float32(self.size ** -0.5)
         dx = dh @ p["a"].T
         for name, d in (("q", dq), ("k", dk), ("v", dv)):
             dx += flat(d) @ p[name].T
-            g[name] = flat(t["x"]).T @ flat(d)
+            g[name] = x.T @ flat(d)
         dx = dx.reshape(t["x"].shape)
         g["place"] = dx.sum(0)
-        every = flat(dx)
-        g["embed"] = np.stack([np.bincount(ids.reshape(-1), weights=every[:, j], minlength=len(p["embed"]))
-                               for j in range(self.size)], axis=1).astype(dx.dtype)
-        return loss, g
+        return loss, g, dx
 
     def fit(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray, epochs: int, batch: int = 64,
             rate: float = 0.006, seed: int = 5) -> list[float]:
@@ -148,5 +187,5 @@ class Adam:
         return loss
 
 
-def batches(starts: np.ndarray, most: int = 512) -> Iterator[slice]:
+def batches(starts: np.ndarray, most: int = PIECE) -> Iterator[slice]:
     return (slice(i, i + most) for i in range(0, len(starts), most))

@@ -96,9 +96,9 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 n_words, ids, digests, counts, at, size = [], [], [], [], start, 0
                 while at < batch.num_rows and size < 200_000:
                     words = words_of(batch.column("text")[at].as_py())
-                    text = b"".join([b" " + w for w in words]).decode()
+                    text = (b" " + b" ".join(words)).decode() if words else ""
                     ids.append(np.append(bpe.encode_to_numpy(text, allowed_special=set(), disallowed_special=()), END).astype("<u2").tobytes())
-                    own, n = np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64), return_counts=True)
+                    own, n = np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), return_counts=True)
                     digests.append(own.tobytes())
                     counts.append(n.astype("<u4").tobytes())
                     n_words.append(len(words))
@@ -338,13 +338,14 @@ class LanguageModel:
         """Logarithm (base 10) of the probability of each sequence of ids behind its first one."""
         flat, at, scored, seq = _windows(seqs, self.width, self.stride)
         columns = self.column[flat]
-        classes, out = self.classes[columns], np.zeros(len(seqs))
+        rows, places = np.nonzero(scored)
+        where, found = at[rows, places], np.empty(len(rows))
+        targets, ends = self.classes[columns[where + 1]], np.cumsum(np.r_[0, scored.sum(1)])
         for some in batches(at):
-            rows, places = np.nonzero(scored[some])
-            where = at[some][rows, places]
-            found = self.net.log_probabilities(columns[at[some]], rows, places, classes[where + 1])
-            found += self.inside(flat[where], flat[where + 1])
-            out += np.bincount(seq[some][rows], weights=found, minlength=len(seqs))
+            own = slice(ends[some.start], ends[min(some.stop, len(at))])
+            found[own] = self.net.log_probabilities(columns[at[some]], rows[own] - some.start, places[own], targets[own])
+        found += self.inside(flat[where], flat[where + 1])
+        out = np.bincount(seq[rows], weights=found, minlength=len(seqs))
         return out / np.log(10)
 
 

@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import re
 from collections import Counter
@@ -7,10 +8,12 @@ from zlib import crc32
 import numpy as np
 from pyspark.sql import functions as F
 
-from candela.llm.attention import Attention, window_starts
+from candela.llm import attention
+from candela.llm.attention import PIECE, Attention, window_starts
 from candela.llm.lm_score import (
     END,
     IDS,
+    LanguageModel,
     counts_behind,
     drawn_windows,
     encoded,
@@ -209,3 +212,30 @@ def test_the_network_learns_from_every_training_document(spark):
     a, b = (fit_language_model(encoded(docs(own), vocabulary_path()), **few).net.p["q"] for own in (texts, texts[:20]))
     assert not np.array_equal(a, b)
     assert trained_on_all(rows.limit(0), net, column, classes, 8) == 0
+
+
+def test_work_in_pieces_is_that_of_all_windows_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    net = Attention(30, 7, size=6, width=5)
+    ids, targets = rng.integers(0, 30, (2 * PIECE + 3, 5)), rng.integers(0, 7, (2 * PIECE + 3, 5))
+    valid = rng.random(ids.shape) < 0.7
+    valid[PIECE:2 * PIECE] = False  # a piece without a place to learn from
+    loss, g = net.gradients(ids, targets, valid)
+    asked = []
+    monkeypatch.setattr(attention, "PIECE", 1000)
+    monkeypatch.setattr(attention.batches, "__defaults__", (1000,))
+    whole, h = net.gradients(ids, targets, valid)
+    assert math.isclose(loss, whole, rel_tol=1e-5) and set(g) == set(h) == set(net.p)
+    assert all(np.allclose(g[k], h[k], rtol=1e-3, atol=1e-6) for k in g)
+    monkeypatch.undo()
+    # No more than PIECE windows are held at a time, when learning and when scoring.
+    monkeypatch.setattr(net, "hidden", lambda ids, *kept: asked.append(len(ids)) or Attention.hidden(net, ids, *kept))
+    net.gradients(ids, targets, valid)
+    column = np.arange(IDS) % 30
+    model = LanguageModel(net, column, column % 3, np.arange(30) % 7, np.ones(30, np.float32), np.ones(IDS, np.float32),
+                          np.ones((3, 30), np.float32), np.ones((3, 7), np.float32), 5, 3, np.float32(1))
+    seqs = [np.array([END, 5, 6][:1 + i % 3] + [7] * (i % 50), "<u2") for i in range(200)] + [np.array([END], "<u2")]
+    scores = model.score(seqs)
+    assert max(asked) == PIECE and scores[-1] == 0
+    assert np.allclose(scores, [model.score([s])[0] for s in seqs], rtol=1e-4)
+    assert not pickle.loads(pickle.dumps(Attention(30, 7))).kept and not net.__getstate__()["kept"]
