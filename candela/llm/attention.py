@@ -15,9 +15,11 @@ import numpy as np
 
 #: Logits are cut here: e to this times the classes is still a float32.
 LARGEST = np.float32(70)
-#: Windows worked on at a time: what they need stays in a core's cache and, but for the largest
-#: arrays, which are kept (``room``), below the size that is asked of the system anew each time.
-PIECE = 40
+#: Logits within this need no shift by their largest before they are raised.
+UNSHIFTED = np.float32(30)
+#: Windows worked on at a time: enough that calls cost little beside their work, few enough that
+#: what they need (some 3 MB) is near the core.
+PIECE = 64
 
 
 def window_starts(lengths: np.ndarray, width: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,66 +63,84 @@ class Attention:
             self.kept[name] = np.empty(size, dtype)
         return self.kept[name][:size].reshape(shape)
 
-    def hidden(self, ids: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """Hidden states of windows of ids (n, width); ``keep`` takes what the backward pass needs."""
-        p = self.p
-        x = p["embed"][ids]
-        x += p["place"]
+    def joined(self) -> tuple[np.ndarray, ...]:
+        """Parameters side by side, so that one product does for several: q, k and v; a; o and its bias; c and its
+        bias.  The last hidden state is the one that meets c's bias: nothing of a, 1 by o's bias."""
+        p, n = self.p, 2 * self.size
+        a, o = np.zeros((self.size, n + 1), p["a"].dtype), np.zeros((self.size + 1, n + 1), p["o"].dtype)
+        a[:, :n], o[:-1, :n], o[-1, :n], o[-1, n] = p["a"], p["o"], p["a0"], 1
+        return (np.concatenate([p["q"] * np.float32(self.size ** -0.5), p["k"], p["v"]], 1), a, o,
+                np.concatenate([p["c"], p["c0"][None]]))
+
+    def hidden(self, ids: np.ndarray, keep: dict | None = None, joined: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+        """Hidden states of windows of ids (n, width); ``keep`` takes what comes after needs: ``z`` are all places'
+        states and a last one that is always 1."""
+        (qkv, a, o, _), n, width, size = joined or self.joined(), *ids.shape, self.size
+        x = self.p["embed"].take(ids, 0)
+        x += self.p["place"]
         # Products over all places at once: one per window would be too small to be fast.
-        by = lambda m, w: (flat(m) @ w).reshape(*ids.shape, -1)
-        q, k, v = by(x, p["q"] * np.float32(self.size ** -0.5)), by(x, p["k"]), by(x, p["v"])
-        w = np.matmul(q, k.transpose(0, 2, 1), out=self.room("w", *ids.shape, ids.shape[1]))
-        np.minimum(w, LARGEST, out=w)
+        # A column of ones behind v sums the weights of a place, and meets the bias behind what is mixed.
+        parts = self.room("parts", n, width, 3 * size + 1)
+        np.matmul(flat(x), qkv, out=flat(parts)[:, :-1])
+        parts[:, :, -1] = 1
+        w = np.matmul(parts[:, :, :size], parts[:, :, size:2 * size].transpose(0, 2, 1), out=self.room("w", n, width, width))
+        if w.size and not w.max() < LARGEST:
+            np.minimum(w, LARGEST, out=w)
         np.exp(w, out=w)
         w *= self.mask
-        total = w @ np.ones((self.width, 1), np.float32)
-        mixed = w @ v
+        mixed = np.matmul(w, parts[:, :, 2 * size:], out=self.room("mixed", n, width, size + 1))
+        total = mixed[:, :, -1:].copy()
         mixed /= total
-        h = by(x, p["a"])
-        h += by(mixed, p["o"])
-        h += p["a0"]
+        z = flat(mixed) @ o
+        z += np.matmul(flat(x), a, out=self.room("z", n * width, 2 * size + 1))
+        active = z > 0
+        z *= active
         if keep is not None:
-            w /= total
-            keep.update(x=x, q=q, k=k, v=v, w=w, mixed=mixed)
-        return np.maximum(h, 0, out=h)
+            keep.update(x=x, parts=parts, w=w, total=total, mixed=mixed, active=active, z=z)
+        return z.reshape(n, width, -1)[:, :, :-1]
 
     def log_probabilities(self, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(class) for each (row, place) of the windows and its target class."""
-        h = self.hidden(ids)
-        y = np.matmul(flat(h)[rows * self.width + places], self.p["c"], out=self.room("y", len(rows), self.shape[1]))
-        y += self.p["c0"]
-        np.minimum(y, LARGEST, out=y)  # the sum stays finite without looking for each row's largest
+        joined, t = self.joined(), {}
+        self.hidden(ids, t, joined)
+        y = np.matmul(t["z"].take(rows * self.width + places, 0), joined[-1], out=self.room("y", len(rows), self.shape[1]))
+        if y.size and not y.max() < LARGEST:
+            np.minimum(y, LARGEST, out=y)  # the sum stays finite without looking for each row's largest
         own = y.reshape(-1)[np.arange(0, y.size, y.shape[1]) + targets]
         np.exp(y, out=y)
-        return own - np.log(y @ np.ones(y.shape[1], np.float32))
+        return own - np.log(y @ np.ones(y.shape[1], y.dtype))
 
     def gradients(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the valid places, and its gradient by parameter; summed over pieces of the windows."""
-        loss, g, every = 0.0, {}, self.room("dx", *ids.shape, self.size)
+        size, joined = self.size, self.joined()
+        loss, sums, every = 0.0, [np.zeros_like(m) for m in (*joined, self.p["place"])], self.room("dx", *ids.shape, size)
         share = valid / max(1, int(valid.sum()))
         for some in batches(ids, PIECE):
-            lost, own, every[some] = self._gradients(ids[some], targets[some], share[some])
+            lost, own = self._gradients(ids[some], targets[some], share[some], joined, every[some])
             loss += lost
-            for name, d in own.items():
-                if name in g:
-                    g[name] += d
-                else:
-                    g[name] = d
-        g["embed"] = np.zeros_like(self.p["embed"])
+            for total, d in zip(sums, own):
+                total += d
+        dqkv, da, do, dc, place = sums
+        g = {"embed": np.zeros_like(self.p["embed"]), "place": place, "q": dqkv[:, :size] * np.float32(size ** -0.5),
+             "k": dqkv[:, size:2 * size], "v": dqkv[:, 2 * size:], "a": da[:, :-1], "o": do[:-1, :-1], "a0": do[-1, :-1],
+             "c": dc[:-1], "c0": dc[-1]}
         if ids.size:  # places of the same id side by side: a sum each
             order = np.argsort(ids.reshape(-1).astype(np.min_scalar_type(self.shape[0])), kind="stable")
             own = ids.reshape(-1)[order]
             first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            g["embed"][own[first]] = np.add.reduceat(flat(every)[order], first)
+            g["embed"][own[first]] = np.add.reduceat(flat(every).take(order, 0), first)
         return loss, g
 
-    def _gradients(self, ids: np.ndarray, targets: np.ndarray, share: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
-        """Loss of the places by their share, its gradient by parameter, and that by the embedding at each place."""
-        p, t = self.p, {}
-        z = flat(self.hidden(ids, t))
-        y = np.matmul(z, p["c"], out=self.room("y", len(z), self.shape[1]))
-        y += p["c0"]
-        y -= y.max(1, keepdims=True)
+    def _gradients(self, ids: np.ndarray, targets: np.ndarray, share: np.ndarray, joined: tuple[np.ndarray, ...],
+                   dx: np.ndarray) -> tuple[float, tuple[np.ndarray, ...]]:
+        """Loss of the places by their share, its gradient by joined parameter and by place; ``dx`` takes that by
+        the embedding at each place."""
+        (qkv, a, o, c), t, n, width, size = joined, {}, *ids.shape, self.size
+        self.hidden(ids, t, joined)
+        z = t["z"]
+        y = np.matmul(z, c, out=self.room("y", len(z), self.shape[1]))
+        if not -UNSHIFTED < y.min() <= y.max() < UNSHIFTED:
+            y -= y.max(1, keepdims=True)
         share = share.reshape(-1)
         at = np.arange(0, y.size, y.shape[1]) + targets.reshape(-1)
         own = y.reshape(-1)[at]
@@ -130,27 +150,23 @@ class Attention:
         share = share.astype(np.float32)
         dy *= share[:, None] / total
         dy.reshape(-1)[at] -= share
-        g = {"c": z.T @ dy, "c0": np.ones(len(dy), dy.dtype) @ dy}
-        dh = dy @ p["c"].T
-        dh *= z > 0
-        x = flat(t["x"])
-        g["a"], g["a0"] = x.T @ dh, dh.sum(0)
-        g["o"] = flat(t["mixed"]).T @ dh
-        dm = (dh @ p["o"].T).reshape(t["x"].shape)
-        dv = t["w"].transpose(0, 2, 1) @ dm
-        ds = np.matmul(dm, t["v"].transpose(0, 2, 1), out=self.room("ds", *t["w"].shape))
-        # The shares of a place sum to one, so their mean gradient is that of what they mix.
-        ds -= (dm * t["mixed"]).sum(2, keepdims=True)
-        ds *= t["w"]
-        dq, dk = ds @ t["k"], ds.transpose(0, 2, 1) @ t["q"]
-        dq *= np.float32(self.size ** -0.5)
-        dx = dh @ p["a"].T
-        for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            dx += flat(d) @ p[name].T
-            g[name] = x.T @ flat(d)
-        dx = dx.reshape(t["x"].shape)
-        g["place"] = dx.sum(0)
-        return loss, g, dx
+        dh = np.matmul(dy, c.T, out=self.room("z", *z.shape))
+        dh *= t["active"]
+        x, parts, w, mixed = t["x"], t["parts"], t["w"], t["mixed"]
+        dm = np.matmul(dh, o.T, out=self.room("dm", n * width, size + 1)).reshape(mixed.shape)
+        dm /= t["total"]
+        # The shares of a place sum to one, so their mean gradient is that of what they mix:
+        # it stands against the column of ones behind v.
+        np.negative(np.einsum("nij,nij->ni", dm[:, :, :-1], mixed[:, :, :-1]), out=dm[:, :, -1])
+        ds = np.matmul(dm, parts[:, :, 2 * size:].transpose(0, 2, 1), out=self.room("ds", *w.shape))
+        ds *= w
+        dparts = self.room("dparts", n, width, 3 * size)
+        np.matmul(ds, parts[:, :, size:2 * size], out=dparts[:, :, :size])
+        np.matmul(ds.transpose(0, 2, 1), parts[:, :, :size], out=dparts[:, :, size:2 * size])
+        np.matmul(w.transpose(0, 2, 1), dm[:, :, :size], out=dparts[:, :, 2 * size:])
+        np.matmul(dh, a.T, out=flat(dx))
+        dx += (flat(dparts) @ qkv.T).reshape(dx.shape)
+        return loss, (flat(x).T @ flat(dparts), (dh.T @ flat(x)).T, (dh.T @ flat(mixed)).T, (dy.T @ z).T, dx.sum(0))
 
     def fit(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray, epochs: int, batch: int = 64,
             rate: float = 0.006, seed: int = 5) -> list[float]:
@@ -173,17 +189,28 @@ class Adam:
     def __init__(self, net: Attention):
         self.net, self.steps = net, 0
         self.m, self.s = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+        self.kept = {k: (np.empty_like(v), np.empty_like(v)) for k, v in net.p.items()}  # to work in
 
     def step(self, ids: np.ndarray, targets: np.ndarray, valid: np.ndarray, rate: float) -> float:
         """One step; returns the mean loss before it."""
         loss, g = self.net.gradients(ids, targets, valid)
         self.steps += 1
-        m, s = self.m, self.s
         for k, d in g.items():
-            m[k] += np.float32(0.1) * (d - m[k])
-            s[k] += np.float32(0.01) * (d * d - s[k])
-            self.net.p[k] -= np.float32(rate) * (m[k] / np.float32(1 - 0.9 ** self.steps)) / (
-                np.sqrt(s[k] / np.float32(1 - 0.99 ** self.steps)) + np.float32(1e-6))
+            m, s, (a, b) = self.m[k], self.s[k], self.kept[k]
+            np.subtract(d, m, out=a)
+            a *= np.float32(0.1)
+            m += a  # m += 0.1 * (d - m)
+            np.multiply(d, d, out=a)
+            a -= s
+            a *= np.float32(0.01)
+            s += a  # s += 0.01 * (d * d - s)
+            np.divide(s, np.float32(1 - 0.99 ** self.steps), out=a)
+            np.sqrt(a, out=a)
+            a += np.float32(1e-6)
+            np.divide(m, np.float32(1 - 0.9 ** self.steps), out=b)
+            b *= np.float32(rate)
+            b /= a
+            self.net.p[k] -= b
         return loss
 
 

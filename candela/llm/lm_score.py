@@ -57,6 +57,8 @@ from candela.llm.tokens import SPECIAL_ID, tokens_of
 #: Ids of the vocabulary, the end among them.
 END, IDS = SPECIAL_ID, SPECIAL_ID + 1
 FREQUENT = 400_000
+#: First bits of a digest by which it is looked up among the frequent ones.
+HEAD = 20
 CLASSES, BEFORE, COMMON, SIZE, WIDTH, STRIDE = 64, 1024, 4096, 16, 32, 28
 FIT_WINDOWS, EPOCHS = 16_384, 6
 #: The pass over all training windows: windows a step, and the rate, which falls with the steps of a task.
@@ -383,10 +385,22 @@ class Unigrams:
     digests: np.ndarray
     counts: np.ndarray
 
+    def __post_init__(self) -> None:
+        lowest = np.arange(-(1 << (HEAD - 1)), 1 << (HEAD - 1), dtype=np.int64) << (64 - HEAD)
+        self.first = np.searchsorted(self.digests, lowest).astype(np.int32)  # by the digest's first bits
+
     def place(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each digest stands among the frequent ones, and whether it does."""
-        at = np.minimum(np.searchsorted(self.digests, digests), max(len(self.digests) - 1, 0))
-        return at, self.digests[at] == digests if len(self.digests) else np.zeros(len(digests), bool)
+        last = len(self.digests) - 1
+        if last < 0:
+            return np.zeros(len(digests), np.int64), np.zeros(len(digests), bool)
+        at = np.minimum(self.first[(digests >> (64 - HEAD)) + (1 << (HEAD - 1))], last)
+        left = np.flatnonzero(self.digests[at] < digests)
+        for _ in range(4):  # digests are spread evenly: few share their first bits
+            at[left] = np.minimum(at[left] + 1, last)
+            left = left[self.digests[at[left]] < digests[left]]
+        at[left] = np.minimum(np.searchsorted(self.digests, digests[left]), last)
+        return at, self.digests[at] == digests
 
 
 def _slices(batches_: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,7 @@ from candela.llm.lm_score import (
     END,
     IDS,
     LanguageModel,
+    Unigrams,
     counts_behind,
     drawn_windows,
     encoded,
@@ -239,3 +240,48 @@ def test_work_in_pieces_is_that_of_all_windows_at_once(monkeypatch):
     assert max(asked) == PIECE and scores[-1] == 0
     assert np.allclose(scores, [model.score([s])[0] for s in seqs], rtol=1e-4)
     assert not pickle.loads(pickle.dumps(Attention(30, 7))).kept and not net.__getstate__()["kept"]
+
+
+def test_frequent_words_are_found_by_their_digests():
+    rng = np.random.default_rng(6)
+    for own in (rng.integers(-2**63, 2**63, 3000), np.arange(-40, 40), np.array([-2**63, 2**63 - 1]), np.array([7]), np.zeros(0)):
+        own = np.unique(own.astype(np.int64))
+        known = Unigrams(0, 0, 0, own, np.ones(len(own), np.int64))
+        asked = np.concatenate([own, rng.integers(-2**63, 2**63, 500), np.arange(-60, 60), [-2**63, 2**63 - 1]])
+        at, hit = known.place(asked)
+        assert (hit == np.isin(asked, own)).all() and (own[at[hit]] == asked[hit]).all()
+
+
+def test_large_logits_keep_finite_gradients_of_the_right_size():
+    rng = np.random.default_rng(8)
+    net = Attention(30, 7, size=6, width=5)
+    net.p["c"] *= np.float32(300)
+    ids, targets, valid = rng.integers(0, 30, (9, 5)), rng.integers(0, 7, (9, 5)), np.ones((9, 5), bool)
+    y = net.hidden(ids).astype(np.float64) @ net.p["c"] + net.p["c0"]
+    assert np.abs(y).max() > 200
+    shares = np.exp(y - y.max(2, keepdims=True))
+    shares /= shares.sum(2, keepdims=True)
+    loss, g = net.gradients(ids, targets, valid)
+    want = (shares - np.eye(7)[targets]).sum((0, 1)) / 45
+    assert all(np.isfinite(d).all() for d in g.values()) and np.allclose(g["c0"], want, atol=1e-4)
+    own = np.take_along_axis(y - y.max(2, keepdims=True) - np.log(np.exp(y - y.max(2, keepdims=True)).sum(2, keepdims=True)), targets[:, :, None], 2)
+    assert math.isclose(loss, -own.mean(), rel_tol=1e-3)
+
+
+def test_steps_of_adam_work_in_kept_memory():
+    rng = np.random.default_rng(1)
+    net = Attention(30, 7, size=6, width=5)
+    p = {k: v.copy() for k, v in net.p.items()}
+    m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    adam = attention.Adam(net)
+    held = {k: v.ctypes.data for k, v in net.p.items()}
+    for step in range(1, 6):
+        ids, targets = rng.integers(0, 30, (9, 5)), rng.integers(0, 7, (9, 5))
+        _, g = net.gradients(ids, targets, np.ones((9, 5), bool))
+        adam.step(ids, targets, np.ones((9, 5), bool), 0.01)
+        for k, d in g.items():
+            m[k] += np.float32(0.1) * (d - m[k])
+            s[k] += np.float32(0.01) * (d * d - s[k])
+            p[k] -= np.float32(0.01) * (m[k] / np.float32(1 - 0.9 ** step)) / (np.sqrt(s[k] / np.float32(1 - 0.99 ** step)) + np.float32(1e-6))
+            assert np.allclose(net.p[k], p[k], rtol=1e-5, atol=1e-7)
+    assert held == {k: v.ctypes.data for k, v in net.p.items()} and all(a.shape == p[k].shape for k, (a, _) in adam.kept.items())
