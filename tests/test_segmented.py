@@ -1,10 +1,12 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from candela.operators import features as feat
+from candela.operators import segmented
 from candela.operators.segmented import segmented_features, series_ordinals
 from candela.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candela.sources.bars import bars_by_flag
@@ -109,3 +111,39 @@ def test_chunks_go_on_from_a_state(spark):
             a, b = r[c], got[k][c]
             assert a == b or (isinstance(a, float) and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)), (k, c, a, b)
     assert sorted(map(repr, next_state(whole).collect())) == sorted(map(repr, next_state(cut).collect()))
+
+
+@pytest.mark.parametrize("rows, test", [(1, test_ties_null_symbols_and_null_dates_equal_the_plain_plan),
+                                        (200, test_one_date_over_many_chunks), (200, test_chunks_go_on_from_a_state)])
+def test_series_longer_than_a_block(spark, monkeypatch, rows, test):
+    monkeypatch.setattr(segmented, "BLOCK_ROWS", rows)
+    test(spark)
+
+
+def test_whole_and_cut_series_together(spark, monkeypatch):
+    monkeypatch.setattr(segmented, "BLOCK_ROWS", 200)  # blocks of two chunks
+    rows = [(s, f"2024-{1 + i // 56:02d}-{1 + i // 2 % 28:02d}", 10.0, 12.0, 9.0, 10.0 + (i * 7) % 13 / 4, 5.0 + i % 3)
+            for s, n in (("long", 600), ("short", 250), ("B", 30), (None, 255)) for i in range(n)]
+    bars = bars_df(spark, rows)
+    for a, b in zip(rows_of(segmented_features(bars, chunk_rows=120)), rows_of(feat.ohlcv_features(bars)), strict=True):
+        assert all(same(x, y) for x, y in zip(a, b)), (a, b)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_rows_of_whole_series_move_once(spark):
+    before = shuffle_files(spark)
+    out = segmented_features(flag_bars(spark), chunk_rows=128)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(symbol" in plan, plan
+    assert out.count() == flag_bars(spark).count() > 0
+    out = segmented_features(flag_bars(spark), chunk_rows=128)
+    for _ in range(50):  # files are dropped in the background
+        left = {x.split("_")[1] for x in shuffle_files(spark) - before}
+        if len(left) <= 3:  # those of the counts above
+            break
+        time.sleep(0.2)
+    assert len(left) <= 3
